@@ -16,6 +16,7 @@ rules, not typed in.
 
 from __future__ import annotations
 
+import json
 from functools import lru_cache
 
 from pyspark.sql import Column
@@ -71,17 +72,25 @@ def is_dropped_code_point(n: Column) -> Column:
     )
 
 
-def _map_literal(table: dict) -> Column:
-    items = sorted(table.items())
-    return F.create_map(*[F.lit(x) for kv in items for x in kv])
+@lru_cache(maxsize=None)
+def _map_json(name: str) -> tuple[str, str]:
+    tables = {"named": named_references, "legacy": legacy_references, "remap": numeric_remap}
+    table = tables[name]()
+    return json.dumps({str(k): v for k, v in sorted(table.items())}), "map<string,string>"
+
+
+def _map_literal(name: str) -> Column:
+    """One JSON literal parsed into a map; Catalyst folds it to a constant once."""
+    text, dtype = _map_json(name)
+    return F.from_json(F.lit(text), dtype)
 
 
 def code_point_to_text(n: Column) -> Column:
     """Text for a decoded code point (bigint, may be out of range)."""
-    remap = _map_literal(numeric_remap())
+    remap = _map_literal("remap")
     as_char = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
     return (
-        F.when(n.isin(*numeric_remap().keys()), F.try_element_at(remap, n.cast("int")))
+        F.when(n.isin(*numeric_remap().keys()), F.try_element_at(remap, n.cast("string")))
         .when(n.between(*SURROGATES) | (n > MAX_CODE_POINT), F.lit(REPLACEMENT_CHAR))
         .when(is_dropped_code_point(n), F.lit(""))
         .otherwise(as_char)
@@ -135,8 +144,8 @@ def _decode_piece(p: Column, named: Column, legacy: Column) -> Column:
 def html_unescape(c: Column | str) -> Column:
     """Decode all HTML5 character references in a string column."""
     c = F.col(c) if isinstance(c, str) else c
-    named = _map_literal(named_references())
-    legacy = _map_literal(legacy_references())
+    named = _map_literal("named")
+    legacy = _map_literal("legacy")
     pieces = F.split(c, "&", -1)
     decoded = F.transform(pieces, lambda p, i: F.when(i == 0, p).otherwise(_decode_piece(p, named, legacy)))
     return F.when(F.instr(c, "&") == 0, c).otherwise(F.array_join(decoded, ""))

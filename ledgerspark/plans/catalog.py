@@ -10,9 +10,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+
+from ledgerspark.functions import (
+    canonical_type,
+    format_movement_date,
+    html_unescape,
+    join_badges,
+    normalize_document,
+    normalize_document_loose,
+    strip_non_word,
+)
+from ledgerspark.operators import reconcile as rc
+from ledgerspark.operators import views
 from ledgerspark.plans import oracle as sql
 from ledgerspark.plans import reports
+from ledgerspark.sources import files, sinks
 from ledgerspark.sources import fixtures as fx
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +63,160 @@ def _movement_status(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("id", "documento", "tipo", "in_registry", "status")
 
 
+# Fixed parameters of the registered view queries (what a dashboard user would pick).
+SEARCH_TEXT = "erro ativas"
+SORT_BY = [("data", True)]
+PAGE = 2
+FACET_CHOICE = {"status": "baixado"}
+SUBTITLE_CHOICE = {"status": "negativado"}
+SUBTITLE_ORDER = [("id", False)]
+CURRENT_COLUMNS = ["id", "documento", "nome", "data", "tipo", "local", "status"]
+# Status files of the concat test: which columns each export lacks.
+EXPORT_FILES = [("Ativas", ()), ("Baixadas", ("devedor",)), ("Pendentes", ()), ("Determinacao", ()),
+                ("Erros", ("unique_id",))]
+
+
+def _ledgers(spark: SparkSession, d: str):
+    return fx.movements(spark, d), fx.registry(spark, d), fx.status_exports(spark, d)
+
+
+def _keys_union(fn):
+    def build(spark: SparkSession, d: str) -> DataFrame:
+        mv, rg, se = _ledgers(spark, d)
+
+        def part(df, ledger, column):
+            return df.select(F.lit(ledger).alias("ledger"), "ord", F.col(column).alias("raw"),
+                             fn(F.col(column), df.schema[column].dataType).alias("documento"))
+
+        return part(mv, "CNM", "documento").unionByName(part(rg, "SGP", "cpf_cnpj")).unionByName(
+            part(se, "SOA", "documento"))
+    return build
+
+
+def _html_unescape(spark: SparkSession, d: str) -> DataFrame:
+    pages = spark.read.parquet(f"{d}/pages.parquet")
+    return pages.select("page_id", html_unescape("html").alias("html"))
+
+
+def _strip_non_word(spark: SparkSession, d: str) -> DataFrame:
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    return docs.select("doc_id", strip_non_word("text").alias("text"))
+
+
+def _canonical_type(spark: SparkSession, d: str) -> DataFrame:
+    mv = fx.movements(spark, d)
+    return mv.select("id", "tipo", canonical_type("tipo").alias("tipo_canonical"))
+
+
+def _format_movement_date(spark: SparkSession, d: str) -> DataFrame:
+    mv, _, se = _ledgers(spark, d)
+    a = mv.select(F.lit("CNM").alias("ledger"), "ord",
+                  format_movement_date(F.col("data_hora"), mv.schema["data_hora"].dataType).alias("data"))
+    b = se.select(F.lit("SOA").alias("ledger"), "ord", format_movement_date(F.col("data")).alias("data"))
+    return a.unionByName(b)
+
+
+def _flags(spark: SparkSession, d: str) -> DataFrame:
+    mv, rg, se = _ledgers(spark, d)
+    return rc.presence_flags(("CNM", mv, normalize_document("documento")),
+                             ("SOA", se, normalize_document("documento")),
+                             ("SGP", rg, normalize_document("cpf_cnpj")))
+
+
+def _presence_badges(spark: SparkSession, d: str) -> DataFrame:
+    f = _flags(spark, d)
+    return f.select("documento", join_badges(("CNM", F.col("in_cnm")), ("SOA", F.col("in_soa")),
+                                             ("SGP", F.col("in_sgp"))).alias("local"))
+
+
+def _concat_sources(spark: SparkSession, d: str) -> DataFrame:
+    parts = []
+    for fonte, missing in EXPORT_FILES:
+        one = fx.status_exports(spark, d, fontes=(fonte,))
+        keep = [c for c in ("documento", "devedor", "unique_id", "data", "ord") if c not in missing]
+        parts.append(rc.tag_source(one.select(*keep), fonte))
+    return rc.concat_sources(*parts).select("documento", "devedor", "unique_id", "data", "fonte", "ord")
+
+
+def _document_universe(spark: SparkSession, d: str) -> DataFrame:
+    mv, rg, se = _ledgers(spark, d)
+    return rc.document_universe((mv, normalize_document("documento")), (se, normalize_document("documento")),
+                                (rg, normalize_document("cpf_cnpj")))
+
+
+def _in_registry(spark: SparkSession, d: str) -> DataFrame:
+    _, rg, se = _ledgers(spark, d)
+    keys = rc.document_keys(rg, normalize_document("cpf_cnpj"))
+    rows = se.select("ord", normalize_document("documento").alias("documento"))
+    return rc.with_registry_flag(rows, F.col("documento"), keys)
+
+
+def _only_in_cnm(spark: SparkSession, d: str) -> DataFrame:
+    mv, rg, _ = _ledgers(spark, d)
+    return rc.only_in(rc.document_keys(mv, normalize_document("documento")),
+                      rc.document_keys(rg, normalize_document("cpf_cnpj")))
+
+
+def _in_both(spark: SparkSession, d: str) -> DataFrame:
+    mv, rg, _ = _ledgers(spark, d)
+    return rc.in_both(rc.document_keys(mv, normalize_document("documento")),
+                      rc.document_keys(rg, normalize_document("cpf_cnpj")))
+
+
+def _first_row_per_document(spark: SparkSession, d: str) -> DataFrame:
+    se = fx.status_exports(spark, d)
+    return rc.first_rows(se, normalize_document("documento"), ["devedor", "unique_id", "data", "fonte"],
+                         ["source_rank", "ord"])
+
+
+def _sources_per_document(spark: SparkSession, d: str) -> DataFrame:
+    mv, _, se = _ledgers(spark, d)
+    r = rc.reconcile(rc.Ledger("CNM", mv, normalize_document("documento"), payload=["tipo"], order=["ord"]),
+                     rc.Ledger("SOA", se, normalize_document("documento"), sources=("source_rank", "fonte")))
+    fontes = reports.sources_with_movement_tag(F.col("soa_sources"), F.col("in_cnm"), F.col("cnm_first.tipo"))
+    return r.select("documento", F.array_join(fontes, ",").alias("fontes"))
+
+
+def _all_null_per_document(spark: SparkSession, d: str) -> DataFrame:
+    se = fx.status_exports(spark, d)
+    r = rc.reconcile(rc.Ledger("SOA", se, normalize_document("documento"), payload=["unique_id"],
+                               order=["source_rank", "ord"], count_non_null=["unique_id"]))
+    return r.select("documento", (F.col("soa_unique_id_n") == 0).alias("all_null"))
+
+
+def _search_rows(spark: SparkSession, d: str) -> DataFrame:
+    return views.search_rows(_q1(spark, d), SEARCH_TEXT)
+
+
+def _sort_rows(spark: SparkSession, d: str) -> DataFrame:
+    return views.with_positions(_q1(spark, d), SORT_BY)
+
+
+def _page_rows(spark: SparkSession, d: str) -> DataFrame:
+    return views.page_rows(_q1(spark, d), PAGE, SORT_BY)
+
+
+def _facet_values(spark: SparkSession, d: str) -> DataFrame:
+    return views.facet_values(_q1(spark, d), views.FACETS["current"])
+
+
+def _facet_filter(spark: SparkSession, d: str) -> DataFrame:
+    return views.facet_filter(_q1(spark, d), FACET_CHOICE)
+
+
+def _view_subtitle(spark: SparkSession, d: str) -> DataFrame:
+    view = views.facet_filter(_q1(spark, d), SUBTITLE_CHOICE)
+    return views.view_subtitle(spark, view, SUBTITLE_ORDER, "current")
+
+
+def _html_rows(spark: SparkSession, d: str) -> DataFrame:
+    return sinks.html_rows(_q1(spark, d), CURRENT_COLUMNS)
+
+
+def _extract_predicates(spark: SparkSession, d: str) -> DataFrame:
+    return files.extract_movements(fx.movements(spark, d)).select("id", "documento", "tipo")
+
+
 def catalog() -> dict[str, tuple[Builder, str | None]]:
     return {
         "q1_unified_report": (_q1, sql.q1_sql()),
@@ -59,4 +226,29 @@ def catalog() -> dict[str, tuple[Builder, str | None]]:
         "q4_soa_registry_report": (_q4, sql.q4_sql()),
         "q5_movement_status_counts": (_q5, sql.q5_sql()),
         "movement_status": (_movement_status, sql.movement_status_sql()),
+        "normalize_document": (_keys_union(normalize_document), sql.normalize_document_sql()),
+        "normalize_document_loose": (_keys_union(normalize_document_loose), sql.normalize_document_loose_sql()),
+        "html_unescape": (_html_unescape, sql.html_unescape_pages_sql()),
+        "strip_non_word": (_strip_non_word, sql.strip_non_word_sql()),
+        "canonical_type": (_canonical_type, sql.canonical_type_sql()),
+        "format_movement_date": (_format_movement_date, sql.format_movement_date_sql()),
+        "presence_badges": (_presence_badges, sql.presence_badges_sql()),
+        "concat_sources": (_concat_sources, sql.concat_sources_sql(EXPORT_FILES)),
+        "document_universe": (_document_universe, sql.document_universe_sql()),
+        "in_registry": (_in_registry, sql.in_registry_sql()),
+        "only_in_cnm": (_only_in_cnm, sql.only_in_cnm_sql()),
+        "in_both": (_in_both, sql.in_both_sql()),
+        "first_row_per_document": (_first_row_per_document, sql.first_row_per_document_sql()),
+        "sources_per_document": (_sources_per_document, sql.sources_per_document_sql()),
+        "all_null_per_document": (_all_null_per_document, sql.all_null_per_document_sql()),
+        "presence_flags": (_flags, sql.presence_flags_sql()),
+        "search_rows": (_search_rows, sql.search_rows_sql(SEARCH_TEXT)),
+        "sort_rows": (_sort_rows, sql.sort_rows_sql(SORT_BY)),
+        "page_rows": (_page_rows, sql.page_rows_sql(PAGE, SORT_BY, views.PAGE_SIZE)),
+        "facet_values": (_facet_values, sql.facet_values_sql(views.FACETS["current"])),
+        "facet_filter": (_facet_filter, sql.facet_filter_sql(FACET_CHOICE)),
+        "view_subtitle": (_view_subtitle, sql.view_subtitle_sql(SUBTITLE_CHOICE, SUBTITLE_ORDER,
+                                                                  views.SUBTITLES["current"])),
+        "html_rows": (_html_rows, sql.html_rows_sql(CURRENT_COLUMNS)),
+        "extract_predicates": (_extract_predicates, sql.extract_predicates_sql(files.MOVEMENTS_SINCE)),
     }

@@ -123,8 +123,9 @@ cnm1 as (select * from cnm qualify row_number() over (partition by documento ord
 sgp1 as (select * from sgp qualify row_number() over (partition by documento order by ord) = 1)"""
 
 
-def q1_sql() -> str:
-    return with_fixture(f"""{_LEDGERS},
+def q1_ctes() -> str:
+    """Q1 as CTEs ending in ``q1`` (reused by the view operators)."""
+    return f"""{_LEDGERS},
 soa1 as (select *, count(unique_id) over (partition by documento) as uid_n from soa
          qualify row_number() over (partition by documento order by source_rank, ord) = 1),
 docs as (select documento from cnm union select documento from soa union select documento from sgp),
@@ -134,7 +135,8 @@ j as (
          s.devedor, s.unique_id, coalesce(s.uid_n, 0) as uid_n
   from docs d left join cnm1 c using (documento) left join soa1 s using (documento)
        left join sgp1 g using (documento)),
-t as (select *, case when p_cnm then c_tipo when p_soa then fonte else '-' end as tipo from j)
+t as (select *, case when p_cnm then c_tipo when p_soa then fonte else '-' end as tipo from j),
+q1 as (
 select case when uid_n > 0 then unique_id else '-' end as id,
        documento,
        case when p_soa then devedor else '-' end as nome,
@@ -144,7 +146,11 @@ select case when uid_n > 0 then unique_id else '-' end as id,
        case when {canonical('tipo')} = 'INCLUSAO' then (case when p_sgp then 'NEGATIVADO' else 'ERRO' end)
             when {canonical('tipo')} = 'EXCLUSAO' then (case when p_sgp then 'ERRO' else 'BAIXADO' end)
             else 'ERRO' end as status
-from t""")
+from t)"""
+
+
+def q1_sql() -> str:
+    return with_fixture(q1_ctes() + "\nselect * from q1")
 
 
 def _clean(x: str) -> str:
@@ -235,3 +241,168 @@ select status, count(*) as count from mss group by status""")
 def movement_status_sql() -> str:
     return with_fixture(f"""{_movement_status_sql()}
 select id, documento, tipo, in_registry, status from mss""")
+
+
+# ---------------------------------------------------------------- operators
+
+def _keys_union_sql(fn) -> str:
+    return with_fixture(f"""
+k as (select 'CNM' as ledger, ord, documento as raw, {fn('documento')} as documento from fx_movements
+      union all select 'SGP', ord, cpf_cnpj, {fn('cpf_cnpj')} from fx_registry
+      union all select 'SOA', ord, documento, {fn('documento')} from fx_status_exports)
+select * from k""")
+
+
+def normalize_document_sql() -> str:
+    return _keys_union_sql(strict)
+
+
+def normalize_document_loose_sql() -> str:
+    return _keys_union_sql(loose)
+
+
+def html_unescape_pages_sql() -> str:
+    return f"select page_id, {html_unescape_sql('html')} as html from pages"
+
+
+def strip_non_word_sql() -> str:
+    return f"select doc_id, regexp_replace(text, '{NON_WORD}', '', 'g') as text from documents"
+
+
+def canonical_type_sql() -> str:
+    return with_fixture(f"select id, tipo, {canonical('tipo')} as tipo_canonical from fx_movements")
+
+
+def format_movement_date_sql() -> str:
+    text_patterns = ["%d/%m/%Y %H:%M:%S", "%d/%m/%Y %H:%M", "%d/%m/%Y", "%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S",
+                     "%Y-%m-%d %H:%M", "%Y-%m-%d"]
+    parsed = "coalesce(" + ", ".join(f"try_strptime(trim(data), '{p}')" for p in text_patterns) + ")"
+    return with_fixture(f"""
+d as (select 'CNM' as ledger, ord, strftime(data_hora, '{FMT}') as data from fx_movements
+      union all select 'SOA', ord, strftime({parsed}, '{FMT}') from fx_status_exports)
+select * from d""")
+
+
+_FLAGS = f"""{_LEDGERS},
+docs as (select documento from cnm union select documento from soa union select documento from sgp),
+flags as (
+  select documento,
+         exists (select 1 from cnm where cnm.documento = docs.documento) as in_cnm,
+         exists (select 1 from soa where soa.documento = docs.documento) as in_soa,
+         exists (select 1 from sgp where sgp.documento = docs.documento) as in_sgp
+  from docs)"""
+
+
+def presence_flags_sql() -> str:
+    return with_fixture(_FLAGS + "\nselect documento, in_cnm, in_soa, in_sgp from flags")
+
+
+def presence_badges_sql() -> str:
+    return with_fixture(_FLAGS + f"""
+select documento, {badges(('CNM', 'in_cnm'), ('SOA', 'in_soa'), ('SGP', 'in_sgp'))} as local from flags""")
+
+
+def concat_sources_sql(files: list[tuple[str, tuple[str, ...]]]) -> str:
+    parts = []
+    for fonte, missing in files:
+        cols = ", ".join("null as " + c if c in missing else c for c in ("devedor", "unique_id"))
+        parts.append(f"select documento, {cols}, data, '{fonte}' as fonte, ord from fx_status_exports "
+                     f"where fonte = '{fonte}'")
+    return with_fixture("u as (" + "\n union all ".join(parts) + ")\nselect * from u")
+
+
+def document_universe_sql() -> str:
+    return with_fixture(f"""{_LEDGERS}
+select documento from cnm union select documento from soa union select documento from sgp""")
+
+
+def in_registry_sql() -> str:
+    return with_fixture(f"""{_LEDGERS}
+select ord, documento, exists (select 1 from sgp where sgp.documento = soa.documento) as in_registry from soa""")
+
+
+def only_in_cnm_sql() -> str:
+    return with_fixture(f"""{_LEDGERS}
+select distinct documento from cnm where not exists (select 1 from sgp where sgp.documento = cnm.documento)""")
+
+
+def in_both_sql() -> str:
+    return with_fixture(f"""{_LEDGERS}
+select distinct documento from cnm where exists (select 1 from sgp where sgp.documento = cnm.documento)""")
+
+
+def first_row_per_document_sql() -> str:
+    return with_fixture(f"""{_LEDGERS}
+select documento, devedor, unique_id, data, fonte from soa
+qualify row_number() over (partition by documento order by source_rank, ord) = 1""")
+
+
+def sources_per_document_sql() -> str:
+    return with_fixture(f"""{_LEDGERS},
+s as (select documento, string_agg(fonte, ',' order by source_rank) as f
+      from (select distinct documento, fonte, source_rank from soa) x group by documento),
+c as (select documento, case when tipo = 'INCLUSAO' then 'CNM' else 'CNM_EXCLUSAO' end as tag from cnm1),
+docs as (select documento from cnm union select documento from soa)
+select d.documento, concat_ws(',', s.f, c.tag) as fontes
+from docs d left join s using (documento) left join c using (documento)""")
+
+
+def all_null_per_document_sql() -> str:
+    return with_fixture(f"""{_LEDGERS}
+select documento, count(unique_id) = 0 as all_null from soa group by documento""")
+
+
+def _visible(x: str) -> str:
+    return f"coalesce(regexp_replace(cast({x} as varchar), '<[^>]*>', '', 'g'), '')"
+
+
+def search_rows_sql(text: str) -> str:
+    row = "lower(concat_ws(' ', " + ", ".join(_visible(c) for c in
+                                               ("id", "documento", "nome", "data", "tipo", "local", "status")) + "))"
+    conds = " and ".join(f"strpos({row}, {q(t.lower())}) > 0" for t in text.split())
+    return with_fixture(q1_ctes() + f"\nselect * from q1 where {conds}")
+
+
+def _order_sql(by: list[tuple[str, bool]]) -> str:
+    parts = [f"{c} desc nulls last" if desc else f"{c} asc nulls first" for c, desc in by]
+    if "documento" not in [c for c, _ in by]:
+        parts.append("documento asc nulls first")
+    return ", ".join(parts)
+
+
+def sort_rows_sql(by) -> str:
+    return with_fixture(q1_ctes() + f"\nselect *, row_number() over (order by {_order_sql(by)}) - 1 as pos from q1")
+
+
+def page_rows_sql(page: int, by, size: int) -> str:
+    return with_fixture(q1_ctes() + f"\nselect * from q1 order by {_order_sql(by)} limit {size} offset {size * (page - 1)}")
+
+
+def facet_values_sql(columns) -> str:
+    parts = [f"select distinct '{c}' as facet, cast({c} as varchar) as value from q1 where {c} is not null and {c} <> ''"
+             for c in columns]
+    return with_fixture(q1_ctes() + "\n" + " union all ".join(parts))
+
+
+def facet_filter_sql(choices: dict) -> str:
+    conds = " and ".join(f"lower({_visible(c)}) = {q(v.lower())}" for c, v in choices.items() if v)
+    return with_fixture(q1_ctes() + f"\nselect * from q1 where {conds}")
+
+
+def view_subtitle_sql(choices: dict, by, captions: dict) -> str:
+    conds = " and ".join(f"lower({_visible(c)}) = {q(v.lower())}" for c, v in choices.items() if v) or "true"
+    cap = " ".join(f"when {q(k)} then {q(v)}" for k, v in captions.items())
+    return with_fixture(q1_ctes() + f""",
+first as (select status from q1 where {conds} order by {_order_sql(by)} limit 1),
+one as (select 1 as x)
+select first.status, coalesce(case first.status {cap} end, '') as subtitulo from one left join first on true""")
+
+
+def html_rows_sql(columns) -> str:
+    cells = " || ".join(f"'<td>' || coalesce(cast({c} as varchar), 'NaN') || '</td>'" for c in columns)
+    return with_fixture(q1_ctes() + f"\nselect documento, '<tr>' || {cells} || '</tr>' as html from q1")
+
+
+def extract_predicates_sql(since: str) -> str:
+    return with_fixture(f"""
+select id, documento, tipo from fx_movements where data_hora >= timestamp '{since}'""")
