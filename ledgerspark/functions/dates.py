@@ -1,8 +1,10 @@
 """FN6 ``format_movement_date``: movement timestamps rendered ``dd/MM/yyyy HH:mm``.
 
 Text input is parsed day-first (``d/M/yyyy[ H:mm[:ss]]``), then as ISO
-(``yyyy-MM-dd[ HH:mm[:ss]]``); anything else is null instead of aborting the
-run. Timestamps are formatted directly. Both paths are native expressions.
+(``yyyy-MM-dd[ HH:mm[:ss]]``); anything else, or an impossible date, is null
+instead of aborting the run. Parsing and formatting work on the wall-clock
+fields of ``TIMESTAMP_NTZ`` values, so the session time zone never shifts a
+value (no daylight-saving gaps). Both paths are native expressions.
 """
 
 from __future__ import annotations
@@ -11,27 +13,45 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Accepted input patterns, longest first, and the output format.
-DAY_FIRST_PATTERNS = ("d/M/yyyy H:mm:ss", "d/M/yyyy H:mm", "d/M/yyyy")
-ISO_PATTERNS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd")
+# Accepted input layouts and the output layout.
+DAY_FIRST = r"^(\d{1,2})/(\d{1,2})/(\d{4})(?:[ T](\d{1,2}):(\d{2})(?::(\d{2})(?:\.\d+)?)?)?$"
+ISO = r"^(\d{4})-(\d{1,2})-(\d{1,2})(?:[ T](\d{1,2}):(\d{2})(?::(\d{2})(?:\.\d+)?)?)?$"
 OUTPUT_FORMAT = "dd/MM/yyyy HH:mm"
 
 
+def _fields(text: Column, pattern: str, order: tuple[int, int, int]) -> list[Column]:
+    y, m, d = (F.regexp_extract(text, pattern, i) for i in order)
+    h, mi, s = (F.regexp_extract(text, pattern, i) for i in (4, 5, 6))
+
+    def num(c: Column) -> Column:
+        return F.when(c == "", F.lit(0)).otherwise(c.try_cast("int"))
+
+    return [num(y), num(m), num(d), num(h), num(mi), num(s)]
+
+
 def parse_movement_timestamp(c: Column | str) -> Column:
     """Lenient day-first parse of a text timestamp -> TIMESTAMP_NTZ (null if unparseable)."""
     c = F.col(c) if isinstance(c, str) else c
     text = F.trim(c.cast("string"))
-    # Fractional seconds are ignored, as the output has minute precision.
-    text = F.regexp_replace(text, r"(:\d{2})\.\d+$", "$1")
-    parsed = [F.try_to_timestamp(text, F.lit(p)) for p in DAY_FIRST_PATTERNS + ISO_PATTERNS]
-    return F.coalesce(*parsed).cast("timestamp_ntz")
+    day_first = F.try_make_timestamp_ntz(*_fields(text, DAY_FIRST, (3, 2, 1)))
+    iso = F.try_make_timestamp_ntz(*_fields(text, ISO, (1, 2, 3)))
+    return (F.when(F.regexp_like(text, F.lit(DAY_FIRST)), day_first)
+            .when(F.regexp_like(text, F.lit(ISO)), iso))
+
+
+def render_timestamp(ts: Column) -> Column:
+    """``dd/MM/yyyy HH:mm`` from the wall-clock fields (no time-zone conversion)."""
+    def two(c: Column) -> Column:
+        return F.lpad(c.cast("string"), 2, "0")
+
+    return F.concat(two(F.dayofmonth(ts)), F.lit("/"), two(F.month(ts)), F.lit("/"),
+                    F.lpad(F.year(ts).cast("string"), 4, "0"), F.lit(" "),
+                    two(F.hour(ts)), F.lit(":"), two(F.minute(ts)))
 
 
 def format_movement_date(c: Column | str, dtype: T.DataType | None = None) -> Column:
     """Render a movement timestamp (timestamp or text column) as ``dd/MM/yyyy HH:mm``."""
     c = F.col(c) if isinstance(c, str) else c
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        ts = c
-    else:
-        ts = parse_movement_timestamp(c)
-    return F.date_format(ts, OUTPUT_FORMAT)
+        return render_timestamp(c)
+    return render_timestamp(parse_movement_timestamp(c))

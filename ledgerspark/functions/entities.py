@@ -87,25 +87,20 @@ def _map_literal(name: str) -> Column:
 
 def code_point_to_text(n: Column) -> Column:
     """Text for a decoded code point (bigint, may be out of range)."""
-    remap = _map_literal("remap")
+    remapped = F.try_element_at(_map_literal("remap"), n.cast("string"))
     as_char = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
     return (
-        F.when(n.isin(*numeric_remap().keys()), F.try_element_at(remap, n.cast("string")))
+        F.when(remapped.isNotNull(), remapped)
         .when(n.between(*SURROGATES) | (n > MAX_CODE_POINT), F.lit(REPLACEMENT_CHAR))
         .when(is_dropped_code_point(n), F.lit(""))
         .otherwise(as_char)
     )
 
 
-def _digits_value(digits: Column, base: int) -> Column:
-    """Value of a digit string, clamped above the code-point range."""
-    trimmed = F.regexp_replace(digits, "^0+", "")
+def _digits_value(trimmed: Column, base: int) -> Column:
+    """Value of a digit string without leading zeros, clamped above the code-point range."""
     too_long = F.length(trimmed) > (7 if base == 10 else 6)
-    value = (
-        trimmed.try_cast("bigint")
-        if base == 10
-        else F.conv(F.when(trimmed == "", "0").otherwise(trimmed), 16, 10).try_cast("bigint")
-    )
+    value = trimmed.try_cast("bigint") if base == 10 else F.conv(trimmed, 16, 10).try_cast("bigint")
     return F.when(too_long, F.lit(MAX_CODE_POINT + 1)).otherwise(F.coalesce(value, F.lit(0)))
 
 
@@ -113,14 +108,15 @@ def _decode_piece(p: Column, named: Column, legacy: Column) -> Column:
     """Decode the text that followed one ``&``."""
     dec = F.regexp_extract(p, DEC_PATTERN, 0)
     hexa = F.regexp_extract(p, HEX_PATTERN, 0)
+    numeric = F.when(dec != "", dec).otherwise(hexa)
+    # Digits without leading zeros; the numeric value, decoded once for both spellings.
+    digits = F.regexp_extract(numeric, r"^#[xX]?0*([0-9a-fA-F]*)", 1)
+    value = F.when(dec != "", _digits_value(digits, 10)).otherwise(_digits_value(digits, 16))
     name = F.regexp_extract(p, NAME_PATTERN, 0)
 
     def rest(matched: Column) -> Column:
         return F.substring(p, F.length(matched) + 1, 1 << 30)
 
-    dec_text = code_point_to_text(_digits_value(F.regexp_extract(p, DEC_PATTERN, 1), 10))
-    hex_text = code_point_to_text(_digits_value(F.regexp_extract(p, HEX_PATTERN, 1), 16))
-
     full = F.try_element_at(named, name)
     # Longest legacy (semicolon-less) prefix strictly shorter than the name.
     prefix = F.coalesce(
@@ -133,8 +129,7 @@ def _decode_piece(p: Column, named: Column, legacy: Column) -> Column:
         ]
     )
     return (
-        F.when(dec != "", F.concat(dec_text, rest(dec)))
-        .when(hexa != "", F.concat(hex_text, rest(hexa)))
+        F.when(numeric != "", F.concat(code_point_to_text(value), rest(numeric)))
         .when((name != "") & full.isNotNull(), F.concat(full, rest(name)))
         .when((name != "") & prefix.isNotNull(), F.concat(prefix, rest(name)))
         .otherwise(F.concat(F.lit("&"), p))

@@ -124,6 +124,12 @@ def clean_export_text(c: Column) -> Column:
     return html_unescape(text_or_nan(c))
 
 
+def clean_export_texts(*cols: Column) -> list[Column]:
+    """``clean_export_text`` of several columns through one shared expression."""
+    cleaned = F.transform(F.array(*[text_or_nan(c) for c in cols]), lambda x: html_unescape(x))
+    return [cleaned[i] for i in range(len(cols))]
+
+
 def unified_presence_report(movements: DataFrame, registry: DataFrame, active_exports: DataFrame,
                             key_mode: str = "strict") -> DataFrame:
     """Q2: presence-only three-way report (ST3) with the active-status export only.
@@ -136,11 +142,12 @@ def unified_presence_report(movements: DataFrame, registry: DataFrame, active_ex
     cnm, soa, sgp = F.col("in_cnm"), F.col("in_soa"), F.col("in_sgp")
     c, s = F.col("cnm_first"), F.col("soa_first")
     tipo, status = st.status_by_presence(cnm, soa, sgp)
+    uid, devedor, data = clean_export_texts(s["unique_id"], s["devedor"], s["data"])
     return r.select(
-        priority_pick((soa, strip_non_word(clean_export_text(s["unique_id"]))), (cnm, int_id(c["id"]))).alias("id"),
+        priority_pick((soa, strip_non_word(uid)), (cnm, int_id(c["id"]))).alias("id"),
         F.col(DOC),
-        or_placeholder(soa, clean_export_text(s["devedor"])).alias("nome"),
-        priority_pick((soa, clean_export_text(s["data"])), (cnm, _movement_date(movements, c["data_hora"]))).alias("data"),
+        or_placeholder(soa, devedor).alias("nome"),
+        priority_pick((soa, data), (cnm, _movement_date(movements, c["data_hora"]))).alias("data"),
         tipo.alias("tipo"),
         join_badges(("CNM", cnm), ("SOA", soa), ("SGP", sgp)).alias("local"),
         status.alias("status"),
@@ -170,11 +177,12 @@ def soa_registry_report(active_exports: DataFrame, registry: DataFrame, key_mode
     soa, sgp = F.col("in_soa"), F.col("in_sgp")
     s, g = F.col("soa_first"), F.col("sgp_first")
     tipo, status = st.status_exports_registry(soa, sgp)
+    uid, devedor, data = clean_export_texts(s["unique_id"], s["devedor"], s["data"])
     return r.select(
-        or_placeholder(soa, strip_non_word(clean_export_text(s["unique_id"]))).alias("id"),
+        or_placeholder(soa, strip_non_word(uid)).alias("id"),
         F.col(DOC),
-        priority_pick((soa, clean_export_text(s["devedor"])), (sgp, g["nome"])).alias("nome"),
-        or_placeholder(soa, clean_export_text(s["data"])).alias("data_inclusao"),
+        priority_pick((soa, devedor), (sgp, g["nome"])).alias("nome"),
+        or_placeholder(soa, data).alias("data_inclusao"),
         join_badges(("SOA", soa), ("SGP", sgp)).alias("local"),
         tipo.alias("tipo"),
         status.alias("status"),

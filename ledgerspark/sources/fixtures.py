@@ -15,7 +15,7 @@ their size grows with the scale factor:
 
 Membership is decided by attributes of the rows (segment, order status,
 balance), never by sampling ids, and every query reads the whole tables.
-The same derivation in DuckDB SQL is ``FIXTURE_SQL`` for the oracle.
+The same derivation in DuckDB SQL is ``fixture_sql()`` for the oracle.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerspark.functions.dates import render_timestamp
+
 # Fixed values of the fixture derivation.
 EVENT_TYPE_TO_TIPO = {
     "purchase": "INCLUSAO",
@@ -45,7 +47,6 @@ PRIORITY_TO_STATUS = {
     "4": (4, "Determinacao"),
     "5": (5, "Erros"),
 }
-DATE_FORMAT = "dd/MM/yyyy HH:mm"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -118,7 +119,7 @@ def status_exports(spark: SparkSession, sf_dir: str, fontes: tuple[str, ...] | N
         F.when(F.col("o_totalprice") < UID_MIN_PRICE, F.lit(None).cast("string"))
         .otherwise(F.concat(F.lit(UID_PREFIX), F.col("o_orderkey").cast("string")))
         .alias("unique_id"),
-        F.date_format(F.col("o_orderdate"), DATE_FORMAT).alias("data"),
+        render_timestamp(F.col("o_orderdate")).alias("data"),
         fonte.alias("fonte"),
         rank.alias("source_rank"),
         F.col("o_orderkey").alias("ord"),
