@@ -217,6 +217,48 @@ def _extract_predicates(spark: SparkSession, d: str) -> DataFrame:
     return files.extract_movements(fx.movements(spark, d)).select("id", "documento", "tipo")
 
 
+def _landed(spark: SparkSession, d: str) -> str:
+    """A fresh landing folder (under the shared checkpoint folder) holding the fixture files."""
+    import uuid
+
+    from ledgerspark.session import checkpoint_dir
+
+    return fx.land_fixture(spark, d, f"{checkpoint_dir(spark).rstrip('/')}/landing-{uuid.uuid4().hex}")
+
+
+def _landed_ledgers(spark: SparkSession, d: str):
+    from ledgerspark.sources import exports
+
+    folder = _landed(spark, d)
+    mv = exports.scan_movements(spark, f"{folder}/Relatorio_CNM.csv", fmt="csv")
+    rg = exports.scan_registry(spark, f"{folder}/Relatorio_SGP.csv", fmt="csv")
+    se, _ = exports.scan_status_exports(spark, folder)
+    return folder, mv, rg, se
+
+
+def _q1_from_landing(spark: SparkSession, d: str) -> DataFrame:
+    _, mv, rg, se = _landed_ledgers(spark, d)
+    return reports.unified_report(mv, rg, se)
+
+
+def _scan_status_exports(spark: SparkSession, d: str) -> DataFrame:
+    _, _, _, se = _landed_ledgers(spark, d)
+    return se.drop("ord")
+
+
+def _scan_movements(spark: SparkSession, d: str) -> DataFrame:
+    _, mv, _, _ = _landed_ledgers(spark, d)
+    return mv.select("id", "documento", "tipo", format_movement_date(F.col("data_hora"),
+                                                                     mv.schema["data_hora"].dataType).alias("data"))
+
+
+def _intake_check(spark: SparkSession, d: str) -> DataFrame:
+    from ledgerspark.sources.landing import intake_check
+
+    folder, *_ = _landed_ledgers(spark, d)
+    return intake_check(spark, folder, glob="*").select("length", "ok", "reason")
+
+
 def catalog() -> dict[str, tuple[Builder, str | None]]:
     return {
         "q1_unified_report": (_q1, sql.q1_sql()),
@@ -251,4 +293,8 @@ def catalog() -> dict[str, tuple[Builder, str | None]]:
                                                                   views.SUBTITLES["current"])),
         "html_rows": (_html_rows, sql.html_rows_sql(CURRENT_COLUMNS)),
         "extract_predicates": (_extract_predicates, sql.extract_predicates_sql(files.MOVEMENTS_SINCE)),
+        "q1_from_landing": (_q1_from_landing, sql.q1_sql()),
+        "scan_status_exports": (_scan_status_exports, sql.scan_status_exports_sql()),
+        "scan_movements": (_scan_movements, sql.scan_movements_sql()),
+        "intake_check": (_intake_check, None),
     }

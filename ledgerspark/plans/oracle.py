@@ -406,3 +406,12 @@ def html_rows_sql(columns) -> str:
 def extract_predicates_sql(since: str) -> str:
     return with_fixture(f"""
 select id, documento, tipo from fx_movements where data_hora >= timestamp '{since}'""")
+
+
+def scan_status_exports_sql() -> str:
+    return with_fixture("select documento, devedor, unique_id, data, fonte, source_rank from fx_status_exports")
+
+
+def scan_movements_sql() -> str:
+    return with_fixture(f"select cast(id as varchar) as id, documento, tipo, strftime(data_hora, '{FMT}') as data "
+                        "from fx_movements")

@@ -80,22 +80,31 @@ def csv_headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
     return out
 
 
-def scan_csv(spark: SparkSession, paths: list[str], aliases: dict[str, str] = H.ALL_ALIASES) -> DataFrame | None:
+def scan_csv(spark: SparkSession, paths: list[str], aliases: dict[str, str] = H.ALL_ALIASES,
+             header_rows: dict[str, list[str]] | None = None,
+             tags: dict[str, tuple] | None = None) -> DataFrame | None:
     """SRC3 + SCH1-SCH5 over many CSV files whose headers may differ.
 
-    Output: the resolved columns, plus ``_file``, ``_block``, ``_pos`` (order key parts).
+    Files are grouped by ``(tag, raw header)``; each group is one CSV scan whose
+    columns are renamed positionally, and the groups are unioned by name.
+    ``tags`` optionally maps a path to extra constant columns ``((name, value), ...)``.
+    Output: the resolved columns, the tag columns, and ``_file``, ``_block``,
+    ``_pos`` (order-key parts).
     """
     if not paths:
         return None
-    by_signature: dict[tuple, list[str]] = {}
-    for path, raw in csv_headers(spark, paths).items():
-        by_signature.setdefault(tuple(raw), []).append(path)
+    header_rows = header_rows if header_rows is not None else csv_headers(spark, paths)
+    groups: dict[tuple, list[str]] = {}
+    for path in paths:
+        key = ((tags or {}).get(path, ()), tuple(header_rows.get(path, ())))
+        groups.setdefault(key, []).append(path)
     parts = []
-    for raw, files in sorted(by_signature.items(), key=lambda kv: min(kv[1])):
+    for (tag, raw), files in sorted(groups.items(), key=lambda kv: min(kv[1])):
         names, keep = H.resolve_header(list(raw), aliases)
-        df = _csv(spark, header=True, n=len(raw)).load(sorted(files))
+        df = _csv(spark, header=True, n=max(len(raw), 1)).load(sorted(files))
         cols = [null_tokens(F.col(f"_c{i}")).alias(n) for n, i in zip(names, keep)]
-        parts.append(df.select(*cols, F.col("_metadata.file_name").alias("_file"),
+        consts = [F.lit(v).alias(k) for k, v in tag]
+        parts.append(df.select(*cols, *consts, F.col("_metadata.file_name").alias("_file"),
                                F.col("_metadata.file_block_start").alias("_block"),
                                F.monotonically_increasing_id().alias("_pos")))
     out = parts[0]
@@ -114,32 +123,39 @@ def empty_exports(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], EXPORT_SCHEMA)
 
 
+def _status_of(path: str, folder: str, files) -> tuple | None:
+    rel = path.split(folder.rstrip("/").split(":")[-1].rstrip("/") + "/", 1)[-1]
+    top = rel.split("/", 1)[0]
+    for rank, fonte, name in files:
+        if top == name:
+            return (("fonte", fonte), ("source_rank", rank))
+    return None
+
+
 def scan_status_exports(spark: SparkSession, folder: str, files=STATUS_FILES,
                         aliases: dict[str, str] = H.ALL_ALIASES) -> tuple[DataFrame, list[str]]:
     """SRC3/SRC5/SRC6/UN1: all present status files as one canonical export ledger.
 
     A status "file" may be a single CSV or a folder of CSV parts (as Spark
-    writes them). Missing statuses are skipped and returned as the second
-    element (SRC6). Output columns: ``documento, devedor, unique_id, data,
-    fonte, source_rank, ord`` with ``ord = (file, block, position)``.
+    writes them). One listing and one header job cover all of them. Missing
+    statuses are skipped and returned as the second element (SRC6). Output:
+    ``documento, devedor, unique_id, data, fonte, source_rank, ord`` with
+    ``ord = (file, block, position)``.
     """
-    parts, missing = [], []
-    for rank, fonte, name in files:
-        paths = list_files(spark, f"{folder.rstrip('/')}/{name}", suffix=".csv")
-        df = scan_csv(spark, paths, aliases)
-        if df is None:
-            missing.append(name)
-            continue
-        parts.append(df.withColumn("fonte", F.lit(fonte)).withColumn("source_rank", F.lit(rank)))
-    if not parts:
+    tags = {}
+    for path in list_files(spark, folder, suffix=".csv"):
+        t = _status_of(path, folder, files)
+        if t is not None:
+            tags[path] = t
+    present = {dict(t)["fonte"] for t in tags.values()}
+    missing = [name for _, fonte, name in files if fonte not in present]
+    union = scan_csv(spark, sorted(tags), aliases, tags=tags)
+    if union is None:
         out = empty_exports(spark).withColumn("source_rank", F.lit(None).cast("int"))
         out = out.withColumn("ord", F.struct(F.lit(None).cast("string").alias("file"),
                                              F.lit(None).cast("bigint").alias("block"),
                                              F.lit(None).cast("bigint").alias("pos")))
-        return out, missing
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.unionByName(p, allowMissingColumns=True)
+        return out.select("documento", "devedor", "unique_id", "data", "fonte", "source_rank", "ord"), missing
     for c in ("documento", "devedor", "unique_id", "data"):
         if c not in union.columns:
             union = union.withColumn(c, F.lit(None).cast("string"))

@@ -162,3 +162,49 @@ fx_status_exports as (
          o_orderkey as ord
   from orders join customer on o_custkey = c_custkey
   where o_orderstatus = '{SETTLED_STATUS}' and c_acctbal >= {MIN_BALANCE})"""
+
+
+# Header spellings of the landed fixture files, as the portals export them.
+MOVEMENT_HEADERS = {"id": "Id", "documento": "Documento", "tipo": "Tipo", "data_hora": "Data / Hora"}
+REGISTRY_HEADERS = {"cpf_cnpj": "CPF/CNPJ", "nome": "Nome/Razão Social"}
+EXPORT_HEADERS = {
+    "Ativas": {"unique_id": "+//3//f/9-Unique ID", "documento": "+ACI-Documento+ACI-", "devedor": "Devedor",
+               "data": "Data Inclus+//3//Q-o"},
+    "Baixadas": {"documento": "Documento", "devedor": "Devedor", "unique_id": "Unique ID",
+                 "data": "Data Exclusão"},
+}
+DEFAULT_EXPORT_HEADERS = {"documento": "Documento", "devedor": "Devedor", "unique_id": "Unique ID",
+                          "data": "Data Inclusão"}
+
+
+def _write_csv_in_order(df: DataFrame, order: str, path: str) -> None:
+    """CSV parts whose file-name order and row order follow ``order`` (range partitioned)."""
+    (df.repartitionByRange(order).sortWithinPartitions(order).drop(order)
+     .write.mode("overwrite").option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
+def land_fixture(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """Write the fixture ledgers as landed files (CSV folders with the portal headers).
+
+    Movement timestamps are written as day-first text, so the scan parses them
+    back; each status export gets the header spelling of its portal tab.
+    """
+    from ledgerspark.sources.exports import STATUS_FILES
+
+    folder = folder.rstrip("/")
+    mv = movements(spark, sf_dir)
+    day_first = F.date_format(F.col("data_hora"), "dd/MM/yyyy HH:mm:ss")
+    _write_csv_in_order(
+        mv.select(F.col("ord").alias("_o"), *[(day_first if c == "data_hora" else F.col(c)).alias(h)
+                                             for c, h in MOVEMENT_HEADERS.items()]),
+        "_o", f"{folder}/Relatorio_CNM.csv")
+    rg = registry(spark, sf_dir)
+    _write_csv_in_order(rg.select(F.col("ord").alias("_o"), *[F.col(c).alias(h) for c, h in REGISTRY_HEADERS.items()]),
+                        "_o", f"{folder}/Relatorio_SGP.csv")
+    for _, fonte, name in STATUS_FILES:
+        se = status_exports(spark, sf_dir, fontes=(fonte,))
+        cols = EXPORT_HEADERS.get(fonte, DEFAULT_EXPORT_HEADERS)
+        _write_csv_in_order(se.select(F.col("ord").alias("_o"), *[F.col(c).alias(h) for c, h in cols.items()]),
+                            "_o", f"{folder}/{name}")
+    return folder

@@ -33,7 +33,8 @@ def write_result(df: DataFrame, path: str, fmt: str = "parquet", variant: str |
     out = display_names(df, variant) if variant else df
     w = out.write.mode(mode)
     if fmt == "csv":
-        w.option("header", True).csv(path)
+        w.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False) \
+            .option("ignoreTrailingWhiteSpace", False).csv(path)
     elif fmt == "parquet":
         w.parquet(path)
     else:
