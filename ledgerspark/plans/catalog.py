@@ -259,6 +259,53 @@ def _intake_check(spark: SparkSession, d: str) -> DataFrame:
     return intake_check(spark, folder, glob="*").select("length", "ok", "reason")
 
 
+def _scratch(spark: SparkSession, name: str) -> str:
+    import uuid
+
+    from ledgerspark.session import checkpoint_dir
+
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _stream_incremental_report(spark: SparkSession, d: str) -> DataFrame:
+    """STR4: the fixture lands in steps; the streaming Q1 state after the last step."""
+    from ledgerspark.streaming import refresh
+
+    root = _scratch(spark, "stream-incremental")
+    steps = fx.fixture_loads(spark, d)
+    schemas = {name: df.schema for name, df in steps[0].items()}
+    report = None
+    for i, step in enumerate(steps):
+        for name, df in step.items():
+            df.write.mode("overwrite").parquet(f"{root}/in/{name}/load={i}")
+        if report is None:
+            streams = {n: spark.readStream.schema(schemas[n]).parquet(f"{root}/in/{n}") for n in schemas}
+            report = reports.unified_report(streams["movements"], streams["registry"], streams["status_exports"])
+        q = refresh.incremental_report(report, f"{root}/out", f"{root}/checkpoint")
+        refresh.await_all(q)
+    return refresh.current_status(spark.read.parquet(f"{root}/out"))
+
+
+def _stream_refresh_report(spark: SparkSession, d: str) -> DataFrame:
+    """STR1 + STR3: watching the landing folder triggers a full Q1 refresh."""
+    from ledgerspark.sources import exports
+    from ledgerspark.streaming import refresh
+
+    root = _scratch(spark, "stream-refresh")
+    folder = fx.land_fixture(spark, d, f"{root}/landing")
+
+    def build(s: SparkSession) -> DataFrame:
+        mv = exports.scan_movements(s, f"{folder}/Relatorio_CNM.csv", fmt="csv")
+        rg = exports.scan_registry(s, f"{folder}/Relatorio_SGP.csv", fmt="csv")
+        se, _ = exports.scan_status_exports(s, folder)
+        return reports.unified_report(mv, rg, se)
+
+    files = refresh.watch_landing(spark, folder, glob="*.csv", recursive=True)
+    q = refresh.refresh_report(files, build, f"{root}/out", f"{root}/log", f"{root}/checkpoint")
+    refresh.await_all(q)
+    return spark.read.parquet(f"{root}/out")
+
+
 def catalog() -> dict[str, tuple[Builder, str | None]]:
     return {
         "q1_unified_report": (_q1, sql.q1_sql()),
@@ -297,4 +344,6 @@ def catalog() -> dict[str, tuple[Builder, str | None]]:
         "scan_status_exports": (_scan_status_exports, sql.scan_status_exports_sql()),
         "scan_movements": (_scan_movements, sql.scan_movements_sql()),
         "intake_check": (_intake_check, None),
+        "stream_incremental_report": (_stream_incremental_report, sql.q1_sql()),
+        "stream_refresh_report": (_stream_refresh_report, sql.q1_sql()),
     }

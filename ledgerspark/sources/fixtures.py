@@ -208,3 +208,33 @@ def land_fixture(spark: SparkSession, sf_dir: str, folder: str) -> str:
         _write_csv_in_order(se.select(F.col("ord").alias("_o"), *[F.col(c).alias(h) for c, h in cols.items()]),
                             "_o", f"{folder}/{name}")
     return folder
+
+
+# How the fixture arrives as a stream — movement loads split at these
+# event times, status files landing in reverse rank order, one step per tuple.
+MOVEMENT_LOAD_SPLITS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")
+EXPORT_LOAD_STEPS = (("Erros", "Determinacao"), ("Pendentes", "Baixadas"), ("Ativas",))
+
+
+def fixture_loads(spark: SparkSession, sf_dir: str) -> list[dict[str, DataFrame]]:
+    """The fixture ledgers cut into arrival steps: ``[{ledger: rows landing in this step}]``.
+
+    Movements arrive by event-time range, the registry in the first step, the
+    status files one or two at a time; together the steps hold every row once.
+    """
+    mv = movements(spark, sf_dir)
+    ts = F.col("data_hora")
+    bounds = [None, *MOVEMENT_LOAD_SPLITS, None]
+    steps = []
+    for i, fontes in enumerate(EXPORT_LOAD_STEPS):
+        lo, hi = bounds[i], bounds[i + 1]
+        cond = F.lit(True)
+        if lo is not None:
+            cond = cond & (ts >= F.lit(lo).cast("timestamp_ntz"))
+        if hi is not None:
+            cond = cond & (ts < F.lit(hi).cast("timestamp_ntz"))
+        step = {"movements": mv.where(cond), "status_exports": status_exports(spark, sf_dir, fontes=fontes)}
+        if i == 0:
+            step["registry"] = registry(spark, sf_dir)
+        steps.append(step)
+    return steps
