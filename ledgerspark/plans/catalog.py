@@ -306,6 +306,27 @@ def _stream_refresh_report(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{root}/out")
 
 
+def _q1_from_workbooks(spark: SparkSession, d: str) -> DataFrame:
+    """SRC1/SRC2/SRC4: movement register and registry read back from landed workbooks."""
+    from ledgerspark.sources import exports
+
+    folder = fx.land_fixture_workbooks(spark, d, _scratch(spark, "landing-xlsx"))
+    mv = exports.scan_movements(spark, f"{folder}/Relatorio_CNM.xlsx", fmt="workbook")
+    rg = exports.scan_registry(spark, f"{folder}/Relatorio_SGP.xlsx", fmt="workbook")
+    se, _ = exports.scan_status_exports(spark, folder)
+    return reports.unified_report(mv, rg, se)
+
+
+def _write_result(spark: SparkSession, d: str) -> DataFrame:
+    """SNK1: Q1 written as CSV with the spreadsheet headers, read back as text."""
+    path = _scratch(spark, "result-csv")
+    sinks.write_result(_q1(spark, d), path, fmt="csv", variant="current")
+    back = spark.read.option("header", True).option("escape", '"').schema(
+        ", ".join(f"`{h}` string" for h in sinks.DISPLAY_NAMES["current"].values())).csv(path)
+    names = {v: k for k, v in sinks.DISPLAY_NAMES["current"].items()}
+    return back.select(*[F.col(f"`{c}`").alias(names[c]) for c in back.columns])
+
+
 def catalog() -> dict[str, tuple[Builder, str | None]]:
     return {
         "q1_unified_report": (_q1, sql.q1_sql()),
@@ -344,6 +365,8 @@ def catalog() -> dict[str, tuple[Builder, str | None]]:
         "scan_status_exports": (_scan_status_exports, sql.scan_status_exports_sql()),
         "scan_movements": (_scan_movements, sql.scan_movements_sql()),
         "intake_check": (_intake_check, None),
+        "q1_from_workbooks": (_q1_from_workbooks, sql.q1_sql()),
+        "write_result": (_write_result, sql.q1_sql()),
         "stream_incremental_report": (_stream_incremental_report, sql.q1_sql()),
         "stream_refresh_report": (_stream_refresh_report, sql.q1_sql()),
     }

@@ -238,3 +238,26 @@ def fixture_loads(spark: SparkSession, sf_dir: str) -> list[dict[str, DataFrame]
             step["registry"] = registry(spark, sf_dir)
         steps.append(step)
     return steps
+
+
+def land_fixture_workbooks(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """Like ``land_fixture``, but the movement register and the registry land as workbooks.
+
+    Each is a folder of part workbooks in ``ord`` order (one per range
+    partition); every registry part starts with the 8-row report preamble.
+    Status exports land as CSV, as the portal exports them.
+    """
+    from ledgerspark.sources.exports import REGISTRY_PREAMBLE_ROWS
+    from ledgerspark.sources.workbook import write_workbooks
+
+    folder = land_fixture(spark, sf_dir, folder)
+    mv = movements(spark, sf_dir)
+    mv_cols = [F.col(c).alias(h) for c, h in MOVEMENT_HEADERS.items()]
+    write_workbooks(mv.repartitionByRange("ord").sortWithinPartitions("ord").select(*mv_cols),
+                    f"{folder}/Relatorio_CNM.xlsx").collect()
+    preamble = [[f"Relatório de clientes ({i + 1}/{REGISTRY_PREAMBLE_ROWS})"] for i in range(REGISTRY_PREAMBLE_ROWS)]
+    rg = registry(spark, sf_dir)
+    rg_cols = [F.col(c).alias(h) for c, h in REGISTRY_HEADERS.items()]
+    write_workbooks(rg.repartitionByRange("ord").sortWithinPartitions("ord").select(*rg_cols),
+                    f"{folder}/Relatorio_SGP.xlsx", preamble=preamble).collect()
+    return folder

@@ -249,3 +249,115 @@ def read_workbooks(spark: SparkSession, path: str, skip_rows: int = 0) -> DataFr
     """All workbooks under ``path`` (first sheet, header after ``skip_rows`` rows)."""
     register(spark)
     return spark.read.format(SOURCE_NAME).option("skipRows", skip_rows).load(path)
+
+
+# ---------------------------------------------------------------- writer (one workbook per partition)
+
+_CONTENT_TYPES = (
+    '<?xml version="1.0" encoding="UTF-8"?>'
+    '<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types">'
+    '<Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/>'
+    '<Default Extension="xml" ContentType="application/xml"/>'
+    '<Override PartName="/xl/workbook.xml" '
+    'ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/>'
+    '<Override PartName="/xl/worksheets/sheet1.xml" '
+    'ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>'
+    '<Override PartName="/xl/styles.xml" '
+    'ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.styles+xml"/></Types>')
+_ROOT_RELS = (
+    '<?xml version="1.0" encoding="UTF-8"?>'
+    '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+    '<Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/'
+    'officeDocument" Target="xl/workbook.xml"/></Relationships>')
+_WORKBOOK = (
+    '<?xml version="1.0" encoding="UTF-8"?>'
+    '<workbook xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" '
+    'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships">'
+    '<sheets><sheet name="{name}" sheetId="1" r:id="rId1"/></sheets></workbook>')
+_WORKBOOK_RELS = (
+    '<?xml version="1.0" encoding="UTF-8"?>'
+    '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+    '<Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/'
+    'worksheet" Target="worksheets/sheet1.xml"/></Relationships>')
+_STYLES = (
+    '<?xml version="1.0" encoding="UTF-8"?>'
+    '<styleSheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main">'
+    '<numFmts count="1"><numFmt numFmtId="164" formatCode="dd/mm/yyyy hh:mm:ss"/></numFmts>'
+    '<cellXfs count="2"><xf numFmtId="0"/><xf numFmtId="164" applyNumberFormat="1"/></cellXfs></styleSheet>')
+WRITE_SCHEMA = "path string, rows bigint"
+
+
+def _xml_text(v: str) -> str:
+    v = "".join(ch for ch in v if ch in "\t\n\r" or ord(ch) >= 0x20)
+    return v.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
+
+
+def _cell_xml(col: int, row: int, v) -> str:
+    ref = f"{_col_letters(col)}{row}"
+    if v is None or (isinstance(v, float) and v != v):
+        return ""
+    if isinstance(v, (dt.datetime,)) or hasattr(v, "to_pydatetime"):
+        t = v.to_pydatetime() if hasattr(v, "to_pydatetime") else v
+        serial = (t.replace(microsecond=0) - EXCEL_EPOCH).total_seconds() / 86400.0
+        return f'<c r="{ref}" s="1"><v>{serial!r}</v></c>'
+    if isinstance(v, bool):
+        return f'<c r="{ref}" t="b"><v>{int(v)}</v></c>'
+    if isinstance(v, (int, float)) or type(v).__module__ == "numpy":
+        return f'<c r="{ref}"><v>{v}</v></c>'
+    return f'<c r="{ref}" t="inlineStr"><is><t xml:space="preserve">{_xml_text(str(v))}</t></is></c>'
+
+
+def _col_letters(i: int) -> str:
+    s, i = "", i + 1
+    while i:
+        i, r = divmod(i - 1, 26)
+        s = chr(65 + r) + s
+    return s
+
+
+def write_workbooks(df: DataFrame, folder: str, preamble: list[list[str]] | None = None,
+                    sheet_name: str = "Plan1") -> DataFrame:
+    """Write each partition of ``df`` as one workbook ``part-NNNNN.xlsx`` under ``folder``.
+
+    Runs on the executors (``mapInPandas``), streaming the sheet XML into the
+    archive, so no partition is ever collected on the driver. The header row is
+    the column names, preceded by ``preamble`` rows. Timestamps are stored as
+    spreadsheet date serials with second precision. Returns ``(path, rows)``
+    per workbook; the folder must be one the executors can write to.
+    """
+    names = list(df.columns)
+    pre = [list(r) for r in (preamble or [])]
+    target = folder.rstrip("/")
+
+    def write(batches):
+        from pyspark import TaskContext
+
+        import pandas as pd
+
+        os.makedirs(target, exist_ok=True)
+        path = f"{target}/part-{TaskContext.get().partitionId():05d}.xlsx"
+        n = 0
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
+            zf.writestr("[Content_Types].xml", _CONTENT_TYPES)
+            zf.writestr("_rels/.rels", _ROOT_RELS)
+            zf.writestr("xl/workbook.xml", _WORKBOOK.format(name=_xml_text(sheet_name)))
+            zf.writestr("xl/_rels/workbook.xml.rels", _WORKBOOK_RELS)
+            zf.writestr("xl/styles.xml", _STYLES)
+            with zf.open("xl/worksheets/sheet1.xml", "w") as out:
+                out.write(b'<?xml version="1.0" encoding="UTF-8"?><worksheet '
+                          b'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>')
+                r = 0
+                for row in [*pre, names]:
+                    r += 1
+                    cells = "".join(_cell_xml(j, r, v) for j, v in enumerate(row))
+                    out.write(f'<row r="{r}">{cells}</row>'.encode())
+                for pdf in batches:
+                    for values in pdf.itertuples(index=False, name=None):
+                        r += 1
+                        n += 1
+                        cells = "".join(_cell_xml(j, r, v) for j, v in enumerate(values))
+                        out.write(f'<row r="{r}">{cells}</row>'.encode())
+                out.write(b"</sheetData></worksheet>")
+        yield pd.DataFrame({"path": [path], "rows": [n]})
+
+    return df.mapInPandas(write, WRITE_SCHEMA)
