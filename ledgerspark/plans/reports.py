@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ledgerspark.functions.badges import join_badges, or_placeholder, priority_pick, source_tag
 from ledgerspark.functions.dates import format_movement_date
 from ledgerspark.functions.entities import html_unescape
-from ledgerspark.functions.keys import int_id, key_function, strip_non_word, text_or_nan
+from ledgerspark.functions.keys import canonical_type, int_id, key_function, strip_non_word, text_or_nan
 from ledgerspark.operators import status as st
 from ledgerspark.operators.reconcile import (
     DOC,
@@ -199,18 +199,28 @@ def movement_status_rows(movements: DataFrame, registry: DataFrame, key_mode: st
 def movement_status_counts(movements: DataFrame, registry: DataFrame, key_mode: str = "strict") -> DataFrame:
     """Q5 (ST2 + AG4): number of movements per row-level status, most frequent first.
 
-    Movements are first counted per (document, canonical type) — at most a few
-    rows per document whatever its skew — and only those counts meet the
-    registry keys; the row-level statuses then sum up exactly.
+    Movements are first reduced to one row per document with a count per type
+    class (inclusion, exclusion, other) — a partial aggregation, so a document
+    holding a third of all rows costs one row per map task — and that relation,
+    already partitioned by document, meets the registry keys without another
+    exchange. Each class then goes through the ST2 rule and the counts add up.
     """
     key = _key(movements, "documento", key_mode)
-    from ledgerspark.functions.keys import canonical_type
-
-    per_doc = (movements.select(key.alias(DOC), canonical_type(F.col("tipo")).alias("_t"))
-               .groupBy(DOC, "_t").agg(F.count(F.lit(1)).alias("_n")))
+    t = F.col("_t")
+    per_doc = (movements.select(key.alias(DOC), canonical_type(F.col("tipo")).alias("_t")).groupBy(DOC)
+               .agg(F.count(F.when(t == st.INCLUSAO, 1)).alias("_inc"),
+                    F.count(F.when(t == st.EXCLUSAO, 1)).alias("_exc"),
+                    F.count(F.lit(1)).alias("_all")))
     keys = document_keys(registry, _key(registry, "cpf_cnpj", key_mode))
     flagged = with_registry_flag(per_doc, F.col(DOC), keys)
-    return status_counts(flagged.withColumn("status", st.movement_status(F.col("_t"), F.col("in_registry"))),
+    classes = F.inline(F.array(
+        F.struct(F.lit(st.INCLUSAO).alias("_t"), F.col("_inc").alias("_n")),
+        F.struct(F.lit(st.EXCLUSAO).alias("_t"), F.col("_exc").alias("_n")),
+        F.struct(F.lit(None).cast("string").alias("_t"),
+                 (F.col("_all") - F.col("_inc") - F.col("_exc")).alias("_n")),
+    ))
+    per_class = flagged.select("in_registry", classes).where(F.col("_n") > 0)
+    return status_counts(per_class.withColumn("status", st.movement_status(F.col("_t"), F.col("in_registry"))),
                          weight="_n")
 
 
