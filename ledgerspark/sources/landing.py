@@ -101,7 +101,9 @@ def intake_check(spark: SparkSession, path: str, glob: str = "*.xlsx") -> DataFr
 
     A workbook is accepted when it has at least 10,240 bytes, starts like a ZIP
     archive and every member passes its CRC check. Files are checked in
-    parallel; small Arrow batches keep a task's memory to a few workbooks.
+    parallel; ``binaryFile`` packs files into partitions of at most
+    ``spark.sql.files.maxPartitionBytes``, which bounds a task's memory
+    (a single larger workbook is one task of its own).
     """
     listing = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True)
     try:
@@ -109,4 +111,7 @@ def intake_check(spark: SparkSession, path: str, glob: str = "*.xlsx") -> DataFr
     except AnalysisException:
         return spark.createDataFrame([], INTAKE_SCHEMA)
     files = files.where(~F.col("path").endswith(PARTIAL_DOWNLOAD_SUFFIX))
+    from ledgerspark.session import ship_package
+
+    ship_package(spark)
     return files.select("path", "length", "content").mapInPandas(_check_batches, INTAKE_SCHEMA)

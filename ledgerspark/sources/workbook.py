@@ -242,6 +242,9 @@ class WorkbookDataSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    from ledgerspark.session import ship_package
+
+    ship_package(spark)
     spark.dataSource.register(WorkbookDataSource)
 
 
@@ -325,6 +328,9 @@ def write_workbooks(df: DataFrame, folder: str, preamble: list[list[str]] | None
     spreadsheet date serials with second precision. Returns ``(path, rows)``
     per workbook; the folder must be one the executors can write to.
     """
+    from ledgerspark.session import ship_package
+
+    ship_package(df.sparkSession)
     names = list(df.columns)
     pre = [list(r) for r in (preamble or [])]
     target = folder.rstrip("/")
