@@ -31,8 +31,8 @@ from ledgerspark.operators.reconcile import DOC
 
 # What triggers a refresh, and the log layout.
 WATCHED_GLOB = "*.xlsx"
-REFRESH_LOG_SCHEMA = "batch_id bigint, files bigint, ok boolean, message string, at timestamp"
-BATCH_COLUMN = "_batch"
+REFRESH_LOG_SCHEMA = "files bigint, ok boolean, message string, at timestamp"
+BATCH_COLUMN = "batch_id"
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
@@ -74,9 +74,10 @@ def refresh_report(files: DataFrame, build: Callable[[SparkSession], DataFrame],
             build(spark).write.mode("overwrite").parquet(output)
         except Exception as exc:  # noqa: BLE001 - the log row is the outcome
             ok, message = False, f"{type(exc).__name__}: {exc}"[:500]
-        row = [(int(batch_id), int(n), ok, message, None)]
+        row = [(int(n), ok, message, None)]
+        # One folder per batch, overwritten on a retry: the log stays exactly-once.
         (spark.createDataFrame(row, REFRESH_LOG_SCHEMA).withColumn("at", F.current_timestamp())
-         .write.mode("append").parquet(log))
+         .write.mode("overwrite").parquet(f"{log}/{BATCH_COLUMN}={batch_id}"))
 
     writer = files.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
@@ -84,10 +85,12 @@ def refresh_report(files: DataFrame, build: Callable[[SparkSession], DataFrame],
 
 def incremental_report(report: DataFrame, output: str, checkpoint: str,
                        trigger: dict | None = None) -> StreamingQuery:
-    """STR4: run a report over streaming ledgers in update mode; append each change with its batch id."""
+    """STR4: run a report over streaming ledgers in update mode; each micro-batch's changes land in
+    ``output/batch_id=<n>/`` (read back, ``batch_id`` is a column)."""
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("bigint")).write.mode("append").parquet(output)
+        # One folder per micro-batch, overwritten if the batch is replayed after a failure.
+        batch.write.mode("overwrite").parquet(f"{output}/{BATCH_COLUMN}={batch_id}")
 
     writer = (report.writeStream.outputMode("update").foreachBatch(on_batch)
               .option("checkpointLocation", checkpoint))

@@ -43,11 +43,11 @@ def test_incremental_report_emits_changes_only(spark):
     land("rg", [("1", "A", 2)], RG, 1)
     refresh.await_all(refresh.incremental_report(report, out, ck))
     changes = spark.read.parquet(out)
-    second = {r.documento for r in changes.where(F.col("_batch") == 1).collect()}
+    second = {r.documento for r in changes.where(F.col(refresh.BATCH_COLUMN) == 1).collect()}
     assert second == {"1"}                       # only the touched document is re-emitted
     final = {r.documento: r.status for r in refresh.current_status(changes).collect()}
     assert final == {"1": "ERRO", "2": "ERRO", "3": "ERRO"}
-    first_doc1 = changes.where((F.col("documento") == "1") & (F.col("_batch") == 0)).first()
+    first_doc1 = changes.where((F.col("documento") == "1") & (F.col(refresh.BATCH_COLUMN) == 0)).first()
     assert first_doc1.status == "ERRO" and first_doc1.tipo == "INCLUSAO"
     latest = refresh.current_status(changes).where(F.col("documento") == "1").first()
     assert latest.tipo == "EXCLUSAO"             # order key, not arrival, decides the first movement
