@@ -252,6 +252,23 @@ def _scan_movements(spark: SparkSession, d: str) -> DataFrame:
                                                                      mv.schema["data_hora"].dataType).alias("data"))
 
 
+def _header_ops(spark: SparkSession, d: str) -> DataFrame:
+    """SCH1-SCH5 on the landed files: one row per distinct (ledger file, raw header)."""
+    from ledgerspark.sources import exports, headers
+    from ledgerspark.sources.landing import list_files
+
+    folder = _landed(spark, d)
+    raw = exports.csv_headers(spark, list_files(spark, folder, suffix=".csv"))
+    rows = set()
+    for path, cells in raw.items():
+        ledger = path.split(folder.split(":")[-1].rstrip("/") + "/", 1)[-1].split("/", 1)[0]
+        aliases = {"Relatorio_CNM.csv": exports.MOVEMENT_ALIASES,
+                   "Relatorio_SGP.csv": exports.REGISTRY_ALIASES}.get(ledger, headers.ALL_ALIASES)
+        names, _ = headers.resolve_header(cells, aliases)
+        rows.add((ledger, "|".join(cells), "|".join(names)))
+    return spark.createDataFrame(sorted(rows), "ledger_file string, raw_header string, columns string")
+
+
 def _intake_check(spark: SparkSession, d: str) -> DataFrame:
     from ledgerspark.sources.landing import intake_check
 
@@ -365,6 +382,7 @@ def catalog() -> dict[str, tuple[Builder, str | None]]:
         "scan_status_exports": (_scan_status_exports, sql.scan_status_exports_sql()),
         "scan_movements": (_scan_movements, sql.scan_movements_sql()),
         "intake_check": (_intake_check, None),
+        "header_ops": (_header_ops, None),
         "q1_from_workbooks": (_q1_from_workbooks, sql.q1_sql()),
         "write_result": (_write_result, sql.q1_sql()),
         "stream_incremental_report": (_stream_incremental_report, sql.q1_sql()),
