@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 # str.strip() on text.
 NON_DIGIT = r"[^\p{Nd}]"
 NON_WORD = r"[^\p{L}\p{N}_]"
-EDGE_SPACE = r"^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 # A trailing ".0" (what a float-typed id turns into), allowing one final
 # newline the way Python's "$" does.
 TRAILING_POINT_ZERO = r"\.0(?=\n?\z)"

@@ -60,6 +60,8 @@ def test_canonical_type(spark):
     assert one(spark, " inclusão ", canonical_type) == "INCLUSÃO"
     assert one(spark, "\t exclusao\n", canonical_type) == "EXCLUSAO"
     assert one(spark, None, canonical_type) is None
+    for raw in ["\u00a0inclusao\u3000", "\x1cexclusao\u2003", "\u0085 Inclusao \u202f"]:
+        assert one(spark, raw, canonical_type) == raw.strip().upper()
 
 
 @pytest.mark.parametrize("value,expected", [
