@@ -113,18 +113,17 @@ def page_rows(df: DataFrame, page: int, by: list[tuple[str, bool]], tie_breaker:
 
 
 def facet_values(df: DataFrame, columns: tuple[str, ...], keep_empty: bool = False) -> DataFrame:
-    """UI4: sorted distinct values per facet column as ``(facet, value)``; empties dropped."""
-    parts = []
-    for c in columns:
-        v = F.col(c).cast("string")
-        part = df.select(F.lit(c).alias("facet"), v.alias("value")).distinct()
-        if not keep_empty:
-            part = part.where(F.col("value").isNotNull() & (F.col("value") != ""))
-        parts.append(part)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.orderBy("facet", "value")
+    """UI4: sorted distinct values per facet column as ``(facet, value)``; empties dropped.
+
+    One pass over the report: each row is unpivoted into ``(facet, value)`` pairs
+    and a single (partially aggregated) ``distinct`` serves all facets.
+    """
+    pairs = F.inline(F.array(*[F.struct(F.lit(c).alias("facet"), F.col(c).cast("string").alias("value"))
+                              for c in columns]))
+    out = df.select(pairs)
+    if not keep_empty:
+        out = out.where(F.col("value").isNotNull() & (F.col("value") != ""))
+    return out.distinct().orderBy("facet", "value")
 
 
 def facet_filter(df: DataFrame, choices: dict[str, str | None]) -> DataFrame:
@@ -141,9 +140,9 @@ def view_subtitle(spark: SparkSession, view: DataFrame, by: list[tuple[str, bool
 
     Returns one row ``(status, subtitulo)``; an empty view gives ``(null, '')``.
     """
-    first = view.orderBy(*_ordering(by, tie_breaker)).limit(1).select(F.col(status_col).alias("status"))
+    first = view.orderBy(*_ordering(by, tie_breaker)).limit(1)
+    # A global aggregate over at most one row: exactly one row out, null status when the view is empty.
+    picked = first.agg(F.max(F.col(status_col)).alias("status"))
     captions = spark.createDataFrame(list(SUBTITLES[variant].items()), "status string, subtitulo string")
-    one = spark.range(1).select(F.lit(1).alias("_one"))
-    picked = one.join(first.withColumn("_one", F.lit(1)), "_one", "left")
     return (picked.join(F.broadcast(captions), "status", "left")
             .select("status", F.coalesce("subtitulo", F.lit("")).alias("subtitulo")))
