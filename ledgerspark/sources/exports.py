@@ -63,19 +63,10 @@ def null_tokens(c: Column, tokens: tuple[str, ...] = NA_TOKENS) -> Column:
 
 
 def _open_binary(path: str):
-    """Open a listed path for reading: local files directly, other schemes through ``pyarrow.fs``."""
-    if path.startswith("file:"):
-        local = path[len("file:"):]
-        while local.startswith("//"):
-            local = local[1:]
-        return open(local, "rb")
-    if "://" not in path:
-        return open(path, "rb")
-    from pyarrow import fs
-
-    uri = path.replace("s3a://", "s3://", 1).replace("s3n://", "s3://", 1)
-    filesystem, inner = fs.FileSystem.from_uri(uri)
-    return filesystem.open_input_stream(inner)
+    """Open a listed path for reading (see ``files.open_input``)."""
+    from ledgerspark.sources.files import open_input
+
+    return open_input(path)
 
 
 def first_csv_record(path: str, chunk: int = 1 << 16, limit: int = 1 << 24) -> list[str]:

@@ -1,7 +1,15 @@
-"""File-level sources: extract predicates (SRC12) and friends; see also ``workbook``."""
+"""File-level helpers: extract predicates (SRC12) and path I/O for Python-side readers.
+
+Python code that must read or write file bytes itself (workbooks, CSV heads)
+goes through ``open_input`` / ``open_output`` / ``list_paths``: local paths
+(``/x`` or ``file:/x``) use the OS directly, other schemes (``hdfs://``,
+``s3a://`` …) go through ``pyarrow.fs``, so the same code runs on a cluster.
+"""
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,3 +26,60 @@ def extract_movements(movements: DataFrame, since: str = MOVEMENTS_SINCE) -> Dat
 def extract_registry(registry: DataFrame, tag: str = REGISTRY_TAG, column: str = "tag") -> DataFrame:
     """SRC12: registry rows carrying ``tag``."""
     return registry.where(F.col(column) == F.lit(tag))
+
+
+def _local(path: str) -> str | None:
+    if path.startswith("file:"):
+        p = path[len("file:"):]
+        while p.startswith("//"):
+            p = p[1:]
+        return p
+    return path if "://" not in path else None
+
+
+def _arrow_fs(path: str):
+    from pyarrow import fs
+
+    uri = path.replace("s3a://", "s3://", 1).replace("s3n://", "s3://", 1)
+    return fs.FileSystem.from_uri(uri)
+
+
+def open_input(path: str):
+    """A seekable binary reader for ``path``."""
+    local = _local(path)
+    if local is not None:
+        return open(local, "rb")
+    filesystem, inner = _arrow_fs(path)
+    return filesystem.open_input_file(inner)
+
+
+def open_output(path: str):
+    """A binary writer for ``path`` (parent folders created where the file system has them)."""
+    local = _local(path)
+    if local is not None:
+        os.makedirs(os.path.dirname(local) or ".", exist_ok=True)
+        return open(local, "wb")
+    filesystem, inner = _arrow_fs(path)
+    return filesystem.open_output_stream(inner)
+
+
+def list_paths(path: str, suffix: str) -> list[str]:
+    """Files under ``path`` (or ``path`` itself) whose name ends with ``suffix``, sorted."""
+    def keep(name: str) -> bool:
+        base = name.rsplit("/", 1)[-1]
+        return base.lower().endswith(suffix) and not base.startswith(("~$", ".", "_"))
+
+    local = _local(path)
+    if local is not None:
+        if os.path.isdir(local):
+            return sorted(os.path.join(d, f) for d, _, fs_ in os.walk(local) for f in fs_ if keep(f))
+        return [local]
+    from pyarrow import fs
+
+    filesystem, inner = _arrow_fs(path)
+    info = filesystem.get_file_info(inner)
+    scheme = path.split("://", 1)[0]
+    if info.type == fs.FileType.Directory:
+        found = filesystem.get_file_info(fs.FileSelector(inner, recursive=True))
+        return sorted(f"{scheme}://{f.path}" for f in found if f.type == fs.FileType.File and keep(f.path))
+    return [path]

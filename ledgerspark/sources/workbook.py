@@ -3,6 +3,7 @@
 ``spark.read.format("workbook").option("skipRows", 8).load(path)`` reads the
 first sheet of every workbook under ``path``: one input partition per file,
 all cells as text, the header row taken after ``skipRows`` preamble rows.
+Paths may be local or any scheme ``pyarrow.fs`` opens (``hdfs://``, ``s3a://`` …).
 Each output row also carries ``_file`` and ``_row`` (sheet row number), the
 exact "file order" key. Cells are decoded the way a spreadsheet reader shows
 them: shared/inline strings as text, booleans as ``True``/``False``, integral
@@ -14,7 +15,6 @@ an incremental XML parse), so no extra package is needed on the executors.
 from __future__ import annotations
 
 import datetime as dt
-import os
 import posixpath
 import re
 import zipfile
@@ -164,14 +164,19 @@ def _inside_phonetic(si, t) -> bool:
 
 
 def _workbook_paths(path: str) -> list[str]:
-    if os.path.isdir(path):
-        return sorted(os.path.join(d, f) for d, _, fs in os.walk(path) for f in fs
-                      if f.lower().endswith(".xlsx") and not f.startswith(("~$", ".")))
-    return [path]
+    from ledgerspark.sources.files import list_paths
+
+    return list_paths(path, ".xlsx")
+
+
+def _open_zip(path: str) -> zipfile.ZipFile:
+    from ledgerspark.sources.files import open_input
+
+    return zipfile.ZipFile(open_input(path))
 
 
 def read_header(path: str, skip_rows: int = 0) -> list[str]:
-    with zipfile.ZipFile(path) as zf:
+    with _open_zip(path) as zf:
         for i, (_, cells) in enumerate(_Book(zf).rows()):
             if i == skip_rows:
                 return [c if c is not None else "" for c in cells]
@@ -203,7 +208,7 @@ class WorkbookReader(DataSourceReader):
 
     def read(self, partition):
         path = partition.path
-        with zipfile.ZipFile(path) as zf:
+        with _open_zip(path) as zf:
             positions = None
             for i, (r, cells) in enumerate(_Book(zf).rows()):
                 if i < self.skip_rows:
@@ -214,7 +219,7 @@ class WorkbookReader(DataSourceReader):
                     positions = [index.get(n) for n in self.names]
                     continue
                 vals = [cells[j] if j is not None and j < len(cells) else None for j in positions]
-                yield (*vals, os.path.basename(path), r)
+                yield (*vals, path.rsplit("/", 1)[-1], r)
 
 
 class WorkbookDataSource(DataSource):
@@ -326,7 +331,7 @@ def write_workbooks(df: DataFrame, folder: str, preamble: list[list[str]] | None
     archive, so no partition is ever collected on the driver. The header row is
     the column names, preceded by ``preamble`` rows. Timestamps are stored as
     spreadsheet date serials with second precision. Returns ``(path, rows)``
-    per workbook; the folder must be one the executors can write to.
+    per workbook; ``folder`` may be local or any ``pyarrow.fs`` scheme.
     """
     from ledgerspark.session import ship_package
 
@@ -340,10 +345,11 @@ def write_workbooks(df: DataFrame, folder: str, preamble: list[list[str]] | None
 
         import pandas as pd
 
-        os.makedirs(target, exist_ok=True)
+        from ledgerspark.sources.files import open_output
+
         path = f"{target}/part-{TaskContext.get().partitionId():05d}.xlsx"
         n = 0
-        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
+        with open_output(path) as sink, zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED) as zf:
             zf.writestr("[Content_Types].xml", _CONTENT_TYPES)
             zf.writestr("_rels/.rels", _ROOT_RELS)
             zf.writestr("xl/workbook.xml", _WORKBOOK.format(name=_xml_text(sheet_name)))
