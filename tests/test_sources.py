@@ -117,3 +117,30 @@ def test_intake_and_landing(spark):
     assert "Erros.csv.crdownload" not in names and "Ativas.csv" in names
     before = listing.where(F.col("name") != "Ativas.csv")
     assert [r.name for r in landing.new_files_since(before, listing).collect()] == ["Ativas.csv"]
+
+
+def test_optional_required_and_empty_sources(spark):
+    import pytest
+
+    d = tempfile.mkdtemp(prefix="ls-empty-")
+    se, missing = exports.scan_status_exports(spark, d)
+    assert missing == [name for _, _, name in exports.STATUS_FILES]
+    assert se.columns == ["documento", "devedor", "unique_id", "data", "fonte", "source_rank", "ord"]
+    assert se.count() == 0
+    with pytest.raises(exports.MissingSourceError):
+        exports.scan_movements(spark, os.path.join(d, "Relatorio_CNM.xlsx"))
+    src = exports.status_source_map(spark).orderBy("source_rank").collect()
+    assert [r.fonte for r in src] == ["Ativas", "Baixadas", "Pendentes", "Determinacao", "Erros"]
+
+
+def test_loose_keys_keep_the_float_tail(spark):
+    import datetime as dt
+
+    from tests.test_reports import MV, RG, SE
+
+    mv = spark.createDataFrame([(1, "12345678901", "INCLUSAO", dt.datetime(2024, 1, 1), 1)], MV)
+    rg = spark.createDataFrame([("12345678901", "A", 1)], RG)
+    se = spark.createDataFrame([("12345678901.0", "d", "U", "x", "Ativas", 1, 1)], SE)
+    strict = {r.documento for r in reports.unified_report(mv, rg, se).collect()}
+    loose = {r.documento for r in reports.unified_report(mv, rg, se, key_mode="loose").collect()}
+    assert strict == {"12345678901"} and loose == {"12345678901", "123456789010"}
