@@ -83,3 +83,14 @@ def list_paths(path: str, suffix: str) -> list[str]:
         found = filesystem.get_file_info(fs.FileSelector(inner, recursive=True))
         return sorted(f"{scheme}://{f.path}" for f in found if f.type == fs.FileType.File and keep(f.path))
     return [path]
+
+
+def move(src: str, dst: str) -> None:
+    """Rename ``src`` to ``dst`` (replacing it): atomic on local and HDFS-like file systems."""
+    local_src, local_dst = _local(src), _local(dst)
+    if local_src is not None and local_dst is not None:
+        os.replace(local_src, local_dst)
+        return
+    filesystem, inner_src = _arrow_fs(src)
+    _, inner_dst = _arrow_fs(dst)
+    filesystem.move(inner_src, inner_dst)

@@ -345,11 +345,15 @@ def write_workbooks(df: DataFrame, folder: str, preamble: list[list[str]] | None
 
         import pandas as pd
 
-        from ledgerspark.sources.files import open_output
+        from ledgerspark.sources.files import move, open_output
 
-        path = f"{target}/part-{TaskContext.get().partitionId():05d}.xlsx"
+        ctx = TaskContext.get()
+        path = f"{target}/part-{ctx.partitionId():05d}.xlsx"
+        # Each attempt writes its own file and moves it into place when complete, so a
+        # retried or speculative attempt never leaves a half-written workbook behind.
+        attempt_path = f"{path}.attempt-{ctx.taskAttemptId()}"
         n = 0
-        with open_output(path) as sink, zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED) as zf:
+        with open_output(attempt_path) as sink, zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED) as zf:
             zf.writestr("[Content_Types].xml", _CONTENT_TYPES)
             zf.writestr("_rels/.rels", _ROOT_RELS)
             zf.writestr("xl/workbook.xml", _WORKBOOK.format(name=_xml_text(sheet_name)))
@@ -370,6 +374,7 @@ def write_workbooks(df: DataFrame, folder: str, preamble: list[list[str]] | None
                         cells = "".join(_cell_xml(j, r, v) for j, v in enumerate(values))
                         out.write(f'<row r="{r}">{cells}</row>'.encode())
                 out.write(b"</sheetData></worksheet>")
+        move(attempt_path, path)
         yield pd.DataFrame({"path": [path], "rows": [n]})
 
     return df.mapInPandas(write, WRITE_SCHEMA)
