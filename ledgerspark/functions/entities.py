@@ -7,11 +7,16 @@ out-of-range values become U+FFFD, non-characters are dropped; named
 references use the spec's entity table, and a name without ``;`` falls back to
 the longest legacy prefix (``&ampx`` -> ``&x``).
 
-The work is a ``split`` on ``&`` followed by a ``transform`` over the pieces,
-with map literals for the named table, so rows never leave the JVM. Text with
-no ``&`` short-circuits to itself. The tables are built from the standard
-library's copy of the spec table (``html.entities.html5``) and from the spec's
-rules, not typed in.
+The work is a ``split`` on ``&`` followed by staged ``transform``s over the
+pieces, so rows never leave the JVM: (1) one regex finds the reference at the
+start of each piece, (2) its code point or named lookup is computed once,
+(3) the replacement text, (4) reassembly. Lambda bodies are evaluated without
+common-subexpression elimination, hence the stages: every regex and lookup
+runs at most once per piece. The named table is a map literal bucketed by
+first character (Spark map lookups scan keys), and text with no ``&``
+short-circuits to itself. The tables are built from the standard library's
+copy of the spec table (``html.entities.html5``) and from the spec's rules,
+not typed in.
 """
 
 from __future__ import annotations
@@ -30,6 +35,8 @@ SURROGATES = (0xD800, 0xDFFF)
 NAME_PATTERN = r"^[^\t\n\f <&#;]{1,32};?"
 DEC_PATTERN = r"^#([0-9]+);?"
 HEX_PATTERN = r"^#[xX]([0-9a-fA-F]+);?"
+# The three alternatives together, tried in this order at the start of a piece.
+REFERENCE_PATTERN = r"^(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
 # Longest entity name that is valid without a trailing semicolon.
 MAX_LEGACY_NAME = 6
 
@@ -72,8 +79,20 @@ def is_dropped_code_point(n: Column) -> Column:
     )
 
 
+@lru_cache(maxsize=1)
+def named_buckets() -> dict[str, dict[str, str]]:
+    """The named table split by the first character of the name."""
+    out: dict[str, dict[str, str]] = {}
+    for k, v in named_references().items():
+        out.setdefault(k[0], {})[k] = v
+    return out
+
+
 @lru_cache(maxsize=None)
 def _map_json(name: str) -> tuple[str, str]:
+    if name == "buckets":
+        return json.dumps({k: dict(sorted(v.items())) for k, v in sorted(named_buckets().items())}), \
+            "map<string,map<string,string>>"
     tables = {"named": named_references, "legacy": legacy_references, "remap": numeric_remap}
     table = tables[name]()
     return json.dumps({str(k): v for k, v in sorted(table.items())}), "map<string,string>"
@@ -104,43 +123,50 @@ def _digits_value(trimmed: Column, base: int) -> Column:
     return F.when(too_long, F.lit(MAX_CODE_POINT + 1)).otherwise(F.coalesce(value, F.lit(0)))
 
 
-def _decode_piece(p: Column, named: Column, legacy: Column) -> Column:
-    """Decode the text that followed one ``&``."""
-    dec = F.regexp_extract(p, DEC_PATTERN, 0)
-    hexa = F.regexp_extract(p, HEX_PATTERN, 0)
-    numeric = F.when(dec != "", dec).otherwise(hexa)
-    # Digits without leading zeros; the numeric value, decoded once for both spellings.
-    digits = F.regexp_extract(numeric, r"^#[xX]?0*([0-9a-fA-F]*)", 1)
-    value = F.when(dec != "", _digits_value(digits, 10)).otherwise(_digits_value(digits, 16))
-    name = F.regexp_extract(p, NAME_PATTERN, 0)
-
-    def rest(matched: Column) -> Column:
-        return F.substring(p, F.length(matched) + 1, 1 << 30)
-
-    full = F.try_element_at(named, name)
-    # Longest legacy (semicolon-less) prefix strictly shorter than the name.
-    prefix = F.coalesce(
-        *[
-            F.when(
-                F.length(name) > k,
-                F.concat(F.try_element_at(legacy, F.substring(name, 1, k)), F.substring(name, k + 1, 64)),
-            )
-            for k in range(MAX_LEGACY_NAME, 1, -1)
-        ]
-    )
-    return (
-        F.when(numeric != "", F.concat(code_point_to_text(value), rest(numeric)))
-        .when((name != "") & full.isNotNull(), F.concat(full, rest(name)))
-        .when((name != "") & prefix.isNotNull(), F.concat(prefix, rest(name)))
-        .otherwise(F.concat(F.lit("&"), p))
-    )
+def _field(s: Column, *names: str) -> list[Column]:
+    return [s[n].alias(n) for n in names]
+
+
+def _code_point(m: Column) -> Column:
+    """Code point of a numeric reference text (``#65;``, ``#x41``); null for a named one."""
+    is_num = m.startswith("#")
+    is_hex = is_num & F.substr(m, F.lit(2), F.lit(1)).isin("x", "X")
+    body = F.when(m.endswith(";"), F.left(m, F.length(m) - 1)).otherwise(m)
+    digits = F.regexp_replace(F.when(is_hex, F.substr(body, F.lit(3))).otherwise(F.substr(body, F.lit(2))), "^0+", "")
+    return F.when(is_hex, _digits_value(digits, 16)).when(is_num, _digits_value(digits, 10))
+
+
+def _legacy_prefix(m: Column, legacy: Column) -> Column:
+    """Longest semicolon-less name that is a proper prefix of ``m``, replaced, plus the rest of ``m``."""
+    return F.coalesce(*[
+        F.when(F.length(m) > k, F.concat(F.try_element_at(legacy, F.left(m, F.lit(k))), F.substr(m, F.lit(k + 1))))
+        for k in range(MAX_LEGACY_NAME, 1, -1)
+    ])
 
 
 def html_unescape(c: Column | str) -> Column:
     """Decode all HTML5 character references in a string column."""
     c = F.col(c) if isinstance(c, str) else c
-    named = _map_literal("named")
+    buckets = _map_literal("buckets")
     legacy = _map_literal("legacy")
     pieces = F.split(c, "&", -1)
-    decoded = F.transform(pieces, lambda p, i: F.when(i == 0, p).otherwise(_decode_piece(p, named, legacy)))
-    return F.when(F.instr(c, "&") == 0, c).otherwise(F.array_join(decoded, ""))
+    # 1. the reference text at the start of every piece after an '&' (one regex run per piece)
+    found = F.transform(pieces, lambda p, i: F.struct(
+        p.alias("p"), F.when(i == 0, F.lit("")).otherwise(F.regexp_extract(p, REFERENCE_PATTERN, 1)).alias("m")))
+    # 2. its code point, or its entry in the named table (one lookup, in the bucket of its first letter)
+    looked_up = F.transform(found, lambda s: F.struct(
+        *_field(s, "p", "m"),
+        _code_point(s["m"]).alias("n"),
+        F.try_element_at(F.try_element_at(buckets, F.left(s["m"], F.lit(1))), s["m"]).alias("full")))
+    # 3. the replacement text of the reference (null: not a reference)
+    replaced = F.transform(looked_up, lambda s: F.struct(
+        *_field(s, "p", "m"),
+        F.when(s["m"] == "", F.lit(None).cast("string"))
+        .when(s["n"].isNotNull(), code_point_to_text(s["n"]))
+        .when(s["full"].isNotNull(), s["full"])
+        .otherwise(_legacy_prefix(s["m"], legacy)).alias("v")))
+    # 4. reassemble
+    parts = F.transform(replaced, lambda s, i: F.when(i == 0, s["p"])
+                        .when(s["v"].isNull(), F.concat(F.lit("&"), s["p"]))
+                        .otherwise(F.concat(s["v"], F.substr(s["p"], F.length(s["m"]) + 1))))
+    return F.when(F.instr(c, "&") == 0, c).otherwise(F.array_join(parts, ""))
