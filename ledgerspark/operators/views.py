@@ -48,10 +48,17 @@ def visible_text(c: Column) -> Column:
     return F.coalesce(F.regexp_replace(c.cast("string"), TAG_PATTERN, ""), F.lit(""))
 
 
+def search_terms(text: str) -> list[str]:
+    """Smart-search terms: words, or phrases in double quotes."""
+    import re
+
+    return [t.strip('"') for t in re.findall(r'"[^"]+"|[^ ]+', text) if t.strip('"')]
+
+
 def search_rows(df: DataFrame, text: str, columns: list[str] | None = None) -> DataFrame:
     """UI1: rows containing every term of ``text`` in some visible cell text."""
     columns = columns or df.columns
-    terms = [t for t in text.split() if t]
+    terms = search_terms(text)
     if not terms:
         return df
     row_text = F.lower(F.concat_ws(" ", *[visible_text(F.col(c)) for c in columns]))

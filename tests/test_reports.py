@@ -127,9 +127,16 @@ def test_views_are_consistent(spark):
     from ledgerspark.sources import fixtures as fx
 
     d = "/root/testdata/sf0.001"
-    q1 = reports.unified_report(fx.movements(spark, d), fx.registry(spark, d), fx.status_exports(spark, d)).cache()
+    mv, rg, se = fx.movements(spark, d), fx.registry(spark, d), fx.status_exports(spark, d)
+    q1 = reports.unified_report(mv, rg, se).cache()
     total = q1.count()
-    universe = reports.reconcile  # noqa: F841 - documented: Q1 has one row per document of the union
+    from ledgerspark.functions import normalize_document
+    from ledgerspark.operators.reconcile import document_universe
+
+    universe = document_universe((mv, normalize_document("documento")), (se, normalize_document("documento")),
+                                 (rg, normalize_document("cpf_cnpj")))
+    assert total == universe.count() == q1.select("documento").distinct().count()
+    assert views.search_terms('erro "customer#000000001" x') == ["erro", "customer#000000001", "x"]
     counts = reports.status_counts(q1).collect()
     assert sum(r["count"] for r in counts) == total
     assert sum(views.facet_filter(q1, {"status": s}).count() for s in ("negativado", "baixado", "erro")) == total
