@@ -49,8 +49,20 @@ PRIORITY_TO_STATUS = {
 }
 
 
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A provided table, resolved once per application (file listing and footer schema).
+
+    The provided tables are immutable inputs, so like a catalog table they keep
+    their resolved relation; every query still scans the whole table.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def _padded(c: Column) -> Column:
