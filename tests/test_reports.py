@@ -6,7 +6,6 @@ import random
 from pyspark.sql import functions as F
 
 from ledgerspark.operators import views
-from ledgerspark.operators.reconcile import Ledger, reconcile
 from ledgerspark.plans import reports
 from tests.conftest import rows
 
