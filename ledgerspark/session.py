@@ -21,20 +21,45 @@ DEFAULT_CONF = {
 }
 
 
+# Settings for large inputs (hundreds of TB over ~1000 executors): start with many
+# shuffle partitions and let AQE coalesce them to ~256 MB, split skewed join
+# partitions, and read files in 256 MB splits. Applied by ``get_spark(cluster=True)``.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.shuffle.service.enabled": "true",
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+}
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app: str = "ledgerspark", extra: dict | None = None) -> SparkSession:
+              app: str = "ledgerspark", extra: dict | None = None, cluster: bool = False) -> SparkSession:
     """Build (or reuse) a session with AQE on and the UI off.
 
     ``master``/``shuffle_partitions`` are for local runs and tests; on a cluster
-    leave them unset and let the submit configuration decide.
+    leave them unset and pass ``cluster=True`` for ``CLUSTER_CONF`` (settings
+    the submit configuration already sets win).
     """
     b = SparkSession.builder.appName(app)
     if master or not os.environ.get("SPARK_MASTER"):
         b = b.master(master or os.environ.get("SPARK_MASTER", "local[8]"))
     conf = dict(DEFAULT_CONF)
+    if cluster:
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
+    if cluster:
+        from pyspark import SparkConf
+
+        preset = SparkConf()  # values from spark-submit / spark-defaults take precedence
+        conf = {k: v for k, v in conf.items() if not preset.contains(k)}
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
