@@ -152,6 +152,25 @@ def status_source_map(spark: SparkSession, files=STATUS_FILES) -> DataFrame:
     return spark.createDataFrame(list(files), "source_rank int, fonte string, file string")
 
 
+def missing_sources(spark: SparkSession, folder: str, files=STATUS_FILES) -> DataFrame:
+    """SRC6 as a relation: entries of the status map with no landed CSV under ``folder``.
+
+    The listing's top-level names (a file or a folder of parts) are anti-joined
+    with the 5-row map, so the warning list comes from the same listing the scan uses.
+    """
+    import re
+
+    from ledgerspark.sources.landing import landing_filter, list_landing
+
+    base = folder.split(":", 1)[-1].rstrip("/")
+    while base.startswith("//"):
+        base = base[1:]
+    listing = landing_filter(list_landing(spark, folder), suffixes=(".csv",))
+    top = F.regexp_extract(F.col("path"), re.escape(base) + r"/([^/]+)", 1)
+    landed = listing.select(top.alias("file")).distinct()
+    return status_source_map(spark, files).join(landed, "file", "left_anti").orderBy("source_rank")
+
+
 def empty_exports(spark: SparkSession) -> DataFrame:
     """SRC8: no status file at all -> an empty table with the export columns."""
     return spark.createDataFrame([], EXPORT_SCHEMA)

@@ -72,6 +72,7 @@ def test_scans_and_unified_report(spark):
     rg = exports.scan_registry(spark, os.path.join(d, "Relatorio_SGP.xlsx"))
     se, missing = exports.scan_status_exports(spark, d)
     assert missing == ["Baixadas.csv", "Determinacao.csv", "Erros.csv"]
+    assert [r.file for r in exports.missing_sources(spark, d).collect()] == missing
     got = {r.documento: r.asDict() for r in se.collect()}
     assert set(got) == {"12345678901.0", "12345678901", "55555555555", "999.999.999-99"}
     assert got["55555555555"]["devedor"] == 'Bia, "B"'
