@@ -298,8 +298,15 @@ def _stream_incremental_report(spark: SparkSession, d: str) -> DataFrame:
         if report is None:
             streams = {n: spark.readStream.schema(schemas[n]).parquet(f"{root}/in/{n}") for n in schemas}
             report = reports.unified_report(streams["movements"], streams["registry"], streams["status_exports"])
-        q = refresh.incremental_report(report, f"{root}/out", f"{root}/checkpoint")
-        refresh.await_all(q)
+        # The state's partition count is fixed by the first run of a checkpoint: size it to the
+        # fixture (the cluster's parallelism), not to the session's batch shuffle setting.
+        previous = spark.conf.get("spark.sql.shuffle.partitions")
+        if i == 0:
+            spark.conf.set("spark.sql.shuffle.partitions", str(max(2, spark.sparkContext.defaultParallelism)))
+        try:
+            refresh.await_all(refresh.incremental_report(report, f"{root}/out", f"{root}/checkpoint"))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", previous)
     return refresh.current_status(spark.read.parquet(f"{root}/out"))
 
 
