@@ -173,3 +173,18 @@ def test_presence_only_rules(spark):
                   "4": ("nan", "dev4", "ERRO", "ERRO")}
     q5 = {x.status: x["count"] for x in reports.movement_status_counts(m, r).collect()}
     assert q5 == {"ERRO": 1, "NEGATIVADO": 1}
+
+
+def test_legacy_view_variants(spark):
+    df = spark.createDataFrame([("1", "ERRO", ""), ("2", "NEGATIVADO", "x"), ("3", "", "y"), ("4", None, "z")],
+                               "documento string, status string, data string")
+    kept = views.facet_values(df, views.FACETS["two_way"], keep_empty=True).collect()
+    assert [(r.facet, r.value) for r in kept] == [("status", None), ("status", ""), ("status", "ERRO"),
+                                                 ("status", "NEGATIVADO")]
+    current = views.facet_values(df, ("status", "data")).collect()
+    assert [(r.facet, r.value) for r in current] == [("data", "x"), ("data", "y"), ("data", "z"),
+                                                    ("status", "ERRO"), ("status", "NEGATIVADO")]
+    for variant in ("current", "presence", "two_way"):
+        sub = views.view_subtitle(spark, df.where("documento = '1'"), [("documento", False)], variant).first()
+        assert sub.subtitulo == views.SUBTITLES[variant]["ERRO"]
+    assert views.facet_filter(df, {"status": "", "data": "X"}).count() == 1
