@@ -164,3 +164,22 @@ def test_parquet_ledgers_round_trip(spark):
     got = sorted(map(tuple, reports.unified_report(mv2, rg2, se).collect()), key=str)
     want = sorted(map(tuple, reports.unified_report(mv, rg, se).collect()), key=str)
     assert got == want
+
+
+def test_cli_report(spark, capsys):
+    from ledgerspark import cli
+
+    d = _landing()
+    out = tempfile.mkdtemp(prefix="ls-out-")
+    args = cli.argparse.Namespace(landing=d, out=out, variant="current", ledger_format="workbook",
+                                  key_mode="strict", format="csv", html=True)
+    cli.run_report(spark, args)
+    printed = capsys.readouterr()
+    assert "NEGATIVADO\t2" in printed.out and "Baixadas.csv" in printed.err
+    back = spark.read.option("header", True).csv(f"{out}/resultado_current")
+    assert back.columns == ["ID", "Documento", "Nome", "Data", "Tipo", "Local", "Status"] and back.count() == 5
+    assert spark.read.text(f"{out}/linhas_current").count() == 5
+    args.variant, args.format = "soa_registry", "xlsx"
+    cli.run_report(spark, args)
+    wb = read_workbooks(spark, f"{out}/resultado_soa_registry")
+    assert "Data Inclusão" in wb.columns and wb.count() == 2   # Ativas and registry hold the same 2 documents
