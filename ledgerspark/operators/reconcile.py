@@ -67,15 +67,26 @@ def document_universe(*keyed: tuple[DataFrame, Column]) -> DataFrame:
     return concat_sources(*[df.select(k.alias(DOC)) for df, k in keyed]).distinct()
 
 
-def with_registry_flag(df: DataFrame, key: Column, registry_keys: DataFrame, flag: str = "in_registry") -> DataFrame:
-    """JN3: add a membership flag of ``key`` in a key set, keeping every row of ``df``.
+def registry_key_rows(df: DataFrame, key: Column) -> DataFrame:
+    """The normalised keys of a ledger, one per row (duplicates kept), as ``documento``."""
+    return df.select(key.alias(DOC))
+
 
-    The key set is made distinct first (partial aggregation), so the join side is
-    one row per document; AQE may broadcast it or split a skewed probe side.
+def with_registry_flag(df: DataFrame, key: Column, registry_keys: DataFrame, flag: str = "in_registry") -> DataFrame:
+    """JN3: add a membership flag of ``key`` in a key set, keeping every row of ``df`` exactly once.
+
+    Formulated as ``left_semi`` (flag true) ∪ ``left_anti`` (flag false) against the
+    raw key rows: semi/anti joins never multiply rows, so the key side needs no
+    ``distinct``, and both sides stay plain shuffle reads. That lets AQE split a
+    skewed probe partition (a document holding a third of the rows) in both
+    joins; the two joins reuse the same exchanges, so each side is shuffled once.
+    A small key side is broadcast by Catalyst instead.
     """
-    keys = registry_keys.select(F.col(DOC).alias("_k")).distinct().withColumn(flag, F.lit(True))
-    out = df.withColumn("_k", key).join(keys, "_k", "left").drop("_k")
-    return out.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    probe = df.withColumn("_k", key)
+    keys = registry_keys.select(F.col(DOC).alias("_k"))
+    hit = probe.join(keys, "_k", "left_semi").withColumn(flag, F.lit(True))
+    miss = probe.join(keys, "_k", "left_anti").withColumn(flag, F.lit(False))
+    return hit.unionByName(miss).drop("_k")
 
 
 def only_in(df: DataFrame, other: DataFrame, on: str = DOC) -> DataFrame:

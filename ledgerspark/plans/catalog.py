@@ -146,7 +146,7 @@ def _document_universe(spark: SparkSession, d: str) -> DataFrame:
 
 def _in_registry(spark: SparkSession, d: str) -> DataFrame:
     _, rg, se = _ledgers(spark, d)
-    keys = rc.document_keys(rg, normalize_document("cpf_cnpj"))
+    keys = rc.registry_key_rows(rg, normalize_document("cpf_cnpj"))
     rows = se.select("ord", normalize_document("documento").alias("documento"))
     return rc.with_registry_flag(rows, F.col("documento"), keys)
 

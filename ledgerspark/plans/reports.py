@@ -29,6 +29,7 @@ from ledgerspark.operators.reconcile import (
     first_rows,
     full_outer,
     reconcile,
+    registry_key_rows,
     with_registry_flag,
 )
 
@@ -191,7 +192,7 @@ def soa_registry_report(active_exports: DataFrame, registry: DataFrame, key_mode
 
 def movement_status_rows(movements: DataFrame, registry: DataFrame, key_mode: str = "strict") -> DataFrame:
     """ST2 per movement row: every movement with its registry flag and status."""
-    keys = document_keys(registry, _key(registry, "cpf_cnpj", key_mode))
+    keys = registry_key_rows(registry, _key(registry, "cpf_cnpj", key_mode))
     flagged = with_registry_flag(movements, _key(movements, "documento", key_mode), keys)
     return flagged.withColumn("status", st.movement_status(F.col("tipo"), F.col("in_registry")))
 
@@ -211,7 +212,7 @@ def movement_status_counts(movements: DataFrame, registry: DataFrame, key_mode:
                .agg(F.count(F.when(t == st.INCLUSAO, 1)).alias("_inc"),
                     F.count(F.when(t == st.EXCLUSAO, 1)).alias("_exc"),
                     F.count(F.lit(1)).alias("_all")))
-    keys = document_keys(registry, _key(registry, "cpf_cnpj", key_mode))
+    keys = registry_key_rows(registry, _key(registry, "cpf_cnpj", key_mode))
     flagged = with_registry_flag(per_doc, F.col(DOC), keys)
     classes = F.inline(F.array(
         F.struct(F.lit(st.INCLUSAO).alias("_t"), F.col("_inc").alias("_n")),
