@@ -25,14 +25,29 @@ SINK_VARIANT = {"current": "current", "presence": "current", "cnm_registry": "cn
 ACTIVE_STATUS = "Ativas"
 
 
-def ledgers(spark: SparkSession, landing: str, ledger_format: str):
+def ledgers(spark: SparkSession, landing: str, ledger_format: str, versioned: bool = False):
+    """The three ledgers of a landing folder.
+
+    Flat layout: ``Relatorio_CNM.xlsx``, ``Relatorio_SGP.xlsx`` and the status CSVs side by
+    side. Versioned layout (``versioned=True``): ``ledger=CNM|SGP|SOA/load_ts=<ts>/…``, where
+    the newest load of each ledger is used (STR2).
+    """
     from ledgerspark.sources import exports
 
-    ext = {"workbook": ".xlsx", "csv": ".csv", "parquet": ".parquet"}[ledger_format]
     base = landing.rstrip("/")
-    mv = exports.scan_movements(spark, f"{base}/{exports.MOVEMENTS_FILE.rsplit('.', 1)[0]}{ext}", fmt=ledger_format)
-    rg = exports.scan_registry(spark, f"{base}/{exports.REGISTRY_FILE.rsplit('.', 1)[0]}{ext}", fmt=ledger_format)
-    se, missing = exports.scan_status_exports(spark, base)
+    if versioned:
+        from ledgerspark.streaming.refresh import newest_version_folders
+
+        folders = newest_version_folders(spark, base)
+        mv_path, rg_path, se_path = folders["CNM"], folders["SGP"], folders["SOA"]
+    else:
+        ext = {"workbook": ".xlsx", "csv": ".csv", "parquet": ".parquet"}[ledger_format]
+        mv_path = f"{base}/{exports.MOVEMENTS_FILE.rsplit('.', 1)[0]}{ext}"
+        rg_path = f"{base}/{exports.REGISTRY_FILE.rsplit('.', 1)[0]}{ext}"
+        se_path = base
+    mv = exports.scan_movements(spark, mv_path, fmt=ledger_format)
+    rg = exports.scan_registry(spark, rg_path, fmt=ledger_format)
+    se, missing = exports.scan_status_exports(spark, se_path)
     return mv, rg, se, missing
 
 
@@ -65,7 +80,7 @@ def write(report: DataFrame, out: str, variant: str, fmt: str, html: bool) -> No
 def run_report(spark: SparkSession, args) -> None:
     from ledgerspark.plans import reports
 
-    mv, rg, se, missing = ledgers(spark, args.landing, args.ledger_format)
+    mv, rg, se, missing = ledgers(spark, args.landing, args.ledger_format, args.versioned)
     for name in missing:
         print(f"[warning] status file not found: {name}", file=sys.stderr)
     for row in reports.movement_status_counts(mv, rg, key_mode=args.key_mode).collect():
@@ -78,10 +93,10 @@ def run_watch(spark: SparkSession, args) -> None:
     from ledgerspark.streaming import refresh
 
     out = args.out.rstrip("/")
-    files = refresh.watch_landing(spark, args.landing, glob=args.glob)
+    files = refresh.watch_landing(spark, args.landing, glob=args.glob, recursive=args.versioned)
 
     def build(s: SparkSession) -> DataFrame:
-        mv, rg, se, _ = ledgers(s, args.landing, args.ledger_format)
+        mv, rg, se, _ = ledgers(s, args.landing, args.ledger_format, args.versioned)
         return build_report(mv, rg, se, args.variant, args.key_mode)
 
     ckpt = args.checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/watch-{args.variant}"
@@ -100,6 +115,8 @@ def main(argv: list[str] | None = None) -> None:
         c.add_argument("--variant", choices=VARIANTS, default="current")
         c.add_argument("--ledger-format", choices=("workbook", "csv", "parquet"), default="workbook")
         c.add_argument("--key-mode", choices=("strict", "loose"), default="strict")
+        c.add_argument("--versioned", action="store_true",
+                       help="landing holds ledger=<CNM|SGP|SOA>/load_ts=<ts>/ folders; use the newest of each")
     rep = sub.choices["report"]
     rep.add_argument("--format", choices=("parquet", "csv", "xlsx"), default="parquet")
     rep.add_argument("--html", action="store_true")

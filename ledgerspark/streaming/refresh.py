@@ -55,6 +55,18 @@ def newest_versions(listing: DataFrame) -> DataFrame:
     return with_keys.join(newest, ["ledger", "load_ts"], "left_semi")
 
 
+def newest_version_folders(spark: SparkSession, root: str) -> dict[str, str]:
+    """STR2 for planning: ``{ledger: folder of its newest load}`` under a versioned landing root.
+
+    One row per ledger reaches the driver.
+    """
+    from ledgerspark.sources.landing import list_landing
+
+    newest = newest_versions(list_landing(spark, root)).select("ledger", "load_ts").distinct()
+    base = root.rstrip("/")
+    return {r.ledger: f"{base}/ledger={r.ledger}/load_ts={r.load_ts}" for r in newest.collect()}
+
+
 def refresh_report(files: DataFrame, build: Callable[[SparkSession], DataFrame], output: str, log: str,
                    checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """STR3: recompute ``build(spark)`` whenever new files arrive; overwrite ``output``; log the run.

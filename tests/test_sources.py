@@ -172,7 +172,7 @@ def test_cli_report(spark, capsys):
     d = _landing()
     out = tempfile.mkdtemp(prefix="ls-out-")
     args = cli.argparse.Namespace(landing=d, out=out, variant="current", ledger_format="workbook",
-                                  key_mode="strict", format="csv", html=True)
+                                  key_mode="strict", format="csv", html=True, versioned=False)
     cli.run_report(spark, args)
     printed = capsys.readouterr()
     assert "NEGATIVADO\t2" in printed.out and "Baixadas.csv" in printed.err

@@ -51,3 +51,29 @@ def test_incremental_report_emits_changes_only(spark):
     assert first_doc1.status == "ERRO" and first_doc1.tipo == "INCLUSAO"
     latest = refresh.current_status(changes).where(F.col("documento") == "1").first()
     assert latest.tipo == "EXCLUSAO"             # order key, not arrival, decides the first movement
+
+
+def test_versioned_landing_uses_newest_load(spark):
+    import shutil
+
+    from ledgerspark import cli
+    from tests.test_sources import _landing
+    from tests.xlsx_fixture import write_xlsx
+
+    flat = _landing()
+    root = tempfile.mkdtemp(prefix="ls-versioned-")
+    for ledger, ts in (("CNM", "20240101"), ("CNM", "20240201"), ("SGP", "20240101"), ("SOA", "20240105")):
+        os.makedirs(os.path.join(root, f"ledger={ledger}", f"load_ts={ts}"))
+    new_cnm = os.path.join(root, "ledger=CNM", "load_ts=20240201")
+    old_cnm = os.path.join(root, "ledger=CNM", "load_ts=20240101")
+    shutil.copy(os.path.join(flat, "Relatorio_CNM.xlsx"), new_cnm)
+    write_xlsx(os.path.join(old_cnm, "Relatorio_CNM.xlsx"),
+               [["Id", "Documento", "Tipo", "Data / Hora"], [9, "111.111.111-11", "INCLUSAO", "01/01/2024"]])
+    shutil.copy(os.path.join(flat, "Relatorio_SGP.xlsx"), os.path.join(root, "ledger=SGP", "load_ts=20240101"))
+    for f in ("Ativas.csv", "Pendentes.csv"):
+        shutil.copy(os.path.join(flat, f), os.path.join(root, "ledger=SOA", "load_ts=20240105"))
+    assert refresh.newest_version_folders(spark, root)["CNM"].endswith("load_ts=20240201")
+    mv, rg, se, missing = cli.ledgers(spark, root, "workbook", versioned=True)
+    docs = {r.documento for r in mv.select(F.regexp_replace("documento", r"\D", "").alias("documento")).collect()}
+    assert "11111111111" not in docs and "12345678901" in docs
+    assert se.count() == 5 and "Ativas.csv" not in missing
