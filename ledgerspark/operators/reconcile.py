@@ -72,23 +72,57 @@ def registry_key_rows(df: DataFrame, key: Column) -> DataFrame:
     return df.select(key.alias(DOC))
 
 
+# Bytes a broadcast key costs in the join's hash table (a short string row plus hashing overhead).
+BROADCAST_BYTES_PER_KEY = 64
+
+
+def _broadcast_key_budget(df: DataFrame) -> int:
+    """How many keys may be broadcast: the session's broadcast threshold over the per-key cost."""
+    raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip().lower()
+    units = {"k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30, "b": 1}
+    num, unit = raw, ""
+    for u in sorted(units, key=len, reverse=True):
+        if raw.endswith(u):
+            num, unit = raw[: -len(u)], u
+            break
+    threshold = int(float(num) * units.get(unit, 1))
+    return max(threshold, 0) // BROADCAST_BYTES_PER_KEY
+
+
 def with_registry_flag(df: DataFrame, key: Column, registry_keys: DataFrame, flag: str = "in_registry") -> DataFrame:
     """JN3: add a membership flag of ``key`` in a key set, keeping every row of ``df`` exactly once.
 
-    Formulated as ``left_semi`` (flag true) ∪ ``left_anti`` (flag false) against the
-    raw key rows: semi/anti joins never multiply rows, so the key side needs no
-    ``distinct``, and both sides stay plain shuffle reads. That lets AQE split a
-    skewed probe partition (a document holding a third of the rows) in both
-    joins; the two joins reuse the same exchanges, so each side is shuffled once.
-    A small key side is broadcast by Catalyst instead.
+    The key side is counted first (one pass over the smaller ledger):
+
+    * within the broadcast budget, its distinct keys are broadcast and left-joined:
+      one pass over ``df``, no shuffle of it, so a hot document costs nothing extra;
+    * beyond it, ``left_semi`` (flag true) ∪ ``left_anti`` (flag false) against the raw
+      key rows: neither join multiplies rows, both inputs stay plain shuffle reads
+      that the two joins share, and AQE splits a skewed probe partition in both.
     """
     probe = df.withColumn("_k", key)
     keys = registry_keys.select(F.col(DOC).alias("_k"))
+    if keys.count() <= _broadcast_key_budget(df):
+        small = F.broadcast(keys.distinct().withColumn(flag, F.lit(True)))
+        out = probe.join(small, "_k", "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+        return out.drop("_k")
     hit = probe.join(keys, "_k", "left_semi").withColumn(flag, F.lit(True))
     miss = probe.join(keys, "_k", "left_anti").withColumn(flag, F.lit(False))
     return hit.unionByName(miss).drop("_k")
 
 
+def flag_documents(per_document: DataFrame, registry_keys: DataFrame, flag: str = "in_registry") -> DataFrame:
+    """JN3 for a relation that already has one row per document (no skew possible).
+
+    A left join with the distinct keys; both sides end up partitioned by the
+    document, so Catalyst adds no exchange for ``per_document`` (or broadcasts
+    the keys when they are small).
+    """
+    keys = registry_keys.select(F.col(DOC)).distinct().withColumn(flag, F.lit(True))
+    out = per_document.join(keys, DOC, "left")
+    return out.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+
+
 def only_in(df: DataFrame, other: DataFrame, on: str = DOC) -> DataFrame:
     """JN7: rows of ``df`` whose key is absent from ``other`` (left anti)."""
     return df.join(other.select(on), on, "left_anti")

@@ -27,6 +27,7 @@ from ledgerspark.operators.reconcile import (
     Ledger,
     document_keys,
     first_rows,
+    flag_documents,
     full_outer,
     reconcile,
     registry_key_rows,
@@ -213,7 +214,7 @@ def movement_status_counts(movements: DataFrame, registry: DataFrame, key_mode:
                     F.count(F.when(t == st.EXCLUSAO, 1)).alias("_exc"),
                     F.count(F.lit(1)).alias("_all")))
     keys = registry_key_rows(registry, _key(registry, "cpf_cnpj", key_mode))
-    flagged = with_registry_flag(per_doc, F.col(DOC), keys)
+    flagged = flag_documents(per_doc, keys)
     classes = F.inline(F.array(
         F.struct(F.lit(st.INCLUSAO).alias("_t"), F.col("_inc").alias("_n")),
         F.struct(F.lit(st.EXCLUSAO).alias("_t"), F.col("_exc").alias("_n")),

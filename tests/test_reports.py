@@ -188,3 +188,21 @@ def test_legacy_view_variants(spark):
         sub = views.view_subtitle(spark, df.where("documento = '1'"), [("documento", False)], variant).first()
         assert sub.subtitulo == views.SUBTITLES[variant]["ERRO"]
     assert views.facet_filter(df, {"status": "", "data": "X"}).count() == 1
+
+
+def test_registry_flag_branches_agree(spark):
+    """Broadcast branch (small key side) and semi/anti branch give the same rows, each exactly once."""
+    from ledgerspark.operators.reconcile import registry_key_rows, with_registry_flag
+
+    rows = spark.createDataFrame([(i, str(i % 7) if i % 3 else None) for i in range(200)], "id int, doc string")
+    keys = registry_key_rows(spark.createDataFrame([("1",), ("1",), ("3",), ("",)], "d string"), F.col("d"))
+    key = F.coalesce(F.col("doc"), F.lit(""))
+    small = sorted(map(tuple, with_registry_flag(rows, key, keys).collect()))
+    previous = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = sorted(map(tuple, with_registry_flag(rows, key, keys).collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
+    assert small == large and len(small) == 200
+    assert {r[0] for r in small if r[2]} == {i for i in range(200) if (str(i % 7) if i % 3 else "") in {"1", "3", ""}}
