@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from ledgerspark.llm import decontaminate
+from ledgerspark.llm import decontaminate, quality
 
 CATALOG = {
     "op2_decontamination": (decontaminate.op2_decontamination, decontaminate.OP2_SQL),
+    "op10_quality_classifier": (quality.op10_quality_classifier, None),
 }
