@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from ledgerspark.llm import decontaminate, quality
+from ledgerspark.llm import decontaminate, langid, quality
 
 CATALOG = {
     "op2_decontamination": (decontaminate.op2_decontamination, decontaminate.OP2_SQL),
     "op10_quality_classifier": (quality.op10_quality_classifier, None),
+    "op5_language_id": (langid.op5_language_id, None),
 }
