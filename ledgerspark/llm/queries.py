@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from ledgerspark.llm import bpe, decontaminate, langid, quality
+from ledgerspark.llm import bpe, decontaminate, langid, quality, secrets
 
 CATALOG = {
     "op2_decontamination": (decontaminate.op2_decontamination, decontaminate.OP2_SQL),
     "op10_quality_classifier": (quality.op10_quality_classifier, None),
     "op5_language_id": (langid.op5_language_id, None),
     "op3_bpe": (bpe.op3_bpe, None),
+    "op9_secret_scan": (secrets.op9_secret_scan, None),
 }
