@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerspark.llm import bpe, decontaminate, langid, quality, secrets
+from ledgerspark.llm import bpe, decontaminate, langid, quality, secrets, warc
 
 CATALOG = {
     "op2_decontamination": (decontaminate.op2_decontamination, decontaminate.OP2_SQL),
@@ -10,4 +10,5 @@ CATALOG = {
     "op5_language_id": (langid.op5_language_id, None),
     "op3_bpe": (bpe.op3_bpe, None),
     "op9_secret_scan": (secrets.op9_secret_scan, None),
+    "op1_warc": (warc.op1_warc, warc.OP1_SQL),
 }
