@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerspark.llm import bpe, decontaminate, langid, quality, secrets, warc
+from ledgerspark.llm import bpe, decontaminate, langid, quality, secrets, urls, warc
 
 CATALOG = {
     "op2_decontamination": (decontaminate.op2_decontamination, decontaminate.OP2_SQL),
@@ -11,4 +11,5 @@ CATALOG = {
     "op3_bpe": (bpe.op3_bpe, None),
     "op9_secret_scan": (secrets.op9_secret_scan, None),
     "op1_warc": (warc.op1_warc, warc.OP1_SQL),
+    "op4_url_filter": (urls.op4_url_filter, None),
 }
