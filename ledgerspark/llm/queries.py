@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerspark.llm import ann, bpe, decontaminate, langid, lattice, quality, secrets, urls, warc
+from ledgerspark.llm import ann, bpe, decontaminate, langid, lattice, neardup, quality, secrets, urls, warc
 
 CATALOG = {
     "op2_decontamination": (decontaminate.op2_decontamination, decontaminate.OP2_SQL),
@@ -14,4 +14,5 @@ CATALOG = {
     "op4_url_filter": (urls.op4_url_filter, None),
     "op7_nearest_neighbours": (ann.op7_nearest_neighbours, None),
     "op6_lattice_likelihood": (lattice.op6_lattice_likelihood, None),
+    "op8_near_duplicates": (neardup.op8_near_duplicates, None),
 }
