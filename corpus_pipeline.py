@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from ledgerspark.llm import bpe, decontaminate, neardup, quality, secrets  # noqa: E402
+from ledgerspark.llm import bitmap, bpe, decontaminate, neardup, quality, secrets  # noqa: E402
 from ledgerspark.llm.common import materialise, table, work_path  # noqa: E402
 
 
@@ -53,7 +53,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     kept = keep.select(F.col("k.id").alias("id"), F.col("k.h").alias("h")).distinct()
     # rows of classes of one document never leave their executor: the bitmap is of fixed size, and exact joins follow
     grouped = found.select("id", "h").distinct()
-    bits = materialise(neardup.bitmap(grouped, F.xxhash64("id", "h")), "pipeline-bitmap")
+    bits = materialise(bitmap.bitmap(grouped, F.xxhash64("id", "h")), "pipeline-bitmap")
     keyed = docs.withColumn("__id", F.col("doc_id").cast("long")).withColumn("__h", F.xxhash64(F.col("text").cast("string")))
     slot = F.xxhash64("__id", "__h")
 
@@ -61,8 +61,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
         return keyed["__id"].eqNullSafe(right["id"]) & (keyed["__h"] == right["h"])
 
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    alone = neardup.maybe_in(keyed, slot, bits, negate=True).select(*columns)
-    maybe = neardup.maybe_in(keyed, slot, bits)
+    alone = bitmap.maybe_in(keyed, slot, bits, negate=True).select(*columns)
+    maybe = bitmap.maybe_in(keyed, slot, bits)
     also_alone = maybe.join(grouped, same(grouped), "left_anti").select(*columns)
     # of rows that repeat id and text one stays: further columns may differ, the smallest row decides
     one = maybe.join(kept, same(kept), "left_semi").groupBy("__id", "__h").agg(

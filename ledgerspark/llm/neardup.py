@@ -36,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ledgerspark.llm.bitmap import bitmap, maybe_in
 from ledgerspark.llm.blocks import mix, text_blocks, window_hashes, word_hashes, word_spans
 from ledgerspark.llm.common import materialise, table
 from ledgerspark.llm.components import connected_components
@@ -44,7 +45,6 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 8
 REGISTERS = BANDS * ROWS
-BITMAP_BITS = 1 << 23
 _C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03), np.uint64(0x8CB92BA72F3D8DD7)
 
 
@@ -202,22 +202,6 @@ def _verify(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Reco
                                          names=["a", "b"])
 
 
-def bitmap(keys: DataFrame, column: Column) -> DataFrame:
-    """A fixed-size bitmap of hashed keys as rows (``word``, ``bits``): at most ``BITMAP_BITS`` / 64."""
-    slot = F.pmod(column, F.lit(BITMAP_BITS))
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int"))
-    return keys.select(F.shiftright(slot, 6).alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
-
-
-def maybe_in(rows: DataFrame, column: Column, bits: DataFrame, negate: bool = False) -> DataFrame:
-    """Rows whose key may be in the bitmap (or surely is not, with ``negate``), without a shuffle of ``rows``."""
-    slot = F.pmod(column, F.lit(BITMAP_BITS))
-    test = F.getbit(F.col("bits"), (slot % 64).cast("int")) == 1
-    joined = rows.join(F.broadcast(bits), F.shiftright(slot, 6) == F.col("word"), "left" if negate else "inner")
-    hit = F.coalesce(test, F.lit(False))
-    return joined.filter(~hit if negate else hit).drop("word", "bits")
-
-
 def _row_key() -> Column:
     return F.xxhash64("id", "h")
 

@@ -11,7 +11,7 @@ through a record parser that honours Content-Length; memory holds one record.
 
 ``assemble`` joins the records of a capture through their concurrent-to identifiers:
 one shuffle on the response's record id, one nested row per capture. Requests and
-metadata that name no present response form rows of their own with a null response.
+metadata that name no present response form rows of their own, whose response has null fields.
 
 Payload groups: of the rows with equal payloads of at least ``least_bytes`` the one
 with the largest page id is the response and the others revisit it (rows that repeat
@@ -35,7 +35,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import table, work_path
+from ledgerspark.llm.bitmap import bitmap, maybe_in
+from ledgerspark.llm.common import materialise, table, work_path
 
 # The format's version line, line ends and the revisit profile.
 VERSION = "WARC/1.1"
@@ -62,11 +63,17 @@ def deduplicated(pages: DataFrame, page_id: str = "page_id", url: str = "url", h
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"),
                         F.coalesce(F.col(html).cast("string"), F.lit("")).cast("binary").alias("payload")
                         ).withColumn("digest", base32_sha1(F.col("payload")))
-    kept = rows.filter(F.octet_length("payload") >= least_bytes).groupBy(F.col("digest").alias("d")).agg(
-        F.max("page_id").alias("stored"), F.count(F.lit(1)).alias("n")).filter("n > 1 and stored is not null")
-    stored = F.when(~F.col("stored").eqNullSafe(F.col("page_id")), F.col("stored"))
-    return rows.join(kept, rows["digest"] == kept["d"], "left").select(
-        "page_id", "url", "payload", "digest", stored.alias("refers_to"))
+    repeated = materialise(
+        rows.filter(F.octet_length("payload") >= least_bytes).groupBy(F.col("digest").alias("d")).agg(
+            F.max("page_id").alias("stored"), F.count(F.lit(1)).alias("n")).filter("n > 1 and stored is not null")
+        .select("d", "stored"), "warc-repeated")
+    # pages whose digest surely stands once are written from where they are read
+    bits = materialise(bitmap(repeated, F.xxhash64("d")), "warc-bitmap")
+    alone = maybe_in(rows, F.xxhash64("digest"), bits, negate=True).withColumn("refers_to", F.lit(None).cast("long"))
+    stored = F.when(~F.col("stored").eqNullSafe(F.col("page_id")), F.col("stored")).alias("refers_to")
+    shared = maybe_in(rows, F.xxhash64("digest"), bits).join(repeated, F.col("digest") == F.col("d"), "left").select(
+        "page_id", "url", "payload", "digest", stored)
+    return alone.unionByName(shared)
 
 
 def _record(kind: str, record_id: Column, content_type: str, headers: list[Column], block: Column) -> Column:
@@ -229,8 +236,9 @@ def assemble(records: DataFrame) -> DataFrame:
     grouped = linked.groupBy("capture_id").agg(
         *picked, F.collect_list(F.when(F.col("warc_type") == "request", small)).alias("requests"),
         F.collect_list(F.when(F.col("warc_type") == "metadata", small)).alias("metadata"))
-    return grouped.select("capture_id", F.when(F.col("r_record_id").isNotNull(), F.struct(
-        *(F.col(f"r_{f}").alias(f) for f in fields))).alias("response"), "requests", "metadata")
+    # a plain struct: a query that reads some fields of it carries only those through the shuffle
+    return grouped.select("capture_id", F.struct(*(F.col(f"r_{f}").alias(f) for f in fields)).alias("response"),
+                          "requests", "metadata")
 
 
 def field(records: Column, name: str) -> Column:
