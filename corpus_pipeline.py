@@ -19,7 +19,7 @@ from __future__ import annotations
 import os
 import sys
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -33,7 +33,7 @@ def _with_text(docs: DataFrame, columns: list[str]) -> DataFrame:
     if "n_chars" in columns:
         kind = docs.schema["n_chars"].dataType
         docs = docs.withColumn("n_chars", F.length("text").cast(kind))
-    return docs.select(*columns)
+    return docs.select(*(F.col(f"`{c}`") for c in columns))
 
 
 def _carried(docs: DataFrame) -> DataFrame:
@@ -54,19 +54,18 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     # rows of classes of one document never leave their executor: the bitmap is of fixed size, and exact joins follow
     grouped = found.select("id", "h").distinct()
     bits = materialise(bitmap.bitmap(grouped, F.xxhash64("id", "h")), "pipeline-bitmap")
-    keyed = docs.withColumn("__id", F.col("doc_id").cast("long")).withColumn("__h", F.xxhash64(F.col("text").cast("string")))
-    slot = F.xxhash64("__id", "__h")
+    keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+                        F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("h"))
+    slot = F.xxhash64("id", "h")
 
-    def same(right: DataFrame) -> F.Column:
-        return keyed["__id"].eqNullSafe(right["id"]) & (keyed["__h"] == right["h"])
+    def same(right: DataFrame) -> Column:
+        return keyed["id"].eqNullSafe(right["id"]) & (keyed["h"] == right["h"])
 
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    alone = bitmap.maybe_in(keyed, slot, bits, negate=True).select(*columns)
+    alone = bitmap.maybe_in(keyed, slot, bits, negate=True).select("row.*")
     maybe = bitmap.maybe_in(keyed, slot, bits)
-    also_alone = maybe.join(grouped, same(grouped), "left_anti").select(*columns)
+    also_alone = maybe.join(grouped, same(grouped), "left_anti").select("row.*")
     # of rows that repeat id and text one stays: further columns may differ, the smallest row decides
-    one = maybe.join(kept, same(kept), "left_semi").groupBy("__id", "__h").agg(
-        F.min(F.struct(*columns)).alias("row")).select("row.*")
+    one = maybe.join(kept, same(kept), "left_semi").groupBy("id", "h").agg(F.min("row").alias("row")).select("row.*")
     return alone.unionByName(also_alone).unionByName(one)
 
 

@@ -35,7 +35,7 @@ DICT_BYTES = 48 << 10
 SLICE_BYTES = 512
 LEVEL = 5
 MIN_MATCH = 4
-MARGIN = 0.01
+MARGIN = 3  # bytes; a long text learns itself, so the margin is not taken relative to its size
 UNDETERMINED = "und"
 _OTHER = regex.compile(r"\P{L}+")
 
@@ -105,9 +105,8 @@ class Classifier:
         sizes = self.sizes(letters.encode("utf-8", "surrogatepass"))
         best = min(range(len(sizes)), key=sizes.__getitem__)
         second = min(s for k, s in enumerate(sizes) if k != best)
-        margin = (second - sizes[best]) / second
         weights = np.exp2(np.clip((sizes[best] - np.array(sizes, float)) / 2, -60, 0))
-        return self.languages[best], float(weights[best] / weights.sum()), margin < MARGIN
+        return self.languages[best], float(weights[best] / weights.sum()), second - sizes[best] < MARGIN
 
 
 def _classify(batches: Iterator[pa.RecordBatch], model: dict[str, tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
