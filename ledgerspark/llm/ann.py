@@ -8,7 +8,7 @@ the sample so that ``TARGET_RECALL`` of true neighbours are met.
 
 The sample (``SAMPLE`` rows by least hash of the id, more if more parts need it, at most
 ``MAX_SAMPLE``) is the only thing that is bounded; parts grow in number with the
-table. A part is dealt out in blocks of about ``BLOCK`` rows and ``QUERY_BLOCK`` queries,
+square root of the table. A part is dealt out in blocks of about ``BLOCK`` rows and ``QUERY_BLOCK`` queries,
 each pair of blocks one group, so that a part of any size, or a third of all rows
 being one vector, spreads over many tasks. Within a block equal vectors are
 compared once. Scores are inner products in double precision of the original
@@ -35,7 +35,7 @@ from ledgerspark.llm.common import materialise, table
 
 K = 20
 SAMPLE, MAX_SAMPLE = 8192, 65_536
-ROWS_PER_PART = 2048
+PARTS_FACTOR = 12  # parts: the largest power of two up to sqrt(rows) / PARTS_FACTOR
 SAMPLE_PER_PART = 64
 GRAPH_K = 12
 TARGET_RECALL = 0.95
@@ -213,7 +213,8 @@ def _search(k: int):
         ids, x = ids[order], x[order]
         # equal vectors once: places of each distinct one, smallest ids first
         _, first, inverse = np.unique(np.ascontiguousarray(x + 0.0).view(f"V{8 * x.shape[1]}").ravel(), return_index=True, return_inverse=True)
-        distinct, by = x[first], np.argsort(inverse, kind="stable")
+        distinct, by = x[first], np.lexsort((ids, inverse))
+        by = by[np.concatenate([[True], (inverse[by[1:]] != inverse[by[:-1]]) | (ids[by[1:]] != ids[by[:-1]])])]
         start = np.searchsorted(inverse[by], np.arange(len(first) + 1))
         out_q, out_i, out_s = [], [], []
         for a in range(0, len(q), 256):
@@ -231,8 +232,10 @@ def _search(k: int):
             rr, found, value, asker = rr[keep], found[keep], value[keep], asker[keep]
             best = np.lexsort((found, -value, rr))
             rr, found, value, asker = rr[best], found[best], value[best], asker[best]
-            nth = np.arange(len(rr)) - np.searchsorted(rr, rr, "left")
-            keep = nth < 2 * k  # repeated ids may hold several places
+            _, once = np.unique(np.stack([rr, found]), axis=1, return_index=True)  # repeated ids: their best score
+            once.sort()
+            rr, found, value, asker = rr[once], found[once], value[once], asker[once]
+            keep = np.arange(len(rr)) - np.searchsorted(rr, rr, "left") < k
             out_q.append(asker[keep])
             out_i.append(found[keep])
             out_s.append(value[keep])
@@ -258,7 +261,7 @@ def search(vectors: DataFrame, queries: Column, key: str = "vec_id", vector: str
         return spark.createDataFrame([], result)
     rows = rows.filter(F.size("v") == sizes["dim"])
     parts = 1
-    while parts * ROWS_PER_PART < sizes["count"] and 2 * parts * SAMPLE_PER_PART <= MAX_SAMPLE:
+    while 2 * parts * PARTS_FACTOR <= sizes["count"] ** 0.5 and 2 * parts * SAMPLE_PER_PART <= MAX_SAMPLE:
         parts *= 2
     bound = min(MAX_SAMPLE, max(SAMPLE, SAMPLE_PER_PART * parts))
     sample = rows.select(F.xxhash64("id").alias("h"), "v").orderBy("h").limit(bound)

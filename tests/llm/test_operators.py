@@ -358,7 +358,7 @@ def test_lattice_counts_and_base_scores(spark, vocab, monkeypatch):
 # --- 7: neighbours --------------------------------------------------------------------------------------------------
 
 def test_neighbours_recall_ties_and_odd_vectors(spark, monkeypatch):
-    monkeypatch.setattr(ann, "ROWS_PER_PART", 200)
+    monkeypatch.setattr(ann, "PARTS_FACTOR", 4)
     monkeypatch.setattr(ann, "BLOCK", 128)
     monkeypatch.setattr(ann, "QUERY_BLOCK", 16)
     rng = np.random.default_rng(3)
