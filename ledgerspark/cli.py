@@ -129,7 +129,7 @@ def main(argv: list[str] | None = None) -> None:
 
     from ledgerspark.session import get_spark
 
-    spark = get_spark()
+    spark = get_spark(cluster=True)
     if args.command == "report":
         run_report(spark, args)
     else:

@@ -38,6 +38,25 @@ CLUSTER_CONF = {
 }
 
 
+def session_conf(master: str | None = None, shuffle_partitions: int | None = None, extra: dict | None = None,
+                 cluster: bool = False, preset=None) -> dict[str, str]:
+    """The settings a session is built with.
+
+    A master is set only when one is passed (or named by ``SPARK_MASTER``), so that
+    ``spark-submit --master`` decides otherwise. With ``cluster`` the settings for large
+    inputs are added; what ``preset`` (a ``SparkConf``) already holds wins over both.
+    """
+    conf = {**DEFAULT_CONF, **(CLUSTER_CONF if cluster else {})}
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if preset is not None:
+        conf = {k: v for k, v in conf.items() if not preset.contains(k)}
+    chosen = master or os.environ.get("SPARK_MASTER")
+    if chosen:
+        conf["spark.master"] = chosen
+    return {**conf, **(extra or {})}
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app: str = "ledgerspark", extra: dict | None = None, cluster: bool = False) -> SparkSession:
     """Build (or reuse) a session with AQE on and the UI off.
@@ -46,21 +65,13 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     leave them unset and pass ``cluster=True`` for ``CLUSTER_CONF`` (settings
     the submit configuration already sets win).
     """
-    b = SparkSession.builder.appName(app)
-    if master or not os.environ.get("SPARK_MASTER"):
-        b = b.master(master or os.environ.get("SPARK_MASTER", "local[8]"))
-    conf = dict(DEFAULT_CONF)
-    if cluster:
-        conf.update(CLUSTER_CONF)
-    if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
+    preset = None
     if cluster:
         from pyspark import SparkConf
 
         preset = SparkConf()  # values from spark-submit / spark-defaults take precedence
-        conf = {k: v for k, v in conf.items() if not preset.contains(k)}
-    for k, v in conf.items():
+    b = SparkSession.builder.appName(app)
+    for k, v in session_conf(master, shuffle_partitions, extra, cluster, preset).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -70,11 +81,14 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must already be set (a folder every executor can reach);
-    only when it is unset, as in local tests, a fresh local folder is created.
+    It must be a folder that every executor can reach. Only a local master may leave it unset:
+    then, as in tests, a fresh local folder is created; any other master raises.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="ledgerspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -4,10 +4,14 @@ Files are scanned as text only (every column STRING, so ``01234567890`` keeps
 its zero). A CSV file's header is its first record; headers are resolved once
 per distinct raw header (a *signature*, see ``headers.resolve_header``), and all
 files of one signature are read by a single CSV scan, renamed positionally and
-unioned by name with the other signatures. The only data that reaches the
-driver is one header row per landed file.
+unioned by name with the other signatures. Headers are grouped by signature on the
+executors; the driver gets one row per signature, with the paths its scan needs.
 
-Order key for "first row" semantics (S6): ``(source_rank, file name, file block
+Files are split like any text (``multi_line=True`` reads records that span lines, at
+one task per file). A record wider than its header, or a quote left open at a line end,
+fails the scan; shorter records end in nulls.
+
+Order key for "first row" semantics (S6): ``(source_rank, file path, file block
 start, row position)``; the position comes from ``monotonically_increasing_id``
 and is only ever compared inside one file block.
 """
@@ -19,8 +23,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerspark.functions.dates import parse_movement_timestamp
+from ledgerspark.functions.keys import as_text
 from ledgerspark.sources import headers as H
-from ledgerspark.sources.landing import list_files
+from ledgerspark.sources.landing import landing_filter, list_files, list_landing
 
 # The five status exports, in the order they are concatenated.
 STATUS_FILES = [
@@ -40,7 +45,7 @@ REGISTRY_ALIASES = {"CPF/CNPJ": "cpf_cnpj", "Nome/Razão Social": "nome"}
 NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
              "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 EXPORT_SCHEMA = "documento string, devedor string, data string, fonte string, unique_id string"
-MAX_COLUMNS = 64
+BAD_RECORD = "_bad"
 
 
 class MissingSourceError(FileNotFoundError):
@@ -51,10 +56,27 @@ def _string_schema(n: int) -> T.StructType:
     return T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(n)])
 
 
-def _csv(spark: SparkSession, header: bool, n: int = MAX_COLUMNS):
-    return (spark.read.format("csv").schema(_string_schema(n)).option("header", header).option("multiLine", True)
+def _csv(spark: SparkSession, n: int, multi_line: bool):
+    schema = _string_schema(n).add(BAD_RECORD, T.StringType())
+    return (spark.read.format("csv").schema(schema).option("header", True).option("multiLine", multi_line)
             .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
-            .option("encoding", "UTF-8"))
+            .option("columnNameOfCorruptRecord", BAD_RECORD).option("encoding", "UTF-8")
+            .option("columnPruning", False))  # a pruned parse would not count the cells of a record
+
+
+def _well_formed(n: int) -> Column:
+    """True, or an error for a record with more than ``n`` cells or an open quote.
+
+    Records of another width than the header arrive with their raw text; those are looked at only.
+    """
+    raw = F.col(BAD_RECORD)
+    quotes = F.length(raw) - F.length(F.replace(raw, F.lit('"'), F.lit("")))
+    unquoted = F.regexp_replace(raw, '"(?:[^"]|"")*"', "")
+    commas = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit("")))
+    where = F.concat(F.lit(" in "), F.col("_metadata.file_path"), F.lit(": "), raw)
+    open_quote = F.raise_error(F.concat(F.lit("quote left open at the line end (read with multi_line=True)"), where))
+    wide = F.raise_error(F.concat(F.lit(f"more than the header's {n} cells"), where))
+    return F.when(quotes % 2 == 1, open_quote).when(commas >= n, wide).otherwise(F.lit(True))
 
 
 def null_tokens(c: Column, tokens: tuple[str, ...] = NA_TOKENS) -> Column:
@@ -69,54 +91,46 @@ def _open_binary(path: str):
     return open_input(path)
 
 
-def first_csv_record(path: str, chunk: int = 1 << 16, limit: int = 1 << 24) -> list[str]:
-    """The first CSV record of a file, reading only as many bytes as it spans."""
+def first_csv_record(path: str) -> list[str]:
+    """The first CSV record of a file that is not blank; no more of the file is read than that takes."""
     import csv
     import io
 
-    data = b""
     with _open_binary(path) as f:
-        while True:
-            more = f.read(chunk)
-            data += more
-            text = data.decode("utf-8", errors="replace")
-            if text.startswith("\ufeff"):
-                text = text[1:]
-            rows = csv.reader(io.StringIO(text, newline=""))
-            first = next(rows, [])
-            complete = next(rows, None) is not None
-            if complete or not more or len(data) >= limit:
-                return first
-            chunk *= 2
+        lines = io.TextIOWrapper(f, encoding="utf-8-sig", errors="replace", newline="")
+        return next((row for row in csv.reader(lines) if any(cell.strip() for cell in row)), [])
 
 
 def _header_batches(batches):
     import pandas as pd
 
     for pdf in batches:
-        heads = [first_csv_record(p) for p in pdf["path"]]
-        yield pd.DataFrame({"path": pdf["path"], "header": heads})
+        yield pd.DataFrame({"path": pdf["path"], "header": [first_csv_record(p) for p in pdf["path"]]})
 
 
-def csv_headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
-    """First record of every file, read in parallel from the head of each file only.
+def header_signatures(listing: DataFrame) -> DataFrame:
+    """``header, paths``: the distinct first records of the listed CSV files and the files of each.
 
-    One row per file comes back to the driver; file bodies are never scanned here.
+    Read in parallel from the head of each file; grouped before anything reaches the driver.
     """
-    if not paths:
-        return {}
     from ledgerspark.session import ship_package
 
-    ship_package(spark)
+    ship_package(listing.sparkSession)
+    heads = listing.select("path").mapInPandas(_header_batches, "path string, header array<string>")
+    return heads.groupBy("header").agg(F.array_sort(F.collect_list("path")).alias("paths"))
+
+
+def csv_headers(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files per raw header, from the given paths."""
+    if not paths:
+        return {}
     n = max(1, min(len(paths), spark.sparkContext.defaultParallelism))
     listed = spark.createDataFrame([(p,) for p in paths], "path string").repartition(n)
-    heads = listed.mapInPandas(_header_batches, "path string, header array<string>")
-    return {r.path: list(r.header) for r in heads.collect()}
+    return {tuple(r.header): list(r.paths) for r in header_signatures(listed).collect()}
 
 
 def scan_csv(spark: SparkSession, paths: list[str], aliases: dict[str, str] = H.ALL_ALIASES,
-             header_rows: dict[str, list[str]] | None = None,
-             tags: dict[str, tuple] | None = None) -> DataFrame | None:
+             tags: dict[str, tuple] | None = None, multi_line: bool = False) -> DataFrame | None:
     """SRC3 + SCH1-SCH5 over many CSV files whose headers may differ.
 
     Files are grouped by ``(tag, raw header)``; each group is one CSV scan whose
@@ -127,18 +141,18 @@ def scan_csv(spark: SparkSession, paths: list[str], aliases: dict[str, str] = H.
     """
     if not paths:
         return None
-    header_rows = header_rows if header_rows is not None else csv_headers(spark, paths)
     groups: dict[tuple, list[str]] = {}
-    for path in paths:
-        key = ((tags or {}).get(path, ()), tuple(header_rows.get(path, ())))
-        groups.setdefault(key, []).append(path)
+    for raw, files in csv_headers(spark, paths).items():
+        for path in files:
+            groups.setdefault(((tags or {}).get(path, ()), raw), []).append(path)
     parts = []
     for (tag, raw), files in sorted(groups.items(), key=lambda kv: min(kv[1])):
         names, keep = H.resolve_header(list(raw), aliases)
-        df = _csv(spark, header=True, n=max(len(raw), 1)).load(sorted(files))
-        cols = [null_tokens(F.col(f"_c{i}")).alias(n) for n, i in zip(names, keep)]
+        n = max(len(raw), 1)
+        df = _csv(spark, n, multi_line).load(sorted(files)).where(_well_formed(n))
+        cols = [null_tokens(F.col(f"_c{i}")).alias(name) for name, i in zip(names, keep)]
         consts = [F.lit(v).alias(k) for k, v in tag]
-        parts.append(df.select(*cols, *consts, F.col("_metadata.file_name").alias("_file"),
+        parts.append(df.select(*cols, *consts, F.col("_metadata.file_path").alias("_file"),
                                F.col("_metadata.file_block_start").alias("_block"),
                                F.monotonically_increasing_id().alias("_pos")))
     out = parts[0]
@@ -160,8 +174,6 @@ def missing_sources(spark: SparkSession, folder: str, files=STATUS_FILES) -> Dat
     """
     import re
 
-    from ledgerspark.sources.landing import landing_filter, list_landing
-
     base = folder.split(":", 1)[-1].rstrip("/")
     while base.startswith("//"):
         base = base[1:]
@@ -186,7 +198,8 @@ def _status_of(path: str, folder: str, files) -> tuple | None:
 
 
 def scan_status_exports(spark: SparkSession, folder: str, files=STATUS_FILES,
-                        aliases: dict[str, str] = H.ALL_ALIASES) -> tuple[DataFrame, list[str]]:
+                        aliases: dict[str, str] = H.ALL_ALIASES,
+                        multi_line: bool = False) -> tuple[DataFrame, list[str]]:
     """SRC3/SRC5/SRC6/UN1: all present status files as one canonical export ledger.
 
     A status "file" may be a single CSV or a folder of CSV parts (as Spark
@@ -202,7 +215,7 @@ def scan_status_exports(spark: SparkSession, folder: str, files=STATUS_FILES,
             tags[path] = t
     present = {dict(t)["fonte"] for t in tags.values()}
     missing = [name for _, fonte, name in files if fonte not in present]
-    union = scan_csv(spark, sorted(tags), aliases, tags=tags)
+    union = scan_csv(spark, sorted(tags), aliases, tags=tags, multi_line=multi_line)
     if union is None:
         out = empty_exports(spark).withColumn("source_rank", F.lit(None).cast("int"))
         out = out.withColumn("ord", F.struct(F.lit(None).cast("string").alias("file"),
@@ -217,18 +230,19 @@ def scan_status_exports(spark: SparkSession, folder: str, files=STATUS_FILES,
                         ord_.alias("ord")), missing
 
 
-def _table_scan(spark: SparkSession, path: str, fmt: str, skip_rows: int, aliases: dict[str, str]) -> DataFrame:
+def _table_scan(spark: SparkSession, path: str, fmt: str, skip_rows: int, aliases: dict[str, str],
+                multi_line: bool = False) -> DataFrame:
+    if skip_rows and fmt != "workbook":
+        raise ValueError(f"preamble rows are a workbook feature; {fmt} has no skip_rows")
     if fmt == "workbook":
         from ledgerspark.sources.workbook import read_workbooks
 
-        df = read_workbooks(spark, path, skip_rows=skip_rows)
-        names, keep = H.resolve_header([c for c in df.columns if not c.startswith("_")], aliases)
-        data_cols = [c for c in df.columns if not c.startswith("_")]
-        out = df.select(*[null_tokens(F.col(f"`{data_cols[i]}`")).alias(n) for n, i in zip(names, keep)],
-                        F.struct(F.col("_file").alias("file"), F.col("_row").alias("row")).alias("ord"))
-        return out
+        wanted = list(dict.fromkeys(aliases.values()))
+        df = read_workbooks(spark, path, skip_rows=skip_rows, columns=wanted, aliases=aliases)
+        return df.select(*[null_tokens(F.col(n)).alias(n) for n in wanted],
+                         F.struct(F.col("_file").alias("file"), F.col("_row").alias("row")).alias("ord"))
     if fmt == "csv":
-        df = scan_csv(spark, list_files(spark, path, suffix=".csv"), aliases)
+        df = scan_csv(spark, list_files(spark, path, suffix=".csv"), aliases, multi_line=multi_line)
         if df is None:
             raise MissingSourceError(path)
         ord_ = F.struct(F.col("_file").alias("file"), F.col("_block").alias("block"), F.col("_pos").alias("pos"))
@@ -236,34 +250,41 @@ def _table_scan(spark: SparkSession, path: str, fmt: str, skip_rows: int, aliase
     if fmt == "parquet":
         df = spark.read.parquet(path)
         names, keep = H.resolve_header(df.columns, aliases)
-        return df.select(*[F.col(f"`{df.columns[i]}`").cast("string").alias(n) for n, i in zip(names, keep)],
-                         F.struct(F.col("_metadata.file_name").alias("file"),
+        fields = [df.schema.fields[i] for i in keep]
+        # typed columns are rendered before anything looks at them as text: a float key keeps its digits
+        return df.select(*[as_text(F.col(f"`{f.name}`"), f.dataType).alias(n) for n, f in zip(names, fields)],
+                         F.struct(F.col("_metadata.file_path").alias("file"),
                                   F.col("_metadata.row_index").alias("row")).alias("ord"))
     raise ValueError(f"unsupported format {fmt!r}")
 
 
 def require(spark: SparkSession, path: str) -> str:
     """SRC7: abort before planning when a required ledger is absent."""
-    if not list_files(spark, path):
+    if landing_filter(list_landing(spark, path), suffixes=None).isEmpty():
         raise MissingSourceError(f"required ledger not found: {path}")
     return path
 
 
-def scan_movements(spark: SparkSession, path: str, fmt: str = "workbook") -> DataFrame:
+def _with_columns(df: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    return df.withColumns({c: F.lit(None).cast("string") for c in names if c not in df.columns})
+
+
+def scan_movements(spark: SparkSession, path: str, fmt: str = "workbook", multi_line: bool = False) -> DataFrame:
     """SRC1: movement register -> ``id, documento, tipo, data_hora, ord`` (data_hora parsed)."""
-    df = _table_scan(spark, require(spark, path), fmt, 0, MOVEMENT_ALIASES)
-    for c in ("id", "documento", "tipo", "data_hora"):
-        if c not in df.columns:
-            df = df.withColumn(c, F.lit(None).cast("string"))
+    df = _with_columns(_table_scan(spark, require(spark, path), fmt, 0, MOVEMENT_ALIASES, multi_line),
+                       ("id", "documento", "tipo", "data_hora"))
     return df.select("id", "documento", "tipo", parse_movement_timestamp(F.col("data_hora")).alias("data_hora"),
                      "ord")
 
 
-def scan_registry(spark: SparkSession, path: str, fmt: str = "workbook",
-                  skip_rows: int = REGISTRY_PREAMBLE_ROWS) -> DataFrame:
-    """SRC2: customer registry (header after ``skip_rows`` preamble rows) -> ``cpf_cnpj, nome, ord``."""
-    df = _table_scan(spark, require(spark, path), fmt, skip_rows, REGISTRY_ALIASES)
-    for c in ("cpf_cnpj", "nome"):
-        if c not in df.columns:
-            df = df.withColumn(c, F.lit(None).cast("string"))
+def scan_registry(spark: SparkSession, path: str, fmt: str = "workbook", skip_rows: int | None = None,
+                  multi_line: bool = False) -> DataFrame:
+    """SRC2: customer registry -> ``cpf_cnpj, nome, ord``.
+
+    A workbook's header follows ``skip_rows`` preamble rows (sheet rows, blank ones count;
+    ``REGISTRY_PREAMBLE_ROWS`` unless given); other formats have no preamble.
+    """
+    skip = (REGISTRY_PREAMBLE_ROWS if fmt == "workbook" else 0) if skip_rows is None else skip_rows
+    df = _with_columns(_table_scan(spark, require(spark, path), fmt, skip, REGISTRY_ALIASES, multi_line),
+                       ("cpf_cnpj", "nome"))
     return df.select("cpf_cnpj", "nome", "ord")

@@ -9,16 +9,17 @@ the first of equal names.
 from __future__ import annotations
 
 import html
-from collections import Counter
+import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# UTF-7 residues seen in exported headers and their decoding.
-UTF7_QUOTE = "+ACI-"
-UTF7_DASH = "+AC0-"
-UTF7_BROKEN_BOM = "+//3//f/9-"
-UTF7_BROKEN_A_TILDE = "+//3//Q-"
+# Residues in exported headers and the text that each stands for.
+RESIDUES = {
+    "+ACI-": "",
+    "+AC0-": "-",
+    "\"": "",
+}
 
 # Canonical column names per header spelling (current intake).
 CURRENT_ALIASES = {
@@ -31,18 +32,20 @@ CURRENT_ALIASES = {
 }
 # The legacy intake also maps the UTF-7 residue spellings.
 LEGACY_ALIASES = {
-    UTF7_BROKEN_BOM + "Unique ID": "unique_id",
+    "+//3//f/9-Unique ID": "unique_id",
     "Documento": "documento",
     "Devedor": "devedor",
-    "Data Inclus" + UTF7_BROKEN_A_TILDE + "o": "data",
+    "Data Inclus+//3//Q-o": "data",
 }
 ALL_ALIASES = {**CURRENT_ALIASES, **LEGACY_ALIASES}
 
+_RESIDUE = re.compile("|".join(map(re.escape, RESIDUES)))
+
 
-def decode_header(name: str) -> str:
-    """SCH1 for one name: entities, ``+ACI-`` dropped, ``+AC0-`` -> ``-``, quotes dropped, strip."""
-    s = html.unescape(name if name is not None else "")
-    return s.replace(UTF7_QUOTE, "").replace(UTF7_DASH, "-").replace('"', "").strip()
+def decode_header(name: str | None) -> str:
+    """SCH1 for one name: entities decoded, then every residue of the table in one pass, edges stripped."""
+    text = html.unescape(name or "")
+    return _RESIDUE.sub(lambda m: RESIDUES[m.group()], text).strip()
 
 
 def decode_headers(names: list[str]) -> list[str]:
@@ -50,16 +53,14 @@ def decode_headers(names: list[str]) -> list[str]:
     return [decode_header(n) for n in names]
 
 
-def dedup_headers(names: list[str]) -> list[str]:
-    """SCH2: the n-th repeat of a name gets ``.n-1``; unchanged when there are no repeats."""
-    if len(set(names)) == len(names):
-        return list(names)
-    seen: Counter = Counter()
-    out = []
-    for n in names:
-        seen[n] += 1
-        out.append(n if seen[n] == 1 else f"{n}.{seen[n] - 1}")
-    return out
+def dedup_headers(names: list[str | None]) -> list[str]:
+    """SCH2: position by position, the n-th occurrence of a name is named ``<name>.<n-1>`` (the first stays).
+
+    A missing name counts as the empty one.
+    """
+    plain = ["" if n is None else n for n in names]
+    earlier = [plain[:i].count(n) for i, n in enumerate(plain)]
+    return [f"{n}.{k}" if k else n for n, k in zip(plain, earlier, strict=True)]
 
 
 def alias_headers(names: list[str], aliases: dict[str, str] = ALL_ALIASES) -> list[str]:
@@ -82,8 +83,7 @@ def resolve_header(raw: list[str], aliases: dict[str, str] = ALL_ALIASES) -> tup
 
     Returns the final names and the column positions they come from.
     """
-    read_names = dedup_headers([n if n is not None else "" for n in raw])
-    names = alias_headers(dedup_headers(decode_headers(read_names)), aliases)
+    names = alias_headers(dedup_headers(decode_headers(dedup_headers(raw))), aliases)
     keep = first_of_duplicates(names)
     return [names[i] for i in keep], keep
 

@@ -27,13 +27,15 @@ INTAKE_SCHEMA = "path string, length bigint, ok boolean, reason string"
 
 
 def list_landing(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = True) -> DataFrame:
-    """Files under ``path`` as ``(path, name, length, modificationTime)``; empty if absent."""
+    """Files under ``path`` as ``(path, name, length, modificationTime)``; empty if the path does not exist."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     try:
         df = reader.load(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], "path string, name string, length bigint, modificationTime timestamp")
     return df.select("path", F.element_at(F.split("path", "/"), -1).alias("name"), "length", "modificationTime")
 
@@ -108,7 +110,9 @@ def intake_check(spark: SparkSession, path: str, glob: str = "*.xlsx") -> DataFr
     listing = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True)
     try:
         files = listing.load(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], INTAKE_SCHEMA)
     files = files.where(~F.col("path").endswith(PARTIAL_DOWNLOAD_SUFFIX))
     from ledgerspark.session import ship_package

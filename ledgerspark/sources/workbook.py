@@ -2,7 +2,10 @@
 
 ``spark.read.format("workbook").option("skipRows", 8).load(path)`` reads the
 first sheet of every workbook under ``path``: one input partition per file,
-all cells as text, the header row taken after ``skipRows`` preamble rows.
+all cells as text, the header being the first row with a cell after ``skipRows``
+sheet rows (blank rows count). Blank rows between data rows are rows of nulls.
+Workbooks may differ in their headers: each file's columns are found by its own
+header, and the columns are those asked for, or the union over all files.
 Paths may be local or any scheme ``pyarrow.fs`` opens (``hdfs://``, ``s3a://`` …).
 Each output row also carries ``_file`` and ``_row`` (sheet row number), the
 exact "file order" key. Cells are decoded the way a spreadsheet reader shows
@@ -15,10 +18,12 @@ an incremental XML parse), so no extra package is needed on the executors.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import posixpath
 import re
 import zipfile
 from collections.abc import Iterator
+from itertools import islice
 from xml.etree.ElementTree import iterparse
 
 from pyspark.sql import DataFrame, SparkSession
@@ -176,21 +181,19 @@ def _open_zip(path: str) -> zipfile.ZipFile:
 
 
 def read_header(path: str, skip_rows: int = 0) -> list[str]:
+    """The cells of the first row with a cell after ``skip_rows`` sheet rows."""
     with _open_zip(path) as zf:
-        for i, (_, cells) in enumerate(_Book(zf).rows()):
-            if i == skip_rows:
-                return [c if c is not None else "" for c in cells]
-    return []
+        return next((["" if c is None else c for c in cells] for r, cells in _Book(zf).rows() if r > skip_rows), [])
 
 
-def _dedup(names: list[str]) -> list[str]:
-    seen: dict[str, int] = {}
-    out = []
-    for n in names:
-        k = seen.get(n, 0)
-        seen[n] = k + 1
-        out.append(n if k == 0 else f"{n}.{k}")
-    return out
+def _positions(header: list[str | None], aliases: dict[str, str] | None) -> dict[str, int]:
+    """Column name -> position in this file: resolved by ``aliases``, else the header's own names."""
+    from ledgerspark.sources import headers as H
+
+    if aliases is None:
+        return {n: i for i, n in enumerate(H.dedup_headers(header))}
+    names, keep = H.resolve_header(header, aliases)
+    return dict(zip(names, keep, strict=True))
 
 
 class _FilePartition(InputPartition):
@@ -199,31 +202,43 @@ class _FilePartition(InputPartition):
         self.path = path
 
 
+BATCH_ROWS = 4096
+
+
 class WorkbookReader(DataSourceReader):
-    def __init__(self, paths: list[str], skip_rows: int, names: list[str]):
-        self.paths, self.skip_rows, self.names = paths, skip_rows, names
+    def __init__(self, paths: list[str], skip_rows: int, names: list[str], aliases: dict[str, str] | None):
+        self.paths, self.skip_rows, self.names, self.aliases = paths, skip_rows, names, aliases
 
     def partitions(self):
         return [_FilePartition(p) for p in self.paths]
 
-    def read(self, partition):
-        path = partition.path
+    def _rows(self, path: str) -> Iterator[tuple]:
         with _open_zip(path) as zf:
-            positions = None
-            for i, (r, cells) in enumerate(_Book(zf).rows()):
-                if i < self.skip_rows:
+            positions, last = None, 0
+            for r, cells in _Book(zf).rows():
+                if r <= self.skip_rows:
                     continue
-                if i == self.skip_rows:
-                    header = _dedup([c if c is not None else "" for c in cells])
-                    index = {n: j for j, n in enumerate(header)}
+                if positions is None:
+                    index = _positions(cells, self.aliases)
                     positions = [index.get(n) for n in self.names]
-                    continue
-                vals = [cells[j] if j is not None and j < len(cells) else None for j in positions]
-                yield (*vals, path.rsplit("/", 1)[-1], r)
+                else:
+                    for blank in range(last + 1, r):
+                        yield (*[None] * len(positions), path, blank)
+                    yield (*[cells[j] if j is not None and j < len(cells) else None for j in positions], path, r)
+                last = r
+
+    def read(self, partition):
+        import pyarrow as pa
+
+        kinds = pa.schema([*[(n, pa.string()) for n in self.names], ("_file", pa.string()), ("_row", pa.int64())])
+        rows = self._rows(partition.path)
+        while batch := list(islice(rows, BATCH_ROWS)):
+            columns = [pa.array(c, f.type) for c, f in zip(zip(*batch, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, schema=kinds)
 
 
 class WorkbookDataSource(DataSource):
-    """Options: ``skipRows`` (preamble rows before the header, default 0)."""
+    """Options: ``skipRows`` (sheet rows before the header, default 0), ``aliases`` and ``columns`` (JSON)."""
 
     @classmethod
     def name(cls) -> str:
@@ -235,15 +250,21 @@ class WorkbookDataSource(DataSource):
     def _skip(self) -> int:
         return int(self.options.get("skipRows", self.options.get("skiprows", "0")))
 
+    def _aliases(self) -> dict[str, str] | None:
+        return json.loads(self.options["aliases"]) if "aliases" in self.options else None
+
     def schema(self):
-        paths = self._paths()
-        names = _dedup(read_header(paths[0], self._skip())) if paths else []
+        if "columns" in self.options:
+            names = json.loads(self.options["columns"])
+        else:
+            found = [_positions(read_header(p, self._skip()), self._aliases()) for p in self._paths()]
+            names = list(dict.fromkeys(n for f in found for n in f))
         return StructType([StructField(n, StringType()) for n in names]
                           + [StructField("_file", StringType()), StructField("_row", LongType())])
 
     def reader(self, schema: StructType):
         names = [f.name for f in schema.fields if f.name not in ("_file", "_row")]
-        return WorkbookReader(self._paths(), self._skip(), names)
+        return WorkbookReader(self._paths(), self._skip(), names, self._aliases())
 
 
 def register(spark: SparkSession) -> None:
@@ -253,10 +274,20 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(WorkbookDataSource)
 
 
-def read_workbooks(spark: SparkSession, path: str, skip_rows: int = 0) -> DataFrame:
-    """All workbooks under ``path`` (first sheet, header after ``skip_rows`` rows)."""
+def read_workbooks(spark: SparkSession, path: str, skip_rows: int = 0, columns: list[str] | None = None,
+                   aliases: dict[str, str] | None = None) -> DataFrame:
+    """All workbooks under ``path`` (first sheet, header after ``skip_rows`` sheet rows).
+
+    With ``aliases`` each file's header is resolved to canonical names on the executor that reads it;
+    with ``columns`` no header is read on the driver.
+    """
     register(spark)
-    return spark.read.format(SOURCE_NAME).option("skipRows", skip_rows).load(path)
+    reader = spark.read.format(SOURCE_NAME).option("skipRows", skip_rows)
+    if columns is not None:
+        reader = reader.option("columns", json.dumps(columns))
+    if aliases is not None:
+        reader = reader.option("aliases", json.dumps(aliases))
+    return reader.load(path)
 
 
 # ---------------------------------------------------------------- writer (one workbook per partition)
