@@ -1,7 +1,7 @@
 """Near-duplicate classes by ProbMinHash, banding and verification.
 
 A text is the weighted set of its shingles (``SHINGLE`` lower-cased words; a text of
-fewer words is one shingle), weight 1 + ln(count). Every shingle starts a Poisson process
+fewer words is one shingle), weight 1 + ``REPEAT_WEIGHT`` * ln(count). Every shingle starts a Poisson process
 whose rate is its weight; its arrivals hit the registers in a pseudo-random order, and a
 register keeps the shingle that arrives first. Arrivals are drawn in rounds for all
 shingles at once and a shingle stops when its next arrival comes after the latest
@@ -11,11 +11,13 @@ on a register with the probability Jaccard similarity of their weights.
 Texts of equal shingle multisets become one node first, so exact copies, however many,
 cost one comparison. Bands of ``ROWS`` registers are bucket keys. In a bucket, members are
 compared with a leader instead of with each other; members that are not joined to the
-leader's class are compared with further leaders, twice as many each round, until every
-member of a bucket has met a leader of each class in it or is one itself. Each
-comparison is verified on the whole sets (32-bit shingle hashes): similarity ``SIMILARITY``
-or more, as probability Jaccard or as plain Jaccard of the sets. Classes are the
-connected components of the verified links.
+leader's class meet further leaders, four times as many each round, until every
+member of a bucket has met a leader of each class in it or is one itself. Four bits
+of every register estimate the similarity of such a pair; a pair whose estimate lies more than
+``SIGMAS`` standard deviations below ``SIMILARITY`` goes no further. Each other one is verified
+on the whole sets (32-bit shingle hashes): similarity ``SIMILARITY`` or more, as probability
+Jaccard or as plain Jaccard of the sets. Classes are the connected components of the
+verified links.
 
 Shuffles carry band keys, and the sets of those texts only that share a bucket with
 another; a bitmap of fixed size keeps all other texts on their executors.
@@ -29,6 +31,7 @@ ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from hashlib import blake2b
 
 import numpy as np
@@ -43,8 +46,11 @@ from ledgerspark.llm.components import connected_components
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 32, 8
-REGISTERS = BANDS * ROWS
+REPEAT_WEIGHT = 0.1  # low, so that the estimate serves the plain Jaccard similarity of the sets as well
+BANDS, ROWS = 32, 8  # the bands take the first BANDS * ROWS registers, the estimate takes all
+REGISTERS = 512
+PLANES, PLANE = 4, REGISTERS // 64
+SIGMAS = 4
 _C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03), np.uint64(0x8CB92BA72F3D8DD7)
 
 
@@ -76,7 +82,7 @@ def _chain(words: np.ndarray) -> int:
 
 
 def weights(counts: np.ndarray) -> np.ndarray:
-    return 1 + np.log(counts)
+    return 1 + REPEAT_WEIGHT * np.log(counts)
 
 
 def signatures(row: np.ndarray, key: np.ndarray, weight: np.ndarray, rows: int) -> np.ndarray:
@@ -120,19 +126,37 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
     return out
 
 
+def sketches(sig: np.ndarray) -> np.ndarray:
+    """The low ``PLANES`` bits of every register as bit planes: ``rows`` x ``PLANES`` * ``PLANE`` longs."""
+    planes = [np.packbits(((sig >> np.uint64(k)) & np.uint64(1)).astype(np.uint8), axis=1, bitorder="little").view(np.int64)
+              for k in range(PLANES)]
+    return np.concatenate(planes, axis=1)
+
+
+def may_be_similar(a: Column, b: Column, least: float) -> Column:
+    """Whether two sketches differ in no more registers than pairs of similarity ``least`` do (to ``SIGMAS``)."""
+    p = (1 - least) * (1 - 0.5 ** PLANES)  # registers of different shingles may agree in all planes by chance
+    most = REGISTERS * p + SIGMAS * (REGISTERS * p * (1 - p)) ** 0.5
+    differ = [F.bit_count(reduce(Column.bitwiseOR, [a[j * PLANE + k].bitwiseXOR(b[j * PLANE + k]) for j in range(PLANES)]))
+              for k in range(PLANE)]
+    return sum(differ[1:], differ[0]) <= int(most)
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, text hash, text) rows to (id, text hash, digest of the shingle multiset, band keys); no words: nulls."""
+    """(id, text hash, text) rows to (id, text hash, digest of the shingle multiset, band keys, sketch); no words: nulls."""
     for batch in batches:
         for i, j, buf, offs in text_blocks(batch.column(2)):
             row, key, count = shingles(buf, offs)
-            bands = band_keys(signatures(row, key, weights(count), j - i)).view(np.int64)
+            sig = signatures(row, key, weights(count), j - i)
+            bands, sketch = band_keys(sig).view(np.int64), sketches(sig)
+            lists = lambda v: pa.ListArray.from_arrays(
+                pa.array(np.arange(len(v) + 1, dtype=np.int32) * v.shape[1]), pa.array(v.ravel()))
             first = np.searchsorted(row, np.arange(j - i + 1))
             digests = [blake2b(key[a:b].tobytes() + count[a:b].tobytes(), digest_size=16).digest() if b > a else None
                        for a, b in zip(first[:-1], first[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(digests, pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(np.arange(j - i + 1, dtype=np.int32) * BANDS), pa.array(bands.ravel()))],
-                names=["id", "h", "digest", "bands"])
+                 lists(bands), lists(sketch)], names=["id", "h", "digest", "bands", "sketch"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,15 +234,15 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", least: flo
     """``id, h, class_id, n_class``: per row its id, text hash, class (its smallest id) and the rows in that class."""
     rows = docs.select(F.col(key).cast("long").alias("id"), F.xxhash64(F.col(text).cast("string")).alias("h"),
                        F.col(text).cast("string").alias("text"))
-    signed = materialise(rows.mapInArrow(_sign, "id long, h long, digest binary, bands array<long>"), "dup-signed")
+    signed = materialise(rows.mapInArrow(_sign, "id long, h long, digest binary, bands array<long>, sketch array<long>"), "dup-signed")
     # one node per distinct multiset; its row key names the row whose text stands for it
     nodes = materialise(signed.filter("digest is not null").groupBy("digest").agg(
-        F.min_by("bands", F.struct("id", "h")).alias("bands"), F.min(F.struct("id", "h")).alias("row"),
+        F.min_by("bands", F.struct("id", "h")).alias("bands"), F.min_by("sketch", F.struct("id", "h")).alias("sketch"), F.min(F.struct("id", "h")).alias("row"),
         F.min("id").alias("first_id"), F.count(F.lit(1)).alias("n"))
         .withColumn("node", F.monotonically_increasing_id()), "dup-nodes")
     keys = nodes.select("node", F.explode("bands").alias("bucket"))
     shared = keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("bucket")
-    members = materialise(keys.join(shared, "bucket"), "dup-members")
+    members = materialise(keys.join(shared, "bucket").join(nodes.select("node", "sketch"), "node"), "dup-members")
     texts = nodes.select("node", "row.id", "row.h").join(members.select("node").distinct(), "node")
     wanted = materialise(texts, "dup-wanted")
     bits = materialise(bitmap(wanted, _row_key()), "dup-bitmap")
@@ -246,12 +270,14 @@ def _joined(members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     leaders = 1
     while True:
         # leaders: one node of each of the first classes of a bucket, by a hash that differs between buckets
-        first = open_.groupBy("bucket", "label").agg(F.min("node").alias("leader")).withColumn(
-            "turn", F.xxhash64("bucket", "leader"))
+        first = open_.groupBy("bucket", "label").agg(F.min(F.struct("node", "sketch")).alias("l")).select(
+            "bucket", "label", F.col("l.node").alias("leader"), F.col("l.sketch").alias("seen"),
+            F.xxhash64("bucket", "l.node").alias("turn"))
         order = Window.partitionBy("bucket").orderBy("turn", "leader")
         chosen = (first.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= leaders)
-                  .select(F.col("bucket").alias("at"), "leader", F.col("label").alias("led")))
-        pairs = open_.join(chosen, F.col("bucket") == F.col("at")).filter("label <> led").select(
+                  .select(F.col("bucket").alias("at"), "leader", "seen", F.col("label").alias("led")))
+        meets = (F.col("bucket") == F.col("at")) & (F.col("label") != F.col("led"))
+        pairs = open_.join(chosen, meets & may_be_similar(F.col("sketch"), F.col("seen"), least)).select(
             F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).groupBy("a", "b").count()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
@@ -266,7 +292,7 @@ def _joined(members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
         edges = held if label is None else held.unionByName(label.select(F.col("node").alias("a"), F.col("label").alias("b")))
         label = connected_components(edges, "dup-components")
         # members that have met a leader of every class in their bucket drop out with buckets of one class
-        now = members.join(label, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
+        now = members.join(label, "node", "left").select("bucket", "node", "sketch", F.coalesce("label", "node").alias("label"))
         mixed = now.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("bucket")
         open_ = materialise(now.join(mixed, "bucket"), "dup-open")
         leaders *= 4
