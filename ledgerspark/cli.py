@@ -19,10 +19,13 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerspark.plans.reports import REGISTER_LOOSE
+
 VARIANTS = ("current", "presence", "cnm_registry", "soa_registry")
 SINK_VARIANT = {"current": "current", "presence": "current", "cnm_registry": "cnm_registry",
                 "soa_registry": "soa_registry"}
 ACTIVE_STATUS = "Ativas"
+KEY_MODES = {"strict": "strict", "loose": "loose", "mixed": REGISTER_LOOSE}
 
 
 def ledgers(spark: SparkSession, landing: str, ledger_format: str, versioned: bool = False):
@@ -65,44 +68,79 @@ def build_report(mv: DataFrame, rg: DataFrame, se: DataFrame, variant: str, key_
 
 
 def write(report: DataFrame, out: str, variant: str, fmt: str, html: bool) -> None:
+    import time
+
     from ledgerspark.sources import sinks
     from ledgerspark.sources.workbook import write_workbooks
 
     target = f"{out.rstrip('/')}/resultado_{variant}"
-    if fmt == "xlsx":
-        write_workbooks(sinks.display_names(report, SINK_VARIANT[variant]), target).collect()
+    if fmt == "xlsx":  # a folder per run: parts of two results never mix
+        write_workbooks(sinks.display_names(report, SINK_VARIANT[variant]), f"{target}/run={time.time_ns()}").collect()
     else:
         sinks.write_result(report, target, fmt=fmt, variant=SINK_VARIANT[variant])
     if html:
         sinks.write_html_rows(report, f"{out.rstrip('/')}/linhas_{variant}")
 
 
+def gate(spark: SparkSession, args) -> None:
+    """The legacy variants start only when the intake check passes every workbook they read."""
+    from ledgerspark.sources import exports
+    from ledgerspark.sources.landing import intake_check
+
+    names = {"presence": (exports.MOVEMENTS_FILE, exports.REGISTRY_FILE), "cnm_registry": (exports.MOVEMENTS_FILE, exports.REGISTRY_FILE),
+             "soa_registry": (exports.REGISTRY_FILE,)}.get(args.variant, ())
+    if args.ledger_format != "workbook" or args.versioned:
+        return
+    for name in names:
+        bad = intake_check(spark, f"{args.landing.rstrip('/')}/{name}").where("not ok").select("path", "reason").first()
+        if bad is not None:
+            raise SystemExit(f"intake check failed: {bad.path}: {bad.reason}")
+
+
 def run_report(spark: SparkSession, args) -> None:
     from ledgerspark.plans import reports
 
+    gate(spark, args)
     mv, rg, se, missing = ledgers(spark, args.landing, args.ledger_format, args.versioned)
     for name in missing:
         print(f"[warning] status file not found: {name}", file=sys.stderr)
-    for row in reports.movement_status_counts(mv, rg, key_mode=args.key_mode).collect():
+    for row in reports.intake_report(mv, rg, se, KEY_MODES[args.key_mode]).orderBy("ledger").collect():
+        print(f"[intake] {row.ledger}\t{row['rows']} rows\t{row.blank_documents} blank documents\t"
+              f"{row.unreadable_dates} unreadable dates", file=sys.stderr)
+    for row in reports.movement_status_counts(mv, rg, key_mode=KEY_MODES[args.key_mode]).collect():
         print(f"{row.status}\t{row['count']}")
-    write(build_report(mv, rg, se, args.variant, args.key_mode), args.out, args.variant, args.format, args.html)
+    write(build_report(mv, rg, se, args.variant, KEY_MODES[args.key_mode]), args.out, args.variant, args.format, args.html)
 
 
 def run_watch(spark: SparkSession, args) -> None:
+    """Refresh whenever files land. A versioned landing is a file stream; a flat one, whose workbooks are
+    overwritten in place, is compared with the listing of the last good refresh."""
+    import time
+
     from ledgerspark.session import checkpoint_dir
     from ledgerspark.streaming import refresh
 
     out = args.out.rstrip("/")
-    files = refresh.watch_landing(spark, args.landing, glob=args.glob, recursive=args.versioned)
+    result, log = f"{out}/resultado_{args.variant}", f"{out}/refresh_log"
+    root = args.checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/watch-{args.variant}"
 
     def build(s: SparkSession) -> DataFrame:
         mv, rg, se, _ = ledgers(s, args.landing, args.ledger_format, args.versioned)
-        return build_report(mv, rg, se, args.variant, args.key_mode)
-
-    ckpt = args.checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/watch-{args.variant}"
-    trigger = {"availableNow": True} if args.once else {"processingTime": f"{args.every} seconds"}
-    q = refresh.refresh_report(files, build, f"{out}/resultado_{args.variant}", f"{out}/refresh_log", ckpt, trigger)
-    q.awaitTermination()
+        return build_report(mv, rg, se, args.variant, KEY_MODES[args.key_mode])
+
+    if args.versioned:
+        files = refresh.watch_landing(spark, args.landing, glob=args.glob, recursive=True)
+        trigger = {"availableNow": True} if args.once else {"processingTime": f"{args.every} seconds"}
+        refresh.refresh_report(files, build, result, log, root, trigger).awaitTermination()
+        return
+    while True:
+        changed, listing = refresh.landing_changes(spark, args.landing, f"{root}/listing", glob=args.glob)
+        n = changed.count()
+        if n and refresh.refresh_once(spark, build, result, log, time.time_ns(), n):
+            refresh.remember_landing(listing, f"{root}/listing")
+        if args.once:
+            return
+        time.sleep(args.every)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -114,7 +152,8 @@ def main(argv: list[str] | None = None) -> None:
         c.add_argument("--out", required=True)
         c.add_argument("--variant", choices=VARIANTS, default="current")
         c.add_argument("--ledger-format", choices=("workbook", "csv", "parquet"), default="workbook")
-        c.add_argument("--key-mode", choices=("strict", "loose"), default="strict")
+        c.add_argument("--key-mode", choices=tuple(KEY_MODES), default="strict",
+                       help="mixed: loose keys for the two registers, strict ones for the exports")
         c.add_argument("--versioned", action="store_true",
                        help="landing holds ledger=<CNM|SGP|SOA>/load_ts=<ts>/ folders; use the newest of each")
     rep = sub.choices["report"]

@@ -1,10 +1,12 @@
 """FN6 ``format_movement_date``: movement timestamps rendered ``dd/MM/yyyy HH:mm``.
 
-Text input is parsed day-first (``d/M/yyyy[ H:mm[:ss]]``), then as ISO
+Text input is stripped and parsed day-first (``d/M/yyyy[ H:mm[:ss]]``), month-first
+where the second number can only be a day (``01/13/2024``), then as ISO
 (``yyyy-MM-dd[ HH:mm[:ss]]``); anything else, or an impossible date, is null
-instead of aborting the run. Parsing and formatting work on the wall-clock
-fields of ``TIMESTAMP_NTZ`` values, so the session time zone never shifts a
-value (no daylight-saving gaps). Both paths are native expressions.
+instead of aborting the run (``intake_report`` counts those). Parsing and formatting
+work on the wall-clock fields of ``TIMESTAMP_NTZ`` values, so the session time zone
+never shifts a value (no daylight-saving gaps). Both paths are native expressions: one
+test and one split of the text per layout.
 """
 
 from __future__ import annotations
@@ -13,30 +15,30 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerspark.functions.keys import strip_text
+
 # Accepted input layouts and the output layout.
-DAY_FIRST = r"^(\d{1,2})/(\d{1,2})/(\d{4})(?:[ T](\d{1,2}):(\d{2})(?::(\d{2})(?:\.\d+)?)?)?$"
-ISO = r"^(\d{4})-(\d{1,2})-(\d{1,2})(?:[ T](\d{1,2}):(\d{2})(?::(\d{2})(?:\.\d+)?)?)?$"
+CLOCK = r"(?:[ T]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?)?$"
+DAY_FIRST = r"^\d{1,2}/\d{1,2}/\d{4}" + CLOCK
+ISO = r"^\d{4}-\d{1,2}-\d{1,2}" + CLOCK
 OUTPUT_FORMAT = "dd/MM/yyyy HH:mm"
 
 
-def _fields(text: Column, pattern: str, order: tuple[int, int, int]) -> list[Column]:
-    y, m, d = (F.regexp_extract(text, pattern, i) for i in order)
-    h, mi, s = (F.regexp_extract(text, pattern, i) for i in (4, 5, 6))
-
-    def num(c: Column) -> Column:
-        return F.when(c == "", F.lit(0)).otherwise(c.try_cast("int"))
-
-    return [num(y), num(m), num(d), num(h), num(mi), num(s)]
-
-
 def parse_movement_timestamp(c: Column | str) -> Column:
     """Lenient day-first parse of a text timestamp -> TIMESTAMP_NTZ (null if unparseable)."""
     c = F.col(c) if isinstance(c, str) else c
-    text = F.trim(c.cast("string"))
-    day_first = F.try_make_timestamp_ntz(*_fields(text, DAY_FIRST, (3, 2, 1)))
-    iso = F.try_make_timestamp_ntz(*_fields(text, ISO, (1, 2, 3)))
-    return (F.when(F.regexp_like(text, F.lit(DAY_FIRST)), day_first)
-            .when(F.regexp_like(text, F.lit(ISO)), iso))
+    text = strip_text(c.cast("string"))
+    parts = F.split(text, "[^0-9]+")
+
+    def number(i: int) -> Column:
+        return F.coalesce(F.get(parts, F.lit(i)).try_cast("int"), F.lit(0))
+
+    clock = [number(3), number(4), number(5)]
+    first, second = number(0), number(1)
+    swapped = (second > 12) & (first <= 12)
+    day, month = F.when(swapped, second).otherwise(first), F.when(swapped, first).otherwise(second)
+    return (F.when(F.regexp_like(text, F.lit(DAY_FIRST)), F.try_make_timestamp_ntz(number(2), month, day, *clock))
+            .when(F.regexp_like(text, F.lit(ISO)), F.try_make_timestamp_ntz(first, second, number(2), *clock)))
 
 
 def render_timestamp(ts: Column) -> Column:

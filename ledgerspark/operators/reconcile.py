@@ -72,43 +72,18 @@ def registry_key_rows(df: DataFrame, key: Column) -> DataFrame:
     return df.select(key.alias(DOC))
 
 
-# Bytes a broadcast key costs in the join's hash table (a short string row plus hashing overhead).
-BROADCAST_BYTES_PER_KEY = 64
-
-
-def _broadcast_key_budget(df: DataFrame) -> int:
-    """How many keys may be broadcast: the session's broadcast threshold over the per-key cost."""
-    raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip().lower()
-    units = {"k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30, "b": 1}
-    num, unit = raw, ""
-    for u in sorted(units, key=len, reverse=True):
-        if raw.endswith(u):
-            num, unit = raw[: -len(u)], u
-            break
-    threshold = int(float(num) * units.get(unit, 1))
-    return max(threshold, 0) // BROADCAST_BYTES_PER_KEY
-
-
 def with_registry_flag(df: DataFrame, key: Column, registry_keys: DataFrame, flag: str = "in_registry") -> DataFrame:
     """JN3: add a membership flag of ``key`` in a key set, keeping every row of ``df`` exactly once.
 
-    The key side is counted first (one pass over the smaller ledger):
-
-    * within the broadcast budget, its distinct keys are broadcast and left-joined:
-      one pass over ``df``, no shuffle of it, so a hot document costs nothing extra;
-    * beyond it, ``left_semi`` (flag true) ∪ ``left_anti`` (flag false) against the raw
-      key rows: neither join multiplies rows, both inputs stay plain shuffle reads
-      that the two joins share, and AQE splits a skewed probe partition in both.
+    One lazy left join with the distinct keys; the optimizer broadcasts them when they
+    are small. The distinct also groups by the key's length, which the key decides, so that
+    its partitioning is not taken for the join's: both join inputs are then plain shuffle
+    reads, and AQE splits a skewed document of ``df``.
     """
-    probe = df.withColumn("_k", key)
-    keys = registry_keys.select(F.col(DOC).alias("_k"))
-    if keys.count() <= _broadcast_key_budget(df):
-        small = F.broadcast(keys.distinct().withColumn(flag, F.lit(True)))
-        out = probe.join(small, "_k", "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
-        return out.drop("_k")
-    hit = probe.join(keys, "_k", "left_semi").withColumn(flag, F.lit(True))
-    miss = probe.join(keys, "_k", "left_anti").withColumn(flag, F.lit(False))
-    return hit.unionByName(miss).drop("_k")
+    k = F.col(DOC)
+    keys = registry_keys.select(k.alias("_k"), F.length(k).alias("_n")).distinct()
+    out = df.withColumn("_k", key).join(keys.select("_k", F.lit(True).alias(flag)), "_k", "left")
+    return out.withColumn(flag, F.coalesce(F.col(flag), F.lit(False))).drop("_k")
 
 
 def flag_documents(per_document: DataFrame, registry_keys: DataFrame, flag: str = "in_registry") -> DataFrame:
@@ -170,26 +145,29 @@ def reconcile(*ledgers: Ledger) -> DataFrame:
     return out
 
 
-def first_rows(df: DataFrame, key: Column, payload: list[str], order: list[str]) -> DataFrame:
+def first_rows(df: DataFrame, key: Column, payload: list[str], order: list[str],
+               count_non_null: tuple[str, ...] = ()) -> DataFrame:
     """AG1: first row per document by ``order``; one row per document.
 
+    For the columns in ``count_non_null`` the same aggregation counts the non-null rows (``<col>_n``).
+
     ``min_by`` over a struct is merged map-side, so a document with a third of
     all rows costs one partial row per task before the shuffle.
     """
-    row = F.min_by(F.struct(*[F.col(c) for c in payload]), F.struct(*[F.col(c) for c in order]))
+    row = F.min_by(F.struct(*[F.col(f"_in_{c}").alias(c) for c in payload]), F.struct(*[F.col(f"_in_{c}") for c in order]))
     return (
-        df.select(key.alias(DOC), *[F.col(c) for c in set(payload) | set(order)])
+        df.select(key.alias(DOC), *[F.col(c).alias(f"_in_{c}") for c in sorted({*payload, *order, *count_non_null})])
         .groupBy(DOC)
-        .agg(row.alias("_first"))
-        .select(DOC, *[F.col(f"_first.{c}").alias(c) for c in payload])
+        .agg(row.alias("_first"), *[F.count(f"_in_{c}").alias(f"{c}_n") for c in count_non_null])
+        .select(DOC, *[F.col(f"_first.{c}").alias(c) for c in payload], *[f"{c}_n" for c in count_non_null])
     )
 
 
 def full_outer(left: DataFrame, right: DataFrame, left_flag: str, right_flag: str) -> DataFrame:
     """JN4-JN6: full outer join of two one-row-per-document relations with presence flags.
 
-    Both sides are already hash-partitioned by the key after their aggregation,
-    so the sort-merge join adds no exchange.
+    Both sides come hash-partitioned by the key from their aggregation. A full join's output is
+    not (either side's key may be null), so a further join on its key adds an exchange.
     """
     lf = left.withColumn(left_flag, F.lit(True))
     rf = right.withColumn(right_flag, F.lit(True))

@@ -22,6 +22,7 @@ from ledgerspark.operators.status import BAIXADO, ERRO, NEGATIVADO
 
 # Page size and the dashboard captions per status.
 PAGE_SIZE = 25
+TOP_PAGES = 40
 TAG_PATTERN = r"<[^>]*>"
 SUBTITLES = {
     "current": {
@@ -113,10 +114,18 @@ def _running_window():
 
 def page_rows(df: DataFrame, page: int, by: list[tuple[str, bool]], tie_breaker: str | None = "documento",
               size: int = PAGE_SIZE) -> DataFrame:
-    """UI3: page ``page`` (1-based) of ``size`` rows of the ordered view (a top-k plan)."""
+    """UI3: page ``page`` (1-based) of ``size`` rows of the ordered view.
+
+    The first ``TOP_PAGES`` pages are a top-k plan, in which every task keeps the rows up to the page's
+    end. Later pages are the range of global positions (``with_positions``), which no task has to gather.
+    """
     if page < 1:
         raise ValueError("pages start at 1")
-    return df.orderBy(*_ordering(by, tie_breaker)).offset(size * (page - 1)).limit(size)
+    start = size * (page - 1)
+    if page <= TOP_PAGES:
+        return df.orderBy(*_ordering(by, tie_breaker)).offset(start).limit(size)
+    placed = with_positions(df, by, tie_breaker, position="_pos")
+    return placed.where((F.col("_pos") >= start) & (F.col("_pos") < start + size)).orderBy("_pos").drop("_pos")
 
 
 def facet_values(df: DataFrame, columns: tuple[str, ...], keep_empty: bool = False) -> DataFrame:

@@ -8,6 +8,7 @@ lazy DataFrame with ASCII column names that match its oracle.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,6 +71,9 @@ PAGE = 2
 FACET_CHOICE = {"status": "baixado"}
 SUBTITLE_CHOICE = {"status": "negativado"}
 SUBTITLE_ORDER = [("id", False)]
+DEEP_PAGE, DEEP_PAGE_SIZE = 101, 5
+SINCE = "2024-01-15"
+TAG = "BUILDING"
 CURRENT_COLUMNS = ["id", "documento", "nome", "data", "tipo", "local", "status"]
 # Status files of the concat test: which columns each export lacks.
 EXPORT_FILES = [("Ativas", ()), ("Baixadas", ("devedor",)), ("Pendentes", ()), ("Determinacao", ()),
@@ -213,8 +217,25 @@ def _html_rows(spark: SparkSession, d: str) -> DataFrame:
     return sinks.html_rows(_q1(spark, d), CURRENT_COLUMNS)
 
 
+def _q1_reference_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Q1 with a key mode per ledger: loose for the two registers, strict for the exports."""
+    return reports.unified_report(*_ledgers(spark, d), key_mode=reports.REGISTER_LOOSE)
+
+
+def _intake_report(spark: SparkSession, d: str) -> DataFrame:
+    return reports.intake_report(*_ledgers(spark, d))
+
+
+def _deep_page(spark: SparkSession, d: str) -> DataFrame:
+    return views.page_rows(_q1(spark, d), DEEP_PAGE, SORT_BY, size=DEEP_PAGE_SIZE)
+
+
 def _extract_predicates(spark: SparkSession, d: str) -> DataFrame:
-    return files.extract_movements(fx.movements(spark, d)).select("id", "documento", "tipo")
+    return files.extract_movements(fx.movements(spark, d), SINCE).select("id", "documento", "tipo")
+
+
+def _extract_registry(spark: SparkSession, d: str) -> DataFrame:
+    return files.extract_registry(fx.customers(spark, d), TAG).select("cpf_cnpj", "nome")
 
 
 def _landed(spark: SparkSession, d: str) -> str:
@@ -252,28 +273,153 @@ def _scan_movements(spark: SparkSession, d: str) -> DataFrame:
                                                                      mv.schema["data_hora"].dataType).alias("data"))
 
 
+def _header_rows(batches):
+    """(ledger file, raw header) rows with the header each scan resolves it to."""
+    from ledgerspark.sources import exports, headers
+
+    own = {"Relatorio_CNM.csv": exports.MOVEMENT_ALIASES, "Relatorio_SGP.csv": exports.REGISTRY_ALIASES}
+    for pdf in batches:
+        pdf["columns"] = ["|".join(headers.resolve_header(list(h), own.get(f, headers.ALL_ALIASES))[0])
+                          for f, h in zip(pdf["ledger_file"], pdf["header"])]
+        pdf["raw_header"] = pdf["header"].map("|".join)
+        yield pdf[["ledger_file", "raw_header", "columns"]]
+
+
 def _header_ops(spark: SparkSession, d: str) -> DataFrame:
     """SCH1-SCH5 on the landed files: one row per distinct (ledger file, raw header)."""
-    from ledgerspark.sources import exports, headers
-    from ledgerspark.sources.landing import list_files
+    from ledgerspark.sources import exports, landing
 
     folder = _landed(spark, d)
-    raw = exports.csv_headers(spark, list_files(spark, folder, suffix=".csv"))
-    rows = set()
-    for path, cells in raw.items():
-        ledger = path.split(folder.split(":")[-1].rstrip("/") + "/", 1)[-1].split("/", 1)[0]
-        aliases = {"Relatorio_CNM.csv": exports.MOVEMENT_ALIASES,
-                   "Relatorio_SGP.csv": exports.REGISTRY_ALIASES}.get(ledger, headers.ALL_ALIASES)
-        names, _ = headers.resolve_header(cells, aliases)
-        rows.add((ledger, "|".join(cells), "|".join(names)))
-    return spark.createDataFrame(sorted(rows), "ledger_file string, raw_header string, columns string")
+    listing = landing.landing_filter(landing.list_landing(spark, folder), suffixes=(".csv",))
+    signatures = exports.header_signatures(listing)
+    files_ = signatures.select(F.explode("paths").alias("path"), "header").select(
+        F.regexp_extract("path", "/([^/]+)/[^/]+$", 1).alias("ledger_file"), "header").distinct()
+    return files_.mapInPandas(_header_rows, "ledger_file string, raw_header string, columns string")
+
+
+def _spoil(kind: str):
+    """Copies of workbooks under another name: cut short, or with a byte of a member flipped."""
+    def write(batches):
+        import pandas as pd
+
+        from ledgerspark.sources.files import open_output
+
+        for pdf in batches:
+            for path, content in zip(pdf["target"], pdf["content"]):
+                data = bytearray(content)
+                if kind == "tiny":
+                    data = data[:100]
+                else:
+                    data[len(data) // 2] ^= 0xFF
+                with open_output(path) as f:
+                    f.write(bytes(data))
+            yield pd.DataFrame({"path": pdf["target"]})
+    return write
 
 
 def _intake_check(spark: SparkSession, d: str) -> DataFrame:
+    """SRC9 over the movements landed as workbooks, as they are, cut short, and damaged."""
     from ledgerspark.sources.landing import intake_check
+    from ledgerspark.sources.workbook import write_workbooks
+
+    folder = _scratch(spark, "intake")
+    rows = fx.movements(spark, d)
+    write_workbooks(rows.repartitionByRange("ord").select("id", "documento", "tipo", F.sha2("documento", 512).alias("filler")),
+                    f"{folder}/good").collect()
+    good = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(f"{folder}/good")
+    for kind in ("tiny", "damaged"):
+        target = F.concat(F.lit(f"{folder}/{kind}/"), F.element_at(F.split("path", "/"), -1))
+        good.select(target.alias("target"), "content").mapInPandas(_spoil(kind), "path string").collect()
+    checked = intake_check(spark, folder)
+    return checked.select(F.regexp_extract("path", "/([^/]+)/[^/]+$", 1).alias("file"), "ok",
+                          F.regexp_replace("reason", ":.*$", "").alias("reason")).distinct()
+
+
+def _q1_from_parquet(spark: SparkSession, d: str) -> DataFrame:
+    """SRC1/SRC2 over typed Parquet ledgers: the registry's documents are doubles there."""
+    from ledgerspark.sources import exports
+
+    folder = _landed(spark, d)
+    digits = F.regexp_replace("cpf_cnpj", "[^0-9]", "").cast("double")
+    (fx.registry(spark, d).repartitionByRange("ord").sortWithinPartitions("ord")
+     .select(digits.alias("CPF/CNPJ"), F.col("nome").alias("Nome/Razão Social")).write.parquet(f"{folder}/Relatorio_SGP.parquet"))
+    mv = exports.scan_movements(spark, f"{folder}/Relatorio_CNM.csv", fmt="csv")
+    rg = exports.scan_registry(spark, f"{folder}/Relatorio_SGP.parquet", fmt="parquet")
+    se, _ = exports.scan_status_exports(spark, folder)
+    unpadded = rg.withColumn("cpf_cnpj", F.lpad(F.regexp_replace("cpf_cnpj", r"\.0$", ""), fx.DOC_WIDTH, "0"))
+    return reports.unified_report(mv, unpadded, se)
+
+
+def _scan_registry(spark: SparkSession, d: str) -> DataFrame:
+    """SRC2/SRC4: the registry from workbooks whose preamble holds blank rows."""
+    from ledgerspark.sources import exports
+
+    folder = fx.land_fixture_workbooks(spark, d, _scratch(spark, "landing-xlsx"))
+    return exports.scan_registry(spark, f"{folder}/Relatorio_SGP.xlsx").select("cpf_cnpj", "nome")
+
 
-    folder, *_ = _landed_ledgers(spark, d)
-    return intake_check(spark, folder, glob="*").select("length", "ok", "reason")
+def _partly_landed(spark: SparkSession, d: str, fontes: tuple[str, ...], folder: str) -> str:
+    """Some of the status exports as single CSV files, each named as its portal names it."""
+    from ledgerspark.sources.exports import STATUS_FILES
+
+    for _, fonte, name in STATUS_FILES:
+        if fonte in fontes:
+            fx.status_exports(spark, d, fontes=(fonte,)).select(F.col("documento").alias("Documento")).write.option(
+                "header", True).csv(f"{folder}/{name}")
+    return folder
+
+
+def _missing_sources(spark: SparkSession, d: str) -> DataFrame:
+    from ledgerspark.sources import exports
+
+    return exports.missing_sources(spark, _partly_landed(spark, d, ("Ativas", "Pendentes"), _scratch(spark, "missing")))
+
+
+def _empty_exports(spark: SparkSession, d: str) -> DataFrame:
+    """SRC8: a landing with both registers and no status export at all."""
+    from ledgerspark.sources import exports
+
+    folder = _scratch(spark, "no-exports")
+    fx.movements(spark, d).select(F.col("documento").alias("Documento")).write.option("header", True).csv(f"{folder}/Relatorio_CNM.csv")
+    se, _ = exports.scan_status_exports(spark, folder)
+    return se.select("documento", "devedor", "unique_id", "data", "fonte")
+
+
+def _top_names(listing: DataFrame) -> DataFrame:
+    return listing.select(F.regexp_extract("path", "/([^/]+)/[^/]+$", 1).alias("file")).distinct()
+
+
+def _new_files_since(spark: SparkSession, d: str) -> DataFrame:
+    from ledgerspark.sources import landing
+
+    folder = _partly_landed(spark, d, ("Ativas", "Pendentes"), _scratch(spark, "arrivals"))
+    before = landing.landing_filter(landing.list_landing(spark, folder))
+    before.write.parquet(f"{folder}-before")
+    _partly_landed(spark, d, ("Erros", "Baixadas"), folder)
+    after = landing.landing_filter(landing.list_landing(spark, folder))
+    return _top_names(landing.new_files_since(spark.read.parquet(f"{folder}-before"), after))
+
+
+def _landing_filter(spark: SparkSession, d: str) -> DataFrame:
+    """SRC10: CSV parts pass; Parquet parts, success markers and checksum files do not."""
+    from ledgerspark.sources import landing
+
+    folder = _partly_landed(spark, d, ("Ativas", "Erros"), _scratch(spark, "filter"))
+    fx.registry(spark, d).write.parquet(f"{folder}/Relatorio_SGP.parquet")
+    return _top_names(landing.landing_filter(landing.list_landing(spark, folder)))
+
+
+def _newest_versions(spark: SparkSession, d: str) -> DataFrame:
+    """STR2: three loads of the registry, the newest of which has the name that sorts first as text."""
+    from ledgerspark.sources import landing
+    from ledgerspark.streaming import refresh
+
+    root = _scratch(spark, "versions")
+    for load, tag in (("20240101", "HOUSEHOLD"), ("20240131T120000", "MACHINERY"), ("1700000000", "BUILDING")):
+        files.extract_registry(fx.customers(spark, d), tag).write.parquet(f"{root}/ledger=SGP/load_ts={load}")
+    listing = landing.list_landing(spark, root, glob="*.parquet")
+    paths = [r.path for r in refresh.newest_versions(listing).select("path").collect()]
+    return spark.read.parquet(*paths).select("cpf_cnpj", "nome", "tag")
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
@@ -284,6 +430,45 @@ def _scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+# State partitions of the registered streams; a production stream sets this for the state it will hold.
+STATE_PARTITIONS = 8
+
+
+@contextmanager
+def _state_partitions(spark: SparkSession, n: int):
+    """``spark.sql.shuffle.partitions`` for the start of a stream, which fixes its state's partitioning."""
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
+
+
+def _stream_changes(spark: SparkSession, d: str) -> DataFrame:
+    """STR4: the rows emitted by a second step that repeats the last movement rows of every document.
+
+    The repeated movements sort after the first ones and change nothing; the registry entries
+    of the segment that lands with them do.
+    """
+    from ledgerspark.streaming import refresh
+
+    root = _scratch(spark, "stream-changes")
+    mv, rg, se = _ledgers(spark, d)
+    late = rg.where(F.col("tag") == TAG)
+    steps = [(mv, rg.where(F.col("tag") != TAG), se), (mv.withColumn("ord", F.col("ord") + (1 << 40)), late, None)]
+    names = ("movements", "registry", "status_exports")
+    for i, step in enumerate(steps):
+        for name, df in zip(names, step):
+            if df is not None:
+                df.write.parquet(f"{root}/in/{name}/load={i}")
+        streams = [spark.readStream.schema(df.schema).parquet(f"{root}/in/{n}") for n, df in zip(names, (mv, rg, se))]
+        with _state_partitions(spark, STATE_PARTITIONS):
+            refresh.await_all(refresh.incremental_report(reports.unified_report(*streams), f"{root}/out", f"{root}/checkpoint"))
+    out = spark.read.parquet(f"{root}/out")
+    return out.where(F.col(refresh.BATCH_COLUMN) == 1).drop(refresh.BATCH_COLUMN)
+
+
 def _stream_incremental_report(spark: SparkSession, d: str) -> DataFrame:
     """STR4: the fixture lands in steps; the streaming Q1 state after the last step."""
     from ledgerspark.streaming import refresh
@@ -298,15 +483,8 @@ def _stream_incremental_report(spark: SparkSession, d: str) -> DataFrame:
         if report is None:
             streams = {n: spark.readStream.schema(schemas[n]).parquet(f"{root}/in/{n}") for n in schemas}
             report = reports.unified_report(streams["movements"], streams["registry"], streams["status_exports"])
-        # The state's partition count is fixed by the first run of a checkpoint: size it to the
-        # fixture (the cluster's parallelism), not to the session's batch shuffle setting.
-        previous = spark.conf.get("spark.sql.shuffle.partitions")
-        if i == 0:
-            spark.conf.set("spark.sql.shuffle.partitions", str(max(2, spark.sparkContext.defaultParallelism)))
-        try:
-            refresh.await_all(refresh.incremental_report(report, f"{root}/out", f"{root}/checkpoint"))
-        finally:
-            spark.conf.set("spark.sql.shuffle.partitions", previous)
+        with _state_partitions(spark, STATE_PARTITIONS):
+            refresh.await_all(refresh.incremental_report(report, f"{root}/out", f"{root}/checkpoint", compact_every=2))
     return refresh.current_status(spark.read.parquet(f"{root}/out"))
 
 
@@ -327,7 +505,7 @@ def _stream_refresh_report(spark: SparkSession, d: str) -> DataFrame:
     files = refresh.watch_landing(spark, folder, glob="*.csv", recursive=True)
     q = refresh.refresh_report(files, build, f"{root}/out", f"{root}/log", f"{root}/checkpoint")
     refresh.await_all(q)
-    return spark.read.parquet(f"{root}/out")
+    return refresh.published(spark, f"{root}/out", f"{root}/log")
 
 
 def _q1_from_workbooks(spark: SparkSession, d: str) -> DataFrame:
@@ -345,12 +523,33 @@ def _write_result(spark: SparkSession, d: str) -> DataFrame:
     """SNK1: Q1 written as CSV with the spreadsheet headers, read back as text."""
     path = _scratch(spark, "result-csv")
     sinks.write_result(_q1(spark, d), path, fmt="csv", variant="current")
-    back = spark.read.option("header", True).option("escape", '"').schema(
+    # a quoted empty cell is the empty document, an unquoted one a null: tell them apart when reading
+    back = spark.read.option("header", True).option("escape", '"').option("nullValue", "\u0000").schema(
         ", ".join(f"`{h}` string" for h in sinks.DISPLAY_NAMES["current"].values())).csv(path)
     names = {v: k for k, v in sinks.DISPLAY_NAMES["current"].items()}
     return back.select(*[F.col(f"`{c}`").alias(names[c]) for c in back.columns])
 
 
+# Literal results of the queries over landed file names, headers and damaged workbooks.
+MISSING_EXPECTED = [{"file": "Baixadas.csv", "source_rank": 2, "fonte": "Baixadas"},
+                    {"file": "Determinacao.csv", "source_rank": 4, "fonte": "Determinacao"},
+                    {"file": "Erros.csv", "source_rank": 5, "fonte": "Erros"}]
+INTAKE_EXPECTED = [{"file": "good", "ok": True, "reason": "ok"}, {"file": "tiny", "ok": False, "reason": "too_small"},
+                   {"file": "damaged", "ok": False, "reason": "bad_crc"}]
+HEADERS_EXPECTED = [
+    {"ledger_file": "Relatorio_CNM.csv", "raw_header": "Id|Documento|Tipo|Data / Hora", "columns": "id|documento|tipo|data_hora"},
+    {"ledger_file": "Relatorio_SGP.csv", "raw_header": "CPF/CNPJ|Nome/Razão Social", "columns": "cpf_cnpj|nome"},
+    {"ledger_file": "Ativas.csv", "raw_header": "+//3//f/9-Unique ID|+ACI-Documento+ACI-|Devedor|Data Inclus+//3//Q-o",
+     "columns": "unique_id|documento|devedor|data"},
+    {"ledger_file": "Baixadas.csv", "raw_header": "Documento|Devedor|Unique ID|Data Exclusão", "columns": "documento|devedor|unique_id|data"},
+    {"ledger_file": "Pendentes.csv", "raw_header": "Documento|Devedor|Unique ID|Data Inclusão|Data Exclusão",
+     "columns": "documento|devedor|unique_id|data"},
+    {"ledger_file": "Determinacao.csv", "raw_header": "Documento|Devedor|Unique ID|Data Inclusão|+ACI-Documento+ACI-|Data Exclusão",
+     "columns": "documento|devedor|unique_id|data|Documento.1"},
+    {"ledger_file": "Erros.csv", "raw_header": "Documento|Devedor|Unique ID|Data Inclusão", "columns": "documento|devedor|unique_id|data"},
+]
+
+
 def catalog() -> dict[str, tuple[Builder, str | None]]:
     return {
         "q1_unified_report": (_q1, sql.q1_sql()),
@@ -384,12 +583,24 @@ def catalog() -> dict[str, tuple[Builder, str | None]]:
         "view_subtitle": (_view_subtitle, sql.view_subtitle_sql(SUBTITLE_CHOICE, SUBTITLE_ORDER,
                                                                   views.SUBTITLES["current"])),
         "html_rows": (_html_rows, sql.html_rows_sql(CURRENT_COLUMNS)),
-        "extract_predicates": (_extract_predicates, sql.extract_predicates_sql(files.MOVEMENTS_SINCE)),
+        "extract_predicates": (_extract_predicates, sql.extract_predicates_sql(SINCE)),
+        "extract_registry": (_extract_registry, sql.extract_registry_sql(TAG)),
+        "q1_reference_keys": (_q1_reference_keys, sql.q1_reference_keys_sql()),
+        "intake_report": (_intake_report, sql.intake_report_sql()),
+        "deep_page": (_deep_page, sql.page_rows_sql(DEEP_PAGE, SORT_BY, DEEP_PAGE_SIZE)),
+        "q1_from_parquet": (_q1_from_parquet, sql.q1_sql()),
+        "scan_registry": (_scan_registry, sql.scan_registry_sql()),
+        "missing_sources": (_missing_sources, sql.values_sql(MISSING_EXPECTED)),
+        "empty_exports": (_empty_exports, sql.empty_exports_sql()),
+        "new_files_since": (_new_files_since, sql.values_sql([{"file": "Baixadas.csv"}, {"file": "Erros.csv"}])),
+        "landing_filter": (_landing_filter, sql.values_sql([{"file": "Ativas.csv"}, {"file": "Erros.csv"}])),
+        "newest_versions": (_newest_versions, sql.newest_versions_sql("MACHINERY")),
+        "stream_changes": (_stream_changes, sql.stream_changes_sql(TAG)),
         "q1_from_landing": (_q1_from_landing, sql.q1_sql()),
         "scan_status_exports": (_scan_status_exports, sql.scan_status_exports_sql()),
         "scan_movements": (_scan_movements, sql.scan_movements_sql()),
-        "intake_check": (_intake_check, None),
-        "header_ops": (_header_ops, None),
+        "intake_check": (_intake_check, sql.values_sql(INTAKE_EXPECTED)),
+        "header_ops": (_header_ops, sql.values_sql(HEADERS_EXPECTED)),
         "q1_from_workbooks": (_q1_from_workbooks, sql.q1_sql()),
         "write_result": (_write_result, sql.q1_sql()),
         "stream_incremental_report": (_stream_incremental_report, sql.q1_sql()),

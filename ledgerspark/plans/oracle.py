@@ -1,8 +1,9 @@
 """DuckDB SQL for the parity check: an independent formulation of each query.
 
 The reports here use per-ledger ``row_number()`` first rows and outer joins,
-where the Spark side uses one tagged-union aggregation, so a shared mistake is
-unlikely. Regex classes are the same Unicode classes as the Spark side
+where the Spark side uses one tagged-union aggregation. The fixture's derivation, the
+badge template, the entity tables and the steps of entity decoding are shared with
+the engine, so mistakes there would not show here; those are held by literal tests. Regex classes are the same Unicode classes as the Spark side
 (RE2 with the ``'g'`` flag). Each string is self-contained: the fixture
 ledgers are CTEs over the pre-registered base tables.
 """
@@ -114,18 +115,22 @@ def with_fixture(body: str) -> str:
 
 # ---------------------------------------------------------------- reports
 
-_LEDGERS = f"""
-cnm as (select {strict('documento')} as documento, id, tipo, data_hora, ord from fx_movements),
-soa as (select {strict('documento')} as documento, devedor, unique_id, data, fonte, source_rank, ord
+def _ledgers(cnm, soa, sgp) -> str:
+    return f"""
+cnm as (select {cnm('documento')} as documento, id, tipo, data_hora, ord from fx_movements),
+soa as (select {soa('documento')} as documento, devedor, unique_id, data, fonte, source_rank, ord
         from fx_status_exports),
-sgp as (select {strict('cpf_cnpj')} as documento, nome, ord from fx_registry),
+sgp as (select {sgp('cpf_cnpj')} as documento, nome, ord from fx_registry),
 cnm1 as (select * from cnm qualify row_number() over (partition by documento order by ord) = 1),
 sgp1 as (select * from sgp qualify row_number() over (partition by documento order by ord) = 1)"""
 
 
-def q1_ctes() -> str:
+_LEDGERS = _ledgers(strict, strict, strict)
+
+
+def q1_ctes(ledgers: str = "") -> str:
     """Q1 as CTEs ending in ``q1`` (reused by the view operators)."""
-    return f"""{_LEDGERS},
+    return f"""{ledgers or _LEDGERS},
 soa1 as (select *, count(unique_id) over (partition by documento) as uid_n from soa
          qualify row_number() over (partition by documento order by source_rank, ord) = 1),
 docs as (select documento from cnm union select documento from soa union select documento from sgp),
@@ -153,6 +158,18 @@ def q1_sql() -> str:
     return with_fixture(q1_ctes() + "\nselect * from q1")
 
 
+def q1_reference_keys_sql() -> str:
+    return with_fixture(q1_ctes(_ledgers(loose, strict, loose)) + "\nselect * from q1")
+
+
+def values_sql(rows: list[dict]) -> str:
+    """A literal result."""
+    def text(v) -> str:
+        return q(v) if isinstance(v, str) else str(v).lower()
+
+    return " union all ".join("select " + ", ".join(f"{text(v)} as {k}" for k, v in r.items()) for r in rows)
+
+
 def _clean(x: str) -> str:
     return html_unescape_sql(f"coalesce(cast({x} as varchar), 'nan')")
 
@@ -274,15 +291,56 @@ def canonical_type_sql() -> str:
 
 
 def format_movement_date_sql() -> str:
-    text_patterns = ["%d/%m/%Y %H:%M:%S", "%d/%m/%Y %H:%M", "%d/%m/%Y", "%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S",
-                     "%Y-%m-%d %H:%M", "%Y-%m-%d"]
-    parsed = "coalesce(" + ", ".join(f"try_strptime(trim(data), '{p}')" for p in text_patterns) + ")"
     return with_fixture(f"""
 d as (select 'CNM' as ledger, ord, strftime(data_hora, '{FMT}') as data from fx_movements
-      union all select 'SOA', ord, strftime({parsed}, '{FMT}') from fx_status_exports)
+      union all select 'SOA', ord, strftime({_parsed('data')}, '{FMT}') from fx_status_exports)
 select * from d""")
 
 
+def _parsed(x: str) -> str:
+    """A text date by the first layout that fits: day-first, month-first, ISO."""
+    days = ("%d/%m/%Y", "%m/%d/%Y", "%Y-%m-%d")
+    layouts = [f"{d}{t}" for d in days for t in (" %H:%M:%S", "T%H:%M:%S", " %H:%M", "")]
+    return "coalesce(" + ", ".join(f"try_strptime(trim({x}), '{p}')" for p in layouts) + ")"
+
+
+def intake_report_sql() -> str:
+    def blank(x: str) -> str:
+        return f"count(*) filter ({strict(x)} = '')"
+
+    return with_fixture(f"""
+r as (select 'CNM' as ledger, count(*) as rows, {blank('documento')} as blank_documents,
+             count(*) filter (data_hora is null) as unreadable_dates from fx_movements
+      union all select 'SGP', count(*), {blank('cpf_cnpj')}, 0 from fx_registry
+      union all select 'SOA', count(*), {blank('documento')}, count(*) filter ({_parsed('data')} is null)
+      from fx_status_exports)
+select * from r""")
+
+
+def extract_registry_sql(tag: str) -> str:
+    return with_fixture(f"""x as (select 1) select cpf_cnpj, nome from fx_customers where tag = '{tag}'""")
+
+
+def scan_registry_sql() -> str:
+    return with_fixture("x as (select 1) select cpf_cnpj, nome from fx_registry")
+
+
+def empty_exports_sql() -> str:
+    return with_fixture("x as (select 1) select documento, devedor, unique_id, data, fonte from fx_status_exports where false")
+
+
+def newest_versions_sql(tag: str) -> str:
+    return with_fixture(f"x as (select 1) select cpf_cnpj, nome, tag from fx_customers where tag = '{tag}'")
+
+
+def stream_changes_sql(tag: str) -> str:
+    """Rows of the full report that differ from the report without the registry segment ``tag``."""
+    full = q1_ctes()
+    part = full.replace("from fx_registry)", f"from fx_registry where tag <> '{tag}')")
+    return f"""select * from ({with_fixture(full)} select * from q1)
+except select * from ({with_fixture(part)} select * from q1)"""
+
+
 _FLAGS = f"""{_LEDGERS},
 docs as (select documento from cnm union select documento from soa union select documento from sgp),
 flags as (

@@ -14,11 +14,14 @@ Output columns use ASCII snake_case names; the sinks rename them.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerspark.functions.badges import join_badges, or_placeholder, priority_pick, source_tag
-from ledgerspark.functions.dates import format_movement_date
+from ledgerspark.functions.dates import format_movement_date, parse_movement_timestamp
 from ledgerspark.functions.entities import html_unescape
 from ledgerspark.functions.keys import canonical_type, int_id, key_function, strip_non_word, text_or_nan
 from ledgerspark.operators import status as st
@@ -38,7 +41,14 @@ REPORT_COLUMNS = ["id", DOC, "nome", "data", "tipo", "local", "status"]
 SOA_REGISTRY_COLUMNS = ["id", DOC, "nome", "data_inclusao", "local", "tipo", "status"]
 
 
-def _key(df: DataFrame, column: str, mode: str) -> Column:
+# A key mode for all ledgers, or one per ledger (``CNM``, ``SGP``, ``SOA``).
+KeyModes = str | Mapping[str, str]
+# The current report's own mix: loose keys for the two registers, strict ones for the exports.
+REGISTER_LOOSE = {"CNM": "loose", "SGP": "loose", "SOA": "strict"}
+
+
+def _key(df: DataFrame, column: str, modes: KeyModes, ledger: str) -> Column:
+    mode = modes if isinstance(modes, str) else modes[ledger]
     return key_function(mode)(F.col(column), df.schema[column].dataType)
 
 
@@ -46,25 +56,25 @@ def _movement_date(movements: DataFrame, c: Column) -> Column:
     return format_movement_date(c, movements.schema["data_hora"].dataType)
 
 
-def _cnm(movements: DataFrame, mode: str) -> Ledger:
-    return Ledger("CNM", movements, _key(movements, "documento", mode),
+def _cnm(movements: DataFrame, mode: KeyModes) -> Ledger:
+    return Ledger("CNM", movements, _key(movements, "documento", mode, "CNM"),
                   payload=["tipo", "data_hora", "id"], order=["ord"])
 
 
-def _sgp(registry: DataFrame, mode: str, with_name: bool = False) -> Ledger:
-    return Ledger("SGP", registry, _key(registry, "cpf_cnpj", mode),
+def _sgp(registry: DataFrame, mode: KeyModes, with_name: bool = False) -> Ledger:
+    return Ledger("SGP", registry, _key(registry, "cpf_cnpj", mode, "SGP"),
                   payload=["nome"] if with_name else [], order=["ord"] if with_name else [])
 
 
-def _soa(exports: DataFrame, mode: str, with_sources: bool = False) -> Ledger:
-    return Ledger("SOA", exports, _key(exports, "documento", mode),
+def _soa(exports: DataFrame, mode: KeyModes, with_sources: bool = False) -> Ledger:
+    return Ledger("SOA", exports, _key(exports, "documento", mode, "SOA"),
                   payload=["devedor", "unique_id", "data", "fonte"], order=["source_rank", "ord"],
                   count_non_null=["unique_id"],
                   sources=("source_rank", "fonte") if with_sources else None)
 
 
 def unified_report(movements: DataFrame, registry: DataFrame, status_exports: DataFrame,
-                   key_mode: str = "strict", with_sources: bool = False) -> DataFrame:
+                   key_mode: KeyModes = "strict", with_sources: bool = False) -> DataFrame:
     """Q1: one row per document of CNM ∪ SOA ∪ SGP, classified by ST1.
 
     tipo/data come from the first movement, else from the first status-export
@@ -97,21 +107,18 @@ def sources_with_movement_tag(soa_sources: Column, in_cnm: Column, raw_tipo: Col
 
 
 def unified_report_join_form(movements: DataFrame, registry: DataFrame, status_exports: DataFrame,
-                             key_mode: str = "strict") -> DataFrame:
+                             key_mode: KeyModes = "strict") -> DataFrame:
     """Q1 as per-ledger first rows + two full outer joins (independent formulation)."""
-    cnm = first_rows(movements, _key(movements, "documento", key_mode), ["tipo", "data_hora"], ["ord"])
-    soa = first_rows(status_exports,
-                     _key(status_exports, "documento", key_mode),
-                     ["devedor", "unique_id", "data", "fonte"], ["source_rank", "ord"])
-    uid_n = (status_exports.select(_key(status_exports, "documento", key_mode).alias(DOC), "unique_id")
-             .groupBy(DOC).agg(F.count("unique_id").alias("uid_n")))
-    sgp = document_keys(registry, _key(registry, "cpf_cnpj", key_mode))
-    j = full_outer(cnm, soa.join(uid_n, DOC), "in_cnm", "in_soa")
+    cnm = first_rows(movements, _key(movements, "documento", key_mode, "CNM"), ["tipo", "data_hora"], ["ord"])
+    soa = first_rows(status_exports, _key(status_exports, "documento", key_mode, "SOA"),
+                     ["devedor", "unique_id", "data", "fonte"], ["source_rank", "ord"], count_non_null=("unique_id",))
+    sgp = document_keys(registry, _key(registry, "cpf_cnpj", key_mode, "SGP"))
+    j = full_outer(cnm, soa, "in_cnm", "in_soa")
     j = full_outer(j, sgp, "_left", "in_sgp").drop("_left")
     cnm_, soa_, sgp_ = F.col("in_cnm"), F.col("in_soa"), F.col("in_sgp")
     tipo = priority_pick((cnm_, F.col("tipo")), (soa_, F.col("fonte")))
     return j.select(
-        F.when(F.coalesce(F.col("uid_n"), F.lit(0)) > 0, F.col("unique_id")).otherwise(F.lit("-")).alias("id"),
+        F.when(F.coalesce(F.col("unique_id_n"), F.lit(0)) > 0, F.col("unique_id")).otherwise(F.lit("-")).alias("id"),
         F.col(DOC),
         or_placeholder(soa_, F.col("devedor")).alias("nome"),
         priority_pick((cnm_, _movement_date(movements, F.col("data_hora"))), (soa_, F.col("data"))).alias("data"),
@@ -133,7 +140,7 @@ def clean_export_texts(*cols: Column) -> list[Column]:
 
 
 def unified_presence_report(movements: DataFrame, registry: DataFrame, active_exports: DataFrame,
-                            key_mode: str = "strict") -> DataFrame:
+                            key_mode: KeyModes = "strict") -> DataFrame:
     """Q2: presence-only three-way report (ST3) with the active-status export only.
 
     id: export unique id (entities decoded, non-word characters removed), else the
@@ -156,7 +163,7 @@ def unified_presence_report(movements: DataFrame, registry: DataFrame, active_ex
     )
 
 
-def cnm_registry_report(movements: DataFrame, registry: DataFrame, key_mode: str = "strict") -> DataFrame:
+def cnm_registry_report(movements: DataFrame, registry: DataFrame, key_mode: KeyModes = "strict") -> DataFrame:
     """Q3: movements × registry (ST4, raw case-sensitive type); absent values are ``''``."""
     r = reconcile(_cnm(movements, key_mode), _sgp(registry, key_mode, with_name=True))
     cnm, sgp = F.col("in_cnm"), F.col("in_sgp")
@@ -173,7 +180,7 @@ def cnm_registry_report(movements: DataFrame, registry: DataFrame, key_mode: str
     )
 
 
-def soa_registry_report(active_exports: DataFrame, registry: DataFrame, key_mode: str = "strict") -> DataFrame:
+def soa_registry_report(active_exports: DataFrame, registry: DataFrame, key_mode: KeyModes = "strict") -> DataFrame:
     """Q4: active-status export × registry (ST5); nome from the export, else the registry."""
     r = reconcile(_soa(active_exports, key_mode), _sgp(registry, key_mode, with_name=True))
     soa, sgp = F.col("in_soa"), F.col("in_sgp")
@@ -191,14 +198,14 @@ def soa_registry_report(active_exports: DataFrame, registry: DataFrame, key_mode
     )
 
 
-def movement_status_rows(movements: DataFrame, registry: DataFrame, key_mode: str = "strict") -> DataFrame:
+def movement_status_rows(movements: DataFrame, registry: DataFrame, key_mode: KeyModes = "strict") -> DataFrame:
     """ST2 per movement row: every movement with its registry flag and status."""
-    keys = registry_key_rows(registry, _key(registry, "cpf_cnpj", key_mode))
-    flagged = with_registry_flag(movements, _key(movements, "documento", key_mode), keys)
+    keys = registry_key_rows(registry, _key(registry, "cpf_cnpj", key_mode, "SGP"))
+    flagged = with_registry_flag(movements, _key(movements, "documento", key_mode, "CNM"), keys)
     return flagged.withColumn("status", st.movement_status(F.col("tipo"), F.col("in_registry")))
 
 
-def movement_status_counts(movements: DataFrame, registry: DataFrame, key_mode: str = "strict") -> DataFrame:
+def movement_status_counts(movements: DataFrame, registry: DataFrame, key_mode: KeyModes = "strict") -> DataFrame:
     """Q5 (ST2 + AG4): number of movements per row-level status, most frequent first.
 
     Movements are first reduced to one row per document with a count per type
@@ -207,13 +214,13 @@ def movement_status_counts(movements: DataFrame, registry: DataFrame, key_mode:
     already partitioned by document, meets the registry keys without another
     exchange. Each class then goes through the ST2 rule and the counts add up.
     """
-    key = _key(movements, "documento", key_mode)
+    key = _key(movements, "documento", key_mode, "CNM")
     t = F.col("_t")
     per_doc = (movements.select(key.alias(DOC), canonical_type(F.col("tipo")).alias("_t")).groupBy(DOC)
                .agg(F.count(F.when(t == st.INCLUSAO, 1)).alias("_inc"),
                     F.count(F.when(t == st.EXCLUSAO, 1)).alias("_exc"),
                     F.count(F.lit(1)).alias("_all")))
-    keys = registry_key_rows(registry, _key(registry, "cpf_cnpj", key_mode))
+    keys = registry_key_rows(registry, _key(registry, "cpf_cnpj", key_mode, "SGP"))
     flagged = flag_documents(per_doc, keys)
     classes = F.inline(F.array(
         F.struct(F.lit(st.INCLUSAO).alias("_t"), F.col("_inc").alias("_n")),
@@ -231,3 +238,22 @@ def status_counts(df: DataFrame, column: str = "status", weight: str | None = No
     n = F.sum(weight) if weight else F.count(F.lit(1))
     return (df.where(F.col(column).isNotNull()).groupBy(column).agg(n.cast("bigint").alias("count"))
             .orderBy(F.desc("count"), F.asc(column)))
+
+
+def intake_report(movements: DataFrame, registry: DataFrame, status_exports: DataFrame,
+                  key_mode: KeyModes = "strict") -> DataFrame:
+    """Rows, blank documents and unreadable dates per ledger (``ledger, rows, blank_documents, unreadable_dates``).
+
+    A document is blank when nothing is left of its key; a date is unreadable when it is missing or cannot be parsed.
+    """
+    def counted(df: DataFrame, ledger: str, column: str, date: Column | None) -> DataFrame:
+        lost = F.lit(0) if date is None else F.count(F.when(date.isNull(), 1))
+        return df.agg(F.count(F.lit(1)).alias("rows"),
+                      F.count(F.when(_key(df, column, key_mode, ledger) == "", 1)).alias("blank_documents"),
+                      lost.cast("bigint").alias("unreadable_dates")).select(F.lit(ledger).alias("ledger"), "*")
+
+    dates = F.col("data_hora")
+    if not isinstance(movements.schema["data_hora"].dataType, (T.TimestampType, T.TimestampNTZType)):
+        dates = parse_movement_timestamp(dates)
+    return (counted(movements, "CNM", "documento", dates).unionByName(counted(registry, "SGP", "cpf_cnpj", None))
+            .unionByName(counted(status_exports, "SOA", "documento", parse_movement_timestamp(F.col("data")))))

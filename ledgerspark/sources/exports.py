@@ -73,7 +73,9 @@ def _well_formed(n: int) -> Column:
     quotes = F.length(raw) - F.length(F.replace(raw, F.lit('"'), F.lit("")))
     unquoted = F.regexp_replace(raw, '"(?:[^"]|"")*"', "")
     commas = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit("")))
-    where = F.concat(F.lit(" in "), F.col("_metadata.file_path"), F.lit(": "), raw)
+    # the first cell is named too: Spark refuses queries that read nothing but the raw text of odd records
+    where = F.concat(F.lit(" in "), F.col("_metadata.file_path"), F.lit(": "), raw,
+                     F.coalesce(F.substring(F.col("_c0"), 1, 0), F.lit("")))
     open_quote = F.raise_error(F.concat(F.lit("quote left open at the line end (read with multi_line=True)"), where))
     wide = F.raise_error(F.concat(F.lit(f"more than the header's {n} cells"), where))
     return F.when(quotes % 2 == 1, open_quote).when(commas >= n, wide).otherwise(F.lit(True))

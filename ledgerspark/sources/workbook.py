@@ -324,6 +324,7 @@ _STYLES = (
     '<numFmts count="1"><numFmt numFmtId="164" formatCode="dd/mm/yyyy hh:mm:ss"/></numFmts>'
     '<cellXfs count="2"><xf numFmtId="0"/><xf numFmtId="164" applyNumberFormat="1"/></cellXfs></styleSheet>')
 WRITE_SCHEMA = "path string, rows bigint"
+MAX_SHEET_ROWS = 1 << 20  # fixed value: what a sheet can hold
 
 
 def _xml_text(v: str) -> str:
@@ -362,10 +363,14 @@ def write_workbooks(df: DataFrame, folder: str, preamble: list[list[str]] | None
     archive, so no partition is ever collected on the driver. The header row is
     the column names, preceded by ``preamble`` rows. Timestamps are stored as
     spreadsheet date serials with second precision. Returns ``(path, rows)``
-    per workbook; ``folder`` may be local or any ``pyarrow.fs`` scheme.
+    per workbook; ``folder`` may be local or any ``pyarrow.fs`` scheme and must hold no
+    workbook yet, so that two results never mix. A partition that a sheet cannot hold fails.
     """
     from ledgerspark.session import ship_package
+    from ledgerspark.sources.landing import list_landing
 
+    if not list_landing(df.sparkSession, folder, glob="*.xlsx").isEmpty():
+        raise FileExistsError(f"{folder} already holds workbooks")
     ship_package(df.sparkSession)
     names = list(df.columns)
     pre = [list(r) for r in (preamble or [])]
@@ -402,6 +407,8 @@ def write_workbooks(df: DataFrame, folder: str, preamble: list[list[str]] | None
                     for values in pdf.itertuples(index=False, name=None):
                         r += 1
                         n += 1
+                        if r > MAX_SHEET_ROWS:
+                            raise ValueError(f"more than {MAX_SHEET_ROWS} rows in a partition: use more partitions")
                         cells = "".join(_cell_xml(j, r, v) for j, v in enumerate(values))
                         out.write(f'<row r="{r}">{cells}</row>'.encode())
                 out.write(b"</sheetData></worksheet>")

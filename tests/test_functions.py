@@ -69,7 +69,7 @@ def test_canonical_type(spark):
     ("13/01/2024 09:05:59", "13/01/2024 09:05"),
     ("2024-03-05 14:30:00", "05/03/2024 14:30"),
     ("5/3/2024", "05/03/2024 00:00"),
-    ("01/13/2024", None),
+    ("01/13/2024", "13/01/2024 00:00"), ("13/13/2024", None), ("\u00a0 1/2/2024 3:04\x1f", "01/02/2024 03:04"),
     ("x", None),
     (None, None),
 ])

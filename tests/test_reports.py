@@ -146,6 +146,12 @@ def test_views_are_consistent(spark):
     for p in range(1, (total + views.PAGE_SIZE - 1) // views.PAGE_SIZE + 1):
         pages += [r.documento for r in views.page_rows(q1, p, by).collect()]
     assert pages == [r.documento for r in positioned]
+    views_top = views.TOP_PAGES
+    try:
+        views.TOP_PAGES = 0
+        assert [r.documento for r in views.page_rows(q1, 3, by).collect()] == pages[50:75]
+    finally:
+        views.TOP_PAGES = views_top
     found = views.search_rows(q1, "ERRO cnm").count()
     assert found == q1.where(F.col("status") == "ERRO").count()   # every row shows "CNM" in its badges
     sub = views.view_subtitle(spark, views.facet_filter(q1, {"status": "baixado"}), [("id", False)]).first()
@@ -191,7 +197,7 @@ def test_legacy_view_variants(spark):
 
 
 def test_registry_flag_branches_agree(spark):
-    """Broadcast branch (small key side) and semi/anti branch give the same rows, each exactly once."""
+    """Broadcast and shuffled plans of the one lazy join give the same rows, each exactly once."""
     from ledgerspark.operators.reconcile import registry_key_rows, with_registry_flag
 
     rows = spark.createDataFrame([(i, str(i % 7) if i % 3 else None) for i in range(200)], "id int, doc string")

@@ -183,3 +183,20 @@ def test_cli_report(spark, capsys):
     cli.run_report(spark, args)
     wb = read_workbooks(spark, f"{out}/resultado_soa_registry")
     assert "Data Inclusão" in wb.columns and wb.count() == 2   # Ativas and registry hold the same 2 documents
+    cli.run_report(spark, args)
+    runs = sorted(os.listdir(f"{out}/resultado_soa_registry"))
+    assert len(runs) == 2 and read_workbooks(spark, f"{out}/resultado_soa_registry/{runs[1]}").count() == 2
+
+
+def test_legacy_reports_start_behind_the_intake_check(spark):
+    import pytest
+
+    from ledgerspark import cli
+
+    d = _landing()
+    with open(os.path.join(d, "Relatorio_SGP.xlsx"), "r+b") as f:
+        f.truncate(500)
+    args = cli.argparse.Namespace(landing=d, out=tempfile.mkdtemp(), variant="presence", ledger_format="workbook",
+                                  key_mode="strict", format="csv", html=False, versioned=False)
+    with pytest.raises(SystemExit, match="too_small"):
+        cli.run_report(spark, args)

@@ -47,6 +47,15 @@ def test_incremental_report_emits_changes_only(spark):
     assert second == {"1"}                       # only the touched document is re-emitted
     final = {r.documento: r.status for r in refresh.current_status(changes).collect()}
     assert final == {"1": "ERRO", "2": "ERRO", "3": "ERRO"}
+    # a later movement of document 1 changes nothing: no row, although the document was touched
+    land("mv", [(3, "1", "INCLUSAO", t, 9)], MV, 2)
+    refresh.await_all(refresh.incremental_report(report, out, ck, compact_every=3))
+    assert spark.read.parquet(out).where(F.col(refresh.BATCH_COLUMN) == 2).count() == 0
+    land("mv", [(4, "3", "EXCLUSAO", t, 1)], MV, 3)
+    refresh.await_all(refresh.incremental_report(report, out, ck))
+    assert {r.documento for r in spark.read.parquet(out).where(F.col(refresh.BATCH_COLUMN) == 3).collect()} == {"3"}
+    assert spark.read.parquet(f"{out}-snapshot").where("upto = 2").count() == 3
+    assert refresh.emitted_status(spark, out, "documento", 4).count() == 3
     first_doc1 = changes.where((F.col("documento") == "1") & (F.col(refresh.BATCH_COLUMN) == 0)).first()
     assert first_doc1.status == "ERRO" and first_doc1.tipo == "INCLUSAO"
     latest = refresh.current_status(changes).where(F.col("documento") == "1").first()
@@ -77,3 +86,52 @@ def test_versioned_landing_uses_newest_load(spark):
     docs = {r.documento for r in mv.select(F.regexp_replace("documento", r"\D", "").alias("documento")).collect()}
     assert "11111111111" not in docs and "12345678901" in docs
     assert se.count() == 5 and "Ativas.csv" not in missing
+
+
+def test_load_times_are_compared_as_times(spark):
+    names = ["9", "10", "20240101", "20240101T0700", "2024-01-02T03:04:05", "2024-01-01T00%3A00%3A01", "20231231235959", "later"]
+    rows = spark.createDataFrame([(f"/x/ledger=A{k}/load_ts={a}/f", ) for k, pair in enumerate(zip(names, names[1:])) for a in pair], "path string")
+    got = {r.ledger: r.load_ts for r in refresh.newest_versions(rows).collect()}
+    assert got["A0"] == "10" and got["A1"] == "20240101" and got["A4"] == "2024-01-02T03:04:05"
+    assert got["A5"] == "2024-01-01T00%3A00%3A01" and got["A6"] == "20231231235959"
+
+
+def test_overwritten_files_are_seen_and_failures_keep_the_last_report(spark, tmp_path):
+    folder, state, out, log = (str(tmp_path / n) for n in ("in", "state", "out", "log"))
+    os.makedirs(folder)
+    path = os.path.join(folder, "Relatorio_CNM.xlsx")
+
+    def put(text):
+        with open(path, "w") as f:
+            f.write(text)
+
+    put("a")
+    changed, listing = refresh.landing_changes(spark, folder, state)
+    assert changed.count() == 1
+    assert refresh.published(spark, out, log) is None
+    assert refresh.refresh_once(spark, lambda s: s.range(3), out, log, 1, 1)
+    refresh.remember_landing(listing, state)
+    assert refresh.landing_changes(spark, folder, state)[0].count() == 0
+    put("longer")
+    changed, listing = refresh.landing_changes(spark, folder, state)
+    assert changed.count() == 1
+
+    def broken(s):
+        return s.range(9).select(F.raise_error(F.lit("x" * 2000)).alias("id"))
+
+    assert not refresh.refresh_once(spark, broken, out, log, 2, 1)
+    assert refresh.published(spark, out, log).count() == 3
+    assert len(spark.read.parquet(log).where("not ok").first().message) > 1500
+    refresh.remember_landing(listing, state)
+    assert refresh.landing_changes(spark, folder, state)[0].count() == 0
+
+
+def test_waiting_has_no_limit():
+    class Query:
+        waited = None
+
+        def awaitTermination(self, timeout="none"):
+            Query.waited = timeout
+
+    refresh.await_all(Query())
+    assert Query.waited == "none"
