@@ -28,12 +28,13 @@ from ledgerspark.llm import bitmap, bpe, decontaminate, neardup, quality, secret
 from ledgerspark.llm.common import materialise, table, work_path  # noqa: E402
 
 
-def _with_text(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """The columns of the input, ``n_chars`` counted anew where there is one."""
+def _with_text(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` of the carried ``row`` with ``new_text`` as the text; ``n_chars`` is counted anew where there is one."""
+    fields = rows.schema["row"].dataType
+    changed = {"text": F.col("new_text")}
     if "n_chars" in columns:
-        kind = docs.schema["n_chars"].dataType
-        docs = docs.withColumn("n_chars", F.length("text").cast(kind))
-    return docs.select(*(F.col(f"`{c}`") for c in columns))
+        changed["n_chars"] = F.length("new_text").cast(fields["n_chars"].dataType)
+    return rows.select(*(changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in columns))
 
 
 def _carried(docs: DataFrame) -> DataFrame:
@@ -71,14 +72,13 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = decontaminate.find_leaks(_carried(docs), table(spark, sf_dir, "benchmark"), key="row")
-    text = decontaminate.remove_spans(F.col("row.text"), F.col("char_spans"))
-    return _with_text(found.select(*(F.col(f"row.`{c}`") for c in docs.columns if c != "text"), text.alias("text")), docs.columns)
+    cut = found.select("row", decontaminate.remove_spans(F.col("row.text"), F.col("char_spans")).alias("new_text"))
+    return _with_text(cut, docs.columns)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(_carried(docs), key="row")
-    return _with_text(found.select(*(F.col(f"row.`{c}`") for c in docs.columns if c != "text"),
-                                   F.col("redacted").alias("text")), docs.columns)
+    return _with_text(found.select("row", F.col("redacted").alias("new_text")), docs.columns)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
