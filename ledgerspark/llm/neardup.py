@@ -12,8 +12,8 @@ Texts of equal shingle multisets become one node first, so exact copies, however
 cost one comparison. Bands of ``ROWS`` registers are bucket keys. In a bucket, members are
 compared with a leader instead of with each other; members that are not joined to the
 leader's class meet further leaders, four times as many each round, until every
-member of a bucket has met a leader of each class in it or is one itself. Four bits
-of every register estimate the similarity of such a pair; a pair whose estimate lies more than
+member of a bucket has met, there or in another bucket, a member of each class in it. Four
+bits of every register estimate the similarity of such a pair; a pair whose estimate lies more than
 ``SIGMAS`` standard deviations below ``SIMILARITY`` goes no further. Each other one is verified
 on the whole sets (32-bit shingle hashes): similarity ``SIMILARITY`` or more, as probability
 Jaccard or as plain Jaccard of the sets. Classes are the connected components of the
@@ -242,7 +242,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", least: flo
         .withColumn("node", F.monotonically_increasing_id()), "dup-nodes")
     keys = nodes.select("node", F.explode("bands").alias("bucket"))
     shared = keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("bucket")
-    members = materialise(keys.join(shared, "bucket").join(nodes.select("node", "sketch"), "node"), "dup-members")
+    members = materialise(keys.join(shared, "bucket").join(nodes.select("node", "sketch", "bands"), "node"), "dup-members")
     texts = nodes.select("node", "row.id", "row.h").join(members.select("node").distinct(), "node")
     wanted = materialise(texts, "dup-wanted")
     bits = materialise(bitmap(wanted, _row_key()), "dup-bitmap")
@@ -265,41 +265,56 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", least: flo
 def _joined(members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """``node, label`` for all nodes that a verified link joins."""
     spark = members.sparkSession
-    tried, label = None, None
+    tried, used, label = None, None, None
     open_ = members.withColumn("label", F.col("node"))
     leaders = 1
     while True:
-        # leaders: one node of each of the first classes of a bucket, by a hash that differs between buckets
-        first = open_.groupBy("bucket", "label").agg(F.min(F.struct("node", "sketch")).alias("l")).select(
-            "bucket", "label", F.col("l.node").alias("leader"), F.col("l.sketch").alias("seen"),
-            F.xxhash64("bucket", "l.node").alias("turn"))
+        # the leader of a class in a bucket: its node of least hash there; each serves a bucket once
+        first = open_.groupBy("bucket", "label").agg(
+            F.min(F.struct(F.xxhash64("node").alias("turn"), "node", "sketch", "bands")).alias("l")).select(
+            "bucket", "label", F.col("l.node").alias("leader"), F.col("l.turn").alias("turn"),
+            F.col("l.sketch").alias("seen"), F.col("l.bands").alias("held"))
+        if used is not None:
+            first = first.join(used, ["bucket", "leader"], "left_anti")
         order = Window.partitionBy("bucket").orderBy("turn", "leader")
-        chosen = (first.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= leaders)
-                  .select(F.col("bucket").alias("at"), "leader", "seen", F.col("label").alias("led")))
+        chosen = materialise(first.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= leaders)
+                             .select(F.col("bucket").alias("at"), "leader", "seen", "held", F.col("label").alias("led")), "dup-leaders")
+        if chosen.isEmpty():
+            break
+        spent = chosen.select(F.col("at").alias("bucket"), "leader")
+        used = spent if used is None else used.unionByName(spent)
         meets = (F.col("bucket") == F.col("at")) & (F.col("label") != F.col("led"))
-        pairs = open_.join(chosen, meets & may_be_similar(F.col("sketch"), F.col("seen"), least)).select(
-            F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).groupBy("a", "b").count()
+        meets = meets & may_be_similar(F.col("sketch"), F.col("seen"), least)
+        if leaders > 1:  # with one leader a bucket cannot yield more pairs than members
+            meets = meets & _first_common(F.col("bands"), F.col("held"), F.col("bucket"))
+        pairs = open_.join(chosen, meets).select(
+            F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "dup-pairs")
-        if pairs.isEmpty():
-            break
+        tried = pairs if tried is None else tried.unionByName(pairs)
         a = sets.select(F.col("node").alias("a"), F.col("members").alias("ma"))
         b = sets.select(F.col("node").alias("b"), F.col("members").alias("mb"))
-        held = materialise(pairs.join(a, "a").join(b, "b").select("a", "b", "ma", "mb").mapInArrow(
+        links = materialise(pairs.join(a, "a").join(b, "b").select("a", "b", "ma", "mb").mapInArrow(
             lambda it: _verify(it, least), "a long, b long"), "dup-links")
-        tried = pairs.select("a", "b") if tried is None else tried.unionByName(pairs.select("a", "b"))
-        edges = held if label is None else held.unionByName(label.select(F.col("node").alias("a"), F.col("label").alias("b")))
+        leaders *= 4
+        if links.isEmpty():
+            continue
+        edges = links if label is None else links.unionByName(label.select(F.col("node").alias("a"), F.col("label").alias("b")))
         label = connected_components(edges, "dup-components")
-        # members that have met a leader of every class in their bucket drop out with buckets of one class
-        now = members.join(label, "node", "left").select("bucket", "node", "sketch", F.coalesce("label", "node").alias("label"))
+        # buckets of one class are done
+        now = members.join(label, "node", "left").select("bucket", "node", "sketch", "bands", F.coalesce("label", "node").alias("label"))
         mixed = now.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("bucket")
         open_ = materialise(now.join(mixed, "bucket"), "dup-open")
-        leaders *= 4
     if label is None:
         return spark.createDataFrame([], "node long, label long")
     return label
 
 
+def _first_common(a: Column, b: Column, bucket: Column) -> Column:
+    """Whether ``bucket`` is the first one that both nodes are in: a pair leaves one bucket only."""
+    return F.coalesce(*(F.when(a[k] == b[k], a[k]) for k in range(BANDS))) == bucket
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "class_id", "n_class")
