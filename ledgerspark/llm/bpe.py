@@ -13,7 +13,8 @@ vocabulary would have 2.5 billion entries).
 A pre-split word is encoded by running the automaton along labels that match its
 bytes, the longest first: every prefix of a word has one accepted label sequence at
 most, so each byte position is visited once and time is linear in the word. Decoding emits the arc labels. Words are remembered per
-task in a cache that is emptied when it reaches ``CACHE_WORDS``.
+task in a cache of two generations of ``CACHE_WORDS`` each: when the younger one is full
+the older one goes, and words met again move back into the younger.
 
 Defined results: null text counts as empty, which has no tokens; texts of any
 length are encoded whole; an empty table gives no rows; repeated rows repeat their
@@ -36,7 +37,8 @@ from pyspark.sql import functions as F
 
 from ledgerspark.llm.common import table
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
+CACHE_ROWS = 400_000
 
 # Fixed value: the pre-split pattern of byte-level BPE vocabularies of this kind.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -58,7 +60,7 @@ class Automaton:
         self.made = [0] * size  # time at which the label (and its state) was made
         self.cut: dict[tuple[int, int], int] = {}  # arcs cut from a state, with the time
         self.time = 0
-        self.rows: dict[tuple[int, int], bool] = {}
+        self.rows: dict[int, bool] = {}  # entries of the transition table read so far: state and label in one number
         self.ids: dict[bytes, int] = {}
 
     def add_byte(self, token: int, byte: int) -> None:
@@ -119,7 +121,7 @@ class Automaton:
         Arcs are followed longest label first; a position that leads nowhere is left for
         good, since one sequence at most reaches it. So each position is expanded once.
         """
-        n, widths, shorter, rows, cap = len(word), self.widths, self.shorter, self.rows, 4 * CACHE_WORDS
+        n, widths, shorter, rows, size = len(word), self.widths, self.shorter, self.rows, len(self.widths)
         path: list[int] = []
         dead: set[int] = set()
         pos, state, label = 0, -1, self._longest(word, 0)
@@ -128,11 +130,11 @@ class Automaton:
                 if pos + widths[label] not in dead:
                     if state < 0:
                         break
-                    known = rows.get((state, label))
+                    known = rows.get(state * size + label)
                     if known is None:
-                        if len(rows) >= cap:
+                        if len(rows) >= CACHE_ROWS:
                             rows.clear()
-                        known = rows[state, label] = self._row_entry(state, label)
+                        known = rows[state * size + label] = self._row_entry(state, label)
                     if known:
                         break
                 label = shorter[label]
@@ -188,7 +190,7 @@ class Tokenizer:
 
     def _plain(self, text: str) -> bytes:
         if len(self.words) >= CACHE_WORDS:
-            self.words.clear()
+            self.words.age()
         return b"".join(map(self.words.__getitem__, self.split.findall(text)))
 
     def decode(self, ids: bytes) -> str:
@@ -202,8 +204,17 @@ class _Words(dict):
 
     def __init__(self, tokenizer: Tokenizer):
         self.automaton = tokenizer.automaton
+        self.older: dict[str, bytes] = {}
+
+    def age(self) -> None:
+        self.older = dict(self)
+        self.clear()
 
     def __missing__(self, word: str) -> bytes:
+        known = self.older.get(word)
+        if known is not None:
+            self[word] = known
+            return known
         data = word.encode("utf-8", "surrogatepass")
         whole = np.array(self.automaton.run(data), "<u4").tobytes()
         if len(data) < 256:
