@@ -1,4 +1,4 @@
-"""Scalar functions: every one is ``Column -> Column`` and runs inside codegen."""
+"""Scalar functions: every one is ``Column -> Column`` over built-in expressions (lambda bodies are interpreted)."""
 
 from ledgerspark.functions.badges import (
     join_badges,
