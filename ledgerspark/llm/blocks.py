@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 BLOCK_BYTES = 1 << 20
+BLOCK_ROWS = 1 << 16
 
 # A word is a run of digits, letters a-z (after lower-casing A-Z) and bytes from 0x80.
 LOWER = np.arange(256, dtype=np.uint8)
@@ -61,12 +62,13 @@ def text_bytes(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf, o - o[0]
 
 
-def text_blocks(arr: pa.Array, block_bytes: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_blocks(arr: pa.Array, block_bytes: int = BLOCK_BYTES,
+                block_rows: int = BLOCK_ROWS) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``(first row, end row, bytes, offsets)`` for runs of whole rows of at most ``block_bytes`` (one row at least)."""
     buf, offs = text_bytes(arr)
     i, n = 0, len(offs) - 1
     while i < n:
-        j = max(i + 1, int(np.searchsorted(offs, offs[i] + block_bytes, "right")) - 1)
+        j = max(i + 1, min(i + block_rows, int(np.searchsorted(offs, offs[i] + block_bytes, "right")) - 1))
         yield i, j, buf[offs[i]:offs[j]], offs[i:j + 1] - offs[i]
         i = j
 

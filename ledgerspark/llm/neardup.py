@@ -51,6 +51,7 @@ BANDS, ROWS = 32, 8  # the bands take the first BANDS * ROWS registers, the esti
 REGISTERS = 512
 PLANES, PLANE = 4, REGISTERS // 64
 SIGMAS = 4
+SIGNED_ROWS = 2048  # texts whose registers are filled together
 _C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03), np.uint64(0x8CB92BA72F3D8DD7)
 
 
@@ -145,7 +146,7 @@ def may_be_similar(a: Column, b: Column, least: float) -> Column:
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, text hash, text) rows to (id, text hash, digest of the shingle multiset, band keys, sketch); no words: nulls."""
     for batch in batches:
-        for i, j, buf, offs in text_blocks(batch.column(2)):
+        for i, j, buf, offs in text_blocks(batch.column(2), block_rows=SIGNED_ROWS):
             row, key, count = shingles(buf, offs)
             sig = signatures(row, key, weights(count), j - i)
             bands, sketch = band_keys(sig).view(np.int64), sketches(sig)
