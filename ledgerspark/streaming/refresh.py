@@ -57,7 +57,7 @@ def load_time(text: Column) -> Column:
     plain = F.regexp_replace(F.replace(text, F.lit("%3A"), F.lit(":")), r"\.\d+$", "")
     layouts = ("yyyyMMddHHmmss", "yyyyMMdd'T'HHmmss", "yyyyMMddHHmm", "yyyyMMdd")
     return F.coalesce(*(F.try_to_timestamp(F.when(F.length(plain) == len(p.replace("'", "")), plain), F.lit(p)) for p in layouts),
-                      F.timestamp_seconds(plain.try_cast("bigint")), plain.try_cast("timestamp"))
+                      F.timestamp_seconds(F.when(F.length(plain) <= 11, plain).try_cast("bigint")), plain.try_cast("timestamp"))
 
 
 def newest_versions(listing: DataFrame) -> DataFrame:

@@ -23,6 +23,7 @@ def test_header_operators():
     assert names == ["documento", "Documento.1"]
 
 
+# Fixed values below: file names, header spellings and residues as the portals export them.
 def _landing():
     d = tempfile.mkdtemp(prefix="ls-landing-")
     write_xlsx(os.path.join(d, "Relatorio_CNM.xlsx"), [
