@@ -243,17 +243,19 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", least: flo
         .withColumn("node", F.monotonically_increasing_id()), "dup-nodes")
     keys = nodes.select("node", F.explode("bands").alias("bucket"))
     shared = keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("bucket")
-    members = materialise(keys.join(shared, "bucket").join(nodes.select("node", "sketch", "bands"), "node"), "dup-members")
-    texts = nodes.select("node", "row.id", "row.h").join(members.select("node").distinct(), "node")
-    wanted = materialise(texts, "dup-wanted")
+    members = materialise(keys.join(shared, "bucket"), "dup-members")
+    met = materialise(members.select("node").distinct(), "dup-met")
+    # wide columns of nodes that share no bucket stay where they are
+    known = maybe_in(nodes, F.xxhash64("node"), materialise(bitmap(met, F.xxhash64("node")), "dup-met-bitmap")).join(met, "node")
+    wanted = materialise(known.select("node", "row.id", "row.h", "sketch", "bands"), "dup-wanted")
     bits = materialise(bitmap(wanted, _row_key()), "dup-bitmap")
     sets = (maybe_in(rows, _row_key(), bits).select("id", "h", "text")
             .mapInArrow(_sets, "id long, h long, members binary"))
     # repeated rows share their key; null ids match null ids
-    sets = sets.join(wanted, sets["id"].eqNullSafe(wanted["id"]) & (sets["h"] == wanted["h"])).groupBy("node").agg(
+    sets = sets.join(wanted.select("node", "id", "h"), sets["id"].eqNullSafe(wanted["id"]) & (sets["h"] == wanted["h"])).groupBy("node").agg(
         F.first("members").alias("members"))
     sets = materialise(sets, "dup-sets")
-    label = _joined(members, sets, least)
+    label = _joined(members, wanted.select("node", "sketch", "bands"), sets, least)
     found = nodes.select("node", "digest", "first_id", "n").join(label, "node", "left").withColumn(
         "label", F.coalesce("label", "node"))
     of_class = found.groupBy("label").agg(F.min("first_id").alias("class_id"), F.sum("n").alias("n_class"))
@@ -263,33 +265,39 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", least: flo
         F.coalesce("n_class", F.lit(1).cast("long")).alias("n_class"))
 
 
-def _joined(members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """``node, label`` for all nodes that a verified link joins."""
+def _joined(members: DataFrame, wide: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """``node, label`` for all nodes that a verified link joins.
+
+    ``wide`` holds sketch and bands of the nodes; rows carry them only while pairs are formed.
+    """
     spark = members.sparkSession
     tried, used, label = None, None, None
     open_ = members.withColumn("label", F.col("node"))
+    of_leader = wide.select(F.col("node").alias("leader"), F.col("sketch").alias("seen"), F.col("bands").alias("held"))
     leaders = 1
     while True:
         # the leader of a class in a bucket: its node of least hash there; each serves a bucket once
-        first = open_.groupBy("bucket", "label").agg(
-            F.min(F.struct(F.xxhash64("node").alias("turn"), "node", "sketch", "bands")).alias("l")).select(
-            "bucket", "label", F.col("l.node").alias("leader"), F.col("l.turn").alias("turn"),
-            F.col("l.sketch").alias("seen"), F.col("l.bands").alias("held"))
+        first = open_.groupBy("bucket", "label").agg(F.min(F.struct(F.xxhash64("node").alias("turn"), "node")).alias("l")).select(
+            "bucket", "label", F.col("l.node").alias("leader"), F.col("l.turn").alias("turn"))
         if used is not None:
             first = first.join(used, ["bucket", "leader"], "left_anti")
         order = Window.partitionBy("bucket").orderBy("turn", "leader")
         chosen = materialise(first.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= leaders)
-                             .select(F.col("bucket").alias("at"), "leader", "seen", "held", F.col("label").alias("led")), "dup-leaders")
+                             .select(F.col("bucket").alias("at"), "leader", F.col("label").alias("led")), "dup-leaders")
         if chosen.isEmpty():
             break
         spent = chosen.select(F.col("at").alias("bucket"), "leader")
         used = spent if used is None else used.unionByName(spent)
         meets = (F.col("bucket") == F.col("at")) & (F.col("label") != F.col("led"))
-        meets = meets & may_be_similar(F.col("sketch"), F.col("seen"), least)
-        if leaders > 1:  # with one leader a bucket cannot yield more pairs than members
-            meets = meets & _first_common(F.col("bands"), F.col("held"), F.col("bucket"))
-        pairs = open_.join(chosen, meets).select(
-            F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+        similar = may_be_similar(F.col("sketch"), F.col("seen"), least)
+        both = [F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")]
+        if leaders == 1:  # a bucket yields fewer pairs than it has members; estimates come after
+            pairs = open_.join(chosen, meets).select(*both).distinct().withColumnsRenamed({"a": "node", "b": "leader"})
+            pairs = pairs.join(wide, "node").join(of_leader, "leader").filter(similar).select(*both)
+        else:
+            pairs = open_.join(wide, "node").join(
+                chosen.join(of_leader, "leader"),
+                meets & similar & _first_common(F.col("bands"), F.col("held"), F.col("bucket"))).select(*both).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "dup-pairs")
@@ -304,7 +312,7 @@ def _joined(members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
         edges = links if label is None else links.unionByName(label.select(F.col("node").alias("a"), F.col("label").alias("b")))
         label = connected_components(edges, "dup-components")
         # buckets of one class are done
-        now = members.join(label, "node", "left").select("bucket", "node", "sketch", "bands", F.coalesce("label", "node").alias("label"))
+        now = members.join(label, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
         mixed = now.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("bucket")
         open_ = materialise(now.join(mixed, "bucket"), "dup-open")
     if label is None:
