@@ -49,24 +49,24 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = materialise(neardup.classes(docs).filter("n_class > 1"), "pipeline-classes")
-    order = F.struct(F.col("id").isNull().alias("none"), "id", "h")
-    keep = found.groupBy("class_id").agg(F.min(order).alias("k"))
-    kept = keep.select(F.col("k.id").alias("id"), F.col("k.h").alias("h")).distinct()
-    # rows of classes of one document never leave their executor: the bitmap is of fixed size, and exact joins follow
-    grouped = found.select("id", "h").distinct()
-    bits = materialise(bitmap.bitmap(grouped, F.xxhash64("id", "h")), "pipeline-bitmap")
+    keep = found.groupBy("class_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h")).alias("k"))
+    kept = keep.select(F.col("k.id").alias("id"), F.col("k.h").alias("h"), F.lit(True).alias("stays")).distinct()
+    each = found.groupBy("id", "h").agg(F.count(F.lit(1)).alias("rows"))
+    # rows that go, and rows of which a repetition goes; all others never leave their executor: the bitmap is of fixed
+    # size, and exact joins follow
+    odd = materialise(each.join(kept, each["id"].eqNullSafe(kept["id"]) & (each["h"] == kept["h"]), "left")
+                      .filter("stays is null or rows > 1")
+                      .select(each["id"].alias("odd_id"), each["h"].alias("odd_h"), F.coalesce("stays", F.lit(False)).alias("stays")),
+                      "pipeline-odd")
+    bits = materialise(bitmap.bitmap(odd, F.xxhash64("odd_id", "odd_h")), "pipeline-bitmap")
     keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
                         F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("h"))
-    slot = F.xxhash64("id", "h")
-
-    def same(right: DataFrame) -> Column:
-        return keyed["id"].eqNullSafe(right["id"]) & (keyed["h"] == right["h"])
-
-    alone = bitmap.maybe_in(keyed, slot, bits, negate=True).select("row.*")
-    maybe = bitmap.maybe_in(keyed, slot, bits)
-    also_alone = maybe.join(grouped, same(grouped), "left_anti").select("row.*")
+    alone = bitmap.maybe_in(keyed, F.xxhash64("id", "h"), bits, negate=True).select("row.*")
+    maybe = bitmap.maybe_in(keyed, F.xxhash64("id", "h"), bits).join(
+        odd, F.col("id").eqNullSafe(F.col("odd_id")) & (F.col("h") == F.col("odd_h")), "left").filter("stays is null or stays")
+    also_alone = maybe.filter("stays is null").select("row.*")
     # of rows that repeat id and text one stays: further columns may differ, the smallest row decides
-    one = maybe.join(kept, same(kept), "left_semi").groupBy("id", "h").agg(F.min("row").alias("row")).select("row.*")
+    one = maybe.filter("stays").groupBy("id", "h").agg(F.min("row").alias("row")).select("row.*")
     return alone.unionByName(also_alone).unionByName(one)
 
 
