@@ -37,8 +37,8 @@ from pyspark.sql import functions as F
 
 from ledgerspark.llm.common import table
 
-CACHE_WORDS = 150_000
-CACHE_ROWS = 400_000
+CACHE_WORDS = 250_000
+CACHE_ROWS = 500_000
 
 # Fixed value: the pre-split pattern of byte-level BPE vocabularies of this kind.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -99,9 +99,10 @@ class Automaton:
         return True
 
     def close(self) -> None:
-        """Look-ups for ``run``: all beginnings of labels, and for each label the longest shorter one it begins with."""
+        """Look-ups for ``run``: all beginnings of labels (with their token, or -1), and for each label the longest
+        shorter one it begins with."""
         ids = self.ids
-        self.begins = {label[:k] for label in ids for k in range(1, len(label) + 1)}
+        self.begins = {label[:k]: -1 for label in ids for k in range(1, len(label))} | ids
         self.shorter = [-1] * len(self.labels)
         for label, token in ids.items():
             self.shorter[token] = next((ids[label[:k]] for k in range(len(label) - 1, 0, -1) if label[:k] in ids), -1)
@@ -109,10 +110,13 @@ class Automaton:
 
     def _longest(self, word: bytes, at: int) -> int:
         """The longest label that matches ``word`` from ``at``."""
-        begins, ids, best, j, n = self.begins, self.ids, -1, at + 1, len(word)
-        while j <= n and (part := word[at:j]) in begins:
-            best = ids.get(part, best)
-            j += 1
+        find, best, n = self.begins.get, -1, len(word)
+        for j in range(at + 1, n + 1):
+            token = find(word[at:j])
+            if token is None:
+                break
+            if token >= 0:
+                best = token
         return best
 
     def run(self, word: bytes) -> list[int]:
