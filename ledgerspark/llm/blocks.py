@@ -73,6 +73,13 @@ def text_blocks(arr: pa.Array, block_bytes: int = BLOCK_BYTES,
         i = j
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in runs of at most ``rows`` rows: for results as large as their texts."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def word_spans(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Byte start and end of every word, and per row the index of its first word (rows + 1 entries)."""
     if not len(buf):

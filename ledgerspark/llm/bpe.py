@@ -35,10 +35,11 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerspark.llm.blocks import slices
 from ledgerspark.llm.common import table
 
-CACHE_WORDS = 250_000
-CACHE_ROWS = 500_000
+CACHE_WORDS = 200_000
+CACHE_ROWS = 300_000
 
 # Fixed value: the pre-split pattern of byte-level BPE vocabularies of this kind.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -234,12 +235,10 @@ def tokenizer(path: str) -> Tokenizer:
 
 def _encode(batches: Iterator[pa.RecordBatch], path: str, names: list[str]) -> Iterator[pa.RecordBatch]:
     coder = tokenizer(path)
-    for batch in batches:
-        ids, decoded = [], []
-        for t in batch.column(1):
-            one = coder.encode(t.as_py() or "")
-            ids.append(one)
-            decoded.append(coder.decode(one))
+    decodes = any(n.startswith("decoded") for n in names)
+    for batch in slices(batches):
+        ids = [coder.encode(t.as_py() or "") for t in batch.column(1)]
+        decoded = [coder.decode(x) for x in ids] if decodes else []
         columns = {
             "n_tokens": lambda: pa.array([len(x) // 4 for x in ids], pa.int64()),
             "ids": lambda: pa.array([np.frombuffer(x, "<u4").astype(np.int32) for x in ids], pa.list_(pa.int32())),

@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerspark.llm.blocks import slices
 from ledgerspark.llm.common import table
 
 KINDS = ("assign", "access", "hex", "literal")
@@ -230,7 +231,7 @@ _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind"
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         cols: list[list] = [[] for _ in range(7)]
         for t in batch.column(1):
             text = t.as_py()
