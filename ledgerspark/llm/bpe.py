@@ -247,6 +247,7 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str, names: list[str]) -> I
             "decoded_sha256": lambda: pa.array([sha256(x.encode()).hexdigest() for x in decoded], pa.string()),
         }
         yield pa.RecordBatch.from_arrays([batch.column(0), *(columns[n]() for n in names)], names=["key", *names])
+    coder.words.older = {}  # the worker process lives on; other operators' tasks get the memory
 
 
 KINDS = {"n_tokens": "long", "ids": "array<int>", "ids_sha256": "string", "decoded": "string", "decoded_sha256": "string"}

@@ -22,6 +22,7 @@ columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from ledgerspark.llm.blocks import mix, span_hashes, text_blocks
 from ledgerspark.llm.common import fold, table
 
-TRAIN_DOCS = 4000
+TRAIN_DOCS = 2500
 BUCKETS = 1 << 18
 DIM = 12
 ORDERS = (3, 5)
@@ -132,9 +133,9 @@ def train(rows: list[tuple[int, np.ndarray, np.ndarray]], seed: int = 7) -> tupl
 def _train_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows = []
     for batch in batches:
-        for r in batch.to_pylist():
-            rows.append((r["ord"], r["label"], np.frombuffer(r["ids"], np.int32), np.frombuffer(r["share"], np.float32)))
-    rows.sort(key=lambda r: (r[0], r[1], r[2].tobytes()))
+        for label, order, ids, share in zip(*batch.columns, strict=True):
+            rows.append((order.as_py(), label.as_py(), np.frombuffer(ids.as_py(), np.int32), np.frombuffer(share.as_py(), np.float32)))
+    rows.sort(key=lambda r: (r[0], r[1], len(r[2]), crc32(r[2])))
     logits, bias = train([r[1:] for r in rows]) if rows else (np.zeros(BUCKETS, np.float32), 0.0)
     yield pa.RecordBatch.from_arrays([pa.array([logits.astype(np.float32).tobytes()], pa.binary()),
                                       pa.array([bias], pa.float64())], names=["logits", "bias"])
