@@ -12,7 +12,7 @@ vocabulary would have 2.5 billion entries).
 
 A pre-split word is encoded by running the automaton along labels that match its
 bytes, the longest first: every prefix of a word has one accepted label sequence at
-most, so each byte position is visited once and time is linear in the word. Decoding emits the arc labels. Words are remembered per
+most, so each byte position is visited once and time is linear in the word. Decoding emits the arc labels. Words are remembered within a
 task in a cache of two generations of ``CACHE_WORDS`` each: when the younger one is full
 the older one goes, and words met again move back into the younger.
 
@@ -198,6 +198,11 @@ class Tokenizer:
             self.words.age()
         return b"".join(map(self.words.__getitem__, self.split.findall(text)))
 
+    def forget(self) -> None:
+        """Empty the caches."""
+        self.words = _Words(self)
+        self.automaton.rows.clear()
+
     def decode(self, ids: bytes) -> str:
         """The text of the arc labels, with stray bytes replaced."""
         tokens = np.frombuffer(ids, "<u4").tolist()
@@ -247,7 +252,7 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str, names: list[str]) -> I
             "decoded_sha256": lambda: pa.array([sha256(x.encode()).hexdigest() for x in decoded], pa.string()),
         }
         yield pa.RecordBatch.from_arrays([batch.column(0), *(columns[n]() for n in names)], names=["key", *names])
-    coder.words.older = {}  # the worker process lives on; other operators' tasks get the memory
+    coder.forget()  # the worker process lives on; other operators' tasks get the memory
 
 
 KINDS = {"n_tokens": "long", "ids": "array<int>", "ids_sha256": "string", "decoded": "string", "decoded_sha256": "string"}
