@@ -28,6 +28,7 @@ import json
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import sha256
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,7 @@ from ledgerspark.llm.common import table
 
 CACHE_WORDS = 200_000
 CACHE_ROWS = 300_000
+KEPT_WORDS = 50_000  # from one task of a worker to the next
 
 # Fixed value: the pre-split pattern of byte-level BPE vocabularies of this kind.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -199,9 +201,10 @@ class Tokenizer:
         return b"".join(map(self.words.__getitem__, self.split.findall(text)))
 
     def forget(self) -> None:
-        """Empty the caches."""
+        """Drop the cached words but the first (they came early because they are frequent)."""
+        kept = dict(islice(self.words.items(), KEPT_WORDS))
         self.words = _Words(self)
-        self.automaton.rows.clear()
+        self.words.update(kept)
 
     def decode(self, ids: bytes) -> str:
         """The text of the arc labels, with stray bytes replaced."""
