@@ -51,6 +51,8 @@ BANDS, ROWS = 32, 8  # the bands take the first BANDS * ROWS registers, the esti
 REGISTERS = 512
 PLANES, PLANE = 4, REGISTERS // 64
 SIGMAS = 4
+MOST_LEADERS = 64  # of a bucket in one round
+CELL = 512  # members on each side of a block of pairs
 SIGNED_ROWS = 2048  # texts whose registers are filled together
 _C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03), np.uint64(0x8CB92BA72F3D8DD7)
 
@@ -247,7 +249,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", least: flo
     met = materialise(members.select("node").distinct(), "dup-met")
     # wide columns of nodes that share no bucket stay where they are
     known = maybe_in(nodes, F.xxhash64("node"), materialise(bitmap(met, F.xxhash64("node")), "dup-met-bitmap")).join(met, "node")
-    wanted = materialise(known.select("node", "row.id", "row.h", "sketch", "bands"), "dup-wanted")
+    wanted = materialise(known.select("node", "row.id", "row.h", "sketch"), "dup-wanted")
     bits = materialise(bitmap(wanted, _row_key()), "dup-bitmap")
     sets = (maybe_in(rows, _row_key(), bits).select("id", "h", "text")
             .mapInArrow(_sets, "id long, h long, members binary"))
@@ -255,7 +257,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", least: flo
     sets = sets.join(wanted.select("node", "id", "h"), sets["id"].eqNullSafe(wanted["id"]) & (sets["h"] == wanted["h"])).groupBy("node").agg(
         F.first("members").alias("members"))
     sets = materialise(sets, "dup-sets")
-    label = _joined(members, wanted.select("node", "sketch", "bands"), sets, least)
+    label = _joined(members, wanted.select("node", "sketch"), sets, least)
     found = nodes.select("node", "digest", "first_id", "n").join(label, "node", "left").withColumn(
         "label", F.coalesce("label", "node"))
     of_class = found.groupBy("label").agg(F.min("first_id").alias("class_id"), F.sum("n").alias("n_class"))
@@ -268,36 +270,23 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", least: flo
 def _joined(members: DataFrame, wide: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """``node, label`` for all nodes that a verified link joins.
 
-    ``wide`` holds sketch and bands of the nodes; rows carry them only while pairs are formed.
+    ``wide`` holds the sketches of the nodes; rows carry them only while pairs are formed. Leaders join most of
+    them; then the pairs that are left are looked at one by one.
     """
     spark = members.sparkSession
     tried, used, label = None, None, None
     open_ = members.withColumn("label", F.col("node"))
-    of_leader = wide.select(F.col("node").alias("leader"), F.col("sketch").alias("seen"), F.col("bands").alias("held"))
+    wide = wide.select("node", "sketch")
+    similar = may_be_similar(F.col("sketch"), F.col("seen"), least)
     leaders = 1
-    while True:
-        # the leader of a class in a bucket: its node of least hash there; each serves a bucket once
-        first = open_.groupBy("bucket", "label").agg(F.min(F.struct(F.xxhash64("node").alias("turn"), "node")).alias("l")).select(
-            "bucket", "label", F.col("l.node").alias("leader"), F.col("l.turn").alias("turn"))
-        if used is not None:
-            first = first.join(used, ["bucket", "leader"], "left_anti")
-        order = Window.partitionBy("bucket").orderBy("turn", "leader")
-        chosen = materialise(first.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= leaders)
-                             .select(F.col("bucket").alias("at"), "leader", F.col("label").alias("led")), "dup-leaders")
-        if chosen.isEmpty():
-            break
-        spent = chosen.select(F.col("at").alias("bucket"), "leader")
-        used = spent if used is None else used.unionByName(spent)
-        meets = (F.col("bucket") == F.col("at")) & (F.col("label") != F.col("led"))
-        similar = may_be_similar(F.col("sketch"), F.col("seen"), least)
-        both = [F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")]
-        if leaders == 1:  # a bucket yields fewer pairs than it has members; estimates come after
-            pairs = open_.join(chosen, meets).select(*both).distinct().withColumnsRenamed({"a": "node", "b": "leader"})
-            pairs = pairs.join(wide, "node").join(of_leader, "leader").filter(similar).select(*both)
+    while not open_.isEmpty():
+        if leaders:
+            chosen = _leaders(open_, used, leaders)
+            spent = chosen.select(F.col("at").alias("bucket"), "leader")
+            used = spent if used is None else used.unionByName(spent)
+            pairs = _led(open_, chosen, wide, similar, leaders == 1)
         else:
-            pairs = open_.join(wide, "node").join(
-                chosen.join(of_leader, "leader"),
-                meets & similar & _first_common(F.col("bands"), F.col("held"), F.col("bucket"))).select(*both).distinct()
+            pairs = _rest(open_, wide, similar)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "dup-pairs")
@@ -306,23 +295,69 @@ def _joined(members: DataFrame, wide: DataFrame, sets: DataFrame, least: float)
         b = sets.select(F.col("node").alias("b"), F.col("members").alias("mb"))
         links = materialise(pairs.join(a, "a").join(b, "b").select("a", "b", "ma", "mb").mapInArrow(
             lambda it: _verify(it, least), "a long, b long"), "dup-links")
-        leaders *= 4
-        if links.isEmpty():
-            continue
-        edges = links if label is None else links.unionByName(label.select(F.col("node").alias("a"), F.col("label").alias("b")))
-        label = connected_components(edges, "dup-components")
-        # buckets of one class are done
-        now = members.join(label, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
-        mixed = now.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("bucket")
-        open_ = materialise(now.join(mixed, "bucket"), "dup-open")
+        found = not links.isEmpty()
+        if found:
+            edges = links if label is None else links.unionByName(label.select(F.col("node").alias("a"), F.col("label").alias("b")))
+            label = connected_components(edges, "dup-components")
+        if not leaders:  # all pairs of different classes have been looked at
+            break
+        if found:  # buckets of one class are done
+            now = members.join(label, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
+            mixed = now.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("bucket")
+            open_ = materialise(now.join(mixed, "bucket"), "dup-open")
+        leaders = leaders * 4 if leaders == 1 or found and leaders < MOST_LEADERS else 0
     if label is None:
         return spark.createDataFrame([], "node long, label long")
     return label
 
 
-def _first_common(a: Column, b: Column, bucket: Column) -> Column:
-    """Whether ``bucket`` is the first one that both nodes are in: a pair leaves one bucket only."""
-    return F.coalesce(*(F.when(a[k] == b[k], a[k]) for k in range(BANDS))) == bucket
+def _leaders(open_: DataFrame, used: DataFrame | None, leaders: int) -> DataFrame:
+    """``at, leader, led``: the classes that lead a bucket this round; each node serves a bucket once.
+
+    A class is led by its node of least hash. In the first round that order is the same in all buckets, so that a group
+    meets few leaders; afterwards each bucket has its own.
+    """
+    turn = F.xxhash64("node") if leaders == 1 else F.xxhash64("node", "bucket")
+    first = open_.groupBy("bucket", "label").agg(F.min(F.struct(turn.alias("turn"), "node")).alias("l")).select(
+        "bucket", "label", F.col("l.node").alias("leader"), F.col("l.turn").alias("turn"))
+    if used is not None:
+        first = first.join(used, ["bucket", "leader"], "left_anti")
+    order = Window.partitionBy("bucket").orderBy("turn", "leader")
+    return materialise(first.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= leaders)
+                       .select(F.col("bucket").alias("at"), "leader", F.col("label").alias("led")), "dup-leaders")
+
+
+def _led(open_: DataFrame, chosen: DataFrame, wide: DataFrame, similar: Column, single: bool) -> DataFrame:
+    """``a, b``: members with the leaders of other classes in their buckets, as far as the sketches are ``similar``."""
+    meets = (F.col("bucket") == F.col("at")) & (F.col("label") != F.col("led"))
+    of_leader = wide.select(F.col("node").alias("leader"), F.col("sketch").alias("seen"))
+    both = [F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")]
+    if single:  # a bucket yields fewer pairs than it has members; estimates come after
+        pairs = open_.join(chosen, meets).select(*both).distinct().withColumnsRenamed({"a": "node", "b": "leader"})
+        return pairs.join(wide, "node").join(of_leader, "leader").filter(similar).select(*both)
+    return open_.join(wide, "node").join(chosen.join(of_leader, "leader"), meets & similar).select(*both).distinct()
+
+
+def _rest(open_: DataFrame, wide: DataFrame, similar: Column) -> DataFrame:
+    """``a, b``: all pairs of different classes that share a bucket, as far as the sketches are ``similar``.
+
+    One side of such a pair is outside the bucket's largest class. Those members by all members are a grid, cut into
+    cells of about ``CELL`` x ``CELL``, so that no task has a whole bucket.
+    """
+    sizes = open_.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("m")).groupBy("bucket").agg(
+        F.sum("m").alias("size"), F.max(F.struct("m", "label")).alias("top"))
+    rows, columns = F.ceil((F.col("size") - F.col("top.m")) / CELL), F.ceil(F.col("size") / CELL)
+    sized = open_.join(sizes, "bucket").select("bucket", "node", "label", (F.col("label") == F.col("top.label")).alias("largest"),
+                                               rows.alias("rows"), columns.alias("columns")).join(wide, "node")
+    cells = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    others = sized.filter("not largest").select(
+        "bucket", F.col("node").alias("other"), F.col("label").alias("led"), F.col("sketch").alias("seen"),
+        F.pmod(F.xxhash64("node"), "rows").alias("row"), cells("columns").alias("column"))
+    every = sized.select("bucket", "node", "label", "largest", "sketch",
+                         F.pmod(F.xxhash64("node"), "columns").alias("column"), cells("rows").alias("row"))
+    once = (F.col("label") != F.col("led")) & (F.col("largest") | (F.col("node") < F.col("other")))
+    return every.join(others, ["bucket", "row", "column"]).filter(once & similar).select(
+        F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

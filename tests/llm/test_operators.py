@@ -433,6 +433,39 @@ def test_near_duplicates_of_planted_copies(spark):
     assert neardup.classes(docs_of(spark, [])).count() == 0
 
 
+def joined(spark, bucket_of, sets):
+    """Labels by ``neardup._joined`` with sketches that let every pair pass; ``bucket_of``: node to its buckets."""
+    members = spark.createDataFrame([(b, n) for n, bs in bucket_of.items() for b in bs], "bucket long, node long")
+    zeros = [0] * (neardup.PLANES * neardup.PLANE)
+    width = neardup.BANDS
+    wide = spark.createDataFrame([(n, zeros, [*bs, *(-1 - n * width - k for k in range(width - len(bs)))]) for n, bs in bucket_of.items()],
+                                 "node long, sketch array<long>, bands array<long>")
+    packed = [(n, bytearray(neardup._packed(np.array(sorted(s), np.uint32), np.ones(len(s), np.uint32)))) for n, s in sets.items()]
+    return {r.node: r.label for r in neardup._joined(
+        members, wide, spark.createDataFrame(packed, "node long, members binary"), neardup.SIMILARITY).collect()}
+
+
+def test_the_only_bridge_between_two_classes_is_compared(spark):
+    turns = spark.range(1, 40).select("id", F.xxhash64("id").alias("t")).orderBy("t").collect()
+    z, a1, b1, a2, b2 = (r.id for r in turns[:5])  # in the order in which they lead
+    x, y, w = 1, 2, 3
+    at = lambda k: set(range(10 * k, 10 * k + 100))
+    label = joined(spark, {z: [x], a1: [y], b1: [y, w], a2: [y, x], b2: [y, x, w]},
+                   {z: at(100), a1: at(0), a2: at(1), b2: at(2), b1: at(3)})
+    assert len({label[n] for n in (a1, a2, b1, b2)}) == 1 and z not in label
+
+
+def test_drift_chains_of_one_bucket_join_as_by_force(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "CELL", 16, raising=False)  # several cells
+    rng = random.Random(3)
+    nodes = rng.sample(range(1000), 150)
+    sets = {n: set(range(10_000 * (k // 30) + 10 * (k % 30), 10_000 * (k // 30) + 10 * (k % 30) + 100)) for k, n in enumerate(nodes)}
+    label = joined(spark, {n: [1, 2 + k % 3] for k, n in enumerate(nodes)}, sets)
+    for k in range(0, 150, 30):  # each text is near its neighbours only
+        assert len({label[n] for n in nodes[k:k + 30]}) == 1
+    assert len(set(label.values())) == 5
+
+
 def test_registers_estimate_probability_jaccard():
     rng = np.random.default_rng(7)
     errors = []
