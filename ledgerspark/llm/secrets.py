@@ -4,14 +4,15 @@ Two layers give code point spans. The base kinds ``assign``, ``access`` and ``he
 are fixed patterns. The method adds ``literal`` spans: a text is lexed as source or
 configuration syntax into name-literal pairs (``name = "literal"``, ``name: literal``,
 ``"name": "literal"``, ``<name>literal</name>``, ``NAME=literal`` in shell and ini
-lines, joined literals ``"a" + "b"``), names assigned from other names take their
+lines, joined literals ``"a" + "b"``, and typed forms: ``name: type = "literal"``,
+``var name type = "literal"``, ``type name[] = "literal"``), names assigned from other names take their
 literal (constant propagation, to a fixed point, within one document), and each
 literal is scored by how sensitive the names are that it reaches and how random it
 looks. A literal of score ``THRESHOLD`` or more is a secret.
 
 A document is read whole; the work is per document, so nothing is shuffled.
-Documents without an assignment sign next to a sensitive word skip the lexer: no
-literal in them can reach a sensitive name.
+Documents whose letters and digits, read line by line without what stands between them,
+hold no sensitive word skip the lexer: no literal in them can reach a sensitive name.
 
 Defined results: null counts as empty and has no spans; equal spans of one kind are
 listed once; spans of different kinds may overlap; repeated rows repeat their
@@ -52,9 +53,10 @@ SENSITIVE = {
 # Values that stand for a secret without being one.
 PLACEHOLDERS = ("example", "changeme", "placeholder", "your", "xxxx", "****", "todo", "none", "null", "true", "false",
                 "dummy", "redacted")
-SENSITIVE_HINT = re.compile(
-    r"pass(?:w|phrase|code)|pwd|secret|token|credential|(?:api|private|access|auth|signing|encryption)[_. -]?key|bearer|authorization",
-    re.I | re.A)
+# A sensitive name holds one of these when only its letters and digits are read, as ``sensitivity`` joins its parts.
+HINT_WORDS = tuple(w.encode() for w in SENSITIVE if not any(v != w and v in w for v in SENSITIVE))
+_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+_BETWEEN = bytes(c for c in range(128) if not chr(c).isalnum() and c != 10)
 
 _LEX = re.compile(r"""
     (?P<string>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')
@@ -67,6 +69,21 @@ _LEX = re.compile(r"""
 """, re.X | re.A)
 _BARE = re.compile(r"[^\s\"'`,;<>(){}\[\]]+")
 _NAME = re.compile(r"[A-Za-z_$][\w$]*(?:\.[A-Za-z_$][\w$]*)*\Z", re.A)
+
+# Types: names with generics, brackets and marks, unions of them, quoted ones; up to the ``=`` that follows. Nothing is tried twice.
+_IN = r"[^<>\[\]\n=]"
+_ARGS = rf"(?:<{_IN}*>|\[{_IN}*\])"
+for _ in range(2):
+    _ARGS = rf"(?:<(?:{_IN}|{_ARGS})*>|\[(?:{_IN}|{_ARGS})*\])"
+_MARKS = r"(?:&(?:'[A-Za-z_]\w*[ \t]+)?(?:mut[ \t]+)?|\*(?:const[ \t]+|mut[ \t]+)?|\[\d*\]|\?|readonly[ \t]+)*+"
+_WORD = r"[A-Za-z_$][\w$]*(?:(?:\.|::)[A-Za-z_$][\w$]*)*"
+_ONE = rf"""(?>{_MARKS}(?:{_WORD}|{_ARGS})(?:{_ARGS})*+[?!*]*+|"[^"\n=]*"|'[^'\n=]*')"""
+_SIGN = r"[ \t]*(?==(?![=>]))"
+_TYPE = re.compile(rf"[ \t]*{_ONE}(?:[ \t]*+[|&][ \t]*+{_ONE})*+{_SIGN}", re.A)
+_DECLARED = re.compile(rf"[ \t]+({_WORD})[ \t]+{_ONE}{_SIGN}", re.A)  # after var or const: a name, then a type
+_PLAIN_TYPE = re.compile(rf"[ \t]+(?:\*|\[\d*\])*(?:string|byte|rune|any|error|interface[ \t]*\{{\}}){_SIGN}", re.A)
+_BEFORE_NAME = frozenset(("var", "const", "let", "static", "final", "unsigned", "signed", "char", "public", "private", "protected"))
+_INDEX = re.compile(r"[ \t]*([\w$][\w$ \t.+*-]*)?\]", re.A)  # after an opening bracket
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 
@@ -130,7 +147,10 @@ def pairs(text: str) -> tuple[list[tuple[str, list[tuple[int, int]]]], list[tupl
             literals.append((m.group("tagname"), [m.span("tagtext")]))
             target, waiting = None, False
         elif kind == "assign":
-            if target is not None:
+            typed = _TYPE.match(text, at) if target is not None and m.group() == ":" else None
+            if typed:  # the name keeps waiting for the sign after its type
+                at = typed.end()
+            elif target is not None:
                 close()
                 current, waiting, target = target, True, None
                 rest = _BARE.match(text, _blanks(text, at))
@@ -154,8 +174,24 @@ def pairs(text: str) -> tuple[list[tuple[str, list[tuple[int, int]]]], list[tupl
             else:
                 close()
                 target = m.group()
+                declared = _DECLARED.match(text, at) if target in ("var", "const") else None
+                if declared:
+                    name, kept = declared.group(1), text[declared.end(1):declared.end()]
+                    # "const a b =" may be type and name as well
+                    if name not in _BEFORE_NAME and (target == "var" or _PLAIN_TYPE.match(text, declared.end(1))
+                                                     or sensitivity(name) > sensitivity(kept)):
+                        target, at = name, declared.end()
+                elif target not in _BEFORE_NAME:
+                    plain = _PLAIN_TYPE.match(text, at)
+                    at = plain.end() if plain else at
         elif kind == "join":
             waiting = bool(pieces)
+        elif target is not None and m.group() == "[" and (index := _INDEX.match(text, at)):
+            at, inner = index.end(), (index.group(1) or "").strip()
+            if inner and not inner[0].isdigit() and sensitivity(inner) >= sensitivity(target):
+                target = inner
+        elif target is not None and m.group() in "?!" and text.startswith(":", at):
+            pass  # an optional name
         else:
             if kind == "end" and waiting and not pieces:
                 waiting, current = False, None
@@ -174,7 +210,8 @@ def _blanks(text: str, at: int) -> int:
 
 def literal_spans(text: str) -> list[tuple[int, int, str]]:
     """Literals that reach a sensitive name and look like a secret."""
-    if not SENSITIVE_HINT.search(text):
+    solid = text.encode("ascii", "ignore").translate(_LOWER, _BETWEEN)
+    if not any(w in solid for w in HINT_WORDS):
         return []
     literals, aliases = pairs(text)
     reach: dict[str, float] = {}  # name -> how sensitive the most sensitive name is that takes its value

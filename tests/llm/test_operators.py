@@ -522,6 +522,33 @@ def test_lexer_finds_propagated_literals_and_spares_prose():
     assert found(a) == ["Zx81kLmQ94vT"]
 
 
+def test_lexer_takes_the_name_of_typed_assignments():
+    found = lambda t: [t[a:b] for a, b, k in secrets.scan(t)[1] if k == "literal"]
+    secret = "Zx81kLmQ94vT"
+    for typed in ("client_secret: str =", "clientSecret:string=", "private clientSecret?: string | null =", "client_secret: Optional[str] =",
+                  "def f(a, client_secret: 'str' =", "let client_secret: &'static str =", "val clientSecret: Map<String, List<String>> =",
+                  "client_secret: &[u8] =", "var clientSecret: String? =", "var apiToken string =", "const apiToken string =",
+                  "var apiToken vault.Token =", "\tapiToken string =", "var apiToken *string =", "char api_secret[] =",
+                  "char api_secret[32] =", "const char api_secret[MAX_LEN] =", "const char *api_secret =", "const string apiToken =",
+                  "static const std::string apiToken =", "String apiToken =", 'config["api_token"] =', "pass_word =", "pass_phrase =",
+                  "pass_code =", "api__key =", "access$key =", "p.a.s.s.w.o.r.d ="):
+        assert found(f'x = 1\n{typed} "{secret}"\n') == [secret], typed
+    assert found(f'var base string = "{secret}"\nclientSecret := base\n') == [secret]
+    for plain in ("title: str =", "var title string =", "char title[] =", "secret: str\ntitle =", "const string title =", "secret == title; x ="):
+        assert found(f'{plain} "{secret}"\n') == [], plain
+
+
+def test_every_sensitive_name_reaches_the_lexer():
+    rng = random.Random(8)
+    for _ in range(3000):
+        name = "".join(c.upper() if rng.random() < 0.3 else c for c in rng.choice(list(secrets.SENSITIVE)))
+        for _ in range(rng.randint(0, 3)):
+            k = rng.randint(1, len(name))
+            name = name[:k] + rng.choice(["_", "$", ".a", "__", "-x", "_1", ""]) + name[k:]
+        if secrets.sensitivity(name) >= 0.9 and re.fullmatch(r"[A-Za-z_$][\w$]*(?:[.-][A-Za-z_$][\w$]*)*", name, re.A):
+            assert [k for _, _, k in secrets.scan(f'{name} = "Zx81kLmQ94vT"')[1]].count("literal") == 1, name
+
+
 def test_secret_operator_edges(spark):
     rows = [(1, None), (2, ""), (3, "é token = abcdefghijkl"), (3, "é token = abcdefghijkl"), (4, "x " * 100_000 + "0123456789abcdef")]
     got = secrets.find_secrets(docs_of(spark, rows)).collect()
