@@ -4,7 +4,8 @@ A neighbour graph over a bounded sample is partitioned into balanced parts; a sm
 classifier learns, for a vector, where its neighbours lie. Every row is indexed in
 its most probable part. A query is routed to its several most probable parts and
 compared there with every row, exactly. How many parts are probed is calibrated on
-the sample so that ``TARGET_RECALL`` of true neighbours are met.
+the sample so that ``TARGET_RECALL`` of true neighbours are met; a query whose parts hold
+fewer than k others goes on along its order of parts until they do.
 
 The sample (``SAMPLE`` rows by least hash of the id, more if more parts need it, at most
 ``MAX_SAMPLE``) is the only thing that is bounded; parts grow in number with the
@@ -17,7 +18,7 @@ vectors, summed in one fixed order; ties go to the smaller id.
 Defined results: vectors that are null, empty, zero, of another length than most, or
 hold null or non-finite components take no part (they are no queries either); rows
 that repeat an id are one candidate or query with the best of their scores; a query
-with fewer candidates than ``k`` gets all of those it meets; an empty table gives no rows;
+with fewer candidates than ``k`` gets all of them; an empty table gives no rows;
 further columns are ignored.
 """
 
@@ -187,20 +188,30 @@ def _train_task(batches: Iterator[pa.RecordBatch], parts: int, k: int) -> Iterat
     yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(build(x, parts, k))], pa.binary())], names=["model"])
 
 
-def _route(batches: Iterator[pa.RecordBatch], router: Router, probes: int) -> Iterator[pa.RecordBatch]:
-    """Home part of each row, and the parts a query probes."""
+def _route(batches: Iterator[pa.RecordBatch], router: Router) -> Iterator[pa.RecordBatch]:
+    """Home part of each row, and all parts in the order in which a query probes them."""
     for batch in batches:
         x = _vectors(batch.column(1))
-        home = np.zeros(len(x), np.int32)
-        probed = np.zeros((len(x), probes), np.int32)
+        asks = batch.column(0).field("q").to_numpy(zero_copy_only=False)
+        home, orders = np.zeros(len(x), np.int32), [None] * len(x)
         for a in range(0, len(x), 4096):
-            order = np.argsort(-router.probabilities(x[a:a + 4096]), axis=1, kind="stable")
-            home[a:a + 4096], probed[a:a + 4096] = order[:, 0], order[:, :probes]
+            order = np.argsort(-router.probabilities(x[a:a + 4096]), axis=1, kind="stable").astype(np.int32)
+            home[a:a + 4096] = order[:, 0]
+            for r in np.flatnonzero(asks[a:a + 4096]):
+                orders[a + r] = order[r]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(home), pa.array(list(probed), pa.list_(pa.int32()))],
+            [batch.column(0), batch.column(1), pa.array(home), pa.array(orders, pa.list_(pa.int32()))],
             names=["id", "v", "home", "probed"])
 
 
+def _enough(order: Column, probes: int, held: Column, k: int) -> Column:
+    """The first ``probes`` parts of ``order``, and further ones until they hold ``k`` ids besides the query's own."""
+    none = F.struct(F.array().cast("array<int>").alias("parts"), F.lit(0).cast("long").alias("n"))
+    more = lambda so_far, p: F.when((F.size(so_far["parts"]) < probes) | (so_far["n"] <= k), F.struct(
+        F.concat(so_far["parts"], F.array(p)).alias("parts"), (so_far["n"] + F.element_at(held, p + 1)).alias("n"))).otherwise(so_far)
+    return F.aggregate(order, none, more)["parts"]
+
+
 def _search(k: int):
     kind = pa.schema([("query_id", pa.int64()), ("id", pa.int64()), ("score", pa.float64())])
 
@@ -269,9 +280,13 @@ def search(vectors: DataFrame, queries: Column, key: str = "vec_id", vector: str
     router, probes = pickle.loads(model)
     shared = spark.sparkContext.broadcast(router)  # (dim + parts) x HIDDEN numbers
     routed = materialise(rows.select(F.struct("id", F.col("asks").alias("q")).alias("row"), "v").mapInArrow(
-        lambda it: _route(it, shared.value, probes), "id struct<id:long,q:boolean>, v array<double>, home int, probed array<int>")
+        lambda it: _route(it, shared.value), "id struct<id:long,q:boolean>, v array<double>, home int, probed array<int>")
         .select("id.id", "id.q", "v", "home", "probed"), "ann-rows")
     base = {r[0]: r[1] for r in routed.groupBy("home").count().collect()}  # one row per part
+    # a repeated id is one candidate: it counts in one of its parts
+    ids = {r[0]: r[1] for r in routed.groupBy("id").agg(F.min("home").alias("home")).groupBy("home").count().collect()}
+    held = F.array(*(F.lit(ids.get(p, 0)).cast("long") for p in range(parts)))
+    routed = routed.withColumn("probed", _enough(F.col("probed"), probes, held, k))
     asked = {r[0]: r[1] for r in routed.filter("q").select(F.explode("probed").alias("p")).groupBy("p").count().collect()}
     cuts = [(p, -(-base[p] // BLOCK), -(-asked[p] // QUERY_BLOCK)) for p in sorted(base) if p in asked]
     if not cuts:

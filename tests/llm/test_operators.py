@@ -390,6 +390,16 @@ def test_neighbours_recall_ties_and_odd_vectors(spark, monkeypatch):
     assert len(few) == 4 and {r.vec_id for r in few} == {1, 2, 3, 4}
 
 
+def test_queries_of_nearly_empty_parts_get_k_rows(spark, monkeypatch):
+    monkeypatch.setattr(ann, "PARTS_FACTOR", 1)
+    rng = np.random.default_rng(4)
+    x = np.repeat(rng.normal(size=(1, 16)), 600, axis=0)  # one hot vector sets the number of probes
+    x[::30] = rng.normal(size=(20, 16)) - x[0]
+    rows = [(k, v.tolist()) for k, v in enumerate(x)]
+    got = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 30 == 0).collect()
+    assert Counter(r.query_id for r in got) == dict.fromkeys(range(0, 600, 30), 20)
+
+
 def test_partition_is_balanced_and_follows_the_graph():
     rng = np.random.default_rng(1)
     x = np.concatenate([rng.normal(c, 0.1, (200, 8)) for c in rng.normal(size=(4, 8)) * 3])
