@@ -9,7 +9,7 @@ of ``documents``, whatever those are; ``n_chars`` follows the text.
    smallest text hash; of fully repeated rows one).
 3. decontamination: passages of the benchmark are cut out of the texts.
 4. secrets: secrets are replaced by a mark.
-5. encoding: token ids of each remaining text, with count and digests.
+5. encoding: token ids of each remaining text, with count and digest, and the digest of the text decoded from them.
 
 Rows with a null text pass as empty documents do: no stage takes offence at them by itself.
 """
@@ -82,7 +82,7 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.encode(docs, bpe.default_vocabulary(), columns=("n_tokens", "ids", "ids_sha256"))
+    return bpe.encode(docs, bpe.default_vocabulary(), columns=("n_tokens", "ids", "ids_sha256", "decoded_sha256"))
 
 
 STAGES = [

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 import re
 
@@ -11,7 +12,7 @@ import corpus_pipeline
 from ledgerspark.llm import bpe, secrets
 from ledgerspark.llm.queries import CATALOG
 from tests.conftest import SF_ORACLE
-from tests.llm.test_operators import jaccard, leaks_by_force, lowered, prose, words
+from tests.llm.test_operators import docs_of, jaccard, leaks_by_force, lowered, prose, words
 from tools.parity import compare
 
 SYLLABLES = ("a", "be", "ci", "do", "fu", "gy", "ha", "lo", "mi", "né")
@@ -103,6 +104,12 @@ def test_stages_keep_the_columns_and_counts(spark, tables):
         assert out.where("n_chars <> length(text)").isEmpty()
 
 
+def test_encoding_stage_decodes(spark):
+    texts = {1: "Some words, não é?", 2: "", 3: "x\n\ny  z"}
+    got = corpus_pipeline.encoding_stage(spark, docs_of(spark, list(texts.items())), "").collect()
+    assert {r.doc_id: r.decoded_sha256 for r in got} == {k: hashlib.sha256(t.encode()).hexdigest() for k, t in texts.items()}
+
+
 def test_stages_take_nulls_and_empty_tables(spark, tables):
     folder, *_ = tables
     kind = spark.read.parquet(f"{folder}/documents.parquet").schema
