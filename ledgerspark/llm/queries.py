@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerspark.llm import ann, bpe, decontaminate, langid, lattice, neardup, quality, secrets, urls, warc
+from ledgerspark.llm import ann, bpe, decontaminate, langid, lattice, neardup, pieces, quality, secrets, urls, warc
 
 CATALOG = {
     "op1_warc": (warc.op1_warc, warc.OP1_SQL),
@@ -15,4 +15,5 @@ CATALOG = {
     "op8_near_duplicates": (neardup.op8_near_duplicates, None),
     "op9_secret_scan": (secrets.op9_secret_scan, None),
     "op10_quality_classifier": (quality.op10_quality_classifier, None),
+    "op11_sentencepiece": (pieces.op11_sentencepiece, None),
 }
