@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerspark.llm import ann, bpe, decontaminate, langid, lattice, neardup, pieces, quality, secrets, trie, urls, warc
+from ledgerspark.llm import ann, bpe, decontaminate, langid, lattice, neardup, pieces, quality, secrets, trie, urls, warc, whitening
 
 CATALOG = {
     "op1_warc": (warc.op1_warc, warc.OP1_SQL),
@@ -17,4 +17,5 @@ CATALOG = {
     "op10_quality_classifier": (quality.op10_quality_classifier, None),
     "op11_sentencepiece": (pieces.op11_sentencepiece, None),
     "op12_prefix_trie": (trie.op12_prefix_trie, trie.OP12_SQL),
+    "op13_whitening": (whitening.op13_whitening, None),
 }
