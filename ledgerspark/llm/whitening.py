@@ -121,7 +121,8 @@ def scatter(a: BlockMatrix, rows: int) -> np.ndarray:
     """The transpose of ``a`` times ``a``, as a local matrix of its columns."""
     # with one split all rows would meet in the one task that holds the result's block
     splits = max(-(-rows // SPLIT_ROWS), 1)
-    product = a.transpose()._java_matrix_wrapper.call("multiply", a._java_matrix_wrapper._java_model, splits)
+    transposed = a.transpose()
+    product = transposed._java_matrix_wrapper.call("multiply", a._java_matrix_wrapper._java_model, splits)
     return BlockMatrix(product, a.colsPerBlock, a.colsPerBlock).toLocalMatrix().toArray()
 
 
@@ -135,7 +136,8 @@ def _local_blocks(spark: SparkSession, m: np.ndarray, rows_per_block: int) -> Bl
 
 def _rows_of(matrix: BlockMatrix) -> DataFrame:
     """``index, y``: the rows of a block matrix, without leaving the JVM."""
-    rows = callMLlibFunc("getIndexedRows", matrix.toIndexedRowMatrix()._java_matrix_wrapper._java_model)
+    indexed_rows = matrix.toIndexedRowMatrix()  # named, so that its JVM side lives until the call
+    rows = callMLlibFunc("getIndexedRows", indexed_rows._java_matrix_wrapper._java_model)
     return rows.select(F.col("index"), vector_to_array("vector").alias("y"))
 
 
