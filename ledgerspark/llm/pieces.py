@@ -18,8 +18,8 @@ space, and drops the dummy space.
 
 Defined results: null text counts as empty, which has the begin and end ids only; texts and words
 of any length are encoded whole (a round costs the symbols of the segments that still merge);
-an empty table gives no rows; repeated rows repeat their results; other columns are ignored. Words are
-remembered within a task in two generations of ``CACHE_WORDS``. A file with another normalisation, without byte
+an empty table gives no rows; repeated rows repeat their results; other columns are ignored. At most
+``CACHE_WORDS`` words are remembered within a task, beside those of the texts at hand. A file with another normalisation, without byte
 pieces or with pieces of user symbols is refused when it is opened.
 """
 
@@ -39,8 +39,10 @@ from pyspark.sql import functions as F
 from ledgerspark.llm.blocks import slices
 from ledgerspark.llm.common import table
 
-CACHE_WORDS = 200_000
+CACHE_WORDS = 400_000
+CACHED_LENGTH = 256  # longer words are encoded each time
 KEPT_WORDS = 50_000  # from one task of a worker to the next
+SLICE_ROWS = 64  # texts encoded at a time
 FLAT_SYMBOLS = 1 << 20  # characters laid out at a time (a longer word is laid out alone)
 
 SPACE = "▁"
@@ -95,7 +97,6 @@ class Pieces:
         self.spaced = {i for i in plain if piece[i].startswith(SPACE)}
         self.silent = {i for i in every if model.is_control(i)}
         self.words: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
 
     def _tables(self, ids: dict[str, int], score: dict[str, float]) -> None:
         # symbols: the pieces, then characters that occur in pieces but are none, then any other character
@@ -128,13 +129,7 @@ class Pieces:
         self.rank, self.result = Lookup(ranks, NO_RANK), Lookup(results, -1)
         self.double, self.triple = Lookup(doubles, 0), Lookup(triples, 0)
 
-        # words end where no piece reaches across: before a space, and around characters that stand in no longer piece
-        inside = {ch for p in merging for ch in p}
-        alone = "".join(re.escape(chr(c)) for c in range(128) if chr(c) not in inside and chr(c) != SPACE)
-        if any(re.search(f"[^{SPACE}]{SPACE}", p) for p in ids):
-            self.split = re.compile(r"(?s).+")
-        else:
-            self.split = re.compile(f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" + (f"|[{alone}]" if alone else ""))
+        self.split = _splitter(ids, merging)
 
     def _runs(self, ids: dict[str, int], score: dict[str, float]) -> None:
         """The run pieces: all pieces that hold a character twice in a row, if they are runs of it, of one score below all
@@ -165,27 +160,23 @@ class Pieces:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, begin and end included, as little-endian unsigned 32-bit integers."""
         cut = [self.split.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-        known, older = self.words, self.older
-        wanted: list[str] = []
-        for word in set().union(*cut).difference(known):
-            if word in older:
-                known[word] = older[word]
-            else:
-                wanted.append(word)
-        once: dict[str, bytes] = {}
+        known = self.words
+        wanted = list(set().union(*cut).difference(known))
         for group in _groups(wanted):
-            for word, ids in zip(group, self.merge(group)):
-                (known if len(word) < 256 else once)[word] = ids
-        look = (lambda w: once.get(w) or known[w]) if once else known.__getitem__
+            known.update(zip(group, self.merge(group)))
         first, last = self.begin.to_bytes(4, "little"), self.end.to_bytes(4, "little")
+        look = known.__getitem__
         out = [b"".join([first, *map(look, words), last]) for words in cut]
-        if len(known) >= CACHE_WORDS:
-            self.words, self.older = {}, known
+        for word in wanted:
+            if len(word) >= CACHED_LENGTH:
+                del known[word]
+        if len(known) >= CACHE_WORDS:  # the younger half stays; frequent words come back with the next texts
+            self.words = dict(islice(known.items(), len(known) - CACHE_WORDS // 2, None))
         return out
 
     def forget(self) -> None:
         """Drop the cached words but the first."""
-        self.words, self.older = dict(islice(self.words.items(), KEPT_WORDS)), {}
+        self.words = dict(islice(self.words.items(), KEPT_WORDS))
 
     def merge(self, words: list[str]) -> list[bytes]:
         """Ids of each word: all words at once, by rounds over flat arrays."""
@@ -321,6 +312,24 @@ class Pieces:
         return text[1:] if first in self.spaced else text
 
 
+def _splitter(ids: dict[str, int], merging: list[str]) -> re.Pattern:
+    """Words end where no piece reaches across: before spaces, around ASCII characters that stand in no longer piece, and
+    between marks and letters if no piece mixes them."""
+    if any(re.search(f"[^{SPACE}]{SPACE}", p) for p in ids):
+        return re.compile(r"(?s).+")
+    inside = {ch for p in merging for ch in p}
+    alone = "".join(re.escape(chr(c)) for c in range(128) if chr(c) not in inside and chr(c) != SPACE)
+    marks = {chr(c) for c in range(128) if chr(c) in inside and not chr(c).isalnum()}
+    beside = {pair for p in merging for pair in zip(p, p[1:]) if pair[0] != SPACE}
+    while more := {ch for a, b in beside if (a in marks) != (b in marks) for ch in (a, b)} - marks:
+        marks |= more  # other marks that share a piece with one
+    if any(ch.isalpha() for ch in marks):
+        marks = set()
+    mark = "".join(map(re.escape, sorted(marks)))
+    kinds = [f"{SPACE}*[^{SPACE}{alone}{mark}]+", f"{SPACE}*[{mark}]+" if mark else "", f"{SPACE}+", f"[{alone}]" if alone else ""]
+    return re.compile("|".join(k for k in kinds if k))
+
+
 def _merged_run(n: int, lengths: set[int]) -> list[int]:
     """Lengths of the pieces of a run of ``n``, merging the leftmost pair that has a piece until none has."""
     run = [1] * n
@@ -333,15 +342,13 @@ def _merged_run(n: int, lengths: set[int]) -> list[int]:
 
 def _groups(words: list[str]) -> Iterator[list[str]]:
     """The words in runs of at most ``FLAT_SYMBOLS`` characters, one word at least."""
-    group, size = [], 0
-    for w in words:
-        if group and size + len(w) > FLAT_SYMBOLS:
-            yield group
-            group, size = [], 0
-        group.append(w)
-        size += len(w)
-    if group:
-        yield group
+    ends = np.cumsum([len(w) for w in words])
+    at = 0
+    while at < len(words):
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + FLAT_SYMBOLS, "right")))
+        yield words[at:to]
+        at = to
 
 
 @lru_cache(maxsize=2)
@@ -353,7 +360,7 @@ def pieces(path: str) -> Pieces:
 def _encode(batches: Iterator[pa.RecordBatch], path: str, names: list[str]) -> Iterator[pa.RecordBatch]:
     coder = pieces(path)
     decodes = any(n.startswith("decoded") for n in names)
-    for batch in slices(batches):
+    for batch in slices(batches, SLICE_ROWS):
         ids = coder.encode([t or "" for t in batch.column(1).to_pylist()])
         decoded = [coder.decode(x) for x in ids] if decodes else []
         columns = {
