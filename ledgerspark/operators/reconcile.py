@@ -108,7 +108,8 @@ def in_both(df: DataFrame, other: DataFrame, on: str = DOC) -> DataFrame:
     return df.join(other.select(on), on, "left_semi")
 
 
-def _ledger_rows(lg: Ledger) -> DataFrame:
+def tagged_rows(lg: Ledger) -> DataFrame:
+    """One ledger's rows as ``documento, _ledger`` and its row, order key and source, each under the ledger's name."""
     cols = [lg.key.alias(DOC), F.lit(lg.name).alias(_SYS)]
     if lg.payload:
         cols.append(F.struct(*[F.col(c) for c in lg.payload]).alias(f"_{lg.tag}_row"))
@@ -127,7 +128,7 @@ def reconcile(*ledgers: Ledger) -> DataFrame:
     are kept), ``<ledger>_<col>_n`` non-null counts (AG3) and ``<ledger>_sources``
     (AG2, sorted by rank).
     """
-    union = concat_sources(*[_ledger_rows(lg) for lg in ledgers])
+    union = concat_sources(*[tagged_rows(lg) for lg in ledgers])
     aggs = []
     for lg in ledgers:
         aggs.append(F.bool_or(F.col(_SYS) == F.lit(lg.name)).alias(f"in_{lg.tag}"))

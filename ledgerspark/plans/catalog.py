@@ -451,7 +451,7 @@ def _stream_changes(spark: SparkSession, d: str) -> DataFrame:
     The repeated movements sort after the first ones and change nothing; the registry entries
     of the segment that lands with them do.
     """
-    from ledgerspark.streaming import refresh
+    from ledgerspark.streaming import incremental, refresh
 
     root = _scratch(spark, "stream-changes")
     mv, rg, se = _ledgers(spark, d)
@@ -464,27 +464,25 @@ def _stream_changes(spark: SparkSession, d: str) -> DataFrame:
                 df.write.parquet(f"{root}/in/{name}/load={i}")
         streams = [spark.readStream.schema(df.schema).parquet(f"{root}/in/{n}") for n, df in zip(names, (mv, rg, se))]
         with _state_partitions(spark, STATE_PARTITIONS):
-            refresh.await_all(refresh.incremental_report(reports.unified_report(*streams), f"{root}/out", f"{root}/checkpoint"))
+            refresh.await_all(incremental.write_changes(incremental.unified_changes(*streams), f"{root}/out", f"{root}/checkpoint"))
     out = spark.read.parquet(f"{root}/out")
     return out.where(F.col(refresh.BATCH_COLUMN) == 1).drop(refresh.BATCH_COLUMN)
 
 
 def _stream_incremental_report(spark: SparkSession, d: str) -> DataFrame:
-    """STR4: the fixture lands in steps; the streaming Q1 state after the last step."""
-    from ledgerspark.streaming import refresh
+    """STR4: the fixture lands in steps; the latest row of every document after the last step."""
+    from ledgerspark.streaming import incremental, refresh
 
     root = _scratch(spark, "stream-incremental")
     steps = fx.fixture_loads(spark, d)
     schemas = {name: df.schema for name, df in steps[0].items()}
-    report = None
     for i, step in enumerate(steps):
         for name, df in step.items():
             df.write.mode("overwrite").parquet(f"{root}/in/{name}/load={i}")
-        if report is None:
-            streams = {n: spark.readStream.schema(schemas[n]).parquet(f"{root}/in/{n}") for n in schemas}
-            report = reports.unified_report(streams["movements"], streams["registry"], streams["status_exports"])
+        streams = {n: spark.readStream.schema(schemas[n]).parquet(f"{root}/in/{n}") for n in schemas}
+        changes = incremental.unified_changes(streams["movements"], streams["registry"], streams["status_exports"])
         with _state_partitions(spark, STATE_PARTITIONS):
-            refresh.await_all(refresh.incremental_report(report, f"{root}/out", f"{root}/checkpoint", compact_every=2))
+            refresh.await_all(incremental.write_changes(changes, f"{root}/out", f"{root}/checkpoint"))
     return refresh.current_status(spark.read.parquet(f"{root}/out"))
 
 

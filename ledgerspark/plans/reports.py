@@ -14,7 +14,7 @@ Output columns use ASCII snake_case names; the sinks rename them.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -81,23 +81,31 @@ def unified_report(movements: DataFrame, registry: DataFrame, status_exports: Da
     row (its file name and raw date), else ``-``; nome from the first export row;
     id is that row's unique id unless all of the document's export ids are null.
     """
-    r = reconcile(_cnm(movements, key_mode), _soa(status_exports, key_mode, with_sources),
-                  _sgp(registry, key_mode))
-    cnm, soa, sgp = F.col("in_cnm"), F.col("in_soa"), F.col("in_sgp")
-    c, s = F.col("cnm_first"), F.col("soa_first")
+    r = reconcile(*unified_ledgers(movements, registry, status_exports, key_mode, with_sources))
+    return r.select(*unified_columns(F.col, movements.schema["data_hora"].dataType, with_sources))
+
+
+def unified_ledgers(movements: DataFrame, registry: DataFrame, status_exports: DataFrame, key_mode: KeyModes = "strict",
+                    with_sources: bool = False) -> list[Ledger]:
+    """What each ledger contributes to the unified report."""
+    return [_cnm(movements, key_mode), _soa(status_exports, key_mode, with_sources), _sgp(registry, key_mode)]
+
+
+def unified_columns(r: Callable[[str], Column], date: T.DataType, with_sources: bool = False) -> list[Column]:
+    """The columns of the unified report over a reconciliation's columns, which ``r`` names."""
+    cnm, soa, sgp = r("in_cnm"), r("in_soa"), r("in_sgp")
+    c, s = r("cnm_first"), r("soa_first")
     tipo = priority_pick((cnm, c["tipo"]), (soa, s["fonte"]))
-    out = r.select(
-        F.when(F.col("soa_unique_id_n") > 0, s["unique_id"]).otherwise(F.lit("-")).alias("id"),
+    return [
+        F.when(r("soa_unique_id_n") > 0, s["unique_id"]).otherwise(F.lit("-")).alias("id"),
         F.col(DOC),
         or_placeholder(soa, s["devedor"]).alias("nome"),
-        priority_pick((cnm, _movement_date(movements, c["data_hora"])), (soa, s["data"])).alias("data"),
+        priority_pick((cnm, format_movement_date(c["data_hora"], date)), (soa, s["data"])).alias("data"),
         tipo.alias("tipo"),
         join_badges(("CNM", cnm), ("SOA", soa), ("SGP", sgp)).alias("local"),
         st.status_by_type(sgp, tipo).alias("status"),
-        *([sources_with_movement_tag(F.col("soa_sources"), cnm, c["tipo"]).alias("fontes")]
-          if with_sources else []),
-    )
-    return out
+        *([sources_with_movement_tag(r("soa_sources"), cnm, c["tipo"]).alias("fontes")] if with_sources else []),
+    ]
 
 
 def sources_with_movement_tag(soa_sources: Column, in_cnm: Column, raw_tipo: Column) -> Column:
