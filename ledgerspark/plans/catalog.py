@@ -267,6 +267,15 @@ def _scan_status_exports(spark: SparkSession, d: str) -> DataFrame:
     return se.drop("ord")
 
 
+def _scan_multiline_exports(spark: SparkSession, d: str) -> DataFrame:
+    """SRC3 over exports whose debtor names hold a line break: every file is split, none is read whole by one task."""
+    from ledgerspark.sources import exports
+
+    folder = fx.land_fixture(spark, d, _scratch(spark, "landing-lines"), line_breaks=True)
+    se, _ = exports.scan_status_exports(spark, folder)
+    return se.drop("ord")
+
+
 def _scan_movements(spark: SparkSession, d: str) -> DataFrame:
     _, mv, _, _ = _landed_ledgers(spark, d)
     return mv.select("id", "documento", "tipo", format_movement_date(F.col("data_hora"),
@@ -596,6 +605,7 @@ def catalog() -> dict[str, tuple[Builder, str | None]]:
         "stream_changes": (_stream_changes, sql.stream_changes_sql(TAG)),
         "q1_from_landing": (_q1_from_landing, sql.q1_sql()),
         "scan_status_exports": (_scan_status_exports, sql.scan_status_exports_sql()),
+        "scan_multiline_exports": (_scan_multiline_exports, sql.scan_multiline_exports_sql()),
         "scan_movements": (_scan_movements, sql.scan_movements_sql()),
         "intake_check": (_intake_check, sql.values_sql(INTAKE_EXPECTED)),
         "header_ops": (_header_ops, sql.values_sql(HEADERS_EXPECTED)),

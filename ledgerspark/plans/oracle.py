@@ -14,7 +14,7 @@ from functools import lru_cache
 
 from ledgerspark.functions import entities
 from ledgerspark.functions.badges import BADGE_SEPARATOR, BADGE_TEMPLATE
-from ledgerspark.sources.fixtures import fixture_sql
+from ledgerspark.sources.fixtures import NAME_MARK, fixture_sql
 
 NON_DIGIT = r"[^\p{Nd}]"
 NON_WORD = r"[^\p{L}\p{N}_]"
@@ -466,6 +466,11 @@ def extract_predicates_sql(since: str) -> str:
 select id, documento, tipo from fx_movements where data_hora >= timestamp '{since}'""")
 
 
+def scan_multiline_exports_sql() -> str:
+    return f"""select * replace (replace(devedor, '{NAME_MARK}', chr(10)) as devedor)
+from ({scan_status_exports_sql()})"""
+
+
 def scan_status_exports_sql() -> str:
     return with_fixture("select documento, devedor, unique_id, data, fonte, source_rank from fx_status_exports")
 

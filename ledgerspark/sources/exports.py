@@ -7,9 +7,11 @@ files of one signature are read by a single CSV scan, renamed positionally and
 unioned by name with the other signatures. Headers are grouped by signature on the
 executors; the driver gets one row per signature, with the paths its scan needs.
 
-Files are split like any text (``multi_line=True`` reads records that span lines, at
-one task per file). A record wider than its header, or a quote left open at a line end,
-fails the scan; shorter records end in nulls.
+Files are split like any text. A file with records that span lines (a quoted line break) is
+split too: ``records`` finds the record limits of all splits in parallel. Which files
+those are takes one scan of the text more; ``multi_line=False`` leaves it out and fails on a quote left open at a
+line end, ``multi_line=True`` reads every file whole, by one task. A record wider than its
+header fails the scan; shorter records end in nulls.
 
 Order key for "first row" semantics (S6): ``(source_rank, file path, file block
 start, row position)``; the position comes from ``monotonically_increasing_id``
@@ -25,6 +27,7 @@ from pyspark.sql import types as T
 from ledgerspark.functions.dates import parse_movement_timestamp
 from ledgerspark.functions.keys import as_text
 from ledgerspark.sources import headers as H
+from ledgerspark.sources import records
 from ledgerspark.sources.landing import landing_filter, list_files, list_landing
 
 # The five status exports, in the order they are concatenated.
@@ -64,8 +67,8 @@ def _csv(spark: SparkSession, n: int, multi_line: bool):
             .option("columnPruning", False))  # a pruned parse would not count the cells of a record
 
 
-def _well_formed(n: int) -> Column:
-    """True, or an error for a record with more than ``n`` cells or an open quote.
+def _well_formed(n: int, path: Column, whole: bool = False) -> Column:
+    """True, or an error for a record with more than ``n`` cells or, unless records are known to be ``whole``, an open quote.
 
     Records of another width than the header arrive with their raw text; those are looked at only.
     """
@@ -74,11 +77,21 @@ def _well_formed(n: int) -> Column:
     unquoted = F.regexp_replace(raw, '"(?:[^"]|"")*"', "")
     commas = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit("")))
     # the first cell is named too: Spark refuses queries that read nothing but the raw text of odd records
-    where = F.concat(F.lit(" in "), F.col("_metadata.file_path"), F.lit(": "), raw,
+    where = F.concat(F.lit(" in "), path, F.lit(": "), raw,
                      F.coalesce(F.substring(F.col("_c0"), 1, 0), F.lit("")))
     open_quote = F.raise_error(F.concat(F.lit("quote left open at the line end (read with multi_line=True)"), where))
     wide = F.raise_error(F.concat(F.lit(f"more than the header's {n} cells"), where))
-    return F.when(quotes % 2 == 1, open_quote).when(commas >= n, wide).otherwise(F.lit(True))
+    wide_only = F.when(commas >= n, wide).otherwise(F.lit(True))
+    return wide_only if whole else F.when(quotes % 2 == 1, open_quote).otherwise(wide_only)
+
+
+def _records_csv(spark: SparkSession, files: list[str], n: int) -> DataFrame:
+    """The cells of files whose records may span lines, with ``_file, _block, _pos``."""
+    listing = spark.read.format("binaryFile").load(files).select("path", "length")
+    schema = _string_schema(n).add(BAD_RECORD, T.StringType())
+    options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_RECORD, "multiLine": "true"}
+    cells = records.records(listing).select("path", "block", "pos", F.from_csv("value", schema.toDDL(), options).alias("_r"))
+    return cells.select("_r.*", F.col("path").alias("_file"), F.col("block").alias("_block"), F.col("pos").alias("_pos"))
 
 
 def null_tokens(c: Column, tokens: tuple[str, ...] = NA_TOKENS) -> Column:
@@ -132,7 +145,7 @@ def csv_headers(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...],
 
 
 def scan_csv(spark: SparkSession, paths: list[str], aliases: dict[str, str] = H.ALL_ALIASES,
-             tags: dict[str, tuple] | None = None, multi_line: bool = False) -> DataFrame | None:
+             tags: dict[str, tuple] | None = None, multi_line: bool | None = None) -> DataFrame | None:
     """SRC3 + SCH1-SCH5 over many CSV files whose headers may differ.
 
     Files are grouped by ``(tag, raw header)``; each group is one CSV scan whose
@@ -143,20 +156,25 @@ def scan_csv(spark: SparkSession, paths: list[str], aliases: dict[str, str] = H.
     """
     if not paths:
         return None
+    open_lines = records.files_with_open_lines(spark, paths) if multi_line is None else set()
     groups: dict[tuple, list[str]] = {}
     for raw, files in csv_headers(spark, paths).items():
         for path in files:
-            groups.setdefault(((tags or {}).get(path, ()), raw), []).append(path)
+            spans = records.same_file(path, open_lines)
+            groups.setdefault(((tags or {}).get(path, ()), raw, spans), []).append(path)
     parts = []
-    for (tag, raw), files in sorted(groups.items(), key=lambda kv: min(kv[1])):
+    for (tag, raw, spans), files in sorted(groups.items(), key=lambda kv: min(kv[1])):
         names, keep = H.resolve_header(list(raw), aliases)
         n = max(len(raw), 1)
-        df = _csv(spark, n, multi_line).load(sorted(files)).where(_well_formed(n))
+        if spans:
+            df = _records_csv(spark, sorted(files), n).where(_well_formed(n, F.col("_file"), whole=True))
+        else:
+            df = _csv(spark, n, bool(multi_line)).load(sorted(files)).where(_well_formed(n, F.col("_metadata.file_path")))
+            df = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+                           F.monotonically_increasing_id().alias("_pos"))
         cols = [null_tokens(F.col(f"_c{i}")).alias(name) for name, i in zip(names, keep)]
         consts = [F.lit(v).alias(k) for k, v in tag]
-        parts.append(df.select(*cols, *consts, F.col("_metadata.file_path").alias("_file"),
-                               F.col("_metadata.file_block_start").alias("_block"),
-                               F.monotonically_increasing_id().alias("_pos")))
+        parts.append(df.select(*cols, *consts, "_file", "_block", "_pos"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
@@ -201,7 +219,7 @@ def _status_of(path: str, folder: str, files) -> tuple | None:
 
 def scan_status_exports(spark: SparkSession, folder: str, files=STATUS_FILES,
                         aliases: dict[str, str] = H.ALL_ALIASES,
-                        multi_line: bool = False) -> tuple[DataFrame, list[str]]:
+                        multi_line: bool | None = None) -> tuple[DataFrame, list[str]]:
     """SRC3/SRC5/SRC6/UN1: all present status files as one canonical export ledger.
 
     A status "file" may be a single CSV or a folder of CSV parts (as Spark
@@ -233,7 +251,7 @@ def scan_status_exports(spark: SparkSession, folder: str, files=STATUS_FILES,
 
 
 def _table_scan(spark: SparkSession, path: str, fmt: str, skip_rows: int, aliases: dict[str, str],
-                multi_line: bool = False) -> DataFrame:
+                multi_line: bool | None = None) -> DataFrame:
     if skip_rows and fmt != "workbook":
         raise ValueError(f"preamble rows are a workbook feature; {fmt} has no skip_rows")
     if fmt == "workbook":
@@ -271,7 +289,7 @@ def _with_columns(df: DataFrame, names: tuple[str, ...]) -> DataFrame:
     return df.withColumns({c: F.lit(None).cast("string") for c in names if c not in df.columns})
 
 
-def scan_movements(spark: SparkSession, path: str, fmt: str = "workbook", multi_line: bool = False) -> DataFrame:
+def scan_movements(spark: SparkSession, path: str, fmt: str = "workbook", multi_line: bool | None = None) -> DataFrame:
     """SRC1: movement register -> ``id, documento, tipo, data_hora, ord`` (data_hora parsed)."""
     df = _with_columns(_table_scan(spark, require(spark, path), fmt, 0, MOVEMENT_ALIASES, multi_line),
                        ("id", "documento", "tipo", "data_hora"))
@@ -280,7 +298,7 @@ def scan_movements(spark: SparkSession, path: str, fmt: str = "workbook", multi_
 
 
 def scan_registry(spark: SparkSession, path: str, fmt: str = "workbook", skip_rows: int | None = None,
-                  multi_line: bool = False) -> DataFrame:
+                  multi_line: bool | None = None) -> DataFrame:
     """SRC2: customer registry -> ``cpf_cnpj, nome, ord``.
 
     A workbook's header follows ``skip_rows`` preamble rows (sheet rows, blank ones count;

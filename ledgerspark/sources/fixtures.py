@@ -226,6 +226,10 @@ DEFAULT_EXPORT_HEADERS = {"documento": "Documento", "devedor": "Devedor", "uniqu
                           "data": "Data Inclusão"}
 
 
+# Fixed value: the character of the debtors' names that becomes a line break where names are landed over two lines.
+NAME_MARK = "#"
+
+
 def _write_csv_in_order(df: DataFrame, order: str, path: str) -> None:
     """CSV parts whose file-name order and row order follow ``order`` (range partitioned)."""
     (df.repartitionByRange(order).sortWithinPartitions(order).drop(order)
@@ -233,9 +237,11 @@ def _write_csv_in_order(df: DataFrame, order: str, path: str) -> None:
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
-def land_fixture(spark: SparkSession, sf_dir: str, folder: str) -> str:
+def land_fixture(spark: SparkSession, sf_dir: str, folder: str, line_breaks: bool = False) -> str:
     """Write the fixture ledgers as landed files (CSV folders with the portal headers).
 
+    With ``line_breaks`` the debtor names of the status exports are written over two lines.
+
     Movement timestamps are written as day-first text, so the scan parses them
     back; each status export gets the header spelling of its portal tab.
     """
@@ -253,6 +259,8 @@ def land_fixture(spark: SparkSession, sf_dir: str, folder: str) -> str:
                         "_o", f"{folder}/Relatorio_SGP.csv")
     for _, fonte, name in STATUS_FILES:
         se = status_exports(spark, sf_dir, fontes=(fonte,))
+        if line_breaks:
+            se = se.withColumn("devedor", F.replace("devedor", F.lit(NAME_MARK), F.lit("\n")))
         cols = EXPORT_HEADERS.get(fonte, DEFAULT_EXPORT_HEADERS)
         repeats = [F.lit("repeated").alias(h) for h in EXPORT_REPEATS.get(fonte, {}).values()]
         _write_csv_in_order(se.select(F.col("ord").alias("_o"), *[F.col(c).alias(h) for c, h in cols.items()], *repeats),

@@ -52,9 +52,10 @@ def test_wide_records_fail(spark, tmp_path, line):
 def test_records_over_several_lines(spark, tmp_path):
     path = _csv(str(tmp_path), "x.csv", 'Documento,Devedor,Unique ID\n1,"Ana\nMaria",U\n')
     with pytest.raises(Exception, match="quote left open"):
-        exports.scan_csv(spark, [path]).collect()
-    got = exports.scan_csv(spark, [path], multi_line=True).collect()
-    assert [(r.documento, r.devedor, r.unique_id) for r in got] == [("1", "Ana\nMaria", "U")]
+        exports.scan_csv(spark, [path], multi_line=False).collect()
+    for multi_line in (None, True):
+        got = exports.scan_csv(spark, [path], multi_line=multi_line).collect()
+        assert [(r.documento, r.devedor, r.unique_id) for r in got] == [("1", "Ana\nMaria", "U")]
 
 
 def test_long_header_and_repeats(spark, tmp_path):
