@@ -114,11 +114,14 @@ def run_report(spark: SparkSession, args) -> None:
 
 def run_watch(spark: SparkSession, args) -> None:
     """Refresh whenever files land. A versioned landing is a file stream; a flat one, whose workbooks are
-    overwritten in place, is compared with the listing of the last good refresh."""
+    overwritten in place, is a stream of listings. A refresh that failed is repeated."""
     import time
 
+    from pyspark.errors import StreamingQueryException
+
     from ledgerspark.session import checkpoint_dir
     from ledgerspark.streaming import refresh
+    from ledgerspark.streaming.landing_events import landing_events
 
     out = args.out.rstrip("/")
     result, log = f"{out}/resultado_{args.variant}", f"{out}/refresh_log"
@@ -128,16 +131,17 @@ def run_watch(spark: SparkSession, args) -> None:
         mv, rg, se, _ = ledgers(s, args.landing, args.ledger_format, args.versioned)
         return build_report(mv, rg, se, args.variant, KEY_MODES[args.key_mode])
 
+    once = {"availableNow": True} if args.once else {"processingTime": f"{args.every} seconds"}
     if args.versioned:
         files = refresh.watch_landing(spark, args.landing, glob=args.glob, recursive=True)
-        trigger = {"availableNow": True} if args.once else {"processingTime": f"{args.every} seconds"}
-        refresh.refresh_report(files, build, result, log, root, trigger).awaitTermination()
+        refresh.refresh_report(files, build, result, log, root, once).awaitTermination()
         return
+    files = landing_events(spark, args.landing, f"{root}/listings", glob=args.glob)
     while True:
-        changed, listing = refresh.landing_changes(spark, args.landing, f"{root}/listing", glob=args.glob)
-        n = changed.count()
-        if n and refresh.refresh_once(spark, build, result, log, time.time_ns(), n):
-            refresh.remember_landing(listing, f"{root}/listing")
+        try:
+            refresh.refresh_report(files, build, result, log, f"{root}/events", once, retry=True).awaitTermination()
+        except StreamingQueryException as failed:
+            print(f"[warning] {failed}", file=sys.stderr)
         if args.once:
             return
         time.sleep(args.every)

@@ -431,6 +431,47 @@ def _newest_versions(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(*paths).select("cpf_cnpj", "nome", "tag")
 
 
+OVERWRITTEN_EXPORTS = ("Ativas", "Erros")
+
+
+def _summary_files(folder: str):
+    """Writes one small file per row, in place: ``<fonte>.csv`` with the row's text."""
+    def write(batches):
+        import pandas as pd
+
+        from ledgerspark.sources.files import open_output
+
+        for pdf in batches:
+            for fonte, text in zip(pdf["fonte"], pdf["text"]):
+                with open_output(f"{folder}/{fonte}.csv") as f:
+                    f.write(text.encode())
+            yield pd.DataFrame({"fonte": pdf["fonte"]})
+    return write
+
+
+def _overwritten_files(spark: SparkSession, d: str) -> DataFrame:
+    """STR2: the events of a flat landing over three runs of the stream: all files land, two are overwritten, nothing happens.
+
+    Each file holds the number of its export's rows, then that of its rows with a unique id.
+    """
+    from ledgerspark.session import ship_package
+    from ledgerspark.streaming import refresh
+    from ledgerspark.streaming.landing_events import landing_events
+
+    root = _scratch(spark, "overwritten")
+    ship_package(spark)
+    se = fx.status_exports(spark, d).groupBy("fonte").agg(
+        F.concat(F.lit("rows\n"), F.count(F.lit(1))).alias("all"), F.concat(F.lit("unique ids\n"), F.count("unique_id")).alias("some"))
+    for k, text in enumerate((se.select("fonte", F.col("all").alias("text")),
+                              se.where(F.col("fonte").isin(*OVERWRITTEN_EXPORTS)).select("fonte", F.col("some").alias("text")), None)):
+        if text is not None:
+            text.mapInPandas(_summary_files(f"{root}/in"), "fonte string").collect()
+        events = landing_events(spark, f"{root}/in", f"{root}/listings", glob="*.csv").withColumn("run", F.lit(k))
+        refresh.await_all(events.writeStream.format("parquet").option("path", f"{root}/out")
+                          .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
+    return spark.read.parquet(f"{root}/out").select("run", "name", "event", "length")
+
+
 def _scratch(spark: SparkSession, name: str) -> str:
     import uuid
 
@@ -602,6 +643,7 @@ def catalog() -> dict[str, tuple[Builder, str | None]]:
         "new_files_since": (_new_files_since, sql.values_sql([{"file": "Baixadas.csv"}, {"file": "Erros.csv"}])),
         "landing_filter": (_landing_filter, sql.values_sql([{"file": "Ativas.csv"}, {"file": "Erros.csv"}])),
         "newest_versions": (_newest_versions, sql.newest_versions_sql("MACHINERY")),
+        "overwritten_files": (_overwritten_files, sql.overwritten_files_sql(OVERWRITTEN_EXPORTS)),
         "stream_changes": (_stream_changes, sql.stream_changes_sql(TAG)),
         "q1_from_landing": (_q1_from_landing, sql.q1_sql()),
         "scan_status_exports": (_scan_status_exports, sql.scan_status_exports_sql()),

@@ -333,6 +333,18 @@ def newest_versions_sql(tag: str) -> str:
     return with_fixture(f"x as (select 1) select cpf_cnpj, nome, tag from fx_customers where tag = '{tag}'")
 
 
+def overwritten_files_sql(again: tuple[str, ...]) -> str:
+    names = ", ".join(f"'{f}'" for f in again)
+    return with_fixture(f"""
+select cast(0 as integer) as run, fonte || '.csv' as name, 'new' as event,
+       cast(length('rows') + 1 + length(cast(count(*) as varchar)) as bigint) as length
+from fx_status_exports group by fonte
+union all
+select cast(1 as integer), fonte || '.csv', 'overwritten',
+       cast(length('unique ids') + 1 + length(cast(count(unique_id) as varchar)) as bigint)
+from fx_status_exports where fonte in ({names}) group by fonte""")
+
+
 def stream_changes_sql(tag: str) -> str:
     """Rows of the full report that differ from the report without the registry segment ``tag``."""
     full = q1_ctes()

@@ -94,3 +94,53 @@ def move(src: str, dst: str) -> None:
     filesystem, inner_src = _arrow_fs(src)
     _, inner_dst = _arrow_fs(dst)
     filesystem.move(inner_src, inner_dst)
+
+
+def list_entries(folder: str, recursive: bool) -> list[tuple[str, int, int]]:
+    """``path, length, modification time in nanoseconds`` of the files in ``folder``; none if it is absent."""
+    local = _local(folder)
+    if local is not None:
+        found = []
+        for d, subfolders, names in os.walk(local):
+            for name in names:
+                path = os.path.join(d, name)
+                try:
+                    info = os.stat(path)
+                except FileNotFoundError:  # gone since it was listed
+                    continue
+                found.append((path, info.st_size, info.st_mtime_ns))
+            if not recursive:
+                subfolders.clear()
+        return found
+    from pyarrow import fs
+
+    filesystem, inner = _arrow_fs(folder)
+    scheme = folder.split("://", 1)[0]
+    infos = filesystem.get_file_info(fs.FileSelector(inner, allow_not_found=True, recursive=recursive))
+    return [(f"{scheme}://{f.path}", f.size, f.mtime_ns or 0) for f in infos if f.type == fs.FileType.File]
+
+
+def names_in(folder: str) -> list[str]:
+    """Names of the files directly in ``folder``; none if it is absent."""
+    return [path.rsplit("/", 1)[-1] for path, _, _ in list_entries(folder, recursive=False)]
+
+
+def replace_text(path: str, text: str) -> None:
+    """Write a small text file whole: under another name first, then moved into place."""
+    with open_output(f"{path}.part") as f:
+        f.write(text.encode())
+    move(f"{path}.part", path)
+
+
+def remove(path: str) -> None:
+    """Delete one file; an absent one is no error."""
+    local = _local(path)
+    if local is not None:
+        if os.path.exists(local):
+            os.remove(local)
+        return
+    filesystem, inner = _arrow_fs(path)
+    try:
+        filesystem.delete_file(inner)
+    except FileNotFoundError:
+        pass

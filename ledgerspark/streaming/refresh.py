@@ -6,18 +6,16 @@
 * STR2 ``newest_versions``: a file stream never re-reads a modified file under
   the same path, so a versioned landing puts every new version under a new path
   (``.../ledger=<name>/load_ts=<ts>/...``); the newest ``load_ts``, as a time, per ledger wins.
-  For a flat landing, whose files are overwritten in place, ``landing_changes`` compares
-  path, modification time and length with the listing of the last successful refresh.
+  For a flat landing, whose files are overwritten in place, ``landing_events`` is a stream whose
+  offset is the listing (path, modification time, length); ``landing_changes`` compares two listings in a batch job.
 * STR3 ``refresh_report``: every micro-batch with new files recomputes the
   report into a folder of its own and appends one row to a refresh log (batch id, files,
   outcome); readers take the newest successful one (``published``), so a failed run
   leaves the last good report in place.
-* STR4 ``incremental_report``: the re-aim at scale. The report's single
-  ``groupBy('documento')`` runs as a stateful streaming aggregation in update
-  mode; each micro-batch's rows are compared with the last emitted row of their
-  document, and only rows that differ are kept. ``current_status`` folds the change log to the
-  latest row per document; a snapshot every ``COMPACT_EVERY`` batches keeps that short.
-  "First" is decided by the ledgers' order keys, not by arrival.
+* STR4: ``incremental.unified_changes`` keeps the unified report up to date with a stateful operator per document.
+  ``incremental_report`` here takes any report with one streaming aggregation instead: it compares each
+  micro-batch's rows with the last emitted ones, which it reads back. Either way ``current_status`` folds the change
+  log to the latest row per document, and "first" is decided by the ledgers' order keys, not by arrival.
 
 State and checkpoints live under the shared ``spark.checkpoint.dir``.
 """
@@ -44,6 +42,10 @@ COMPACT_EVERY = 20
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
+class RefreshFailed(RuntimeError):
+    """A refresh that is to be repeated did not succeed; its log row says why."""
+
+
 def watch_landing(spark: SparkSession, folder: str, glob: str = WATCHED_GLOB, recursive: bool = False) -> DataFrame:
     """STR1: new files of the landing folder as a stream of ``(path, name, length, modificationTime)``."""
     stream = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("pathGlobFilter", glob)
@@ -111,18 +113,19 @@ def remember_landing(listing: DataFrame, state: str) -> None:
 
 
 def refresh_report(files: DataFrame, build: Callable[[SparkSession], DataFrame], output: str, log: str,
-                   checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+                   checkpoint: str, trigger: dict | None = None, retry: bool = False) -> StreamingQuery:
     """STR3: recompute ``build(spark)`` whenever new files arrive, into ``output/refresh=<batch>``; log the run.
 
     ``build`` plans the report over the landing folder (a batch job); failures
     are logged, not raised, so the watcher keeps running like the original
-    monitor, and ``published`` goes on naming the last good result.
+    monitor, and ``published`` goes on naming the last good result. With ``retry`` a failure also ends
+    the stream, whose next start repeats the micro-batch.
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         n = batch.count()
-        if n:
-            refresh_once(batch.sparkSession, build, output, log, batch_id, n)
+        if n and not refresh_once(batch.sparkSession, build, output, log, batch_id, n) and retry:
+            raise RefreshFailed(f"refresh {batch_id}: see {log}")
 
     writer = files.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
