@@ -91,6 +91,12 @@ def unified_ledgers(movements: DataFrame, registry: DataFrame, status_exports: D
     return [_cnm(movements, key_mode), _soa(status_exports, key_mode, with_sources), _sgp(registry, key_mode)]
 
 
+def all_ledgers(movements: DataFrame, registry: DataFrame, status_exports: DataFrame,
+                key_mode: KeyModes = "strict") -> list[Ledger]:
+    """What any of the reports needs of each ledger."""
+    return [_cnm(movements, key_mode), _soa(status_exports, key_mode, with_sources=True), _sgp(registry, key_mode, with_name=True)]
+
+
 def unified_columns(r: Callable[[str], Column], date: T.DataType, with_sources: bool = False) -> list[Column]:
     """The columns of the unified report over a reconciliation's columns, which ``r`` names."""
     cnm, soa, sgp = r("in_cnm"), r("in_soa"), r("in_sgp")
@@ -156,6 +162,11 @@ def unified_presence_report(movements: DataFrame, registry: DataFrame, active_ex
     data: export date, else the formatted movement date, else ``-``.
     """
     r = reconcile(_cnm(movements, key_mode), _soa(active_exports, key_mode), _sgp(registry, key_mode))
+    return presence_rows(r, movements.schema["data_hora"].dataType)
+
+
+def presence_rows(r: DataFrame, date: T.DataType) -> DataFrame:
+    """Q2's rows of a reconciliation of the three ledgers."""
     cnm, soa, sgp = F.col("in_cnm"), F.col("in_soa"), F.col("in_sgp")
     c, s = F.col("cnm_first"), F.col("soa_first")
     tipo, status = st.status_by_presence(cnm, soa, sgp)
@@ -164,7 +175,7 @@ def unified_presence_report(movements: DataFrame, registry: DataFrame, active_ex
         priority_pick((soa, strip_non_word(uid)), (cnm, int_id(c["id"]))).alias("id"),
         F.col(DOC),
         or_placeholder(soa, devedor).alias("nome"),
-        priority_pick((soa, data), (cnm, _movement_date(movements, c["data_hora"]))).alias("data"),
+        priority_pick((soa, data), (cnm, format_movement_date(c["data_hora"], date))).alias("data"),
         tipo.alias("tipo"),
         join_badges(("CNM", cnm), ("SOA", soa), ("SGP", sgp)).alias("local"),
         status.alias("status"),
@@ -174,6 +185,11 @@ def unified_presence_report(movements: DataFrame, registry: DataFrame, active_ex
 def cnm_registry_report(movements: DataFrame, registry: DataFrame, key_mode: KeyModes = "strict") -> DataFrame:
     """Q3: movements × registry (ST4, raw case-sensitive type); absent values are ``''``."""
     r = reconcile(_cnm(movements, key_mode), _sgp(registry, key_mode, with_name=True))
+    return cnm_registry_rows(r, movements.schema["data_hora"].dataType)
+
+
+def cnm_registry_rows(r: DataFrame, date: T.DataType) -> DataFrame:
+    """Q3's rows of a reconciliation of movements and registry."""
     cnm, sgp = F.col("in_cnm"), F.col("in_sgp")
     c, g = F.col("cnm_first"), F.col("sgp_first")
     tipo = or_placeholder(cnm, c["tipo"], "")
@@ -181,7 +197,7 @@ def cnm_registry_report(movements: DataFrame, registry: DataFrame, key_mode: Key
         or_placeholder(cnm, int_id(c["id"]), "").alias("id"),
         F.col(DOC),
         or_placeholder(sgp, g["nome"], "").alias("nome"),
-        or_placeholder(cnm, _movement_date(movements, c["data_hora"]), "").alias("data"),
+        or_placeholder(cnm, format_movement_date(c["data_hora"], date), "").alias("data"),
         tipo.alias("tipo"),
         join_badges(("CNM", cnm), ("SGP", sgp)).alias("local"),
         st.status_cnm_registry(cnm, c["tipo"], sgp).alias("status"),
@@ -190,7 +206,11 @@ def cnm_registry_report(movements: DataFrame, registry: DataFrame, key_mode: Key
 
 def soa_registry_report(active_exports: DataFrame, registry: DataFrame, key_mode: KeyModes = "strict") -> DataFrame:
     """Q4: active-status export × registry (ST5); nome from the export, else the registry."""
-    r = reconcile(_soa(active_exports, key_mode), _sgp(registry, key_mode, with_name=True))
+    return soa_registry_rows(reconcile(_soa(active_exports, key_mode), _sgp(registry, key_mode, with_name=True)))
+
+
+def soa_registry_rows(r: DataFrame) -> DataFrame:
+    """Q4's rows of a reconciliation of active exports and registry."""
     soa, sgp = F.col("in_soa"), F.col("in_sgp")
     s, g = F.col("soa_first"), F.col("sgp_first")
     tipo, status = st.status_exports_registry(soa, sgp)
