@@ -42,7 +42,7 @@ from ledgerspark.llm.common import table
 CACHE_WORDS = 400_000
 CACHED_LENGTH = 256  # longer words are encoded each time
 KEPT_WORDS = 50_000  # from one task of a worker to the next
-SLICE_ROWS = 64  # texts encoded at a time
+SLICE_ROWS = 256  # texts encoded at a time
 FLAT_SYMBOLS = 1 << 20  # characters laid out at a time (a longer word is laid out alone)
 
 SPACE = "▁"
@@ -159,7 +159,8 @@ class Pieces:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, begin and end included, as little-endian unsigned 32-bit integers."""
-        cut = [self.split.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
+        # words keep plain spaces, which stand for U+2581: most texts then take one byte a character
+        cut = [self.split.findall(" " + t.replace(SPACE, " ")) if t else [] for t in texts]
         known = self.words
         wanted = list(set().union(*cut).difference(known))
         for group in _groups(wanted):
@@ -182,6 +183,7 @@ class Pieces:
         """Ids of each word: all words at once, by rounds over flat arrays."""
         sizes = np.array([len(w) for w in words], np.int64)
         chars = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        chars[chars == ord(" ")] = ord(SPACE)
         done = self.of_char[chars]
         limits = np.concatenate([[0], np.cumsum(sizes)])
         self._rounds(done, self._segments(done, limits[:-1]))
@@ -318,7 +320,7 @@ def _splitter(ids: dict[str, int], merging: list[str]) -> re.Pattern:
     if any(re.search(f"[^{SPACE}]{SPACE}", p) for p in ids):
         return re.compile(r"(?s).+")
     inside = {ch for p in merging for ch in p}
-    alone = "".join(re.escape(chr(c)) for c in range(128) if chr(c) not in inside and chr(c) != SPACE)
+    alone = "".join(re.escape(chr(c)) for c in range(128) if chr(c) not in inside and c != ord(" "))
     marks = {chr(c) for c in range(128) if chr(c) in inside and not chr(c).isalnum()}
     beside = {pair for p in merging for pair in zip(p, p[1:]) if pair[0] != SPACE}
     while more := {ch for a, b in beside if (a in marks) != (b in marks) for ch in (a, b)} - marks:
@@ -326,7 +328,7 @@ def _splitter(ids: dict[str, int], merging: list[str]) -> re.Pattern:
     if any(ch.isalpha() for ch in marks):
         marks = set()
     mark = "".join(map(re.escape, sorted(marks)))
-    kinds = [f"{SPACE}*[^{SPACE}{alone}{mark}]+", f"{SPACE}*[{mark}]+" if mark else "", f"{SPACE}+", f"[{alone}]" if alone else ""]
+    kinds = [f" *[^ {alone}{mark}]+", f" *[{mark}]+" if mark else "", " +", f"[{alone}]" if alone else ""]
     return re.compile("|".join(k for k in kinds if k))
 
 
