@@ -58,15 +58,19 @@ HINT_WORDS = tuple(w.encode() for w in SENSITIVE if not any(v != w and v in w fo
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _BETWEEN = bytes(c for c in range(128) if not chr(c).isalnum() and c != 10)
 
-_LEX = re.compile(r"""
-    (?P<string>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')
+_STRINGS = {'"': r'"(?:[^"\\\n]|\\.)*"', "'": r"'(?:[^'\\\n]|\\.)*'"}
+_TOKENS = r"""
+    (?P<string>STRINGS)
   | (?P<tag><(?P<tagname>[A-Za-z_][\w.-]*)>(?P<tagtext>[^<>\n]+)</)
   | (?P<name>[A-Za-z_$][\w$]*(?:[.-][A-Za-z_$][\w$]*)*)
   | (?P<assign>:=|=>|=(?!=)|:(?!:))
   | (?P<join>\+|\.\.)
   | (?P<end>[;\n])
   | (?P<other>[^\s])
-""", re.X | re.A)
+"""
+# The lexer by the quote signs that may still open a string on the line at hand.
+_LEX = {signs: re.compile(_TOKENS.replace("STRINGS", "|".join(_STRINGS[c] for c in signs) or "(?!)"), re.X | re.A)
+        for signs in ("\"'", '"', "'", "")}
 _BARE = re.compile(r"[^\s\"'`,;<>(){}\[\]]+")
 _NAME = re.compile(r"[A-Za-z_$][\w$]*(?:\.[A-Za-z_$][\w$]*)*\Z", re.A)
 
@@ -130,6 +134,9 @@ def pairs(text: str) -> tuple[list[tuple[str, list[tuple[int, int]]]], list[tupl
     waiting = False  # after an assignment sign or a join
     current: str | None = None
     at, n = 0, len(text)
+    # where the lines end on which a quote of each sign was found open: an open quote has passed all later ones of its sign as
+    # escaped, so none of those can open a string either, and no line is searched again for each of its quotes
+    open_to = {'"': 0, "'": 0}
 
     def close() -> None:
         nonlocal pieces, current
@@ -138,10 +145,13 @@ def pairs(text: str) -> tuple[list[tuple[str, list[tuple[int, int]]]], list[tupl
         pieces, current = [], None
 
     while at < n:
-        m = _LEX.search(text, at)
+        m = _LEX["".join(c for c, to in open_to.items() if at >= to)].search(text, at)
         if m is None:
             break
         kind, at = m.lastgroup, m.end()
+        if kind == "other" and m.group() in open_to and at > open_to[m.group()]:
+            stop = text.find("\n", at)
+            open_to[m.group()] = stop if stop >= 0 else n
         if m.group("tag"):
             close()
             literals.append((m.group("tagname"), [m.span("tagtext")]))

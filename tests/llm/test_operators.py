@@ -604,3 +604,28 @@ def test_quality_scores_are_the_unfolded_model():
         rows = next(quality._sparse(iter([pa.RecordBatch.from_arrays([pa.array([1]), pa.array([0]), pa.array([t])], names=["label", "ord", "text"])])))
         ids, share = (np.frombuffer(rows[c][0].as_py(), d) for c, d in (("ids", np.int32), ("share", np.float32)))
         assert s == pytest.approx(1 / (1 + np.exp(-(float(share @ logits[ids]) + 0.3))), rel=1e-4)
+
+
+def test_open_quotes_are_lexed_in_linear_time():
+    import time
+
+    def plain(text):
+        """Pairs by a lexer that tries every quote anew (quadratic on a line of escaped quotes)."""
+        class Every(dict):
+            def __getitem__(self, signs):
+                return dict.__getitem__(self, "\"'")
+        kept, secrets._LEX = secrets._LEX, Every(secrets._LEX)
+        try:
+            return secrets.pairs(text)
+        finally:
+            secrets._LEX = kept
+
+    rng = random.Random(11)
+    for _ in range(4000):
+        text = "".join(rng.choice(['"', "'", "\\", "\n", "token", "=", ":", " ", "Zx81kLmQ94vT", "{", "}", ",", "+", ";", "a"]) for _ in range(rng.randint(0, 30)))
+        assert secrets.pairs(text) == plain(text), text
+    line = "{" + r"\"name\":\"it's a value\"," * 90_000 + "}"
+    began = time.perf_counter()
+    found = secrets.scan(line + '\napi_token = "Zx81kLmQ94vT77pq"')[1]
+    assert len(line) > 2_000_000 and time.perf_counter() - began < 60
+    assert any(k == "literal" for _, _, k in found)
