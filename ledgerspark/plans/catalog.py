@@ -230,6 +230,14 @@ def _deep_page(spark: SparkSession, d: str) -> DataFrame:
     return views.page_rows(_q1(spark, d), DEEP_PAGE, SORT_BY, size=DEEP_PAGE_SIZE)
 
 
+def _stored_page(spark: SparkSession, d: str) -> DataFrame:
+    """UI3: the deep page from an order of Q1 that is stored once."""
+    from ledgerspark.operators import stored_order
+
+    path = stored_order.stored(spark, lambda: _q1(spark, d), _scratch(spark, "orders"), "1", SORT_BY)
+    return stored_order.page(spark, path, DEEP_PAGE, DEEP_PAGE_SIZE)
+
+
 def _extract_predicates(spark: SparkSession, d: str) -> DataFrame:
     return files.extract_movements(fx.movements(spark, d), SINCE).select("id", "documento", "tipo")
 
@@ -654,6 +662,7 @@ def catalog() -> dict[str, tuple[Builder, str | None]]:
         "q1_reference_keys": (_q1_reference_keys, sql.q1_reference_keys_sql()),
         "intake_report": (_intake_report, sql.intake_report_sql()),
         "deep_page": (_deep_page, sql.page_rows_sql(DEEP_PAGE, SORT_BY, DEEP_PAGE_SIZE)),
+        "stored_page": (_stored_page, sql.page_rows_sql(DEEP_PAGE, SORT_BY, DEEP_PAGE_SIZE)),
         "q1_from_parquet": (_q1_from_parquet, sql.q1_sql()),
         "scan_registry": (_scan_registry, sql.scan_registry_sql()),
         "missing_sources": (_missing_sources, sql.values_sql(MISSING_EXPECTED)),
