@@ -19,6 +19,12 @@ on the whole sets (32-bit shingle hashes): similarity ``SIMILARITY`` or more, as
 Jaccard or as plain Jaccard of the sets. Classes are the connected components of the
 verified links.
 
+Large groups of texts that are almost similar enough would cost the square of their size. So after the first round
+every open member's private share is counted: the part of its shingles (the lesser of the parts by number and by
+weight) that no other open member holds. Of two members with a share of r or more each, both similarities are at most
+(1 - r) / (1 + r); of a member with a share of r and any other, at most 1 - r. So at 0.8 a share above a fifth ends
+a member's search, and two shares above a ninth rule a pair out; such pairs are never formed. This loses no link.
+
 Shuffles carry band keys, and the sets of those texts only that share a bucket with
 another; a bitmap of fixed size keeps all other texts on their executors.
 
@@ -229,6 +235,29 @@ def _verify(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Reco
                                          names=["a", "b"])
 
 
+def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, set) rows to one row per shingle: node, hash, weight."""
+    for batch in batches:
+        for node, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            keys, weight = _unpacked(data.as_py())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(keys), node)), pa.array(keys.view(np.int32)), pa.array(weight)],
+                names=["node", "shingle", "weight"])
+
+
+def private_shares(sets: DataFrame) -> DataFrame:
+    """``node, share``: the part of each node's shingles that no other node holds, by number or weight, whichever is less.
+
+    Linear in the shingles. The aggregation by shingle is partial first, so one that all nodes hold is one row a task.
+    """
+    each = sets.select("node", "members").mapInArrow(_shingle_rows, "node long, shingle int, weight double")
+    held = each.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("hi"), F.max("weight").alias("weight"))
+    own = held.filter("node = hi").groupBy("node").agg(F.count(F.lit(1)).alias("own_n"), F.sum("weight").alias("own_w"))
+    whole = each.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("w"))
+    return whole.join(own, "node", "left").select(
+        "node", F.coalesce(F.least(F.col("own_n") / F.col("n"), F.col("own_w") / F.col("w")), F.lit(0.0)).alias("share"))
+
+
 def _row_key() -> Column:
     return F.xxhash64("id", "h")
 
@@ -275,7 +304,7 @@ def _joined(members: DataFrame, wide: DataFrame, sets: DataFrame, least: float)
     """
     spark = members.sparkSession
     tried, used, label = None, None, None
-    open_ = members.withColumn("label", F.col("node"))
+    open_ = members.select("bucket", "node", F.col("node").alias("label"), F.lit(False).alias("far"))
     wide = wide.select("node", "sketch")
     similar = may_be_similar(F.col("sketch"), F.col("seen"), least)
     leaders = 1
@@ -302,34 +331,52 @@ def _joined(members: DataFrame, wide: DataFrame, sets: DataFrame, least: float)
         if not leaders:  # all pairs of different classes have been looked at
             break
         if found:  # buckets of one class are done
-            now = members.join(label, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
-            mixed = now.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("bucket")
-            open_ = materialise(now.join(mixed, "bucket"), "dup-open")
-        leaders = leaders * 4 if leaders == 1 or found and leaders < MOST_LEADERS else 0
+            now = open_.drop("label").join(label, "node", "left").select(
+                "bucket", "node", F.coalesce("label", "node").alias("label"), "far")
+            open_ = _mixed(now)
+        following = leaders * 4 if leaders == 1 or found and leaders < MOST_LEADERS else 0
+        if leaders == 1 or not following:
+            open_ = _narrowed(open_, sets, least)
+        leaders = following
     if label is None:
         return spark.createDataFrame([], "node long, label long")
     return label
 
 
+def _mixed(open_: DataFrame) -> DataFrame:
+    """The members of buckets of several classes that hold one member at least that is not ``far``."""
+    mixed = open_.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("far").alias("all_far"))
+    return materialise(open_.join(mixed.filter("lo <> hi and not all_far").select("bucket"), "bucket"), "dup-open")
+
+
+def _narrowed(open_: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """``open_`` without the members that can have no link to another one; ``far`` marks those that link to no far one."""
+    slack = 1e-9  # sums of weights are rounded
+    nodes = materialise(open_.select("node").distinct(), "dup-open-nodes")
+    shares = materialise(private_shares(sets.join(nodes, "node")).filter(F.col("share") <= 1 - least + slack).select(
+        "node", (F.col("share") > (1 - least) / (1 + least) + slack).alias("far")), "dup-shares")
+    return _mixed(open_.drop("far").join(shares, "node").select("bucket", "node", "label", "far"))
+
+
 def _leaders(open_: DataFrame, used: DataFrame | None, leaders: int) -> DataFrame:
-    """``at, leader, led``: the classes that lead a bucket this round; each node serves a bucket once.
+    """``at, leader, led, far_leader``: the classes that lead a bucket this round; each node serves a bucket once.
 
-    A class is led by its node of least hash. In the first round that order is the same in all buckets, so that a group
+    A class is led by its node of least hash, one that is not far if there is one. In the first round that order is the same in all buckets, so that a group
     meets few leaders; afterwards each bucket has its own.
     """
     turn = F.xxhash64("node") if leaders == 1 else F.xxhash64("node", "bucket")
-    first = open_.groupBy("bucket", "label").agg(F.min(F.struct(turn.alias("turn"), "node")).alias("l")).select(
-        "bucket", "label", F.col("l.node").alias("leader"), F.col("l.turn").alias("turn"))
+    first = open_.groupBy("bucket", "label").agg(F.min(F.struct("far", turn.alias("turn"), "node")).alias("l")).select(
+        "bucket", "label", F.col("l.node").alias("leader"), F.col("l.turn").alias("turn"), F.col("l.far").alias("far_leader"))
     if used is not None:
         first = first.join(used, ["bucket", "leader"], "left_anti")
-    order = Window.partitionBy("bucket").orderBy("turn", "leader")
+    order = Window.partitionBy("bucket").orderBy("far_leader", "turn", "leader")
     return materialise(first.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= leaders)
-                       .select(F.col("bucket").alias("at"), "leader", F.col("label").alias("led")), "dup-leaders")
+                       .select(F.col("bucket").alias("at"), "leader", F.col("label").alias("led"), "far_leader"), "dup-leaders")
 
 
 def _led(open_: DataFrame, chosen: DataFrame, wide: DataFrame, similar: Column, single: bool) -> DataFrame:
     """``a, b``: members with the leaders of other classes in their buckets, as far as the sketches are ``similar``."""
-    meets = (F.col("bucket") == F.col("at")) & (F.col("label") != F.col("led"))
+    meets = (F.col("bucket") == F.col("at")) & (F.col("label") != F.col("led")) & ~(F.col("far") & F.col("far_leader"))
     of_leader = wide.select(F.col("node").alias("leader"), F.col("sketch").alias("seen"))
     both = [F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")]
     if single:  # a bucket yields fewer pairs than it has members; estimates come after
@@ -339,23 +386,26 @@ def _led(open_: DataFrame, chosen: DataFrame, wide: DataFrame, similar: Column,
 
 
 def _rest(open_: DataFrame, wide: DataFrame, similar: Column) -> DataFrame:
-    """``a, b``: all pairs of different classes that share a bucket, as far as the sketches are ``similar``.
+    """``a, b``: all pairs of different classes that share a bucket and are not both far, as far as the sketches are ``similar``.
 
-    One side of such a pair is outside the bucket's largest class. Those members by all members are a grid, cut into
-    cells of about ``CELL`` x ``CELL``, so that no task has a whole bucket.
+    One side of such a pair is not far, and one is outside the bucket's largest class. Whichever of these two sets is the
+    smaller one, by all members of the bucket is a grid, cut into cells of about ``CELL`` x ``CELL``, so that no task
+    has a whole bucket and no cell is of far members only.
     """
-    sizes = open_.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("m")).groupBy("bucket").agg(
-        F.sum("m").alias("size"), F.max(F.struct("m", "label")).alias("top"))
-    rows, columns = F.ceil((F.col("size") - F.col("top.m")) / CELL), F.ceil(F.col("size") / CELL)
-    sized = open_.join(sizes, "bucket").select("bucket", "node", "label", (F.col("label") == F.col("top.label")).alias("largest"),
-                                               rows.alias("rows"), columns.alias("columns")).join(wide, "node")
+    sizes = open_.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("m"), F.count_if(~F.col("far")).alias("k")).groupBy("bucket").agg(
+        F.sum("m").alias("size"), F.sum("k").alias("near"), F.max(F.struct("m", "label")).alias("top"))
+    few = F.col("near") < F.col("size") - F.col("top.m")
+    rows, columns = F.ceil(F.least(F.col("near"), F.col("size") - F.col("top.m")) / CELL), F.ceil(F.col("size") / CELL)
+    sized = open_.join(sizes, "bucket").select(
+        "bucket", "node", "label", "far", F.when(few, ~F.col("far")).otherwise(F.col("label") != F.col("top.label")).alias("in_rows"),
+        rows.alias("rows"), columns.alias("columns")).join(wide, "node")
     cells = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    others = sized.filter("not largest").select(
-        "bucket", F.col("node").alias("other"), F.col("label").alias("led"), F.col("sketch").alias("seen"),
+    others = sized.filter("in_rows").select(
+        "bucket", F.col("node").alias("other"), F.col("label").alias("led"), F.col("far").alias("far_leader"), F.col("sketch").alias("seen"),
         F.pmod(F.xxhash64("node"), "rows").alias("row"), cells("columns").alias("column"))
-    every = sized.select("bucket", "node", "label", "largest", "sketch",
+    every = sized.select("bucket", "node", "label", "far", "in_rows", "sketch",
                          F.pmod(F.xxhash64("node"), "columns").alias("column"), cells("rows").alias("row"))
-    once = (F.col("label") != F.col("led")) & (F.col("largest") | (F.col("node") < F.col("other")))
+    once = (F.col("label") != F.col("led")) & ~(F.col("far") & F.col("far_leader")) & (~F.col("in_rows") | (F.col("node") < F.col("other")))
     return every.join(others, ["bucket", "row", "column"]).filter(once & similar).select(
         F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 

@@ -476,6 +476,61 @@ def test_drift_chains_of_one_bucket_join_as_by_force(spark, monkeypatch):
     assert len(set(label.values())) == 5
 
 
+def packed_sets(spark, sets):
+    return spark.createDataFrame([(n, bytearray(neardup._packed(np.array(sorted(s), np.uint32), np.array([s[k] for k in sorted(s)], np.uint32))))
+                                  for n, s in sets.items()], "node long, members binary")
+
+
+def test_private_shares_by_force(spark):
+    rng = random.Random(21)
+    sets = {n: {rng.randrange(2 ** 32) if rng.random() < 0.1 else rng.randrange(120): rng.choice([1, 1, 1, 9]) for _ in range(rng.randint(1, 60))}
+            for n in range(40)}
+    holders = Counter(k for s in sets.values() for k in s)
+    got = {r.node: r.share for r in neardup.private_shares(packed_sets(spark, sets)).collect()}
+    assert got.keys() == sets.keys()
+    for n, s in sets.items():
+        weight = dict(zip(s, neardup.weights(np.array(list(s.values()), float)), strict=True))
+        own = [k for k in s if holders[k] == 1]
+        assert got[n] == pytest.approx(min(len(own) / len(s), sum(weight[k] for k in own) / sum(weight.values())))
+
+
+def test_similarities_stay_under_the_bound_of_the_private_shares():
+    rng = np.random.default_rng(5)
+    for _ in range(2000):
+        common = int(rng.integers(1, 60))
+        own = rng.integers(0, 20, 2)
+        sides = []
+        for i in range(2):
+            keys = np.concatenate([np.arange(common), 1000 * (i + 1) + np.arange(own[i])]).astype(np.uint32)
+            sides.append((keys, neardup.weights(rng.choice([1, 1, 2, 50, 3000], len(keys)).astype(float))))
+        shares = [min(own[i] / len(k), w[common:].sum() / w.sum()) for i, (k, w) in enumerate(sides)]
+        got, r = neardup.similarity(*sides), min(shares)
+        assert got <= max((1 - r) / (1 + r), 0) + 1e-9 and got <= 1 - max(shares) + 1e-9
+
+
+def test_large_group_below_the_threshold_forms_few_pairs(spark, monkeypatch):
+    """Texts of similarity 0.7 to 0.8 in one bucket, and among them some that are linked: no link is lost, few pairs are formed."""
+    written, plain = {}, neardup.materialise
+
+    def counted(df, name):
+        out = plain(df, name)
+        if name == "dup-pairs":
+            written[name] = written.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(neardup, "materialise", counted)
+    monkeypatch.setattr(neardup, "CELL", 64)
+    sets = {n: set(range(100)) | {1000 + 100 * n + k for k in range(14)} for n in range(500)}  # 100 of 128 in common: 0.78
+    assert 0.7 < 100 / 128 < 0.8
+    for n in range(0, 40, 2):  # pairs that share all but two shingles of their own
+        sets[n + 1] = set(sorted(sets[n])[:-1]) | {900_000 + n}
+    label = joined(spark, {n: [1, 2 + n % 2] for n in sets}, sets)
+    for n in range(0, 40, 2):
+        assert label[n] == label[n + 1]
+    assert len(label) == 40 and len(set(label.values())) == 20
+    assert written["dup-pairs"] < 40 * len(sets)  # all pairs: 124,750
+
+
 def test_registers_estimate_probability_jaccard():
     rng = np.random.default_rng(7)
     errors = []
