@@ -19,7 +19,7 @@ from pyspark.sql.window import Window
 
 from ledgerspark.operators.views import PAGE_SIZE, sort_rows
 
-PART, AT = "_part", "_at"
+PART, AT, POSITION = "_part", "_at", "_pos"
 
 
 def order_path(root: str, version: str, by: list[tuple[str, bool]], tie_breaker: str | None = "documento") -> str:
@@ -45,6 +45,21 @@ def _rows(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(spark.read.parquet(f"{path}/columns").schema).parquet(f"{path}/rows")
 
 
+def partitions(spark: SparkSession, path: str) -> DataFrame:
+    """``part, start, rows`` of the order's range partitions."""
+    return spark.read.parquet(f"{path}/parts")
+
+
+def placed(spark: SparkSession, path: str, parts: list[int] | None = None) -> DataFrame:
+    """The stored rows, of some partitions only if ``parts`` names them, with their global position."""
+    rows = _rows(spark, path)
+    if parts is not None:
+        rows = rows.where(F.col(PART).isin(parts))
+    starts = partitions(spark, path).select(F.col("part").alias(PART), "start")  # one row per partition
+    columns = [F.col(f"`{c}`") for c in rows.columns if c not in (PART, AT)]
+    return rows.join(F.broadcast(starts), PART).select(*columns, (F.col("start") + F.col(AT)).alias(POSITION))
+
+
 def stored(spark: SparkSession, build: Callable[[], DataFrame], root: str, version: str, by: list[tuple[str, bool]],
            tie_breaker: str | None = "documento") -> str:
     """The folder of the order, which is stored first if this version has none that is complete."""

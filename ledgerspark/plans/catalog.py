@@ -69,6 +69,8 @@ SEARCH_TEXT = "erro ativas"
 SORT_BY = [("data", True)]
 PAGE = 2
 FACET_CHOICE = {"status": "baixado"}
+FACET_CHOICES = {"status": "erro", "tipo": "inclusao"}
+FACET_ORDER = [("data", False), ("tipo", False), ("status", False)]
 SUBTITLE_CHOICE = {"status": "negativado"}
 SUBTITLE_ORDER = [("id", False)]
 DEEP_PAGE, DEEP_PAGE_SIZE = 101, 5
@@ -238,6 +240,30 @@ def _stored_page(spark: SparkSession, d: str) -> DataFrame:
     return stored_order.page(spark, path, DEEP_PAGE, DEEP_PAGE_SIZE)
 
 
+def _facet_index(spark: SparkSession, d: str):
+    """An order of Q1 by its facets and the bitmaps over it, each stored once."""
+    from ledgerspark.operators import facet_bitmaps, stored_order
+
+    root = _scratch(spark, "facets")
+    order = stored_order.stored(spark, lambda: _q1(spark, d), root, "1", FACET_ORDER)
+    facet_bitmaps.store_index(spark, order, f"{order}/facets", views.FACETS["current"])
+    return order, facet_bitmaps.read_index(spark, f"{order}/facets")
+
+
+def _facet_counts(spark: SparkSession, d: str) -> DataFrame:
+    """UI4 under active choices, from bitmaps alone."""
+    from ledgerspark.operators import facet_bitmaps
+
+    return facet_bitmaps.facet_counts(_facet_index(spark, d)[1], views.FACETS["current"], FACET_CHOICES)
+
+
+def _facet_rows(spark: SparkSession, d: str) -> DataFrame:
+    """UI5: the rows of two choices, found by bitmaps."""
+    from ledgerspark.operators import facet_bitmaps
+
+    return facet_bitmaps.filtered_rows(spark, *_facet_index(spark, d), FACET_CHOICES)
+
+
 def _extract_predicates(spark: SparkSession, d: str) -> DataFrame:
     return files.extract_movements(fx.movements(spark, d), SINCE).select("id", "documento", "tipo")
 
@@ -654,6 +680,8 @@ def catalog() -> dict[str, tuple[Builder, str | None]]:
         "page_rows": (_page_rows, sql.page_rows_sql(PAGE, SORT_BY, views.PAGE_SIZE)),
         "facet_values": (_facet_values, sql.facet_values_sql(views.FACETS["current"])),
         "facet_filter": (_facet_filter, sql.facet_filter_sql(FACET_CHOICE)),
+        "facet_counts": (_facet_counts, sql.facet_counts_sql(views.FACETS["current"], FACET_CHOICES)),
+        "facet_rows": (_facet_rows, sql.facet_filter_sql(FACET_CHOICES)),
         "view_subtitle": (_view_subtitle, sql.view_subtitle_sql(SUBTITLE_CHOICE, SUBTITLE_ORDER,
                                                                   views.SUBTITLES["current"])),
         "html_rows": (_html_rows, sql.html_rows_sql(CURRENT_COLUMNS)),

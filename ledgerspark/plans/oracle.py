@@ -459,6 +459,15 @@ def facet_filter_sql(choices: dict) -> str:
     return with_fixture(q1_ctes() + f"\nselect * from q1 where {conds}")
 
 
+def facet_counts_sql(columns, choices: dict) -> str:
+    parts = []
+    for c in columns:
+        conds = "".join(f" and lower({_visible(o)}) = {q(v.lower())}" for o, v in choices.items() if v and o != c)
+        parts.append(f"select '{c}' as facet, cast({c} as varchar) as value, count(*) as n from q1 "
+                     f"where {c} is not null and {c} <> ''{conds} group by {c}")
+    return with_fixture(q1_ctes() + "\n" + " union all ".join(parts))
+
+
 def view_subtitle_sql(choices: dict, by, captions: dict) -> str:
     conds = " and ".join(f"lower({_visible(c)}) = {q(v.lower())}" for c, v in choices.items() if v) or "true"
     cap = " ".join(f"when {q(k)} then {q(v)}" for k, v in captions.items())
