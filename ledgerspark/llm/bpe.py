@@ -19,7 +19,8 @@ the older one goes, and words met again move back into the younger.
 Defined results: null text counts as empty, which has no tokens; texts of any
 length are encoded whole; an empty table gives no rows; repeated rows repeat their
 results; other columns are ignored. Special tokens of the file are recognised in
-a text as the tokenizers library does by default.
+a text as the tokenizers library does by default. Letters and numbers are those of that
+library's Unicode tables: characters that only the newer tables of ``regex`` know are neither.
 """
 
 from __future__ import annotations
@@ -47,6 +48,36 @@ KEPT_WORDS = 50_000  # from one task of a worker to the next
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+@lru_cache(maxsize=1)
+def newer_characters() -> np.ndarray:
+    """Per code point whether ``regex`` takes it for a letter or number and the tokenizers library does not."""
+    from tokenizers import Regex, pre_tokenizers
+
+    kinds, every = r"[\p{L}\p{N}]+", "".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000))))
+    here = "".join(regex.findall(kinds, every))
+    there = pre_tokenizers.Split(Regex(kinds), "removed", invert=True).pre_tokenize_str(here)
+    newer = np.zeros(0x110000, bool)
+    newer[_code_points(here)] = True
+    newer[_code_points("".join(word for word, _ in there))] = False
+    return newer
+
+
+def _code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+
+
+@lru_cache(maxsize=1)
+def strict_split() -> regex.Pattern:
+    """``SPLIT`` with the newer characters as neither letters nor numbers."""
+    at = np.flatnonzero(newer_characters())
+    if not len(at):
+        return regex.compile(SPLIT)
+    first, last = at[np.diff(at, prepend=-2) > 1], at[np.diff(at, append=0x110001) > 1]
+    newer = "[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(first, last, strict=True)) + "]"
+    pattern = SPLIT.replace(r"\p{L}", rf"[\p{{L}}--{newer}]").replace(r"\p{N}", rf"[\p{{N}}--{newer}]")
+    return regex.compile(pattern, regex.V1)
+
+
 def byte_characters() -> dict[str, int]:
     """The printable character that stands for each byte in such vocabulary files."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -198,7 +229,10 @@ class Tokenizer:
     def _plain(self, text: str) -> bytes:
         if len(self.words) >= CACHE_WORDS:
             self.words.age()
-        return b"".join(map(self.words.__getitem__, self.split.findall(text)))
+        split = self.split
+        if not text.isascii() and newer_characters()[_code_points(text)].any():
+            split = strict_split()
+        return b"".join(map(self.words.__getitem__, split.findall(text)))
 
     def forget(self) -> None:
         """Drop the cached words but the first (they came early because they are frequent)."""

@@ -205,6 +205,21 @@ def test_automaton_encodes_as_the_library(bpe_pair):
         assert mine.decode(mine.encode(t)) == theirs.decode(ids, skip_special_tokens=False) == t
 
 
+def test_characters_of_all_planes_split_as_the_library_does(bpe_pair):
+    mine, theirs = bpe_pair
+    same = lambda t: np.frombuffer(mine.encode(t), "<u4").tolist() == theirs.encode(t, add_special_tokens=False).ids
+    newer = np.flatnonzero(bpe.newer_characters()).tolist()
+    assert all(same(f"a{chr(c)}b 1{chr(c)} {chr(c)}{chr(c)}2") for c in newer)
+    rng = random.Random(16)
+    for plane in range(17):
+        for _ in range(400):
+            pool = [c for c in (rng.randrange(plane << 16, (plane + 1) << 16) for _ in range(6)) if not 0xD800 <= c < 0xE000]
+            if newer and rng.random() < 0.5:
+                pool.append(rng.choice(newer))
+            text = "".join(rng.choice([*map(chr, pool), "a", " ", "7", "'s", "\n", "."]) for _ in range(rng.randint(1, 30)))
+            assert same(text), text.encode("unicode_escape")
+
+
 def test_small_automaton_accepts_exactly_what_merging_gives():
     """All sequences over a toy vocabulary: an arc path is accepted if and only if merging yields it."""
     merges = [(0, 0, 2), (2, 0, 3), (0, 1, 4), (2, 2, 5), (4, 3, 6), (1, 1, 7), (7, 1, 8)]
