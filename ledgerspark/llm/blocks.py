@@ -8,6 +8,7 @@ of a task stay bounded whatever the batch size; texts themselves are never cut.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,8 @@ IS_WORD = np.zeros(256, dtype=bool)
 IS_WORD[48:58] = IS_WORD[97:123] = IS_WORD[128:] = True
 IS_WORD[65:91] = True
 
+LONG_SPAN = 1024  # longer spans are hashed one by one
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)  # the first k of eight bytes
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
@@ -99,7 +102,10 @@ def word_spans(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each span of ``values`` (small non-negative integers), independent of where it stands."""
+    """64-bit hash of each span of ``values`` (small non-negative integers), independent of where it stands.
+
+    For buckets of features, where spans overlap; words that are taken as equal go through ``byte_hashes``.
+    """
     n = len(values)
     acc = np.zeros(n + 1, dtype=np.uint64)
     with np.errstate(over="ignore"):
@@ -108,9 +114,51 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
         return mix(h + (ends - starts).astype(np.uint64))
 
 
+def _eights(buf: np.ndarray) -> np.ndarray:
+    """The eight bytes from every position on as one number (zeros follow the end)."""
+    padded = np.concatenate([buf, np.zeros(8, np.uint8)])
+    return np.ndarray((len(buf) + 1,), "<u8", padded.data, strides=(1,))
+
+
+def byte_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each span's bytes, eight at a time through the state; equal hashes are no proof of equal bytes."""
+    size = ends - starts
+    h = mix(size.astype(np.uint64) * np.uint64(_BASE))
+    eights = _eights(buf)
+    at = np.flatnonzero((size > 0) & (size <= LONG_SPAN))
+    done = 0
+    while len(at):
+        left = size[at] - done
+        h[at] = mix(h[at] * np.uint64(_BASE) + (eights[starts[at] + done] & _KEEP[np.minimum(left, 8)]))
+        done += 8
+        at = at[left > 8]
+    for i in np.flatnonzero(size > LONG_SPAN):
+        h[i] = int.from_bytes(blake2b(buf[starts[i]:ends[i]].tobytes(), digest_size=8).digest(), "little")
+    return h
+
+
+def same_bytes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray,
+               other: np.ndarray, other_starts: np.ndarray, other_ends: np.ndarray) -> np.ndarray:
+    """Per pair of spans, one of ``buf`` and one of ``other``, whether their bytes are equal."""
+    size = ends - starts
+    same = size == other_ends - other_starts
+    mine, theirs = _eights(buf), _eights(other)
+    at = np.flatnonzero(same & (size > 0) & (size <= LONG_SPAN))
+    done = 0
+    while len(at):
+        left = size[at] - done
+        equal = ((mine[starts[at] + done] ^ theirs[other_starts[at] + done]) & _KEEP[np.minimum(left, 8)]) == 0
+        same[at[~equal]] = False
+        done += 8
+        at = at[equal & (left > 8)]
+    for i in np.flatnonzero(same & (size > LONG_SPAN)):
+        same[i] = np.array_equal(buf[starts[i]:ends[i]], other[other_starts[i]:other_ends[i]])
+    return same
+
+
 def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of each word after lower-casing A-Z."""
-    return span_hashes(LOWER[buf], starts, ends)
+    return byte_hashes(LOWER[buf], starts, ends)
 
 
 def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
