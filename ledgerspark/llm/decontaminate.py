@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.blocks import code_point_offsets, text_blocks, text_bytes, window_hashes, word_hashes, word_spans
+from ledgerspark.llm.blocks import LOWER, byte_hashes, code_point_offsets, same_bytes, text_blocks, text_bytes, word_spans
 from ledgerspark.llm.common import materialise, table
 
 WINDOW = 10
@@ -167,9 +167,18 @@ class Phrases:
         texts = pa.array([t for _, t in items], pa.string())
         buf, offs = text_bytes(texts)
         starts, ends, first = word_spans(buf, offs)
-        hashes = word_hashes(buf, starts, ends)
-        self.vocabulary = np.unique(hashes)
-        ids = np.searchsorted(self.vocabulary, hashes) + 1
+        low = LOWER[buf]
+        words = [low[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        distinct = sorted(set(words))
+        limits = np.concatenate([[0], np.cumsum([len(w) for w in distinct], dtype=np.int64)])
+        self.letters = np.frombuffer(b"".join(distinct), np.uint8)
+        hashes = byte_hashes(self.letters, limits[:-1], limits[1:])
+        by_hash = np.argsort(hashes, kind="stable")
+        self.vocabulary, self.starts, self.ends = hashes[by_hash], limits[:-1][by_hash], limits[1:][by_hash]
+        # words of one hash stand side by side; ``symbols`` tries as many
+        self.most = int(np.unique(hashes, return_counts=True)[1].max()) if len(hashes) else 0
+        symbol = {distinct[k]: n for n, k in enumerate(by_hash.tolist(), 1)}
+        ids = np.array([symbol[w] for w in words], np.int64)
         found: dict[tuple, set[int]] = {}
         self.items = sorted({i for i, _ in items})
         number = {i: k for k, i in enumerate(self.items)}
@@ -187,11 +196,19 @@ class Phrases:
     def sigma(self) -> int:
         return len(self.vocabulary) + 1
 
-    def symbols(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.vocabulary):
-            return np.zeros(len(hashes), np.int64)
-        at = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
-        return np.where(self.vocabulary[at] == hashes, at + 1, 0)
+    def symbols(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The number of each word in the alphabet, 0 for others: found by its hash, decided by its bytes."""
+        out = np.zeros(len(starts), np.int64)
+        low = LOWER[buf]
+        hashes = byte_hashes(low, starts, ends)
+        first = np.searchsorted(self.vocabulary, hashes)
+        for k in range(self.most):
+            at = np.minimum(first + k, len(self.vocabulary) - 1)
+            hit = np.flatnonzero((self.vocabulary[at] == hashes) & (out == 0))
+            w = at[hit]
+            equal = same_bytes(low, starts[hit], ends[hit], self.letters, self.starts[w], self.ends[w])
+            out[hit[equal]] = w[equal] + 1
+        return out
 
 
 class Shard:
@@ -282,7 +299,7 @@ def _scan(batches: Iterator[pa.RecordBatch], phrases: Phrases) -> Iterator[pa.Re
             s, e, first = word_spans(buf, offs)
             n_words[i:j] = np.diff(first)
             if phrases.sigma > 1:
-                shard.add(phrases.symbols(word_hashes(buf, s, e)), first, i)
+                shard.add(phrases.symbols(buf, s, e), first, i)
             if shard.size >= SHARD_SYMBOLS:
                 close(shard)
                 shard = Shard(phrases)
