@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.blocks import LOWER, mix, span_hashes, text_blocks
+from ledgerspark.llm.blocks import LOWER, byte_hashes, mix, same_bytes, text_blocks
 from ledgerspark.llm.common import fold, materialise, table
 
 EM_ROUNDS = 2
@@ -213,6 +213,26 @@ def _spans_array(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Ar
     return pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offs.tobytes()), pa.py_buffer(data.tobytes())])
 
 
+def _distinct(keys: np.ndarray, low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One place per distinct span and each span's number among those. Spans of one key whose bytes differ from the first one's
+    stay apart, each on its own, as their sums are added up by word later on."""
+    _, at, inverse = np.unique(keys, return_index=True, return_inverse=True)
+    lead = at[inverse]
+    other = np.flatnonzero(~same_bytes(low, starts, ends, low, starts[lead], ends[lead]))
+    inverse[other] = len(at) + np.arange(len(other))
+    return np.concatenate([at, other]), inverse
+
+
+def _distinct_in_rows(keys: np.ndarray, rows: np.ndarray, low: np.ndarray, starts: np.ndarray,
+                      ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``_distinct`` within each row."""
+    pair = mix(keys + mix(rows.astype(np.uint64)))
+    at, inverse = _distinct(pair, low, starts, ends)
+    other = np.flatnonzero(rows != rows[at[inverse]])
+    inverse[other] = len(at) + np.arange(len(other))
+    return np.concatenate([at, other]), inverse
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(learn, text) rows to distinct words per block with their counts in rows that are learned from."""
     for batch in batches:
@@ -220,8 +240,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, j, buf, offs in text_blocks(batch.column(1), 8 << 20):
             low = LOWER[buf]
             s, e, first = tokens(low, offs)
-            keys = span_hashes(low, s, e)
-            _, at, inverse = np.unique(keys, return_index=True, return_inverse=True)
+            at, inverse = _distinct(byte_hashes(low, s, e), low, s, e)
             n = np.bincount(inverse, weights=np.repeat(learn[i:j], np.diff(first)), minlength=len(at)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([_spans_array(low, s[at], e[at]), pa.array(n)], names=["word", "n"])
 
@@ -244,7 +263,7 @@ def _score_words(batches: Iterator[pa.RecordBatch], path: str, log_p: np.ndarray
 
 def _doc_parts(batches: Iterator[pa.RecordBatch], frequent: tuple, base: tuple[int, int]) -> Iterator[pa.RecordBatch]:
     """(key, text) rows to one row with the sums over frequent words, and a row per other distinct word."""
-    keys, counts, scores = frequent
+    keys, counts, scores, letters, begins, stops = frequent
     total, distinct = base
     names = ["key", "word", "tf", "copies", "n_tokens", "n_known", "base", "lp"]
     for batch in batches:
@@ -253,9 +272,11 @@ def _doc_parts(batches: Iterator[pa.RecordBatch], frequent: tuple, base: tuple[i
             low = LOWER[buf]
             s, e, first = tokens(low, offs)
             doc = np.repeat(np.arange(rows), np.diff(first))
-            h = span_hashes(low, s, e)
+            h = byte_hashes(low, s, e)
             place = np.minimum(np.searchsorted(keys, h), max(0, len(keys) - 1))
             hit = keys[place] == h if len(keys) else np.zeros(len(h), bool)
+            # a word of the same hash and other bytes goes to the join, by its bytes
+            hit[hit] = same_bytes(low, s[hit], e[hit], letters, begins[place[hit]], stops[place[hit]])
             d, p = doc[hit], place[hit]
             add = lambda w: np.bincount(d, weights=w, minlength=rows)  # noqa: B023, E731
             known = add((counts[p] > 0).astype(float)).astype(np.int64)
@@ -270,8 +291,8 @@ def _doc_parts(batches: Iterator[pa.RecordBatch], frequent: tuple, base: tuple[i
             rest = np.flatnonzero(~hit)
             if not len(rest):
                 continue
-            pair = mix(h[rest]) ^ (doc[rest].astype(np.uint64) << np.uint64(40))
-            _, at, tf = np.unique(pair, return_index=True, return_counts=True)
+            at, inverse = _distinct_in_rows(h[rest], doc[rest], low, s[rest], e[rest])
+            tf = np.bincount(inverse, minlength=len(at))
             for k in range(0, len(at), 100_000):
                 w = rest[at[k:k + 100_000]]
                 m = len(w)
@@ -317,9 +338,10 @@ def score_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str =
     size = np.array([len(w.as_py()) for w in found], np.int64)
     begin = np.concatenate([[0], np.cumsum(size)])
     joined = np.frombuffer(b"".join(w.as_py() for w in found), np.uint8)
-    hashes = span_hashes(joined, begin[:-1], begin[1:]) if len(size) else np.zeros(0, np.uint64)
+    hashes = byte_hashes(joined, begin[:-1], begin[1:])
     order = np.argsort(hashes)
-    frequent = (hashes[order], np.asarray(least.column("n"))[order], np.asarray(least.column("lp"))[order])
+    frequent = (hashes[order], np.asarray(least.column("n"))[order], np.asarray(least.column("lp"))[order],
+                joined, begin[:-1][order], begin[1:][order])
     table_ = spark.sparkContext.broadcast(frequent)  # FREQUENT words at most
     base = (total, distinct)
     kind = rows.schema["id"].dataType.simpleString()
