@@ -35,13 +35,14 @@ def store(report: DataFrame, path: str, by: list[tuple[str, bool]], tie_breaker:
     rows = sort_rows(report, by, tie_breaker).withColumns({PART: F.spark_partition_id(), AT: here})
     rows.write.mode("overwrite").partitionBy(PART).parquet(f"{path}/rows")
     spark.createDataFrame([], rows.schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/columns")  # of an empty report, too
-    sizes = _rows(spark, path).groupBy(PART).agg(F.count(F.lit(1)).alias("rows"))
+    sizes = stored_rows(spark, path).groupBy(PART).agg(F.count(F.lit(1)).alias("rows"))
     before = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
     starts = sizes.select(F.col(PART).cast("int").alias("part"), F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"), "rows")
     starts.write.mode("overwrite").parquet(f"{path}/parts")
 
 
-def _rows(spark: SparkSession, path: str) -> DataFrame:
+def stored_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The rows as stored, each with its range partition and its place there."""
     return spark.read.schema(spark.read.parquet(f"{path}/columns").schema).parquet(f"{path}/rows")
 
 
@@ -52,7 +53,7 @@ def partitions(spark: SparkSession, path: str) -> DataFrame:
 
 def placed(spark: SparkSession, path: str, parts: list[int] | None = None) -> DataFrame:
     """The stored rows, of some partitions only if ``parts`` names them, with their global position."""
-    rows = _rows(spark, path)
+    rows = stored_rows(spark, path)
     if parts is not None:
         rows = rows.where(F.col(PART).isin(parts))
     starts = partitions(spark, path).select(F.col("part").alias(PART), "start")  # one row per partition
@@ -79,7 +80,7 @@ def page(spark: SparkSession, path: str, number: int, size: int = PAGE_SIZE) ->
         raise ValueError("pages start at 1")
     first, end = size * (number - 1), size * number
     parts = spark.read.parquet(f"{path}/parts").where((F.col("start") < end) & (F.col("start") + F.col("rows") > first)).collect()
-    rows = _rows(spark, path).where(F.col(PART).isin([p["part"] for p in parts]))
+    rows = stored_rows(spark, path).where(F.col(PART).isin([p["part"] for p in parts]))
     place = F.lit(None).cast("long")
     for p in parts:
         place = F.when(F.col(PART) == p["part"], F.col(AT) + p["start"]).otherwise(place)

@@ -56,16 +56,21 @@ def search_terms(text: str) -> list[str]:
     return [t.strip('"') for t in re.findall(r'"[^"]+"|[^ ]+', text) if t.strip('"')]
 
 
+def row_text(columns: list[str]) -> Column:
+    """What a search looks at: the visible text of all cells in lower case."""
+    return F.lower(F.concat_ws(" ", *[visible_text(F.col(c)) for c in columns]))
+
+
 def search_rows(df: DataFrame, text: str, columns: list[str] | None = None) -> DataFrame:
     """UI1: rows containing every term of ``text`` in some visible cell text."""
     columns = columns or df.columns
     terms = search_terms(text)
     if not terms:
         return df
-    row_text = F.lower(F.concat_ws(" ", *[visible_text(F.col(c)) for c in columns]))
+    shown = row_text(columns)
     cond = F.lit(True)
     for t in terms:
-        cond = cond & F.contains(row_text, F.lit(t.lower()))
+        cond = cond & F.contains(shown, F.lit(t.lower()))
     return df.where(cond)
 
 

@@ -66,6 +66,7 @@ def _movement_status(spark: SparkSession, d: str) -> DataFrame:
 
 # Fixed parameters of the registered view queries (what a dashboard user would pick).
 SEARCH_TEXT = "erro ativas"
+SEARCH_NAMES = "negativado customer#00000012"
 SORT_BY = [("data", True)]
 PAGE = 2
 FACET_CHOICE = {"status": "baixado"}
@@ -194,6 +195,28 @@ def _search_rows(spark: SparkSession, d: str) -> DataFrame:
     return views.search_rows(_q1(spark, d), SEARCH_TEXT)
 
 
+def _search_indexed(spark: SparkSession, d: str) -> DataFrame:
+    """UI1 from a trigram index of Q1."""
+    from ledgerspark.operators import search_index
+
+    path = _scratch(spark, "search")
+    search_index.add(spark, path, _q1(spark, d), 0, whole=True)
+    return search_index.search(spark, path, SEARCH_NAMES)
+
+
+def _search_changes(spark: SparkSession, d: str) -> DataFrame:
+    """UI1 after an upkeep by changes: Q1 without its status exports is indexed, then the rows that those change are added."""
+    from ledgerspark.operators import search_index
+
+    movements, registry, status_exports = _ledgers(spark, d)
+    path = _scratch(spark, "search")
+    before = reports.unified_report(movements, registry, status_exports.where(F.lit(False)))
+    search_index.add(spark, path, before, 0, whole=True)
+    changes = _q1(spark, d).exceptAll(before)
+    search_index.add(spark, path, changes, 1)
+    return search_index.search(spark, path, SEARCH_TEXT)
+
+
 def _sort_rows(spark: SparkSession, d: str) -> DataFrame:
     return views.with_positions(_q1(spark, d), SORT_BY)
 
@@ -676,6 +699,8 @@ def catalog() -> dict[str, tuple[Builder, str | None]]:
         "all_null_per_document": (_all_null_per_document, sql.all_null_per_document_sql()),
         "presence_flags": (_flags, sql.presence_flags_sql()),
         "search_rows": (_search_rows, sql.search_rows_sql(SEARCH_TEXT)),
+        "search_indexed": (_search_indexed, sql.search_rows_sql(SEARCH_NAMES)),
+        "search_changes": (_search_changes, sql.search_rows_sql(SEARCH_TEXT)),
         "sort_rows": (_sort_rows, sql.sort_rows_sql(SORT_BY)),
         "page_rows": (_page_rows, sql.page_rows_sql(PAGE, SORT_BY, views.PAGE_SIZE)),
         "facet_values": (_facet_values, sql.facet_values_sql(views.FACETS["current"])),
