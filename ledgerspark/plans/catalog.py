@@ -66,6 +66,7 @@ def _movement_status(spark: SparkSession, d: str) -> DataFrame:
 
 # Fixed parameters of the registered view queries (what a dashboard user would pick).
 SEARCH_TEXT = "erro ativas"
+FILTER_TYPES, FILTER_FROM = ("EXCLUSAO", "INCLUSAO"), "000.000.001"
 SEARCH_NAMES = "negativado customer#00000012"
 SORT_BY = [("data", True)]
 PAGE = 2
@@ -438,6 +439,15 @@ def _scan_registry(spark: SparkSession, d: str) -> DataFrame:
     return exports.scan_registry(spark, f"{folder}/Relatorio_SGP.xlsx").select("cpf_cnpj", "nome")
 
 
+def _workbook_filters(spark: SparkSession, d: str) -> DataFrame:
+    """SRC4/SRC12: movements of some types and keys from workbooks, decided while the sheets are parsed."""
+    from ledgerspark.sources import exports
+
+    folder = fx.land_fixture_workbooks(spark, d, _scratch(spark, "landing-xlsx"))
+    where = [("tipo", "in", FILTER_TYPES), ("documento", ">=", FILTER_FROM)]
+    return exports.scan_movements(spark, f"{folder}/Relatorio_CNM.xlsx", where=where).select("id", "documento", "tipo")
+
+
 def _partly_landed(spark: SparkSession, d: str, fontes: tuple[str, ...], folder: str) -> str:
     """Some of the status exports as single CSV files, each named as its portal names it."""
     from ledgerspark.sources.exports import STATUS_FILES
@@ -717,6 +727,7 @@ def catalog() -> dict[str, tuple[Builder, str | None]]:
         "deep_page": (_deep_page, sql.page_rows_sql(DEEP_PAGE, SORT_BY, DEEP_PAGE_SIZE)),
         "stored_page": (_stored_page, sql.page_rows_sql(DEEP_PAGE, SORT_BY, DEEP_PAGE_SIZE)),
         "q1_from_parquet": (_q1_from_parquet, sql.q1_sql()),
+        "workbook_filters": (_workbook_filters, sql.workbook_filters_sql(FILTER_TYPES, FILTER_FROM)),
         "scan_registry": (_scan_registry, sql.scan_registry_sql()),
         "missing_sources": (_missing_sources, sql.values_sql(MISSING_EXPECTED)),
         "empty_exports": (_empty_exports, sql.empty_exports_sql()),

@@ -325,6 +325,12 @@ def scan_registry_sql() -> str:
     return with_fixture("x as (select 1) select cpf_cnpj, nome from fx_registry")
 
 
+def workbook_filters_sql(types: tuple[str, ...], since: str) -> str:
+    named = ", ".join(map(q, types))
+    return with_fixture(f"x as (select 1) select cast(id as varchar) as id, documento, tipo from fx_movements "
+                        f"where tipo in ({named}) and documento >= {q(since)}")
+
+
 def empty_exports_sql() -> str:
     return with_fixture("x as (select 1) select documento, devedor, unique_id, data, fonte from fx_status_exports where false")
 

@@ -20,6 +20,8 @@ and is only ever compared inside one file block.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -251,16 +253,15 @@ def scan_status_exports(spark: SparkSession, folder: str, files=STATUS_FILES,
 
 
 def _table_scan(spark: SparkSession, path: str, fmt: str, skip_rows: int, aliases: dict[str, str],
-                multi_line: bool | None = None) -> DataFrame:
+                multi_line: bool | None = None, where: Sequence = ()) -> DataFrame:
     if skip_rows and fmt != "workbook":
         raise ValueError(f"preamble rows are a workbook feature; {fmt} has no skip_rows")
     if fmt == "workbook":
         from ledgerspark.sources.workbook import read_workbooks
 
         wanted = list(dict.fromkeys(aliases.values()))
-        df = read_workbooks(spark, path, skip_rows=skip_rows, columns=wanted, aliases=aliases)
-        return df.select(*[null_tokens(F.col(n)).alias(n) for n in wanted],
-                         F.struct(F.col("_file").alias("file"), F.col("_row").alias("row")).alias("ord"))
+        df = read_workbooks(spark, path, skip_rows=skip_rows, columns=wanted, aliases=aliases, null_tokens=NA_TOKENS, where=where)
+        return df.select(*wanted, F.struct(F.col("_file").alias("file"), F.col("_row").alias("row")).alias("ord"))
     if fmt == "csv":
         df = scan_csv(spark, list_files(spark, path, suffix=".csv"), aliases, multi_line=multi_line)
         if df is None:
@@ -289,22 +290,34 @@ def _with_columns(df: DataFrame, names: tuple[str, ...]) -> DataFrame:
     return df.withColumns({c: F.lit(None).cast("string") for c in names if c not in df.columns})
 
 
-def scan_movements(spark: SparkSession, path: str, fmt: str = "workbook", multi_line: bool | None = None) -> DataFrame:
-    """SRC1: movement register -> ``id, documento, tipo, data_hora, ord`` (data_hora parsed)."""
-    df = _with_columns(_table_scan(spark, require(spark, path), fmt, 0, MOVEMENT_ALIASES, multi_line),
+def _fitting(df: DataFrame, fmt: str, where: Sequence) -> DataFrame:
+    from ledgerspark.sources.workbook import condition
+
+    return df if fmt == "workbook" or not where else df.where(condition(where))
+
+
+def scan_movements(spark: SparkSession, path: str, fmt: str = "workbook", multi_line: bool | None = None,
+                   where: Sequence = ()) -> DataFrame:
+    """SRC1: movement register -> ``id, documento, tipo, data_hora, ord`` (data_hora parsed).
+
+    ``where`` holds predicates on the texts of the cells (``workbook.OPERATORS``), which workbooks are parsed under.
+    """
+    df = _with_columns(_table_scan(spark, require(spark, path), fmt, 0, MOVEMENT_ALIASES, multi_line, where),
                        ("id", "documento", "tipo", "data_hora"))
+    df = _fitting(df, fmt, where)
     return df.select("id", "documento", "tipo", parse_movement_timestamp(F.col("data_hora")).alias("data_hora"),
                      "ord")
 
 
 def scan_registry(spark: SparkSession, path: str, fmt: str = "workbook", skip_rows: int | None = None,
-                  multi_line: bool | None = None) -> DataFrame:
+                  multi_line: bool | None = None, where: Sequence = ()) -> DataFrame:
     """SRC2: customer registry -> ``cpf_cnpj, nome, ord``.
 
     A workbook's header follows ``skip_rows`` preamble rows (sheet rows, blank ones count;
-    ``REGISTRY_PREAMBLE_ROWS`` unless given); other formats have no preamble.
+    ``REGISTRY_PREAMBLE_ROWS`` unless given); other formats have no preamble. ``where`` as for the movements.
     """
     skip = (REGISTRY_PREAMBLE_ROWS if fmt == "workbook" else 0) if skip_rows is None else skip_rows
-    df = _with_columns(_table_scan(spark, require(spark, path), fmt, skip, REGISTRY_ALIASES, multi_line),
+    df = _with_columns(_table_scan(spark, require(spark, path), fmt, skip, REGISTRY_ALIASES, multi_line, where),
                        ("cpf_cnpj", "nome"))
+    df = _fitting(df, fmt, where)
     return df.select("cpf_cnpj", "nome", "ord")

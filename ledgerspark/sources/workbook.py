@@ -8,7 +8,9 @@ Workbooks may differ in their headers: each file's columns are found by its own
 header, and the columns are those asked for, or the union over all files.
 Paths may be local or any scheme ``pyarrow.fs`` opens (``hdfs://``, ``s3a://`` …).
 Each output row also carries ``_file`` and ``_row`` (sheet row number), the
-exact "file order" key. Cells are decoded the way a spreadsheet reader shows
+exact "file order" key. Predicates given to ``read_workbooks`` are decided while a sheet is parsed, and files that ``_file`` rules out
+are not opened. They are given by name, since Spark 4.1 keeps the filters it pushes into a Python source for later
+queries of the same DataFrame, which then lack rows. Cells are decoded the way a spreadsheet reader shows
 them: shared/inline strings as text, booleans as ``True``/``False``, integral
 numbers without a decimal point, numbers in a date format as
 ``yyyy-MM-dd HH:mm:ss``. Only the standard library is used (``zipfile`` and
@@ -22,11 +24,13 @@ import json
 import posixpath
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
 from itertools import islice
 from xml.etree.ElementTree import iterparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -204,13 +208,62 @@ class _FilePartition(InputPartition):
 
 BATCH_ROWS = 4096
 
+# A predicate is (column, operator, value). A null cell passes "is null" only. Texts compare by code point, as Spark's do.
+OPERATORS: dict[str, tuple[Callable, Callable]] = {  # on a cell that is not null, and on a column
+    "=": (lambda cell, v: cell == v, lambda c, v: c == v),
+    "<>": (lambda cell, v: cell != v, lambda c, v: c != v),
+    "<": (lambda cell, v: cell < v, lambda c, v: c < v),
+    "<=": (lambda cell, v: cell <= v, lambda c, v: c <= v),
+    ">": (lambda cell, v: cell > v, lambda c, v: c > v),
+    ">=": (lambda cell, v: cell >= v, lambda c, v: c >= v),
+    "in": (lambda cell, v: cell in v, lambda c, v: c.isin(*v)),
+    "not in": (lambda cell, v: cell not in v, lambda c, v: ~c.isin(*v) if v else c.isNotNull()),
+    "starts with": (lambda cell, v: cell.startswith(v), lambda c, v: c.startswith(v)),
+    "ends with": (lambda cell, v: cell.endswith(v), lambda c, v: c.endswith(v)),
+    "contains": (lambda cell, v: v in cell, lambda c, v: c.contains(v)),
+    "is null": (lambda cell, v: False, lambda c, v: c.isNull()),
+    "is not null": (lambda cell, v: True, lambda c, v: c.isNotNull()),
+}
+Predicate = tuple[str, str, object]
+
+
+def condition(where: Iterable[Predicate]) -> Column:
+    """The predicates as one condition, for rows of other sources."""
+    return reduce(lambda a, b: a & b, [OPERATORS[op][1](F.col(f"`{c}`"), v) for c, op, v in where], F.lit(True))
+
+
+def _checked(where: Iterable[Predicate], names: Iterable[str]) -> list[Predicate]:
+    names, where = set(names), [tuple(p) for p in where]
+    for column, op, value in where:
+        kind = int if column == "_row" else str
+        values = value if op in ("in", "not in") else [] if op in ("is null", "is not null") else [value]
+        if op not in OPERATORS or column not in names or not all(type(v) is kind for v in values):
+            raise ValueError(f"not a predicate on these workbooks: {column} {op} {value!r}")
+    return where
+
 
 class WorkbookReader(DataSourceReader):
-    def __init__(self, paths: list[str], skip_rows: int, names: list[str], aliases: dict[str, str] | None):
+    def __init__(self, paths: list[str], skip_rows: int, names: list[str], aliases: dict[str, str] | None,
+                 null_tokens: list[str], where: list[Predicate]):
         self.paths, self.skip_rows, self.names, self.aliases = paths, skip_rows, names, aliases
+        self.null_tokens = frozenset(null_tokens)
+        self.where = _checked(where, [*names, "_file", "_row"])
 
     def partitions(self):
-        return [_FilePartition(p) for p in self.paths]
+        files = [p for p in self.where if p[0] == "_file"]
+        return [_FilePartition(p) for p in self.paths if self._fits((p,), files, {"_file": 0})]
+
+    @staticmethod
+    def _fits(row: tuple, where: list[Predicate], place: dict[str, int]) -> bool:
+        for column, op, value in where:
+            cell = row[place[column]]
+            if not (op == "is null" if cell is None else OPERATORS[op][0](cell, value)):
+                return False
+        return True
+
+    def _kept(self, path: str) -> Iterator[tuple]:
+        place = {n: k for k, n in enumerate([*self.names, "_file", "_row"])}
+        return (row for row in self._rows(path) if self._fits(row, self.where, place))
 
     def _rows(self, path: str) -> Iterator[tuple]:
         with _open_zip(path) as zf:
@@ -224,21 +277,22 @@ class WorkbookReader(DataSourceReader):
                 else:
                     for blank in range(last + 1, r):
                         yield (*[None] * len(positions), path, blank)
-                    yield (*[cells[j] if j is not None and j < len(cells) else None for j in positions], path, r)
+                    found = [cells[j] if j is not None and j < len(cells) else None for j in positions]
+                    yield (*[None if c in self.null_tokens else c for c in found], path, r)
                 last = r
 
     def read(self, partition):
         import pyarrow as pa
 
         kinds = pa.schema([*[(n, pa.string()) for n in self.names], ("_file", pa.string()), ("_row", pa.int64())])
-        rows = self._rows(partition.path)
+        rows = iter(()) if partition is None else self._kept(partition.path)  # Spark makes one of none
         while batch := list(islice(rows, BATCH_ROWS)):
             columns = [pa.array(c, f.type) for c, f in zip(zip(*batch, strict=True), kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, schema=kinds)
 
 
 class WorkbookDataSource(DataSource):
-    """Options: ``skipRows`` (sheet rows before the header, default 0), ``aliases`` and ``columns`` (JSON)."""
+    """Options: ``skipRows`` (sheet rows before the header, default 0), ``aliases``, ``columns``, ``nullTokens`` and ``where`` (JSON)."""
 
     @classmethod
     def name(cls) -> str:
@@ -264,7 +318,8 @@ class WorkbookDataSource(DataSource):
 
     def reader(self, schema: StructType):
         names = [f.name for f in schema.fields if f.name not in ("_file", "_row")]
-        return WorkbookReader(self._paths(), self._skip(), names, self._aliases())
+        return WorkbookReader(self._paths(), self._skip(), names, self._aliases(),
+                              json.loads(self.options.get("nullTokens", "[]")), json.loads(self.options.get("where", "[]")))
 
 
 def register(spark: SparkSession) -> None:
@@ -275,14 +330,17 @@ def register(spark: SparkSession) -> None:
 
 
 def read_workbooks(spark: SparkSession, path: str, skip_rows: int = 0, columns: list[str] | None = None,
-                   aliases: dict[str, str] | None = None) -> DataFrame:
+                   aliases: dict[str, str] | None = None, null_tokens: Iterable[str] = (),
+                   where: Iterable[Predicate] = ()) -> DataFrame:
     """All workbooks under ``path`` (first sheet, header after ``skip_rows`` sheet rows).
 
     With ``aliases`` each file's header is resolved to canonical names on the executor that reads it;
-    with ``columns`` no header is read on the driver.
+    with ``columns`` no header is read on the driver. Cells that are one of ``null_tokens`` are null.
+    Only rows that fit all predicates in ``where`` (``OPERATORS``) leave the source.
     """
     register(spark)
-    reader = spark.read.format(SOURCE_NAME).option("skipRows", skip_rows)
+    reader = spark.read.format(SOURCE_NAME).option("skipRows", skip_rows).option("nullTokens", json.dumps(list(null_tokens)))
+    reader = reader.option("where", json.dumps([list(p) for p in where]))
     if columns is not None:
         reader = reader.option("columns", json.dumps(columns))
     if aliases is not None:
