@@ -1,15 +1,17 @@
 """STR4: the unified report kept up to date by a stateful operator per document.
 
 Rows of the streaming ledgers become one-row accumulators of the reconciliation (presence, first row with its
-order key, counts, sources). A map-side combiner merges those of a document within each Arrow batch, so that a hot
-document leaves a task as one row per batch. After the shuffle ``transformWithState`` keeps one accumulator per
-document and merges what arrived; if it changed, the accumulators before and after go out. The report's
+order key, counts, sources). A map-side combiner merges those of a document within a task, column by column, so that a hot
+document leaves a task as a row per some hundred thousand rows. After the shuffle ``transformWithState`` keeps one
+accumulator per document and merges what arrived; if it changed, the accumulators before and after go out. The report's
 columns are computed from both by the same expressions as in the batch report, and only rows whose report changed are kept. So a
 micro-batch costs by the documents it touches: no earlier output is read and nothing is compared outside the state.
 
-The state is a struct whose fields are named after the ledgers' columns. With
-``spark.sql.streaming.stateStore.encodingFormat=avro`` (set by ``stateful_conf``) columns may be added between
-restarts: state of the older form reads them as null, which the merge takes for "nothing seen yet".
+A group of the operator, a call to the state store and an output batch cost far more than a document's merge. Documents are
+therefore grouped by the hash of their key (``BUCKETS``), and those of a slot (``SLOTS`` in each) share a value of the
+state, whose fields are named after the ledgers' columns: columns may be added between restarts, and state of the older
+form has them as null, which the merge takes for "nothing seen yet". A checkpoint of the form before (a group per document)
+cannot be continued.
 
 Results do not depend on the order of arrival: "first" is decided by the order keys. Equal order keys keep the row
 that was merged first. A replayed micro-batch starts from the state before it, so it gives the same rows.
@@ -17,10 +19,13 @@ that was merged first. A replayed micro-batch starts from the state before it, s
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +34,11 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 from ledgerspark.operators.reconcile import DOC, Ledger, concat_sources, tagged_rows
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Groups of documents by the hash of their key, and values of the state in each. Touching a document rewrites its slot: a few
+# documents at a million, some hundred at a hundred millions. The state of a checkpoint lies by these numbers.
+BUCKETS, SLOTS = 1 << 14, 1 << 3
+# Rows or bytes that a task of the combiner gathers before it merges them.
+COMBINED_ROWS, COMBINED_BYTES = 1 << 18, 256 << 20
 
 
 @contextmanager
@@ -123,45 +133,139 @@ def _named(value, kind: T.DataType):
     return value
 
 
-def _combine(batches: Iterator[pa.RecordBatch], schema: T.StructType) -> Iterator[pa.RecordBatch]:
+def _sort_keys(column: pa.Array) -> list[pa.Array]:
+    """Columns that sort, nulls first, as Spark orders ``column``: structs field by field, NaN last."""
+    kind = column.type
+    if pa.types.is_struct(kind):
+        return [column.is_valid(), *(key for part in column.flatten() for key in _sort_keys(part))]
+    if pa.types.is_floating(kind):
+        return [pc.is_nan(column), column]
+    if pa.types.is_nested(kind):
+        ranks = [_rank(v) for v in column.to_pylist()]
+        place = {r: i for i, r in enumerate(sorted(set(ranks)))}
+        return [pa.array([place[r] for r in ranks], pa.int64())]
+    return [column]
+
+
+def _sorted_rows(groups: np.ndarray, column: pa.Array) -> np.ndarray:
+    """Row numbers by group, then by ``column``; equal rows stay as they came."""
+    keys = [pa.array(groups), *_sort_keys(column), pa.array(np.arange(len(groups)))]
+    table = pa.table(keys, names=[str(i) for i in range(len(keys))])
+    order = [(name, "ascending") for name in table.column_names]
+    return pc.sort_indices(table, sort_keys=order, null_placement="at_start").to_numpy()
+
+
+def _starts(groups: np.ndarray) -> np.ndarray:
+    """Where a sorted column begins a new value."""
+    return np.append(True, groups[1:] != groups[:-1])[: len(groups)]
+
+
+def _merged(batches: list[pa.RecordBatch], merge: Merge) -> pa.RecordBatch:
+    """What ``merge`` makes of the rows of every document, column by column."""
+    table = pa.Table.from_batches(batches).combine_chunks()
+    docs, accs = (c.chunk(0) if c.num_chunks else pa.array([], c.type) for c in table.columns)
+    found = docs.dictionary_encode(null_encoding="encode")
+    group, n = found.indices.to_numpy(), len(found.dictionary)
+    fields = accs.flatten()
+    out: list[pa.Array] = [pa.nulls(n, f.type) for f in fields]
+    for i in merge.flags:
+        seen = np.zeros(n, bool)
+        seen[group[pc.fill_null(fields[i], False).to_numpy(zero_copy_only=False)]] = True
+        out[i] = pa.array(seen)
+    for i in merge.counts:
+        total = np.zeros(n, np.int64)
+        np.add.at(total, group, pc.fill_null(fields[i], 0).to_numpy())
+        out[i] = pa.array(total)
+    for i in merge.sets:
+        values, of = pc.list_flatten(fields[i]), group[pc.list_parent_indices(fields[i]).to_numpy()]
+        rows = _sorted_rows(of, values)
+        values, of = values.take(pa.array(rows)), of[rows]
+        new = _starts(of)
+        for key in _sort_keys(values):
+            coded = key.dictionary_encode(null_encoding="encode").indices.to_numpy()
+            new |= _starts(coded)
+        values, of = values.filter(pa.array(new)), of[new]
+        sizes = np.bincount(of, minlength=n)
+        ends = np.append(0, np.cumsum(sizes)).astype(np.int32)
+        out[i] = pa.ListArray.from_arrays(pa.array(ends), values, type=fields[i].type, mask=pa.array(sizes == 0))
+    for first, order in merge.firsts:
+        known = np.flatnonzero(fields[order].is_valid().to_numpy(zero_copy_only=False))
+        known = known[_sorted_rows(group[known], fields[order].take(pa.array(known)))]
+        known = known[_starts(group[known])]
+        at = np.full(n, -1)
+        at[group[known]] = known
+        rows = pa.array(at, mask=at < 0)
+        out[first], out[order] = fields[first].take(rows), fields[order].take(rows)
+    kind = accs.type
+    merged = pa.StructArray.from_arrays([a.cast(f.type) for a, f in zip(out, kind)], fields=list(kind))
+    return pa.RecordBatch.from_arrays([found.dictionary, merged], schema=table.schema)
+
+
+def _combine(batches: Iterator[pa.RecordBatch], schema: T.StructType, full_rows: int = COMBINED_ROWS,
+             full_bytes: int = COMBINED_BYTES) -> Iterator[pa.RecordBatch]:
+    """One row per document out of all rows of a task, or of as many as fit."""
     merge = Merge(schema)
+    held: list[pa.RecordBatch] = []
+
+    def filled(part: int = 1) -> bool:
+        return sum(b.num_rows for b in held) * part >= full_rows or sum(b.nbytes for b in held) * part >= full_bytes
+
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        kind = batch.column(1).type
-        found: dict = {}
-        for doc, acc in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            row = list(acc.values())
-            before = found.get(doc)
-            found[doc] = merge(before, row) if before is not None else row
-        accs = [dict(zip(merge.names, row)) for row in found.values()]
-        yield pa.RecordBatch.from_arrays([pa.array(list(found), batch.column(0).type), pa.array(accs, kind)], names=[DOC, "acc"])
+        if batch.num_rows:
+            held.append(batch)
+        if filled():
+            held = [_merged(held, merge)]
+            if filled(part=2):
+                yield held.pop()
+    if held:
+        yield _merged(held, merge)
 
 
 class DocumentState(StatefulProcessor):
-    """One accumulator per document; a changed one goes out beside the one before."""
+    """The accumulators of a bucket's documents, by slots; a changed one goes out beside the one before."""
 
     def __init__(self, schema: T.StructType):
         self.schema = schema
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("accumulator", self.schema)
+        slot, kept = T.StructType().add("slot", T.LongType()), T.StructType().add("accumulators", T.BinaryType())
+        self.state = handle.getMapState("documents", slot, kept)
         self.merge = Merge(self.schema)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        before = _plain(self.state.get()) if self.state.exists() else None
-        now = None if before is None else list(before)
+        arrived: dict[int, dict] = {}
         for row in rows:
-            acc = list(_plain(row["acc"]))
-            now = acc if now is None else self.merge(now, acc)
-        if before is None or tuple(now) != before:
-            self.state.update(tuple(now))
-            yield Row(**{DOC: key[0], "before": _named(before, self.schema), "after": _named(tuple(now), self.schema)})
+            found = arrived.setdefault(row["_slot"], {})
+            doc, acc = row[DOC], list(_plain(row["acc"]))
+            found[doc] = self.merge(found[doc], acc) if doc in found else acc
+        for slot, found in arrived.items():
+            value = self.state.getValue((slot,))
+            kept = {} if value is None else _loaded(value[0], self.merge.names)
+            changed = []
+            for doc, acc in found.items():
+                before = kept.get(doc)
+                now = tuple(acc if before is None else self.merge(list(before), acc))
+                if now != before:
+                    kept[doc] = now
+                    changed.append((doc, before, now))
+            if changed:
+                self.state.updateValue((slot,), (pickle.dumps((self.merge.names, kept)),))
+            for doc, before, now in changed:
+                yield Row(**{DOC: doc, "before": _named(before, self.schema), "after": _named(now, self.schema)})
 
     def close(self) -> None:
         pass
 
 
+def _loaded(value: bytes, names: list[str]) -> dict:
+    """The accumulators of a slot in the order of ``names``; a field that was not kept yet is null."""
+    kept_names, kept = pickle.loads(value)
+    if kept_names == names:
+        return kept
+    at = [kept_names.index(n) if n in kept_names else None for n in names]
+    return {doc: tuple(None if i is None else acc[i] for i in at) for doc, acc in kept.items()}
+
+
 def reconciled_changes(*ledgers: Ledger) -> DataFrame:
     """``documento, before, after``: the reconciliation of every document that a micro-batch changed, as it was and as it is.
 
@@ -174,7 +278,9 @@ def reconciled_changes(*ledgers: Ledger) -> DataFrame:
     key, schema = rows.schema[DOC].dataType, _nullable(rows.schema["acc"].dataType)
     combined = rows.mapInArrow(lambda it: _combine(it, schema), T.StructType().add(DOC, key).add("acc", schema))
     out = T.StructType().add(DOC, key).add("before", schema).add("after", schema)
-    return combined.groupBy(DOC).transformWithState(
+    place = F.pmod(F.xxhash64(DOC), F.lit(BUCKETS * SLOTS))
+    placed = combined.withColumns({"_bucket": F.pmod(place, F.lit(BUCKETS)), "_slot": F.floor(place / F.lit(BUCKETS))})
+    return placed.groupBy("_bucket").transformWithState(
         statefulProcessor=DocumentState(schema), outputStructType=out, outputMode="Update", timeMode="None")
 
 

@@ -1,8 +1,10 @@
 """STR4 on a stateful operator: changes only, hot documents, replay by restart, state of an older form."""
 
 import datetime as dt
+import random
 
 import pyarrow as pa
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from ledgerspark.plans import reports
@@ -104,3 +106,85 @@ def test_state_of_an_older_form_is_read_after_columns_were_added(spark, tmp_path
     got = {r.documento: r for r in out.where("batch_id = 1").collect()}
     assert got["4"].fontes == ["CNM_EXCLUSAO"]
     assert got["1"].tipo == "INCLUSAO" and got["1"].fontes == ["Erros", "CNM"]  # sources are known since they are kept
+
+
+def test_the_combiner_merges_the_batches_of_a_task(spark):
+    mv = spark.createDataFrame([(i, str(i % 3), "INCLUSAO", T0, -i) for i in range(90)], MV)
+    rows = incremental.accumulators(*reports.unified_ledgers(mv, spark.createDataFrame([], RG), spark.createDataFrame([], SE)))
+    schema = incremental._nullable(rows.schema["acc"].dataType)
+    batches = rows.coalesce(1).toArrow().combine_chunks().to_batches(max_chunksize=10)
+    assert len(batches) == 9
+    (one,) = incremental._combine(iter(batches), schema)
+    accs = dict(zip(*(c.to_pylist() for c in one.columns)))
+    assert {d: a["cnm_first"]["id"] for d, a in accs.items()} == {"0": 87, "1": 88, "2": 89}
+    # what a task holds is bounded: documents that do not shrink go on
+    assert sum(b.num_rows for b in incremental._combine(iter(batches), schema, full_rows=6)) == 27
+    assert [b.num_rows for b in incremental._combine(iter(batches), schema, full_bytes=1)] == [3] * 9
+
+
+ACC = ("in_a boolean, a_first struct<v:string,w:bigint>, a_ord struct<o:struct<file:string,pos:bigint>,x:double,l:array<int>>, a_v_n bigint, "
+       "in_b boolean, b_first struct<v:timestamp_ntz>, b_ord struct<ord:bigint>, b_set array<struct<rank:int,name:string>>")
+
+
+def test_columns_are_merged_as_rows_are(spark):
+    rnd = random.Random(7)
+
+    def acc():
+        a, b = rnd.random() < 0.6, rnd.random() < 0.6
+        order = {"o": {"file": rnd.choice([None, "a", "\u00e9", "\U0001f600"]), "pos": rnd.choice([None, 1, 2, 2**60, 2**60 + 1])},
+                 "x": rnd.choice([None, -1.5, 2.0]), "l": rnd.choice([[], [1], [1, 2], [None]])}
+        return {"in_a": a, "a_first": {"v": rnd.choice([None, "p", "q"]), "w": rnd.randrange(2**62)} if a else None, "a_ord": order if a else None,
+                "a_v_n": rnd.randrange(3), "in_b": b, "b_first": {"v": rnd.choice([None, T0])} if b else None,
+                "b_ord": {"ord": rnd.choice([None, 1, 2])} if b else None,
+                "b_set": [{"rank": rnd.choice([None, 1, 2]), "name": rnd.choice([None, "x", "y"])} for _ in range(rnd.randrange(3))] if b else None}
+
+    schema = incremental.T._parse_datatype_string(ACC)
+    rows = [(rnd.choice([None, "", "1", "2", "3"]), acc()) for _ in range(400)]
+    table = spark.createDataFrame(rows, incremental.T.StructType().add("documento", "string").add("acc", schema)).coalesce(1).toArrow()
+    merge, want = incremental.Merge(schema), {}
+    for doc, row in rows:
+        new = [incremental._plain(v) for v in row.values()]
+        want[doc] = merge(want[doc], new) if doc in want else new
+    (one,) = incremental._combine(iter(table.to_batches(max_chunksize=64)), schema)
+    got = {d: [incremental._plain(v) for v in a.values()] for d, a in zip(*(c.to_pylist() for c in one.columns))}
+    assert got == want
+
+
+def test_documents_of_a_slot_share_the_calls_to_the_state(spark):
+    class State:
+        values, calls = {}, 0
+
+        def getValue(self, key):
+            State.calls += 1
+            return State.values.get(key)
+
+        def updateValue(self, key, value):
+            State.calls += 1
+            State.values[key] = value
+
+    class Handle:
+        def getMapState(self, *_):
+            return State()
+
+    schema = incremental.T._parse_datatype_string("in_a boolean, a_v_n bigint")
+    work = incremental.DocumentState(schema)
+    work.init(Handle())
+
+    def arrive(docs):
+        rows = (Row(documento=d, acc={"in_a": True, "a_v_n": n}, _bucket=1, _slot=int(d) % 2) for d, n in docs)
+        State.calls = 0
+        return sorted((r.documento, r.before and r.before["a_v_n"], r.after["a_v_n"]) for r in work.handleInputRows((1,), rows, None))
+
+    assert arrive([(str(i), 1) for i in range(100, 200)] + [("100", 4)])[:2] == [("100", None, 5), ("101", None, 1)]
+    assert State.calls == 4  # two slots, each read and written once
+    assert arrive([("101", 0), ("103", 2), ("300", 1)]) == [("103", 1, 3), ("300", None, 1)]
+    assert State.calls == 4
+    assert arrive([("101", 0)]) == [] and State.calls == 1
+
+
+def test_documents_are_grouped_by_bucket(spark, tmp_path):
+    spark.createDataFrame([], MV).write.parquet(f"{tmp_path}/mv")
+    mv = spark.readStream.schema(MV).parquet(f"{tmp_path}/mv")
+    plan = incremental.reconciled_changes(*reports.unified_ledgers(mv, *(spark.createDataFrame([], s) for s in (RG, SE))))
+    text = plan._jdf.queryExecution().analyzed().toString()
+    assert str(incremental.BUCKETS) in text and "xxhash64(documento" in text
