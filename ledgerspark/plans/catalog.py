@@ -561,15 +561,15 @@ def _scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-# State partitions of the registered streams; a production stream sets this for the state it will hold.
+# State partitions of the registered streams at least; a production stream sets this for the state it will hold.
 STATE_PARTITIONS = 8
 
 
 @contextmanager
 def _state_partitions(spark: SparkSession, n: int):
-    """``spark.sql.shuffle.partitions`` for the start of a stream, which fixes its state's partitioning."""
+    """``spark.sql.shuffle.partitions`` for the start of a stream, which fixes its state's partitioning: ``n``, or two for each core."""
     previous = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.shuffle.partitions", str(max(n, 2 * spark.sparkContext.defaultParallelism)))
     try:
         yield
     finally:
